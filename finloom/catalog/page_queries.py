@@ -81,13 +81,13 @@ STORED_PAGE_RULES = PageRules(
     }
 )
 
-# The entities that occur in the stored pages.
-_ENTITIES = {"&copy;": "©", "&middot;": "·", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&nbsp;": " ", "&amp;": "&"}
+# The entities that occur in the stored pages; HTML allows them without the semicolon.
+_ENTITIES = {"copy": "©", "middot": "·", "lt": "<", "gt": ">", "quot": '"', "nbsp": "\u00a0", "amp": "&"}
 
 
 def _decoded_sql(x: str) -> str:
     for entity, char in _ENTITIES.items():
-        x = f"replace({x}, '{entity}', '{char}')"
+        x = f"regexp_replace({x}, '&{entity};?', '{char}', 'g')"
     return x
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,17 +38,18 @@ def lookup_join(
     keys: Sequence[str],
     how: str = "inner",
     null_safe: bool = False,
-    spread_heavy: bool = True,
+    profile: DataFrame | None = None,
 ) -> DataFrame:
     """Join `left` to `right`, which has at most one row per key.
 
     how: inner, left, left_semi or left_anti. Rows of a heavy key are spread over as many
     salts as there are shuffle partitions, and only the matching right rows (at most
     _MOST_HEAVY) are repeated, once per salt. Every left row still meets its one right row,
-    so the result is that of the plain join.
+    so the result is that of the plain join. `profile` is a frame with the same keys to look
+    for heavy ones in, when `left` itself is costly to compute.
     """
     keys = list(keys)
-    heavy = heavy_keys(left, keys) if spread_heavy else []
+    heavy = heavy_keys(left if profile is None else profile, keys)
     on = keys
     if heavy:
         salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -63,9 +66,11 @@ def lookup_join(
     return joined.drop("_salt") if heavy else joined
 
 
+def same_key(keys: Sequence[str]) -> Column:
+    """NULL-safe equality of each key with its renamed twin `_r_<key>`."""
+    return reduce(and_, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+
+
 def _null_safe(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in on})
-    condition = F.lit(True)
-    for k in on:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-    return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in on])
+    return left.join(renamed, same_key(on), how).drop(*[f"_r_{k}" for k in on])

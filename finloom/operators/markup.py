@@ -115,6 +115,9 @@ class _Reader(HTMLParser):
         self.top = _Element("", {})
         self.open = [self.top]
 
+    def updatepos(self, i, j):  # line numbers are not needed
+        return j
+
     def handle_starttag(self, tag, attrs):
         element = _Element(tag, {k: v or "" for k, v in attrs})
         self.open[-1].children.append(element)
@@ -164,6 +167,24 @@ def _distinct(elements: Iterator[_Element]) -> Iterator[_Element]:
             yield e
 
 
+class _Scope:
+    """A row of the page, walked once; the first step of every path looks elements up by tag."""
+
+    def __init__(self, row: _Element):
+        self.all = [node for node in row.below() if isinstance(node, _Element)]
+        self.by_tag: dict[str, list[_Element]] = {}
+        for node in self.all:
+            self.by_tag.setdefault(node.tag, []).append(node)
+
+    def find(self, path: Sequence[Step], any_branch: bool) -> Iterator[_Element]:
+        first, rest = path[0], path[1:]
+        for node in self.all if first.tag is None else self.by_tag.get(first.tag, ()):
+            if node.fits(first):
+                yield from _matches(node, rest, any_branch)
+                if rest and not any_branch:
+                    return
+
+
 def _string(element: _Element, kind: str) -> str:
     if kind == "raw":
         return "".join(element.runs())
@@ -173,8 +194,10 @@ def _string(element: _Element, kind: str) -> str:
     return ("\n" if kind == "lines" else "").join(tight)
 
 
-def _read(row: _Element, take: Take):
-    found = _distinct(_matches(row, take.path, take.any_branch))
+def _read(scope: _Scope, take: Take):
+    found = scope.find(take.path, take.any_branch)
+    if take.any_branch and len(take.path) > 1:
+        found = _distinct(found)
     if take.kind == "count":
         return sum(1 for _ in found)
     if take.kind.startswith("all"):
@@ -191,7 +214,7 @@ def read_page(html: str | None, rules: PageRules) -> list[dict]:
     reader.feed(html or "")
     reader.close()
     rows = _distinct(_matches(reader.top, rules.rows, True)) if rules.rows else [reader.top]
-    return [{name: _read(row, take) for name, take in rules.fields.items()} for row in rows]
+    return [{name: _read(scope, take) for name, take in rules.fields.items()} for scope in map(_Scope, rows)]
 
 
 def page_rows(html: Column, rules: PageRules) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finloom.functions.keys import surrogate_key
-from finloom.operators.lookup import lookup_join
+from finloom.operators.lookup import lookup_join, same_key
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], choose) -> DataFrame:
@@ -106,7 +106,7 @@ def extend_dimension(
     """
     first = first_per_key(records, keys, order)
     known = dimension.select(*keys)
-    new = lookup_join(first, known, keys, "left_anti", null_safe=True, spread_heavy=False)
+    new = first.join(known.withColumnsRenamed({k: f"_r_{k}" for k in keys}), same_key(keys), "left_anti")
     ids = surrogate_key(*[F.col(k) for k in keys]).alias(id_column)
     return dimension.unionByName(
         new.select(ids, *[c for c in dimension.columns if c != id_column]).select(*dimension.columns)
@@ -114,10 +114,14 @@ def extend_dimension(
 
 
 def resolve_key(
-    records: DataFrame, dimension: DataFrame, id_column: str, keys: Sequence[str]
+    records: DataFrame,
+    dimension: DataFrame,
+    id_column: str,
+    keys: Sequence[str],
+    profile: DataFrame | None = None,
 ) -> DataFrame:
     """Records with the id of their dimension row, matching NULL to NULL."""
-    return lookup_join(records, dimension.select(id_column, *keys), keys, "inner", null_safe=True)
+    return lookup_join(records, dimension.select(id_column, *keys), keys, "inner", True, profile)
 
 
 def change_flags(

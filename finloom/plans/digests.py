@@ -43,8 +43,8 @@ def earnings_digest(
         rows = rows.where(day_bounds(F.col("call_date"), day))
     facts = [c for c in EARNING_DIGEST_COLUMNS if c.startswith("revenue")]
     firsts = rows.groupBy("company_id", "period_id", *facts).agg(F.min("call_date").alias("call_date"))
-    named = lookup_join(firsts, companies.select("company_id", "name", "symbol"), ["company_id"])
-    placed = lookup_join(named, periods.select("period_id", "year", "quarter"), ["period_id"], spread_heavy=False)
+    named = lookup_join(firsts, companies.select("company_id", "name", "symbol"), ["company_id"], profile=rows)
+    placed = lookup_join(named, periods.select("period_id", "year", "quarter"), ["period_id"], profile=rows)
     # Two ids may carry the same name and period, so distinct again on what is shown.
     return placed.groupBy(*EARNING_DIGEST_COLUMNS).agg(F.min("call_date").alias("call_date"))
 

@@ -57,7 +57,7 @@ def load_star(
     companies = extend_dimension(companies, flat, "company_id", COMPANY_KEYS, order)
     periods = extend_dimension(periods, flat, "period_id", PERIOD_KEYS, order)
     keyed = resolve_key(flat, companies, "company_id", COMPANY_KEYS)
-    keyed = resolve_key(keyed, periods, "period_id", PERIOD_KEYS)
+    keyed = resolve_key(keyed, periods, "period_id", PERIOD_KEYS, profile=flat)
     latest = last_per_key(
         keyed.select(*EARNING_KEYS, *EARNING_FIELDS, *[c for c in order if c not in EARNING_FIELDS]),
         EARNING_KEYS,

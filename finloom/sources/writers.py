@@ -62,11 +62,14 @@ def digest_folder(base: str, kind: str, moment: dt.datetime) -> str:
 def write_digest(parts: DataFrame, base: str, kind: str, moment: dt.datetime) -> str:
     """Digest parts as text files of one folder, stamped with the hour; returns the folder.
 
-    Files are in part order by name, so reading them one after another gives the text.
+    Files are in part order by name, so reading them one after another gives the text. The
+    writer ends every part with a line break, so a part's own last one is left out.
     """
     folder = digest_folder(base, kind, moment)
-    in_order = parts.repartitionByRange("part").sortWithinPartitions("part").select("text")
-    in_order.write.mode("overwrite").option("lineSep", "").text(folder)
+    ended = F.col("text").endswith("\n")
+    text = F.when(ended, F.left("text", F.length("text") - 1)).otherwise(F.col("text"))
+    in_order = parts.repartitionByRange("part").sortWithinPartitions("part").select(text.alias("text"))
+    in_order.write.mode("overwrite").text(folder)
     return folder
 
 
