@@ -284,12 +284,12 @@ _ARTICLE_BASE_SQL = f"""a AS (SELECT 'https://news.example/' || doc_id || '.html
   FROM documents WHERE lang <> 'es')"""
 
 
-@query(
-    "article_rows",
-    f"""WITH {_ARTICLE_BASE_SQL}, n AS (SELECT *, unnest(CASE lang WHEN 'fr' THEN [source] WHEN 'de' THEN [source, 'Ana']
+ARTICLE_ROWS_SQL = f"""WITH {_ARTICLE_BASE_SQL}, n AS (SELECT *, unnest(CASE lang WHEN 'fr' THEN [source] WHEN 'de' THEN [source, 'Ana']
     ELSE ['Ann', source, 'Bo'] END) AS one FROM a)
-SELECT 'The Wire' AS article_publisher, one AS authors, date, text, theme, 'America/New_York' AS timezone, title, url FROM n""",
-)
+SELECT 'The Wire' AS article_publisher, one AS authors, date, text, theme, 'America/New_York' AS timezone, title, url FROM n"""
+
+
+@query("article_rows", ARTICLE_ROWS_SQL)
 def article_rows(t: Tables):
     return articles.split_articles(articles.parsed_articles(article_pages(t)))[0]
 

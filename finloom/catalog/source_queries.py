@@ -79,7 +79,7 @@ def raw_pages_roundtrip(t: Tables):
 
 @query(
     "theme_precedence",
-    """WITH th AS (SELECT doc_id, text AS url, CASE lang WHEN 'en' THEN 'Latest' WHEN 'de' THEN 'Tech' WHEN 'fr' THEN 'Stock_Market' ELSE 'Housing' END AS theme FROM documents),
+    """WITH th AS (SELECT doc_id, sha256(text) AS url, CASE lang WHEN 'en' THEN 'Latest' WHEN 'de' THEN 'Tech' WHEN 'fr' THEN 'Stock_Market' ELSE 'Housing' END AS theme FROM documents),
 r AS (SELECT *, CASE theme WHEN 'Stock_Market' THEN 0 WHEN 'Tech' THEN 4 WHEN 'Housing' THEN 5 ELSE 7 END AS precedence FROM th)
 SELECT url, theme, doc_id FROM r WHERE theme IN ('Latest', 'Tech', 'Stock_Market', 'Housing')
 QUALIFY row_number() OVER (PARTITION BY url ORDER BY precedence, doc_id) = 1""",
@@ -92,7 +92,7 @@ def theme_precedence(t: Tables):
         .when(F.col("lang") == "fr", "Stock_Market")
         .otherwise("Housing")
     )
-    staged = t.documents.select("doc_id", F.col("text").alias("url"), theme.alias("theme"))
+    staged = t.documents.select("doc_id", F.sha2("text", 256).alias("url"), theme.alias("theme"))
     # The theme table is a fixed list of eight rows.
     ranked = staged.join(F.broadcast(theme_table(t.spark).drop("listing_url")), "theme")
     wanted = ranked.where(F.col("theme").isin(*readers.themes_for_hour(21)))

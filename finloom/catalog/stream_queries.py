@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from finloom.catalog.page_queries import ARTICLE_ROWS_SQL, article_pages
 from finloom.catalog.registry import Tables, query
-from finloom.schemas import MEMBERS, TEXT, row
+from finloom.schemas import ARTICLES, MEMBERS, TEXT, row
 from finloom.session import scratch_dir
 from finloom.sources.readers import member_records
 from finloom.streaming import ingest
+from finloom.streaming.pages import ingest_articles
 
 _BATCHES = 4
 
@@ -74,3 +76,12 @@ def stream_members(t: Tables):
     ingest.ingest_revisions(stream, ["response_id"], order, f"{out}/rows", f"{out}/checkpoint")
     members = ingest.current_rows(t.spark, f"{out}/rows", MEMBERS, ["response_id"], order)
     return members.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+@query("stream_pages", ARTICLE_ROWS_SQL)
+def stream_pages(t: Tables):
+    """Article pages landed as JSON files and parsed as they arrive."""
+    pages = article_pages(t)
+    (source, files), out = _arrivals(pages, "landed", "json"), scratch_dir(t.spark, "parsed-pages")
+    ingest_articles(ingest.file_stream(t.spark, source, pages.schema, "json", files), out, f"{out}/checkpoint")
+    return ingest.stored_rows(t.spark, f"{out}/rows", ARTICLES)

@@ -38,18 +38,22 @@ def lookup_join(
     keys: Sequence[str],
     how: str = "inner",
     null_safe: bool = False,
-    profile: DataFrame | None = None,
+    heavy: Sequence[int] | None = None,
 ) -> DataFrame:
     """Join `left` to `right`, which has at most one row per key.
 
     how: inner, left, left_semi or left_anti. Rows of a heavy key are spread over as many
     salts as there are shuffle partitions, and only the matching right rows (at most
     _MOST_HEAVY) are repeated, once per salt. Every left row still meets its one right row,
-    so the result is that of the plain join. `profile` is a frame with the same keys to look
-    for heavy ones in, when `left` itself is costly to compute.
+    so the result is that of the plain join. The salt comes from the row's content, so a
+    task that is run again spreads its rows as before; what equal copies of one row still
+    put in one place, adaptive execution splits.
+
+    `heavy` are the heavy keys when the caller knows them, or has found them in a frame that
+    is cheaper to scan than `left`.
     """
     keys = list(keys)
-    heavy = heavy_keys(left if profile is None else profile, keys)
+    heavy = heavy_keys(left, keys) if heavy is None else heavy
     on = keys
     if heavy:
         salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finloom.functions.keys import surrogate_key
-from finloom.operators.lookup import lookup_join, same_key
+from finloom.operators.lookup import heavy_keys, lookup_join, same_key
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], choose) -> DataFrame:
@@ -63,14 +63,16 @@ def replace_by_keys(
     return survivors.unionByName(staged.select(*target.columns))
 
 
-def update_matched(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+def update_matched(
+    target: DataFrame, staged: DataFrame, keys: Sequence[str], heavy: Sequence[int] | None = None
+) -> DataFrame:
     """Target rows with every non-key column taken from the staged row of the same key, NULLs too.
 
     staged has one row per key; unmatched target rows stay as they are.
     """
     rest = [c for c in target.columns if c not in keys]
     news = staged.select(*keys, F.struct(*rest).alias("_new"))
-    both = lookup_join(target, news, keys, "left")
+    both = lookup_join(target, news, keys, "left", heavy=heavy)
     return both.select(
         *[
             c if c in keys else F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)
@@ -84,13 +86,15 @@ def upsert_latest(
 ) -> DataFrame:
     """Update matches with the latest staged row per key and insert the keys that are new.
 
-    A row with a NULL in its key equals no other row: staged ones are all inserted.
+    A row with a NULL in its key equals no other row: staged ones are all inserted. The keys
+    already present are found by a semi join against the batch, so a batch small enough to
+    broadcast needs no shuffle of the target.
     """
     whole = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    latest = last_per_key(staged.where(whole), keys, order)
-    known = target.select(*keys).where(whole).distinct()
+    latest, heavy = last_per_key(staged.where(whole), keys, order), heavy_keys(target, keys)
+    known = lookup_join(target.select(*keys), latest.select(*keys), keys, "left_semi", heavy=heavy).distinct()
     new = latest.join(known, list(keys), "left_anti").unionByName(staged.where(~whole).distinct())
-    return update_matched(target, latest, keys).unionByName(new.select(*target.columns))
+    return update_matched(target, latest, keys, heavy).unionByName(new.select(*target.columns))
 
 
 def extend_dimension(
@@ -118,10 +122,10 @@ def resolve_key(
     dimension: DataFrame,
     id_column: str,
     keys: Sequence[str],
-    profile: DataFrame | None = None,
+    heavy: Sequence[int] | None = None,
 ) -> DataFrame:
     """Records with the id of their dimension row, matching NULL to NULL."""
-    return lookup_join(records, dimension.select(id_column, *keys), keys, "inner", True, profile)
+    return lookup_join(records, dimension.select(id_column, *keys), keys, "inner", True, heavy)
 
 
 def change_flags(

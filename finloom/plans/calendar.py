@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from finloom.functions.cells import event_values, parse_value
 from finloom.functions.dates import clock_on, iso_text, midnight_ms, to_epoch_ms
@@ -60,19 +63,20 @@ EARNING_COLUMN_KINDS = {
 EVENT_COLUMN_KINDS = {"volatility": "smallint", "actual": "float", "forecast": "float", "previous": "float"}
 
 
-def parsed_events(pages: DataFrame, day: Column) -> DataFrame:
+def parsed_events(pages: DataFrame, day: Column, keep: Sequence[str] = ()) -> DataFrame:
     """One row per event of the calendar pages, with `reject` = time, number or NULL.
 
-    `day` is the page's calendar day.
+    `day` is the page's calendar day; the page columns of `keep` are carried along.
     """
     rows = pages.where("content IS NOT NULL").select(
-        "url", day.alias("_day"), F.posexplode(page_rows(F.col("content"), EVENT_RULES)).alias("position", "r")
+        *keep, "url", day.alias("_day"), F.posexplode(page_rows(F.col("content"), EVENT_RULES)).alias("position", "r")
     )
     read = rows.withColumn(
         "v", event_values(F.col("r.actual"), F.col("r.forecast"), F.col("r.previous"))
     ).withColumn("release_wall", clock_on(F.col("_day"), F.col("r.clock")))
     bad_time = F.col("r.clock").isNotNull() & F.col("release_wall").isNull()
     return read.select(
+        *keep,
         "url",
         "position",
         F.when(bad_time, "time").when(F.col("v.unreadable"), "number").alias("reject"),
@@ -88,14 +92,14 @@ def parsed_events(pages: DataFrame, day: Column) -> DataFrame:
     )
 
 
-def split_events(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_events(parsed: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(events, rejects) of parsed_events.
 
     An event whose numbers cannot be read is kept with NULLs and also listed in rejects;
     one whose time cannot be read only goes to rejects.
     """
     kept = parsed.where("reject IS NULL OR reject <> 'time'").drop("url", "position", "reject")
-    rejects = parsed.where("reject IS NOT NULL").select("url", "position", F.col("reject").alias("reason"))
+    rejects = parsed.where("reject IS NOT NULL").select("url", "position", F.col("reject").alias("reason"), *keep)
     return cast_columns(kept, EVENT_COLUMN_KINDS)[0], rejects
 
 
@@ -109,13 +113,13 @@ def events_with_iso_time(events: DataFrame, zone_label: str = "ET") -> DataFrame
     )
 
 
-def parsed_earnings(pages: DataFrame, day: Column) -> DataFrame:
+def parsed_earnings(pages: DataFrame, day: Column, keep: Sequence[str] = ()) -> DataFrame:
     """One record per row of the earnings pages, the heading row left out.
 
     `reject` tells why a row is incomplete.
     """
     rows = pages.where("content IS NOT NULL").select(
-        "url", day.alias("_day"), F.posexplode(page_rows(F.col("content"), EARNING_RULES)).alias("position", "r")
+        *keep, "url", day.alias("_day"), F.posexplode(page_rows(F.col("content"), EARNING_RULES)).alias("position", "r")
     ).where("position > 0")
     last_cell = max(position for position, _ in EARNING_CELLS.values())
 
@@ -127,6 +131,7 @@ def parsed_earnings(pages: DataFrame, day: Column) -> DataFrame:
         return F.struct(*[cell(name, side).alias(side) for side in ("actual", "forecast")]).alias(name)
 
     return rows.select(
+        *keep,
         "url",
         "position",
         F.when(F.size("r.cells") < last_cell, "too few cells").alias("reject"),
@@ -142,12 +147,18 @@ def parsed_earnings(pages: DataFrame, day: Column) -> DataFrame:
     )
 
 
-def split_earnings(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_earnings(parsed: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(records, rejects) of parsed_earnings."""
-    rejects = parsed.where("reject IS NOT NULL").select("url", "position", F.col("reject").alias("reason"))
-    return align(parsed.where("reject IS NULL"), EARNING_RECORD), rejects
+    rejects = parsed.where("reject IS NOT NULL").select("url", "position", F.col("reject").alias("reason"), *keep)
+    kept = T.StructType([*EARNING_RECORD.fields, *[parsed.schema[c] for c in keep]])
+    return align(parsed.where("reject IS NULL"), kept), rejects
 
 
-def earning_calls(records: DataFrame) -> DataFrame:
+def earning_calls(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The flat earnings columns in their table types."""
-    return cast_columns(flatten_earnings(records), EARNING_COLUMN_KINDS)[0]
+    return cast_columns(flatten_earnings(records, keep), EARNING_COLUMN_KINDS)[0]
+
+
+def records_without_period(records: DataFrame) -> DataFrame:
+    """The older nested layout: no period and call columns, market cap under `market cap`."""
+    return records.select("company", "country", "eps", "revenue", F.col("market_cap").alias("market cap"))

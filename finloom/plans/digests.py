@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from finloom.functions import lines
 from finloom.functions.cells import scaled
 from finloom.functions.dates import day_bounds, recent_hours
-from finloom.operators.lookup import lookup_join
+from finloom.operators.lookup import heavy_keys, lookup_join
 from finloom.operators.ordered_text import ordered_parts
 from finloom.schemas import MARKET_ZONE
 
@@ -43,8 +43,9 @@ def earnings_digest(
         rows = rows.where(day_bounds(F.col("call_date"), day))
     facts = [c for c in EARNING_DIGEST_COLUMNS if c.startswith("revenue")]
     firsts = rows.groupBy("company_id", "period_id", *facts).agg(F.min("call_date").alias("call_date"))
-    named = lookup_join(firsts, companies.select("company_id", "name", "symbol"), ["company_id"], profile=rows)
-    placed = lookup_join(named, periods.select("period_id", "year", "quarter"), ["period_id"], profile=rows)
+    names, quarters = companies.select("company_id", "name", "symbol"), periods.select("period_id", "year", "quarter")
+    named = lookup_join(firsts, names, ["company_id"], heavy=heavy_keys(rows, ["company_id"]))
+    placed = lookup_join(named, quarters, ["period_id"], heavy=heavy_keys(rows, ["period_id"]))
     # Two ids may carry the same name and period, so distinct again on what is shown.
     return placed.groupBy(*EARNING_DIGEST_COLUMNS).agg(F.min("call_date").alias("call_date"))
 
@@ -85,6 +86,10 @@ def news_window(
     return recent.groupBy(*shown).agg(F.min("date").alias("date"))
 
 
+def article_lines(articles: DataFrame) -> DataFrame:
+    return articles.withColumn("line", lines.article_block(F.col("title"), F.col("text")))
+
+
 def events_of_day(events: DataFrame, day: dt.date | None, hour: int) -> DataFrame:
     """Distinct events; outside the preview hour only those already released."""
     rows = events if day is None else events.where(day_bounds(F.col("release_time"), day))

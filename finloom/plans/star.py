@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from finloom.functions.dates import from_epoch_ms
 from finloom.functions.keys import surrogate_key
+from finloom.operators.lookup import heavy_keys
 from finloom.operators.merge import apply_changes, change_flags, extend_dimension, last_per_key, resolve_key
 from finloom.schemas import EARNINGS
 
@@ -57,7 +58,7 @@ def load_star(
     companies = extend_dimension(companies, flat, "company_id", COMPANY_KEYS, order)
     periods = extend_dimension(periods, flat, "period_id", PERIOD_KEYS, order)
     keyed = resolve_key(flat, companies, "company_id", COMPANY_KEYS)
-    keyed = resolve_key(keyed, periods, "period_id", PERIOD_KEYS, profile=flat)
+    keyed = resolve_key(keyed, periods, "period_id", PERIOD_KEYS, heavy_keys(flat, PERIOD_KEYS))
     latest = last_per_key(
         keyed.select(*EARNING_KEYS, *EARNING_FIELDS, *[c for c in order if c not in EARNING_FIELDS]),
         EARNING_KEYS,

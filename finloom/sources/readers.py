@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finloom.schemas import DAY_PARTITIONS, LATEST_TEXT, MEMBER_BODY, RAW_PAGE, THEMES, empty_table
+from finloom.schemas import DAY_PARTITIONS, LATEST_TEXT, MEMBER_BODY, RAW_PAGE, THEMES, empty_table, row
 
 # The hours at which all themes are taken, and the theme taken at other hours.
 FULL_HOURS = (7, 21)
@@ -82,8 +82,7 @@ def themed_pages(spark: SparkSession, base: str, themes: Iterable[str] = THEMES)
 
 def envelope_rows(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
     """Rows of {"data": [record, ...]} objects; an unreadable object gives no rows."""
-    schema = T.StructType([T.StructField("data", T.ArrayType(record))])
-    return spark.read.schema(schema).json(path).select(F.inline("data"))
+    return spark.read.schema(row(data=T.ArrayType(record))).json(path).select(F.inline("data"))
 
 
 def latest_text(spark: SparkSession, path: str) -> DataFrame:

@@ -59,7 +59,9 @@ def digest_folder(base: str, kind: str, moment: dt.datetime) -> str:
     return f"{base}/{kind.upper()}/{moment:year=%Y/month=%m/day=%d}/{kind.lower()}_{moment:%y%m%d%H}"
 
 
-def write_digest(parts: DataFrame, base: str, kind: str, moment: dt.datetime) -> str:
+def write_digest(
+    parts: DataFrame, base: str, kind: str, moment: dt.datetime, order: Sequence[str] = ("part",)
+) -> str:
     """Digest parts as text files of one folder, stamped with the hour; returns the folder.
 
     Files are in part order by name, so reading them one after another gives the text. The
@@ -68,11 +70,18 @@ def write_digest(parts: DataFrame, base: str, kind: str, moment: dt.datetime) ->
     folder = digest_folder(base, kind, moment)
     ended = F.col("text").endswith("\n")
     text = F.when(ended, F.left("text", F.length("text") - 1)).otherwise(F.col("text"))
-    in_order = parts.repartitionByRange("part").sortWithinPartitions("part").select(text.alias("text"))
+    in_order = parts.repartitionByRange(*order).sortWithinPartitions(*order).select(text.alias("text"))
     in_order.write.mode("overwrite").text(folder)
     return folder
 
 
+def read_digest(spark: SparkSession, folder: str) -> DataFrame:
+    """(part, text) of a written digest: one part per file, numbered by file name."""
+    files = spark.read.text(folder, wholetext=True).where("value <> ''")
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("bigint")
+    return files.select(number.alias("part"), F.col("value").alias("text"))
+
+
 def load_staging(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet folder as rows of the target schema, matched by column name."""
     return align(spark.read.parquet(path), schema)
