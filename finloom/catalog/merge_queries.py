@@ -14,6 +14,7 @@ from finloom.operators.lookup import lookup_join
 from finloom.operators.project import nest_earnings
 from finloom.plans.star import load_star
 from finloom.schemas import COMPANIES, EARNING_PERIODS, EARNINGS, empty_table
+from finloom.session import materialize
 
 
 def key_sql(*parts: str) -> str:
@@ -287,15 +288,13 @@ _EARNING_FIELDS = (
 _EARNING_SQL = f"{key_sql('company_id', 'period_id')} AS earning_id, company_id, period_id, {_EARNING_FIELDS}"
 
 
-def _stars(t: Tables) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+def _star(t: Tables) -> dict[str, DataFrame]:
     """The star after the orders from 1998 on, and after a late batch of those before 2000."""
     records, order = order_records(t), ("call_date", "o_orderkey")
     empty = [empty_table(t.spark, schema) for schema in (COMPANIES, EARNING_PERIODS, EARNINGS)]
     one = load_star(records.where("call_date >= 883612800000"), *empty, order)
-    two = load_star(
-        records.where("call_date < 946684800000 AND country <> 'F'"), one["companies"], one["periods"], one["earnings"], order
-    )
-    return one, two
+    tables = [materialize(one[name], name) for name in ("companies", "periods", "earnings")]
+    return load_star(records.where("call_date < 946684800000 AND country <> 'F'"), *tables, order)
 
 
 @query(
@@ -306,7 +305,7 @@ f AS (SELECT * FROM f1 UNION ALL SELECT * FROM f2 WHERE company_id NOT IN (SELEC
 SELECT company_id, name, symbol, country, market_cap, market_cap_unit FROM f""",
 )
 def star_companies(t: Tables):
-    return _stars(t)[1]["companies"]
+    return _star(t)["companies"]
 
 
 @query(
@@ -314,7 +313,7 @@ def star_companies(t: Tables):
     f"""WITH {_STAR_SQL} SELECT period_id, year, quarter FROM one UNION SELECT period_id, year, quarter FROM two""",
 )
 def star_periods(t: Tables):
-    return _stars(t)[1]["periods"]
+    return _star(t)["periods"]
 
 
 @query(
@@ -324,7 +323,7 @@ def star_periods(t: Tables):
 SELECT {_EARNING_SQL} FROM f""",
 )
 def star_earnings(t: Tables):
-    return _stars(t)[1]["earnings"]
+    return _star(t)["earnings"]
 
 
 @query(
@@ -336,4 +335,4 @@ def star_earnings(t: Tables):
 FROM last_two n LEFT JOIN last_one o ON o.company_id = n.company_id AND o.period_id = n.period_id GROUP BY 1""",
 )
 def star_changes(t: Tables):
-    return _stars(t)[1]["changes"].groupBy("change").agg(F.count("*").alias("n"))
+    return _star(t)["changes"].groupBy("change").agg(F.count("*").alias("n"))

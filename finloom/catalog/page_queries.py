@@ -31,7 +31,7 @@ def page_titles(t: Tables):
 @query(
     "page_links",
     f"""WITH l AS (SELECT page_id, regexp_extract_all(html, '{_LINK}', 1) AS h, regexp_extract_all(html, '{_LINK}', 2) AS w FROM pages),
-x AS (SELECT page_id, unnest(h) AS link, unnest(w) AS words, generate_subscripts(h, 1) - 1 AS position FROM l)
+x AS (SELECT page_id, unnest(h) AS link, unnest(w) AS words, CAST(generate_subscripts(h, 1) - 1 AS INTEGER) AS position FROM l)
 SELECT page_id, position, link, words FROM x WHERE position > 0 AND words <> 'the'""",
 )
 def page_links(t: Tables):
@@ -229,8 +229,8 @@ _CALLS = """epoch_us(o_orderdate) // 1000 AS call_date, 'America/New_York' AS ti
 @query(
     "earning_rows",
     f"""SELECT 'Company ' || o_custkey AS company_name, 'S' || o_custkey AS symbol, {_CALLS},
-  CAST((o_custkey::VARCHAR || '.25')::DOUBLE AS FLOAT) AS eps_actual_value, NULL AS eps_actual_unit,
-  CAST((o_custkey::VARCHAR || '.5')::DOUBLE AS FLOAT) AS eps_forecast_value, NULL AS eps_forecast_unit,
+  CAST((o_custkey::VARCHAR || '.25')::DOUBLE AS FLOAT) AS eps_actual_value, NULL::VARCHAR AS eps_actual_unit,
+  CAST((o_custkey::VARCHAR || '.5')::DOUBLE AS FLOAT) AS eps_forecast_value, NULL::VARCHAR AS eps_forecast_unit,
   CAST(floor(o_totalprice) AS FLOAT) AS revenue_actual_value, 'M' AS revenue_actual_unit,
   CAST(floor(o_totalprice) + 0.5 AS FLOAT) AS revenue_forecast_value, 'B' AS revenue_forecast_unit,
   CAST(o_orderkey::DOUBLE AS FLOAT) AS market_cap_value, 'T' AS market_cap_unit FROM orders

@@ -10,6 +10,7 @@ from finloom.functions.keys import surrogate_key
 from finloom.operators.lookup import heavy_keys
 from finloom.operators.merge import apply_changes, change_flags, extend_dimension, last_per_key, resolve_key
 from finloom.schemas import EARNINGS
+from finloom.session import materialize
 
 COMPANY_KEYS = ("name", "symbol")
 PERIOD_KEYS = ("year", "quarter")
@@ -47,24 +48,35 @@ def load_star(
     earnings: DataFrame,
     order: tuple[str, ...],
     missing_as_zero: bool = False,
+    foreign_ids: bool = False,
 ) -> dict[str, DataFrame]:
     """The three tables after the batch, and the batch's earnings with their change flag.
 
     `order` names record columns giving the load order: the first record makes a company or
     period, the last one of a company and period makes the earning. Existing companies and
     periods are never changed.
+
+    Ids made here are a function of the name and symbol, or year and quarter, so a record
+    knows its ids without a join. With `foreign_ids` the dimensions may hold ids from
+    elsewhere, and records look them up.
     """
     flat = _measured(records, missing_as_zero)
     companies = extend_dimension(companies, flat, "company_id", COMPANY_KEYS, order)
     periods = extend_dimension(periods, flat, "period_id", PERIOD_KEYS, order)
-    keyed = resolve_key(flat, companies, "company_id", COMPANY_KEYS)
-    keyed = resolve_key(keyed, periods, "period_id", PERIOD_KEYS, heavy_keys(flat, PERIOD_KEYS))
+    if foreign_ids:
+        keyed = resolve_key(flat, companies, "company_id", COMPANY_KEYS)
+        keyed = resolve_key(keyed, periods, "period_id", PERIOD_KEYS, heavy_keys(flat, PERIOD_KEYS))
+    else:
+        ids = {"company_id": COMPANY_KEYS, "period_id": PERIOD_KEYS}
+        keyed = flat.withColumns({name: surrogate_key(*map(F.col, keys)) for name, keys in ids.items()})
     latest = last_per_key(
         keyed.select(*EARNING_KEYS, *EARNING_FIELDS, *[c for c in order if c not in EARNING_FIELDS]),
         EARNING_KEYS,
         order,
     ).withColumn("earning_id", surrogate_key(*[F.col(k) for k in EARNING_KEYS]))
-    flagged = change_flags(earnings, latest.select(*EARNINGS.fieldNames()), EARNING_KEYS, EARNING_FIELDS)
+    # The batch is read several times from here on; stored, its keys are resolved once.
+    batch = materialize(latest.select(*EARNINGS.fieldNames()), "earnings")
+    flagged = change_flags(earnings, batch, EARNING_KEYS, EARNING_FIELDS)
     return {
         "companies": companies,
         "periods": periods,

@@ -151,6 +151,9 @@ def test_star_load(spark):
     for name in ("companies", "periods", "earnings"):
         assert rows(again[name]) == rows(one[name])
 
+    foreign = load_star(first, *args, foreign_ids=True)
+    assert rows(foreign["earnings"]) == rows(one["earnings"])
+
     late = batch([record("B", None, 1, 4.0, 0, 9.0), record("C", "c", 2, 1.0, 0)])
     two = load_star(late, *args)
     assert {r.change for r in two["changes"].collect()} == {"update", "insert"}
@@ -159,3 +162,11 @@ def test_star_load(spark):
 
     zero = load_star(batch([record("B", None, 1, None, 0)]), *empty, ("call_date", "seq"), missing_as_zero=True)
     assert zero["earnings"].first().revenue_actual == 0
+
+
+def test_star_load_with_foreign_ids(spark):
+    companies = spark.createDataFrame([("17", "A", "a", "US", None, None)], COMPANIES)
+    empty = [empty_table(spark, s) for s in (EARNING_PERIODS, EARNINGS)]
+    df = spark.createDataFrame([record("A", "a", 1, 1.0, 0)], EARNING_RECORD).withColumn("seq", F.lit(1))
+    out = load_star(df, companies, *empty, ("call_date", "seq"), foreign_ids=True)
+    assert out["companies"].count() == 1 and out["earnings"].first().company_id == "17"
