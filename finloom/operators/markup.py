@@ -6,9 +6,11 @@ raw strings back through Arrow. All choices on those strings are made with Spark
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -72,149 +74,162 @@ class PageRules:
         return T.ArrayType(T.StructType([T.StructField(n, t.type) for n, t in self.fields.items()]))
 
 
+# Tags in the common form, attributes all name="value"; the standard parser reads the others.
+_PLAIN_TAG = re.compile(r'<([a-zA-Z][a-zA-Z0-9]*)((?:\s+[a-zA-Z][-\w:.]*="[^"<>]*")*)\s*>', re.ASCII)
+_PLAIN_END = re.compile(r"</([a-zA-Z][a-zA-Z0-9]*)\s*>", re.ASCII)
+_PLAIN_ATTRIBUTE = re.compile(r'([-\w:.]+)="([^"]*)"', re.ASCII)
+
+
 class _Element:
-    __slots__ = ("tag", "attrs", "classes", "children")
+    """An element and the stretch of the page's nodes that lies inside it."""
 
-    def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.children = tag, attrs, []
-        self.classes = (attrs.get("class") or "").split()
+    __slots__ = ("tag", "start", "end", "_source", "_attrs")
 
-    def below(self) -> Iterator[_Element | str]:
-        """Descendants in page order."""
-        stack = self.children[::-1]
-        while stack:
-            node = stack.pop()
-            yield node
-            if isinstance(node, _Element):
-                stack.extend(node.children[::-1])
+    def __init__(self, tag: str, start: int, source: str = "", attrs: dict[str, str] | None = None):
+        self.tag, self.start, self.end, self._source, self._attrs = tag, start, start, source, attrs
+
+    @property
+    def attrs(self) -> dict[str, str]:
+        if self._attrs is None:
+            self._attrs = {k.lower(): unescape(v) for k, v in _PLAIN_ATTRIBUTE.findall(self._source)}
+        return self._attrs
 
     def fits(self, step: Step) -> bool:
-        return (
-            (step.tag is None or self.tag == step.tag)
-            and (step.id is None or self.attrs.get("id") == step.id)
-            and all(c in self.classes for c in step.classes)
-            and (step.class_part is None or any(step.class_part in c for c in self.classes))
+        """The id and class rules of a step; the tag is compared before."""
+        if step.id is not None and step.id != self.attrs.get("id"):
+            return False
+        if not step.classes and step.class_part is None:
+            return True
+        classes = self.attrs.get("class", "").split()
+        return all(c in classes for c in step.classes) and (
+            step.class_part is None or any(step.class_part in c for c in classes)
         )
 
-    def runs(self) -> Iterator[str]:
-        """Text runs below this element, without scripts, styles and comments."""
-        stack = self.children[::-1]
-        while stack:
-            node = stack.pop()
-            if isinstance(node, str):
-                yield node
-            elif node.tag not in NOT_TEXT:
-                stack.extend(node.children[::-1])
 
+class _Page(HTMLParser):
+    """The elements and text runs of a page, in page order.
 
-class _Reader(HTMLParser):
-    """Builds the element tree; an end tag closes up to its nearest open element, if any."""
+    An end tag closes up to its nearest open element, if there is one.
+    """
 
-    def __init__(self) -> None:
+    def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.top = _Element("", {})
+        self.nodes: list[_Element | str | None] = []
+        self.top = _Element("", 0, attrs={})
         self.open = [self.top]
+        self.feed(html)
+        self.close()
+        self._close_from(0)
+
+    def _close_from(self, depth: int) -> None:
+        for element in self.open[depth:]:
+            element.end = len(self.nodes)
+        del self.open[depth:]
+
+    def _start(self, element: _Element) -> None:
+        self.nodes.append(element)
+        element.start = element.end = len(self.nodes)
+        if element.tag not in VOID:
+            self.open.append(element)
 
     def updatepos(self, i, j):  # line numbers are not needed
         return j
 
-    def handle_starttag(self, tag, attrs):
-        element = _Element(tag, {k: v or "" for k, v in attrs})
-        self.open[-1].children.append(element)
-        if tag not in VOID:
-            self.open.append(element)
+    def parse_starttag(self, i):
+        found = _PLAIN_TAG.match(self.rawdata, i)
+        tag = found.group(1).lower() if found else ""
+        if not found or tag in self.CDATA_CONTENT_ELEMENTS:
+            return super().parse_starttag(i)
+        self.lasttag = tag
+        self._start(_Element(tag, 0, found.group(2)))
+        return found.end()
+
+    def parse_endtag(self, i):
+        found = None if self.cdata_elem else _PLAIN_END.match(self.rawdata, i)
+        if not found:
+            return super().parse_endtag(i)
+        self.handle_endtag(found.group(1).lower())
+        return found.end()
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID:
-            self.handle_endtag(tag)
+    def handle_starttag(self, tag, attrs):
+        self._start(_Element(tag, 0, attrs={k: v or "" for k, v in attrs}))
 
     def handle_endtag(self, tag):
         for depth in range(len(self.open) - 1, 0, -1):
             if self.open[depth].tag == tag:
-                del self.open[depth:]
-                return
+                self._close_from(depth)
+                break
+        self._break_run()
 
     def handle_data(self, data):
-        siblings = self.open[-1].children
-        if siblings and isinstance(siblings[-1], str):
-            siblings[-1] += data
+        if self.nodes and isinstance(self.nodes[-1], str):
+            self.nodes[-1] += data
         else:
-            siblings.append(data)
-
-    def _break_run(self, _):
-        self.open[-1].children.append(_Element("", {}))
-
-    handle_comment = handle_decl = handle_pi = unknown_decl = _break_run
-
-
-def _matches(start: _Element, path: Sequence[Step], any_branch: bool) -> Iterator[_Element]:
-    if not path:
-        yield start
-        return
-    for node in start.below():
-        if isinstance(node, _Element) and node.fits(path[0]):
-            yield from _matches(node, path[1:], any_branch)
-            if not any_branch and len(path) > 1:
-                return
-
-
-def _distinct(elements: Iterator[_Element]) -> Iterator[_Element]:
-    seen: set[int] = set()
-    for e in elements:
-        if id(e) not in seen:
-            seen.add(id(e))
-            yield e
-
-
-class _Scope:
-    """A row of the page, walked once; the first step of every path looks elements up by tag."""
-
-    def __init__(self, row: _Element):
-        self.all = [node for node in row.below() if isinstance(node, _Element)]
-        self.by_tag: dict[str, list[_Element]] = {}
-        for node in self.all:
-            self.by_tag.setdefault(node.tag, []).append(node)
-
-    def find(self, path: Sequence[Step], any_branch: bool) -> Iterator[_Element]:
-        first, rest = path[0], path[1:]
-        for node in self.all if first.tag is None else self.by_tag.get(first.tag, ()):
-            if node.fits(first):
-                yield from _matches(node, rest, any_branch)
-                if rest and not any_branch:
+            self.nodes.append(data)
+
+    def _break_run(self, _=None):
+        """What follows is a text run of its own."""
+        if self.nodes and isinstance(self.nodes[-1], str):
+            self.nodes.append(None)
+
+    handle_comment = handle_decl = handle_pi = _break_run
+
+    def unknown_decl(self, data):
+        self._break_run()
+        if data.upper().startswith("CDATA["):
+            self.handle_data(data[len("CDATA[") :])
+            self._break_run()
+
+    def runs(self, element: _Element) -> Iterator[str]:
+        """Text runs inside an element, without scripts, styles and comments."""
+        i = element.start
+        while i < element.end:
+            node = self.nodes[i]
+            i += 1
+            if isinstance(node, str):
+                yield node
+            elif node is not None and node.tag in NOT_TEXT:
+                i = node.end
+
+    def find(self, inside: _Element, path: Sequence[Step], any_branch: bool) -> Iterator[_Element]:
+        step, rest = path[0], path[1:]
+        tag = step.tag
+        for node in self.nodes[inside.start : inside.end]:
+            if isinstance(node, _Element) and (tag is None or tag == node.tag) and node.fits(step):
+                if not rest:
+                    yield node
+                    continue
+                yield from self.find(node, rest, any_branch)
+                if not any_branch:
                     return
 
-
-def _string(element: _Element, kind: str) -> str:
-    if kind == "raw":
-        return "".join(element.runs())
-    if kind == "text":
-        return "".join(element.runs()).strip()
-    tight = [run for run in (r.strip() for r in element.runs()) if run]
-    return ("\n" if kind == "lines" else "").join(tight)
-
-
-def _read(scope: _Scope, take: Take):
-    found = scope.find(take.path, take.any_branch)
-    if take.any_branch and len(take.path) > 1:
-        found = _distinct(found)
-    if take.kind == "count":
-        return sum(1 for _ in found)
-    if take.kind.startswith("all"):
-        return [_string(e, take.kind.removeprefix("all ")) for e in found]
-    element = next(found, None)
-    if element is None:
-        return None
-    return element.attrs.get(take.attribute) if take.kind == "attribute" else _string(element, take.kind)
+    def string(self, element: _Element, kind: str) -> str:
+        if kind == "raw":
+            return "".join(self.runs(element))
+        if kind == "text":
+            return "".join(self.runs(element)).strip()
+        tight = [run for run in (r.strip() for r in self.runs(element)) if run]
+        return ("\n" if kind == "lines" else "").join(tight)
+
+    def read(self, row: _Element, take: Take) -> str | int | list[str] | None:
+        found = self.find(row, take.path, take.any_branch)
+        if take.any_branch and len(take.path) > 1:
+            found = iter(dict.fromkeys(found))  # branches may meet in one element
+        if take.kind == "count":
+            return sum(1 for _ in found)
+        if take.kind.startswith("all"):
+            return [self.string(e, take.kind.removeprefix("all ")) for e in found]
+        element = next(found, None)
+        if element is None:
+            return None
+        return element.attrs.get(take.attribute) if take.kind == "attribute" else self.string(element, take.kind)
 
 
 def read_page(html: str | None, rules: PageRules) -> list[dict]:
     """The rows of one page."""
-    reader = _Reader()
-    reader.feed(html or "")
-    reader.close()
-    rows = _distinct(_matches(reader.top, rules.rows, True)) if rules.rows else [reader.top]
-    return [{name: _read(scope, take) for name, take in rules.fields.items()} for scope in map(_Scope, rows)]
+    page = _Page(html or "")
+    rows = dict.fromkeys(page.find(page.top, rules.rows, True)) if rules.rows else [page.top]
+    return [{name: page.read(row, take) for name, take in rules.fields.items()} for row in rows]
 
 
 def page_rows(html: Column, rules: PageRules) -> Column:
