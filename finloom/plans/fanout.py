@@ -8,23 +8,21 @@ from pyspark.sql import functions as F
 from finloom.functions.keys import message_group
 
 
-def member_messages(members: DataFrame, text: DataFrame, groups: int = 10, copies: int | None = None) -> DataFrame:
-    """(key, value) per distinct member: the message group, and {text, address} as JSON.
+def member_messages(members: DataFrame, texts: DataFrame, groups: int = 10, copies: int | None = None) -> DataFrame:
+    """(key, value) per distinct member and text row: the message group, and {text, address} as JSON.
 
-    `text` holds the digest in one row. It is repeated once per spread bucket and joined to
-    the members on that bucket: a small text is broadcast by its measured size, a large one
-    meets the members in a shuffle over all buckets.
+    `texts` has one row for a text that fits a message; a larger one comes as several rows
+    with a column `part`, which each message then carries. The rows are repeated once per
+    spread bucket and joined to the members on that bucket: a small text is broadcast by its
+    measured size, a large one meets the members in a shuffle over all buckets.
     """
-    spark = members.sparkSession
-    copies = copies or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    copies = copies or int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     receivers = members.select("response_id", "email_address").distinct()
     spread = F.pmod(F.xxhash64("response_id", "email_address"), F.lit(copies)).cast("int")
-    bucketed = text.select("text", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_bucket"))
+    bucketed = texts.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    body = ["text", F.col("email_address").alias("address"), *[c for c in texts.columns if c == "part"]]
     return (
         receivers.withColumn("_bucket", spread)
         .join(bucketed, "_bucket")
-        .select(
-            message_group(F.col("response_id"), groups).alias("key"),
-            F.to_json(F.struct("text", F.col("email_address").alias("address"))).alias("value"),
-        )
+        .select(message_group(F.col("response_id"), groups).alias("key"), F.to_json(F.struct(*body)).alias("value"))
     )

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from finloom.functions.dates import from_epoch_ms
 from finloom.operators import merge
+from finloom.operators.lookup import lookup_join
 from finloom.operators.project import align
 from finloom.plans import articles, calendar, digests, fanout, star
 from finloom.schemas import (
@@ -133,7 +134,7 @@ def load_articles(store: Store, as_of: dt.datetime) -> int:
     ranks = theme_table(spark).select(F.upper("theme").alias("theme"), F.col("theme").alias("_name"), "precedence")
     themed = staged.join(F.broadcast(ranks), "theme")  # eight fixed rows
     first = themed.groupBy("url").agg(F.min("precedence").alias("precedence"))
-    kept = themed.join(first, ["url", "precedence"], "left_semi").withColumn("theme", F.col("_name"))
+    kept = lookup_join(themed, first, ["url", "precedence"], "left_semi").withColumn("theme", F.col("_name"))
     fresh = merge.insert_if_absent(spark.table(name), align(kept, ARTICLES), ["url"])
     writers.append_rows(fresh, name)
     return spark.table(name).count()
@@ -163,7 +164,7 @@ def load_earning_calls(store: Store, as_of: dt.datetime) -> int:
         # A day loaded later deletes what an earlier day brought in for the same keys.
         newest = calls.groupBy(*CALL_KEYS).agg(F.max("load_order").alias("load_order"))
         whole = F.expr(" AND ".join(f"{k} IS NOT NULL" for k in CALL_KEYS))
-        staged = calls.where(whole).join(newest, [*CALL_KEYS, "load_order"], "left_semi")
+        staged = lookup_join(calls.where(whole), newest, [*CALL_KEYS, "load_order"], "left_semi")
         staged = staged.unionByName(calls.where(~whole))
         target = merge.replace_by_keys(target, align(staged, EARNING_CALLS), CALL_KEYS)
     return store.publish(target, "earning_calls", as_of)
@@ -214,11 +215,13 @@ def write_mail(store: Store, folders: dict[str, str], as_of: dt.datetime) -> str
     return writers.write_digest(mail, store.base, "final", local_time(as_of, READER_ZONE), order=("section", "part"))
 
 
-def write_messages(store: Store, text_path: str, as_of: dt.datetime) -> str:
-    """One message row per member with the newest text file of a folder; returns the folder."""
-    members = store.table("members", MEMBERS)
+def write_messages(store: Store, texts: DataFrame, as_of: dt.datetime) -> str:
+    """One message row per member and text row; returns the folder.
+
+    `texts` is readers.latest_text of a folder, or writers.read_digest of a written mail.
+    """
     out = f"{store.base}/MESSAGES/{as_of:%Y%m%dT%H%M%S}"
-    fanout.member_messages(members, readers.latest_text(store.spark, text_path)).write.mode("overwrite").json(out)
+    fanout.member_messages(store.table("members", MEMBERS), texts).write.mode("overwrite").json(out)
     return out
 
 

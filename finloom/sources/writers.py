@@ -13,6 +13,7 @@ from finloom.functions.text import slug, theme_key
 from finloom.operators.project import align
 
 DAY_COLUMNS = ("year", "month", "day")
+PARTS_PER_FILE = 64
 
 
 def with_day_columns(df: DataFrame, when: Column) -> DataFrame:
@@ -64,22 +65,24 @@ def write_digest(
 ) -> str:
     """Digest parts as text files of one folder, stamped with the hour; returns the folder.
 
-    Files are in part order by name, so reading them one after another gives the text. The
-    writer ends every part with a line break, so a part's own last one is left out.
+    Files are in part order by name, so reading them one after another gives the text, and
+    hold a bounded number of parts. The writer ends every part with a line break, so a part's
+    own last one is left out.
     """
     folder = digest_folder(base, kind, moment)
     ended = F.col("text").endswith("\n")
     text = F.when(ended, F.left("text", F.length("text") - 1)).otherwise(F.col("text"))
     in_order = parts.repartitionByRange(*order).sortWithinPartitions(*order).select(text.alias("text"))
-    in_order.write.mode("overwrite").text(folder)
+    in_order.write.mode("overwrite").option("maxRecordsPerFile", PARTS_PER_FILE).text(folder)
     return folder
 
 
 def read_digest(spark: SparkSession, folder: str) -> DataFrame:
-    """(part, text) of a written digest: one part per file, numbered by file name."""
+    """(part, text) of a written digest: one part per file, numbered in file order."""
     files = spark.read.text(folder, wholetext=True).where("value <> ''")
-    number = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("bigint")
-    return files.select(number.alias("part"), F.col("value").alias("text"))
+    # Files are named part-<task>-<job id>-c<file of the task>.
+    task, file = [F.regexp_extract(F.col("_metadata.file_name"), p, 1).cast("bigint") for p in (r"^part-(\d+)", r"-c(\d+)")]
+    return files.select((task * 1_000_000 + file).alias("part"), F.col("value").alias("text"))
 
 
 def load_staging(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

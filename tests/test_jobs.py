@@ -8,6 +8,7 @@ from test_pages import article, by, event
 
 from finloom.plans import jobs
 from finloom.plans.jobs import Store
+from finloom.sources import readers, writers
 
 AS_OF = dt.datetime(2025, 3, 25, 12, 10)  # 21:10 in Seoul, 08:10 in New York
 
@@ -80,9 +81,12 @@ def test_whole_day(spark, tmp_path):
     assert jobs.register_members(store, df, AS_OF) == 1
     (tmp_path / "texts").mkdir()
     (tmp_path / "texts/final.txt").write_text("hello\n")
-    out = jobs.write_messages(store, str(tmp_path / "texts"), AS_OF)
+    out = jobs.write_messages(store, readers.latest_text(spark, str(tmp_path / "texts")), AS_OF)
     (message,) = spark.read.json(out).collect()
     assert message.key == "group-9" and json.loads(message.value) == {"text": "hello\n", "address": "new@x"}
+    out = jobs.write_messages(store, writers.read_digest(spark, final), AS_OF)
+    sent = sorted((json.loads(m.value) for m in spark.read.json(out).collect()), key=lambda m: m["part"])
+    assert "".join(m["text"] for m in sent) == text_of(final)
 
     rejects = spark.read.parquet(str(tmp_path / "REJECTS/EVENTS"))
     assert rejects.count() == 1

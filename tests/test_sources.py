@@ -91,6 +91,9 @@ def test_digest_files_are_the_text(spark):
     files = sorted(f for f in os.listdir(folder) if f.startswith("part-"))
     whole = "".join(open(f"{folder}/{f}").read() for f in files)
     assert whole == "".join(f"{i}\n\n" for i in range(300))
+    assert len(files) >= 300 / writers.PARTS_PER_FILE
+    again = writers.read_digest(spark, folder).orderBy("part").collect()
+    assert "".join(r.text for r in again) == whole
 
 
 def test_publish_switches_versions(spark):
