@@ -83,10 +83,11 @@ _PLAIN_ATTRIBUTE = re.compile(r'([-\w:.]+)="([^"]*)"', re.ASCII)
 class _Element:
     """An element and the stretch of the page's nodes that lies inside it."""
 
-    __slots__ = ("tag", "start", "end", "_source", "_attrs")
+    __slots__ = ("tag", "start", "end", "_source", "_attrs", "_classes")
 
     def __init__(self, tag: str, start: int, source: str = "", attrs: dict[str, str] | None = None):
-        self.tag, self.start, self.end, self._source, self._attrs = tag, start, start, source, attrs
+        self.tag, self.start, self.end = tag, start, start
+        self._source, self._attrs, self._classes = source, attrs, None
 
     @property
     def attrs(self) -> dict[str, str]:
@@ -100,10 +101,11 @@ class _Element:
             return False
         if not step.classes and step.class_part is None:
             return True
-        classes = self.attrs.get("class", "").split()
-        return all(c in classes for c in step.classes) and (
-            step.class_part is None or any(step.class_part in c for c in classes)
-        )
+        if self._classes is None:
+            self._classes = frozenset(self.attrs.get("class", "").split())
+        if step.class_part is not None and not any(step.class_part in c for c in self._classes):
+            return False
+        return self._classes.issuperset(step.classes)
 
 
 class _Page(HTMLParser):

@@ -4,8 +4,10 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from test_pages import article, by, event
 
+from finloom.__main__ import run
 from finloom.plans import jobs
 from finloom.plans.jobs import Store
 from finloom.sources import readers, writers
@@ -48,10 +50,8 @@ def test_whole_day(spark, tmp_path):
     land(tmp_path, "EARNING_CALLS", "25", "earning", earnings_page(("Bee", "B", "--", "--")))
 
     for _ in range(2):  # a rerun changes nothing
-        jobs.extract_articles(store, AS_OF)
-        jobs.extract_events(store, AS_OF)
-        jobs.extract_earnings(store, AS_OF)
-        assert jobs.load_articles(store, AS_OF) == 2
+        ran = run(store, AS_OF, ["extract_articles", "extract_events", "extract_earnings", "load_articles"])
+        assert ran["load_articles"] == 2
     themes = spark.table("daily.financial_articles").select("theme", "url").distinct().collect()
     assert [tuple(r) for r in themes] == [("Tech", "https://x/a.html")]
 
@@ -102,4 +102,6 @@ def test_first_run_without_files(spark, tmp_path):
     assert jobs.load_earning_star(store, AS_OF) == {}
     folders = jobs.write_digests(store, AS_OF)
     assert {text_of(f) for f in folders.values()} == {""}
+    with pytest.raises(ValueError):
+        run(store, AS_OF, ["no_such_job"])
     spark.sql("DROP DATABASE bare CASCADE")

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from finloom.operators.ordered_text import number_rows, ordered_parts
@@ -107,3 +108,6 @@ def test_event_hours(spark):
 def test_measures(spark):
     df = spark.createDataFrame([("ab",), ("c",)], "line string")
     assert tuple(df.agg(*digests.text_measures("line")).first()) == (2, 3)
+    seen = Observation("digest")
+    df.observe(seen, *digests.text_measures("line")).collect()
+    assert seen.get == {"rows": 2, "characters": 3}
