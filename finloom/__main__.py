@@ -1,6 +1,7 @@
-"""Runs daily jobs: spark-submit ... -m finloom BASE DATABASE AS_OF JOB [JOB ...]
+"""Runs daily jobs: python -m finloom BASE DATABASE AS_OF [JOB ...]
 
-AS_OF is the UTC moment to run for, such as 2025-03-25T12:00:00.
+AS_OF is the UTC moment to run for, such as 2025-03-25T12:00:00. The cluster's
+spark-defaults give the master and spark.checkpoint.dir. Without job names all run.
 """
 
 from __future__ import annotations

@@ -53,6 +53,10 @@ def lookup_join(
     is cheaper to scan than `left`.
     """
     keys = list(keys)
+    for k in keys:
+        # Key hashes decide the salt, and equal values of two types hash differently.
+        if left.schema[k].dataType != right.schema[k].dataType:
+            raise ValueError(f"key {k} is {left.schema[k].dataType} on the left, {right.schema[k].dataType} on the right")
     heavy = heavy_keys(left, keys) if heavy is None else heavy
     on = keys
     if heavy:

@@ -43,7 +43,7 @@ def insert_if_absent(
     and a staged NULL key is only new to an empty target. It takes a single key.
     """
     known = target.select(*keys).distinct()
-    fresh = lookup_join(staged.distinct(), known, keys, "left_anti")
+    fresh = lookup_join(staged.distinct(), known, keys, "left_anti", heavy=heavy_keys(staged, keys))
     if not sql_not_in:
         return fresh
     (key,) = keys
@@ -88,7 +88,8 @@ def upsert_latest(
 
     A row with a NULL in its key equals no other row: staged ones are all inserted. The keys
     already present are found by a semi join against the batch, so a batch small enough to
-    broadcast needs no shuffle of the target.
+    broadcast needs no shuffle of the target. `staged` is read more than once; store it
+    first when it is costly to compute.
     """
     whole = reduce(and_, [F.col(k).isNotNull() for k in keys])
     latest, heavy = last_per_key(staged.where(whole), keys, order), heavy_keys(target, keys)

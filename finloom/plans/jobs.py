@@ -189,9 +189,12 @@ def load_earning_star(store: Store, as_of: dt.datetime) -> dict[str, int]:
 
 
 def write_digests(store: Store, as_of: dt.datetime) -> dict[str, str]:
-    """The three digest texts of this run; returns their folders."""
-    now = local_time(as_of, READER_ZONE)
-    day = now.date()
+    """The three digest texts of this run; returns their folders.
+
+    Texts and file stamps follow the readers' clock; "today" in the tables is the UTC date,
+    which at the morning and the evening run is also the market's date.
+    """
+    now, day = local_time(as_of, READER_ZONE), as_of.date()
     news = digests.news_window(store.table("financial_articles", ARTICLES), as_of)
     events = digests.events_of_day(store.table("financial_events", FINANCIAL_EVENTS), day, now.hour)
     earnings = digests.earnings_digest(

@@ -58,7 +58,9 @@ def day_folders(
 
 
 def calendar_pages(spark: SparkSession, base: str) -> DataFrame:
-    """Raw calendar pages, one pretty-printed JSON object per day folder."""
+    """Raw calendar pages, one pretty-printed JSON object per day folder; none if there is no folder."""
+    if not path_exists(spark, base):
+        return empty_table(spark, T.StructType([*RAW_PAGE.fields, *DAY_PARTITIONS.fields]))
     return day_folders(spark, base, RAW_PAGE, "json", "json", whole_file_objects=True)
 
 
@@ -68,15 +70,7 @@ def themed_pages(spark: SparkSession, base: str, themes: Iterable[str] = THEMES)
     Themes without a folder are skipped; the theme is a literal per branch, so a theme
     that is not wanted is not even listed.
     """
-    parts = [
-        calendar_pages(spark, f"{base}/{t.upper()}").withColumn("theme", F.lit(t))
-        for t in themes
-        if path_exists(spark, f"{base}/{t.upper()}")
-    ]
-    if not parts:
-        return empty_table(
-            spark, T.StructType([*RAW_PAGE.fields, *DAY_PARTITIONS.fields, T.StructField("theme", T.StringType())])
-        )
+    parts = [calendar_pages(spark, f"{base}/{t.upper()}").withColumn("theme", F.lit(t)) for t in themes]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -4,6 +4,7 @@ import datetime as dt
 from collections import Counter
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from finloom.operators import lookup, merge
@@ -105,6 +106,12 @@ def test_lookup_join_equals_plain_join(spark):
         assert rows(lookup.lookup_join(left, right, ["k"], how, null_safe=True)) == rows(plain), how
 
 
+def test_lookup_join_wants_one_key_type(spark):
+    left = spark.range(3).withColumnRenamed("id", "k")
+    with pytest.raises(ValueError):
+        lookup.lookup_join(left, left.select(F.col("k").cast("int").alias("k")), ["k"])
+
+
 def test_hot_key_is_spread(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
