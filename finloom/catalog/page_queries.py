@@ -314,6 +314,29 @@ def article_rows_plain(t: Tables):
     return articles.split_articles(parsed)[0]
 
 
+@query(
+    "article_fields_native",
+    """SELECT 'https://news.example/' || doc_id || '.html' AS url, 'The Wire' AS publisher,
+  '2025-03-' || lpad((n_chars % 28 + 1)::VARCHAR, 2, '0') || 'T12:30:00.250Z' AS stamp FROM documents""",
+)
+def article_fields_native(t: Tables):
+    """Attributes of regular article pages without a parse."""
+    html = F.col("content")
+    return article_pages(t).select(
+        "url",
+        text.tag_attribute(text.opening_tag(html, "a", "subtle-link"), "title").alias("publisher"),
+        text.tag_attribute(text.opening_tag(html, "time", "byline-attr-meta-time"), "data-timestamp").alias("stamp"),
+    )
+
+
+@query(
+    "event_icons_native",
+    "SELECT 'calendar/' || event_id AS url, CAST(user_id % 4 + 1 AS INTEGER) AS icons FROM events",
+)
+def event_icons_native(t: Tables):
+    return event_pages(t).select("url", text.class_count(F.col("content"), "i", "grayFullBullishIcon").alias("icons"))
+
+
 @query(
     "listing_links",
     """WITH o AS (SELECT o_orderkey, o_orderpriority FROM orders),

@@ -64,6 +64,19 @@ def text_after_tags(html: Column) -> Column:
     return F.array_join(F.filter(runs, lambda run: run != ""), "\n")
 
 
+def opening_tag(html: Column, tag: str, class_part: str) -> Column:
+    """The first such opening tag of regular markup, '' when there is none."""
+    return F.regexp_extract(html, rf'<{tag}\b[^>]*\sclass="[^"]*{class_part}[^"]*"[^>]*>', 0)
+
+
+def tag_attribute(opening: Column, name: str) -> Column:
+    return F.regexp_extract(opening, rf'\s{name}="([^"]*)"', 1)
+
+
+def class_count(html: Column, tag: str, class_part: str) -> Column:
+    return F.regexp_count(html, F.lit(rf'<{tag}\b[^>]*\sclass="[^"]*{class_part}[^"]*"'))
+
+
 def split_trimmed(text: Column, separator: str) -> Column:
     return F.transform(F.split(text, separator), strip)
 

@@ -7,6 +7,7 @@ Store that says where files and tables are.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 from zoneinfo import ZoneInfo
 
@@ -63,7 +64,8 @@ class Store:
         return self.spark.table(name) if self.spark.catalog.tableExists(name) else empty_table(self.spark, schema)
 
     def publish(self, df: DataFrame, table: str, as_of: dt.datetime) -> int:
-        return writers.publish(df, self.name(table), f"{self.base}/TABLES/{table}/{as_of:%Y%m%dT%H%M%S}")
+        version = f"{as_of:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"  # a repeated run writes its own
+        return writers.publish(df, self.name(table), f"{self.base}/TABLES/{table}/{version}")
 
 
 def local_day(as_of: dt.datetime, zone: str = MARKET_ZONE) -> dt.date:

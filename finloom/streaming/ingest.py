@@ -50,8 +50,10 @@ def ingest_unseen(stream: DataFrame, keys: Sequence[str], path: str, checkpoint:
 
     def each(batch: DataFrame, batch_id: int) -> None:
         earlier = _stored(batch.sparkSession, path, schema).where(F.col("batch_id") < batch_id)
+        batch.persist()  # read more than once below
         fresh = insert_if_absent(earlier.drop("batch_id"), batch, keys)
         fresh.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.unpersist()
 
     run_available(stream, each, checkpoint)
 
