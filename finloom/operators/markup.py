@@ -74,10 +74,11 @@ class PageRules:
         return T.ArrayType(T.StructType([T.StructField(n, t.type) for n, t in self.fields.items()]))
 
 
-# Tags in the common form, attributes all name="value"; the standard parser reads the others.
-_PLAIN_TAG = re.compile(r'<([a-zA-Z][a-zA-Z0-9]*)((?:\s+[a-zA-Z][-\w:.]*="[^"<>]*")*)\s*>', re.ASCII)
+# Tags in the common forms, every attribute with a value; the standard parser reads the others.
+_VALUE = r"""(?:"[^"<>]*"|'[^'<>]*'|[-\w.]+)"""
+_PLAIN_TAG = re.compile(rf"<([a-zA-Z][a-zA-Z0-9]*)((?:\s+[a-zA-Z][-\w:.]*={_VALUE})*)\s*>", re.ASCII)
 _PLAIN_END = re.compile(r"</([a-zA-Z][a-zA-Z0-9]*)\s*>", re.ASCII)
-_PLAIN_ATTRIBUTE = re.compile(r'([-\w:.]+)="([^"]*)"', re.ASCII)
+_PLAIN_ATTRIBUTE = re.compile(rf"([-\w:.]+)=({_VALUE})", re.ASCII)
 
 
 class _Element:
@@ -92,7 +93,8 @@ class _Element:
     @property
     def attrs(self) -> dict[str, str]:
         if self._attrs is None:
-            self._attrs = {k.lower(): unescape(v) for k, v in _PLAIN_ATTRIBUTE.findall(self._source)}
+            found = _PLAIN_ATTRIBUTE.findall(self._source)
+            self._attrs = {k.lower(): unescape(v[1:-1] if v[0] in "\"'" else v) for k, v in found}
         return self._attrs
 
     def fits(self, step: Step) -> bool:
