@@ -95,14 +95,13 @@ def news_window(t: Tables):
 
 
 # Events as calendar rows: the forecast is the number in props, the previous value half the user number.
-_EVENT_COLUMNS = """ts AS release_time, 'America/New_York' AS timezone, event_type AS country,
+_CALENDAR_SQL = """cal AS (SELECT event_id, ts AS release_time, 'America/New_York' AS timezone, event_type AS country,
   CAST(user_id % 4 AS SMALLINT) AS volatility,
-  CASE event_type WHEN 'error' THEN concat('Chair ', CAST(user_id AS {string}), ' Speaks') ELSE event_type END AS title,
+  CASE event_type WHEN 'error' THEN 'Chair ' || user_id || ' Speaks' ELSE event_type END AS title,
   CASE WHEN event_type <> 'signup' THEN CASE WHEN user_id < 3 THEN 0.0 ELSE value END END AS actual,
-  CASE WHEN event_type <> 'view' THEN CAST({k} AS DOUBLE) END AS forecast,
+  CASE WHEN event_type <> 'view' THEN CAST(json_extract_string(props, '$.k') AS DOUBLE) END AS forecast,
   CASE WHEN user_id % 5 <> 0 THEN user_id / 2.0 END AS previous,
-  CASE event_type WHEN 'click' THEN '%' WHEN 'error' THEN 'K' END AS unit"""
-_CALENDAR_SQL = f"""cal AS (SELECT event_id, {_EVENT_COLUMNS.format(string="VARCHAR", k="json_extract_string(props, '$.k')")} FROM events)"""
+  CASE event_type WHEN 'click' THEN '%' WHEN 'error' THEN 'K' END AS unit FROM events)"""
 
 
 def _calendar(t: Tables, *extra: str) -> DataFrame:

@@ -120,6 +120,7 @@ def test_earnings(spark):
     assert tuple(first.market_cap) == (3.0, "T") and (first.year, first.quarter) == (2025, 1)
     assert second.company.symbol is None and tuple(second.eps.forecast) == (2.0, "K")
     assert [(r.position, r.reason) for r in rejects.collect()] == [(3, "too few cells")]
+    assert calendar.records_without_period(records).columns[-1] == "market cap"
     flat = calendar.earning_calls(records)
     assert len(flat.columns) == 17 and dict(flat.dtypes)["eps_actual_value"] == "float"
 
