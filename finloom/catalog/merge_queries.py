@@ -173,9 +173,10 @@ def fact_key_resolve(t: Tables):
         F.col("p_size").alias("size"),
     )
     dimension = parts.select(surrogate_key(F.col("brand"), F.col("size")).alias("kind_id"), *_KINDS).distinct()
+    # The parts get their key first, so that the lines are joined once.
+    keyed = merge.resolve_key(parts, dimension, "kind_id", _KINDS)
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey")
-    facts = lookup_join(lines, parts, ["l_partkey"]).drop("l_partkey")
-    return merge.resolve_key(facts, dimension, "kind_id", _KINDS)
+    return lookup_join(lines, keyed, ["l_partkey"]).drop("l_partkey")
 
 
 _ORDER_BATCHES_SQL = """old AS (SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'),

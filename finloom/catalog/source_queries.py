@@ -28,8 +28,8 @@ def partition_window_scan(t: Tables):
     path = scratch_dir(t.spark, "events-by-day")
     rows = t.events.drop("props")
     writers.write_partitions(writers.with_day_columns(rows, F.col("ts")), path)
-    stored = readers.day_folders(t.spark, path, rows.schema, suffix="parquet")
-    return stored.where(readers.in_day_window(dt.date(2024, 1, 16)))
+    days = readers.window_days(dt.date(2024, 1, 16))
+    return readers.day_folders(t.spark, path, rows.schema, suffix="parquet", days=days)
 
 
 @query(

@@ -91,16 +91,15 @@ def extract_articles(store: Store, as_of: dt.datetime) -> None:
     """Today's raw article pages of the hour's themes -> themed article rows and rejects."""
     day = local_day(as_of)
     themes = readers.themes_for_hour(local_time(as_of, READER_ZONE).hour)
-    pages = readers.themed_pages(store.spark, store.folder("RAW", "ARTICLES"), themes)
-    parsed = materialize(articles.parsed_articles(pages.where(readers.in_day_window(day, 0, 0))), "articles")
+    pages = readers.themed_pages(store.spark, store.folder("RAW", "ARTICLES"), themes, [day])
+    parsed = materialize(articles.parsed_articles(pages), "articles")
     for kind, df in zip(("TRANSFORMED", "REJECTS"), articles.split_articles(parsed)):
         dated = writers.with_day_columns(df.withColumn("theme", F.upper("theme")), F.lit(day))
         writers.write_partitions(dated, store.folder(kind, "ARTICLES"), ("theme", *writers.DAY_COLUMNS))
 
 
 def _calendar_window(store: Store, kind: str, as_of: dt.datetime) -> DataFrame:
-    pages = readers.calendar_pages(store.spark, store.folder("RAW", kind))
-    return pages.where(readers.in_day_window(local_day(as_of)))
+    return readers.calendar_pages(store.spark, store.folder("RAW", kind), readers.window_days(local_day(as_of)))
 
 
 def extract_events(store: Store, as_of: dt.datetime) -> None:
@@ -127,12 +126,10 @@ def extract_earnings(store: Store, as_of: dt.datetime) -> None:
 
 def load_articles(store: Store, as_of: dt.datetime) -> int:
     """Append today's articles whose url is new; of several themes the first one keeps a url."""
-    path = store.folder("TRANSFORMED", "ARTICLES")
     name, spark = store.name("financial_articles"), store.spark
     writers.create_table(spark, name, ARTICLES, f"{store.base}/TABLES/financial_articles/rows")
-    if not readers.path_exists(spark, path):
-        return spark.table(name).count()
-    staged = readers.day_folders(spark, path, ARTICLES).where(readers.in_day_window(local_day(as_of), 0, 0))
+    path = store.folder("TRANSFORMED", "ARTICLES")
+    staged = readers.day_folders(spark, path, ARTICLES, days=[local_day(as_of)], above="theme=*/")
     ranks = theme_table(spark).select(F.upper("theme").alias("theme"), F.col("theme").alias("_name"), "precedence")
     themed = staged.join(F.broadcast(ranks), "theme")  # eight fixed rows
     first = themed.groupBy("url").agg(F.min("precedence").alias("precedence"))
@@ -142,52 +139,51 @@ def load_articles(store: Store, as_of: dt.datetime) -> int:
     return spark.table(name).count()
 
 
+def _staged(store: Store, stage: str, kind: str, as_of: dt.datetime, schema: T.StructType, files: str) -> DataFrame:
+    """The day files around today, with their load order."""
+    days = readers.window_days(local_day(as_of))
+    rows = readers.day_folders(store.spark, store.folder(stage, kind), schema, files, days=days)
+    return rows.withColumn("load_order", _load_order())
+
+
 def load_events(store: Store, as_of: dt.datetime) -> int:
     """Upsert the three days' events by title and release time."""
-    path = store.folder("TRANSFORMED", "EVENTS")
+    stored = _in_files(FINANCIAL_EVENTS, "release_time")
+    rows = _staged(store, "TRANSFORMED", "EVENTS", as_of, stored, "parquet")
+    rows = rows.withColumn("release_time", from_epoch_ms(F.col("release_time")))
+    staged = rows.withColumn("_row", F.to_json(F.struct(*FINANCIAL_EVENTS.fieldNames()))).dropDuplicates()
     target = store.table("financial_events", FINANCIAL_EVENTS)
-    if readers.path_exists(store.spark, path):
-        files = readers.day_folders(store.spark, path, _in_files(FINANCIAL_EVENTS, "release_time")).where(readers.in_day_window(local_day(as_of)))
-        rows = files.withColumn("release_time", from_epoch_ms(F.col("release_time"))).withColumn("load_order", _load_order())
-        staged = rows.withColumn("_row", F.to_json(F.struct(*FINANCIAL_EVENTS.fieldNames()))).dropDuplicates()
-        target = merge.upsert_latest(target, staged, EVENT_KEYS, ["load_order", "_row"])
-    return store.publish(target, "financial_events", as_of)
+    return store.publish(
+        merge.upsert_latest(target, staged, EVENT_KEYS, ["load_order", "_row"]), "financial_events", as_of
+    )
 
 
 def load_earning_calls(store: Store, as_of: dt.datetime) -> int:
     """Replace the calls of the staged companies and periods with the staged rows."""
-    path = store.folder("TRANSFORMED", "EARNING_CALLS")
+    stored = _in_files(EARNING_CALLS, "call_date")
+    calls = _staged(store, "TRANSFORMED", "EARNING_CALLS", as_of, stored, "parquet").withColumns(
+        {"call_date": from_epoch_ms(F.col("call_date")), "year": F.col("year").cast("smallint")}
+    )
+    # A day loaded later deletes what an earlier day brought in for the same keys.
+    newest = calls.groupBy(*CALL_KEYS).agg(F.max("load_order").alias("load_order"))
+    whole = F.expr(" AND ".join(f"{k} IS NOT NULL" for k in CALL_KEYS))
+    staged = lookup_join(calls.where(whole), newest, [*CALL_KEYS, "load_order"], "left_semi")
+    staged = align(staged.unionByName(calls.where(~whole)), EARNING_CALLS)
     target = store.table("earning_calls", EARNING_CALLS)
-    if readers.path_exists(store.spark, path):
-        files = readers.day_folders(store.spark, path, _in_files(EARNING_CALLS, "call_date")).where(readers.in_day_window(local_day(as_of)))
-        calls = files.withColumn("load_order", _load_order()).withColumns(
-            {"call_date": from_epoch_ms(F.col("call_date")), "year": F.col("year").cast("smallint")}
-        )
-        # A day loaded later deletes what an earlier day brought in for the same keys.
-        newest = calls.groupBy(*CALL_KEYS).agg(F.max("load_order").alias("load_order"))
-        whole = F.expr(" AND ".join(f"{k} IS NOT NULL" for k in CALL_KEYS))
-        staged = lookup_join(calls.where(whole), newest, [*CALL_KEYS, "load_order"], "left_semi")
-        staged = staged.unionByName(calls.where(~whole))
-        target = merge.replace_by_keys(target, align(staged, EARNING_CALLS), CALL_KEYS)
-    return store.publish(target, "earning_calls", as_of)
+    return store.publish(merge.replace_by_keys(target, staged, CALL_KEYS), "earning_calls", as_of)
 
 
 def load_earning_star(store: Store, as_of: dt.datetime) -> dict[str, int]:
     """Add new companies and periods, and insert or update earnings that changed."""
-    path = store.folder("OLTP", "EARNING_CALLS")
     tables = {"companies": COMPANIES, "earning_periods": EARNING_PERIODS, "earnings": EARNINGS}
     current = [store.table(name, schema) for name, schema in tables.items()]
-    if not readers.path_exists(store.spark, path):
-        return {}
     schema = row(data=T.ArrayType(EARNING_RECORD))
-    files = readers.day_folders(store.spark, path, schema, "json").where(readers.in_day_window(local_day(as_of)))
-    records = files.select(_load_order(), F.inline("data"))
+    files = _staged(store, "OLTP", "EARNING_CALLS", as_of, schema, "json")
+    records = files.select("load_order", F.inline("data"))
     ordered = records.withColumn("tie", F.to_json(F.struct(*EARNING_RECORD.fieldNames())))
     after = star.load_star(materialize(ordered, "records"), *current, order=("load_order", "tie"))
-    counts = {}
-    for name, part in zip(tables, ("companies", "periods", "earnings")):
-        counts[name] = store.publish(after[part], name, as_of)
-    return counts
+    parts = ("companies", "periods", "earnings")
+    return {name: store.publish(after[part], name, as_of) for name, part in zip(tables, parts)}
 
 
 def write_digests(store: Store, as_of: dt.datetime) -> dict[str, str]:

@@ -33,8 +33,12 @@ def calendar_day() -> Column:
 
 
 def in_day_window(as_of: dt.date, back: int = 1, ahead: int = 1) -> Column:
-    first, last = as_of - dt.timedelta(days=back), as_of + dt.timedelta(days=ahead)
-    return calendar_day().between(F.lit(first), F.lit(last))
+    days = window_days(as_of, back, ahead)
+    return calendar_day().between(F.lit(days[0]), F.lit(days[-1]))
+
+
+def window_days(as_of: dt.date, back: int = 1, ahead: int = 1) -> list[dt.date]:
+    return [as_of + dt.timedelta(days=n) for n in range(-back, ahead + 1)]
 
 
 def day_folders(
@@ -44,33 +48,44 @@ def day_folders(
     kind: str = "parquet",
     suffix: str | None = None,
     whole_file_objects: bool = False,
+    days: Iterable[dt.date] | None = None,
+    above: str = "",
 ) -> DataFrame:
     """Files under base/year=/month=/day=; the folder columns stay text ('03', not 3).
 
-    A further folder column, such as theme, is simply a column of `schema`.
+    A further folder column, such as theme, is simply a column of `schema`. With `days` only
+    the folders of those days are listed at all, and days without a folder are skipped;
+    `above` is the pattern of folder columns before the year, such as 'theme=*/'.
     """
-    reader = spark.read.schema(T.StructType([*schema.fields, *DAY_PARTITIONS.fields]))
+    full = T.StructType([*schema.fields, *DAY_PARTITIONS.fields])
+    paths = [base]
+    if days is not None:
+        paths = [f"{base}/{above}{d:year=%Y/month=%m/day=%d}" for d in days]
+    paths = [p for p in paths if path_exists(spark, p)]
+    if not paths:
+        return empty_table(spark, full)
+    reader = spark.read.schema(full).option("basePath", base)
     if suffix:
         reader = reader.option("pathGlobFilter", f"*.{suffix}")
     if whole_file_objects:
         reader = reader.option("multiLine", True)
-    return reader.format(kind).load(base)
+    return reader.format(kind).load(paths)
 
 
-def calendar_pages(spark: SparkSession, base: str) -> DataFrame:
-    """Raw calendar pages, one pretty-printed JSON object per day folder; none if there is no folder."""
-    if not path_exists(spark, base):
-        return empty_table(spark, T.StructType([*RAW_PAGE.fields, *DAY_PARTITIONS.fields]))
-    return day_folders(spark, base, RAW_PAGE, "json", "json", whole_file_objects=True)
+def calendar_pages(spark: SparkSession, base: str, days: Iterable[dt.date] | None = None) -> DataFrame:
+    """Raw calendar pages, one pretty-printed JSON object per day folder."""
+    return day_folders(spark, base, RAW_PAGE, "json", "json", whole_file_objects=True, days=days)
 
 
-def themed_pages(spark: SparkSession, base: str, themes: Iterable[str] = THEMES) -> DataFrame:
+def themed_pages(
+    spark: SparkSession, base: str, themes: Iterable[str] = THEMES, days: Iterable[dt.date] | None = None
+) -> DataFrame:
     """Raw article pages of the wanted themes under base/{THEME}/year=/month=/day=.
 
     Themes without a folder are skipped; the theme is a literal per branch, so a theme
     that is not wanted is not even listed.
     """
-    parts = [calendar_pages(spark, f"{base}/{t.upper()}").withColumn("theme", F.lit(t)) for t in themes]
+    parts = [calendar_pages(spark, f"{base}/{t.upper()}", days).withColumn("theme", F.lit(t)) for t in themes]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -14,6 +14,9 @@ from finloom.sources import readers, writers
 from finloom.operators.project import align, cast_columns
 
 
+DAYS = [("02", 28), *[("03", d) for d in range(1, 22)]]
+
+
 def land(base, theme, day, name, page):
     folder = base / theme / f"year=2025/month=03/day={day}"
     folder.mkdir(parents=True, exist_ok=True)
@@ -29,6 +32,8 @@ def test_themed_pages(spark, tmp_path):
     assert {(r.theme, r.month, r.day, r.content) for r in pages.collect()} == {
         ("Tech", "03", "05", "<p>\n</p>"), ("Latest", "03", "06", None),
     }
+    one_day = readers.themed_pages(spark, str(tmp_path), days=[dt.date(2025, 3, 5)])
+    assert [r.theme for r in one_day.collect()] == ["Tech"]
     hourly = readers.themed_pages(spark, str(tmp_path), readers.themes_for_hour(10))
     assert [r.theme for r in hourly.collect()] == ["Latest"]
     assert readers.themed_pages(spark, str(tmp_path / "none")).count() == 0
@@ -41,6 +46,12 @@ def test_day_window_prunes_folders(spark, tmp_path):
     stored = readers.day_folders(spark, str(tmp_path / "t"), df.schema)
     window = stored.where(readers.in_day_window(dt.date(2025, 3, 1)))
     assert sorted(str(r.d) for r in window.collect()) == ["2025-02-28", "2025-03-01", "2025-03-02"]
+    listed = readers.day_folders(
+        spark, str(tmp_path / "t"), df.schema, days=readers.window_days(dt.date(2025, 3, 1), 1, 200)
+    )
+    assert {f.split("/month=")[1][:9] for f in listed.inputFiles()} == {f"{m}/day={d:02}" for m, d in DAYS}
+    assert sorted(r.id for r in listed.collect()) == list(range(18, 40))
+    assert readers.day_folders(spark, str(tmp_path / "t"), df.schema, days=[dt.date(2020, 1, 1)]).count() == 0
     plan = window._jdf.queryExecution().executedPlan().toString()
     assert "make_date" in plan.split("PartitionFilters: [")[1].split("],")[0]
 
