@@ -14,6 +14,7 @@ from finloom.catalog.registry import Tables, query
 from finloom.operators import merge
 from finloom.operators.ordered_text import ordered_parts
 from finloom.operators.project import flatten_earnings
+from finloom.plans.jobs import Store
 from finloom.schemas import EARNING_RECORD, RAW_PAGE, TEXT, THEMES, row, theme_table
 from finloom.session import scratch_dir
 from finloom.sources import readers, writers
@@ -137,6 +138,37 @@ def swap_publish(t: Tables):
     return t.spark.table(table)
 
 
+@query(
+    "partition_upsert",
+    """WITH early AS (SELECT user_id, event_type, CAST(ts AS DATE)::VARCHAR AS day, max(ts) AS ts, max(value) AS value
+  FROM events WHERE ts < TIMESTAMP '2024-01-20' GROUP BY ALL),
+late AS (SELECT user_id, event_type, CAST(ts AS DATE)::VARCHAR AS day, max(ts) AS ts, -max(value) AS value
+  FROM events WHERE ts >= TIMESTAMP '2024-01-18' AND event_type <> 'view' GROUP BY ALL)
+SELECT * FROM late UNION ALL
+SELECT * FROM early e WHERE NOT EXISTS (SELECT 1 FROM late l WHERE l.user_id = e.user_id AND l.event_type = e.event_type AND l.day = e.day)""",
+)
+def partition_upsert(t: Tables):
+    """A table stored by day; a late batch rewrites only the days it touches."""
+    store, table = Store(t.spark, scratch_dir(t.spark, "by-day")), f"finloom_days_{uuid.uuid4().hex}"
+    early = t.events.where("ts < TIMESTAMP_NTZ '2024-01-20'")
+    late = t.events.where("ts >= TIMESTAMP_NTZ '2024-01-18' AND event_type <> 'view'")
+
+    def upsert(stored: DataFrame, new: DataFrame) -> DataFrame:
+        return merge.upsert_latest(stored, new, ["user_id", "event_type", "day"], ["ts"])
+
+    for i, (batch, sign) in enumerate(((early, 1), (late, -1))):
+        rows = _by_day(batch).withColumn("value", F.col("value") * sign)
+        store.merge(table, rows.schema, ["day"], rows, upsert, dt.datetime(2024, 2, 1, i))
+    return t.spark.table(table)
+
+
+def _by_day(events: DataFrame) -> DataFrame:
+    days = events.withColumn("day", F.to_date("ts").cast("string")).groupBy("user_id", "event_type", "day")
+    return days.agg(F.max("ts").alias("ts"), F.max("value").alias("value")).select(
+        "user_id", "event_type", "ts", "value", "day"
+    )
+
+
 @query(
     "append_new_rows",
     """SELECT DISTINCT text, lang FROM documents WHERE lang IN ('en', 'de')""",

@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finloom.functions.dates import from_epoch_ms
+from finloom.functions.keys import surrogate_key
 from finloom.operators import merge
 from finloom.operators.lookup import lookup_join
 from finloom.operators.project import align
@@ -43,6 +47,12 @@ MAIL_SECTIONS = (("articles", "미국 뉴스"), ("events", "지표 발표"), ("e
 EVENT_KEYS = ("title", "release_time")
 CALL_KEYS = ("company_name", "symbol", "year", "quarter")
 
+# Stored events have their release date as folder column; it depends on the key.
+STORED_EVENTS = row(**{f.name: f.dataType for f in FINANCIAL_EVENTS.fields}, release_day=T.StringType())
+NO_DAY = "none"
+
+Combine = Callable[[DataFrame, DataFrame], DataFrame]
+
 
 @dataclass(frozen=True)
 class Store:
@@ -63,9 +73,28 @@ class Store:
         name = self.name(table)
         return self.spark.table(name) if self.spark.catalog.tableExists(name) else empty_table(self.spark, schema)
 
+    def version(self, table: str, as_of: dt.datetime) -> str:
+        """A new folder for a table's files; a repeated run gets its own."""
+        return f"{self.base}/TABLES/{table}/{as_of:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+
     def publish(self, df: DataFrame, table: str, as_of: dt.datetime) -> int:
-        version = f"{as_of:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"  # a repeated run writes its own
-        return writers.publish(df, self.name(table), f"{self.base}/TABLES/{table}/{version}")
+        return writers.publish(df, self.name(table), self.version(table, as_of))
+
+    def merge(
+        self, table: str, schema: T.StructType, by: Sequence[str], staged: DataFrame, combine: Combine, as_of: dt.datetime
+    ) -> int:
+        """Combine staged rows with the partitions of the table that they touch, and replace these.
+
+        `by` are partition columns that depend on the key, so no other partition can match.
+        """
+        name = self.name(table)
+        writers.create_table(self.spark, name, schema, f"{self.base}/TABLES/{table}/rows", by)
+        touched = staged.select(*by).distinct().collect()  # few: days or quarters of one batch
+        if touched:
+            same = [reduce(and_, [F.col(c) == F.lit(r[c]) for c in by]) for r in touched]
+            merged = combine(self.spark.table(name).where(reduce(or_, same)), staged)
+            writers.publish_partitions(merged, name, by, self.version(table, as_of))
+        return self.spark.table(name).count()
 
 
 def local_day(as_of: dt.datetime, zone: str = MARKET_ZONE) -> dt.date:
@@ -152,10 +181,9 @@ def load_events(store: Store, as_of: dt.datetime) -> int:
     rows = _staged(store, "TRANSFORMED", "EVENTS", as_of, stored, "parquet")
     rows = rows.withColumn("release_time", from_epoch_ms(F.col("release_time")))
     staged = rows.withColumn("_row", F.to_json(F.struct(*FINANCIAL_EVENTS.fieldNames()))).dropDuplicates()
-    target = store.table("financial_events", FINANCIAL_EVENTS)
-    return store.publish(
-        merge.upsert_latest(target, staged, EVENT_KEYS, ["load_order", "_row"]), "financial_events", as_of
-    )
+    staged = staged.withColumn("release_day", F.coalesce(F.date_format("release_time", "yyyy-MM-dd"), F.lit(NO_DAY)))
+    combine = lambda stored, new: merge.upsert_latest(stored, new, EVENT_KEYS, ["load_order", "_row"])
+    return store.merge("financial_events", STORED_EVENTS, ["release_day"], staged, combine, as_of)
 
 
 def load_earning_calls(store: Store, as_of: dt.datetime) -> int:
@@ -169,21 +197,31 @@ def load_earning_calls(store: Store, as_of: dt.datetime) -> int:
     whole = F.expr(" AND ".join(f"{k} IS NOT NULL" for k in CALL_KEYS))
     staged = lookup_join(calls.where(whole), newest, [*CALL_KEYS, "load_order"], "left_semi")
     staged = align(staged.unionByName(calls.where(~whole)), EARNING_CALLS)
-    target = store.table("earning_calls", EARNING_CALLS)
-    return store.publish(merge.replace_by_keys(target, staged, CALL_KEYS), "earning_calls", as_of)
+    combine = lambda stored, new: merge.replace_by_keys(stored, new, CALL_KEYS)
+    return store.merge("earning_calls", EARNING_CALLS, ["year", "quarter"], staged, combine, as_of)
 
 
 def load_earning_star(store: Store, as_of: dt.datetime) -> dict[str, int]:
-    """Add new companies and periods, and insert or update earnings that changed."""
-    tables = {"companies": COMPANIES, "earning_periods": EARNING_PERIODS, "earnings": EARNINGS}
-    current = [store.table(name, schema) for name, schema in tables.items()]
-    schema = row(data=T.ArrayType(EARNING_RECORD))
-    files = _staged(store, "OLTP", "EARNING_CALLS", as_of, schema, "json")
+    """Add new companies and periods, and insert or update earnings that changed.
+
+    Earnings are stored by period, so only the batch's periods are read and replaced.
+    """
+    files = _staged(store, "OLTP", "EARNING_CALLS", as_of, row(data=T.ArrayType(EARNING_RECORD)), "json")
     records = files.select("load_order", F.inline("data"))
-    ordered = records.withColumn("tie", F.to_json(F.struct(*EARNING_RECORD.fieldNames())))
-    after = star.load_star(materialize(ordered, "records"), *current, order=("load_order", "tie"))
-    parts = ("companies", "periods", "earnings")
-    return {name: store.publish(after[part], name, as_of) for name, part in zip(tables, parts)}
+    ordered = materialize(records.withColumn("tie", F.to_json(F.struct(*EARNING_RECORD.fieldNames()))), "records")
+    dims = {"companies": COMPANIES, "earning_periods": EARNING_PERIODS}
+    companies, periods = [store.table(name, schema) for name, schema in dims.items()]
+    loaded = {}
+
+    def combine(stored: DataFrame, _: DataFrame) -> DataFrame:
+        loaded.update(star.load_star(ordered, companies, periods, stored, order=("load_order", "tie")))
+        return loaded["earnings"]
+
+    touched = ordered.select(surrogate_key(F.col("year"), F.col("quarter")).alias("period_id"))
+    counts = {"earnings": store.merge("earnings", EARNINGS, ["period_id"], touched, combine, as_of)}
+    if loaded:
+        counts |= {n: store.publish(loaded[p], n, as_of) for n, p in zip(dims, ("companies", "periods"))}
+    return counts
 
 
 def write_digests(store: Store, as_of: dt.datetime) -> dict[str, str]:
@@ -194,7 +232,8 @@ def write_digests(store: Store, as_of: dt.datetime) -> dict[str, str]:
     """
     now, day = local_time(as_of, READER_ZONE), as_of.date()
     news = digests.news_window(store.table("financial_articles", ARTICLES), as_of)
-    events = digests.events_of_day(store.table("financial_events", FINANCIAL_EVENTS), day, now.hour)
+    stored = store.table("financial_events", STORED_EVENTS).where(F.col("release_day") == day.isoformat())
+    events = digests.events_of_day(stored, day, now.hour)
     earnings = digests.earnings_digest(
         store.table("earnings", EARNINGS),
         store.table("companies", COMPANIES),

@@ -90,10 +90,13 @@ def load_staging(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return align(spark.read.parquet(path), schema)
 
 
-def create_table(spark: SparkSession, name: str, schema: T.StructType, location: str | None = None) -> None:
+def create_table(
+    spark: SparkSession, name: str, schema: T.StructType, location: str | None = None, by: Sequence[str] = ()
+) -> None:
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parts = f" PARTITIONED BY ({', '.join(by)})" if by else ""
     place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{place}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{parts}{place}")
 
 
 def append_rows(df: DataFrame, table: str) -> None:
@@ -114,3 +117,20 @@ def publish(df: DataFrame, table: str, version_path: str) -> int:
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{version_path}'")
     spark.catalog.refreshTable(table)
     return spark.table(table).count()
+
+
+def publish_partitions(df: DataFrame, table: str, by: Sequence[str], version_path: str) -> None:
+    """Replace the partitions present in df: write them to a new folder, then point the table's
+    partitions there one by one.
+
+    df may read the table itself; the old folders stay, and other partitions are untouched.
+    A batch touches few partitions, so their names are listed on the driver.
+    """
+    spark = df.sparkSession
+    df.hint("rebalance", *by).write.mode("errorifexists").partitionBy(*by).parquet(version_path)
+    for values in spark.read.schema(df.schema).parquet(version_path).select(*by).distinct().collect():
+        spec = ", ".join(f"{c} = '{v}'" for c, v in zip(by, values))
+        place = f"{version_path}/{'/'.join(f'{c}={v}' for c, v in zip(by, values))}"
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{place}'")
+        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{place}'")
+    spark.catalog.refreshTable(table)

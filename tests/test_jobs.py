@@ -60,6 +60,16 @@ def test_whole_day(spark, tmp_path):
         assert jobs.load_earning_calls(store, AS_OF) == 3
         assert jobs.load_earning_star(store, AS_OF) == {"companies": 3, "earning_periods": 1, "earnings": 3}
 
+    other = spark.table("daily.financial_events").where("release_day = '2025-03-24'").inputFiles()
+    land(tmp_path, "EVENTS", "25", "event", event(act="7%"))
+    land(tmp_path, "EVENTS", "24", "event", "")
+    later = AS_OF + dt.timedelta(hours=30)  # the window is now 25 to 27 March
+    jobs.extract_events(store, later)
+    assert jobs.load_events(store, later) == 3
+    stored = spark.table("daily.financial_events")
+    assert stored.where("title = 'CPI'").first().actual == 7
+    assert stored.where("release_day = '2025-03-24'").inputFiles() == other
+
     folders = jobs.write_digests(store, AS_OF)
     assert folders["events"].endswith("SUMMARY/EVENTS/year=2025/month=03/day=25/events_25032521")
     assert text_of(folders["articles"]) == "title: T &b\ncontent\none\ntwo\nthree\nfour\n\n"
@@ -98,7 +108,7 @@ def test_first_run_without_files(spark, tmp_path):
     assert jobs.load_articles(store, AS_OF) == 0
     assert jobs.load_events(store, AS_OF) == 0
     assert jobs.load_earning_calls(store, AS_OF) == 0
-    assert set(jobs.load_earning_star(store, AS_OF).values()) == {0}
+    assert jobs.load_earning_star(store, AS_OF) == {"earnings": 0}
     folders = jobs.write_digests(store, AS_OF)
     assert {text_of(f) for f in folders.values()} == {""}
     with pytest.raises(ValueError):
