@@ -128,9 +128,18 @@ def publish_partitions(df: DataFrame, table: str, by: Sequence[str], version_pat
     """
     spark = df.sparkSession
     df.hint("rebalance", *by).write.mode("errorifexists").partitionBy(*by).parquet(version_path)
-    for values in spark.read.schema(df.schema).parquet(version_path).select(*by).distinct().collect():
-        spec = ", ".join(f"{c} = '{v}'" for c, v in zip(by, values))
-        place = f"{version_path}/{'/'.join(f'{c}={v}' for c, v in zip(by, values))}"
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{place}'")
-        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{place}'")
+    written = spark.read.schema(df.schema).parquet(version_path).select(*by).distinct().collect()
+    folders = {"/".join(f"{c}={v}" for c, v in zip(by, values)): values for values in written}
+    clauses = {
+        folder: (f"PARTITION ({', '.join(f'{c} = {v!r}' for c, v in zip(by, values))})", f"LOCATION '{version_path}/{folder}'")
+        for folder, values in folders.items()
+    }
+    listed = spark.sql(f"SHOW PARTITIONS {table}").where(F.col("partition").isin(list(clauses)))
+    known = {r.partition for r in listed.collect()}
+    new = [" ".join(clause) for folder, clause in clauses.items() if folder not in known]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(new)}")
+    for folder in known:
+        spec, place = clauses[folder]
+        spark.sql(f"ALTER TABLE {table} {spec} SET {place}")
     spark.catalog.refreshTable(table)
