@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finloom.llm import decontaminate, language, packing
+from finloom.llm import context_tree, decontaminate, language, neighbours, packing, setjoin, substrings, toxicity, urls, warc
 from finloom.llm.words import id_remainder
+from finloom.session import materialize, scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,3 +54,81 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.train(docs.where(id_remainder("doc_id", 3) != 1))
     found = language.predict(docs.select("doc_id", "text"), model)
     return found.select("doc_id", (id_remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op2_substring_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
+    return cut.select("doc.doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op5_ngram_jaccard")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = setjoin.similar_sets(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
+@query("op8_warc")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "archives")
+    warc.write_pages(table(spark, sf_dir, "pages"), path)
+    records = warc.read_records(spark, path).select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
+    records = materialize(records, "read-records")
+    # a revisit has the payload of the response it refers to
+    first = records.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("b"), F.col("payload_digest").alias("d")).distinct()
+    full = records.join(first, "refers_to", "left")
+    return full.select("page_id", F.coalesce("b", "payload_bytes").alias("payload_bytes"), F.coalesce("d", "payload_digest").alias("payload_digest"), "record_type", "refers_to")
+
+
+@query(
+    "op10_nearest_vectors",
+    """
+    WITH v AS (
+        SELECT DISTINCT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, x -> x <> 0)) > 0
+    ), n AS (
+        SELECT *, sqrt(list_reduce(list_transform(e, x -> x * x), (a, b) -> a + b)) AS length FROM v
+    ), s AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+               list_reduce(list_transform(list_zip(q.e, c.e), z -> z[1] * z[2]), (a, b) -> a + b) / (q.length * c.length) AS score
+        FROM n q JOIN n c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0
+    ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(id_remainder("doc_id", 4) != 2)
+    model = toxicity.train(docs, labels)
+    found = toxicity.score(docs, model)
+    return found.select(
+        "doc_id", (id_remainder("doc_id", 4) == 2).alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+#: The rules of the query.
+URL_RULES = (
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+)
+
+
+@query("op1_url_filters")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query("op6_context_tree")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = context_tree.score(docs, id_remainder("doc_id", 7) != 2)
+    return scored.withColumn("held_out", id_remainder("doc_id", 7) == 2)

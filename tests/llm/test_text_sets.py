@@ -1,0 +1,120 @@
+"""Substring removal and the n-gram Jaccard join against brute force."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from finloom.llm import setjoin, substrings
+from finloom.llm.components import components
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def copies(seed=3, docs=160, vocabulary=60):
+    """Texts with copies, edited copies, shared passages, repeats inside, nulls and white space."""
+    rng = random.Random(seed)
+    words = [f"w{k}é" if k % 7 == 0 else f"w{k}" for k in range(vocabulary)]
+    texts = []
+    for k in range(docs):
+        kind = k % 8
+        if kind < 4 or not texts:
+            t = [rng.choice(words) for _ in range(rng.randint(1, 140))]
+        elif kind == 4:
+            t = rng.choice(texts)[:]
+        else:
+            t = rng.choice(texts)[:]
+            for _ in range(rng.randint(1, 4)):
+                t[rng.randrange(len(t))] = rng.choice(words).upper()
+        texts.append(t)
+    shared = [rng.choice(words) for _ in range(50)]
+    for t in texts[::9]:
+        at = rng.randrange(len(t) + 1)
+        t[at:at] = shared
+    rows = [(k, rng.choice(["\t", " ", " \n"]).join(t)) for k, t in enumerate(texts)]
+    return rows + [(1000, None), (1001, ""), (1002, " \t"), (1003, "one"), (1004, "a " * 300), (7, rows[7][1]), (7, rows[7][1]), (None, rows[9][1]), (8, "another text of the id")]
+
+
+def cut(rows, window):
+    seen = Counter()
+    split = [WORD.findall(t or "") for _, t in rows]
+    for ws in split:
+        seen.update(tuple(ws[k : k + window]) for k in range(len(ws) - window + 1))
+    out = []
+    for (i, _), ws in zip(rows, split, strict=True):
+        gone = set()
+        for k in range(len(ws) - window + 1):
+            if seen[tuple(ws[k : k + window])] > 1:
+                gone.update(range(k, k + window))
+        out.append((i, " ".join(w for k, w in enumerate(ws) if k not in gone), len(ws), len(gone)))
+    return out
+
+
+@pytest.mark.parametrize("window", [35, 12, 3])
+@pytest.mark.parametrize("bucket", [1000, 2])
+def test_repeated_windows_go(spark, window, bucket, monkeypatch):
+    monkeypatch.setattr(substrings, "BUCKET_ROWS", bucket)
+    rows = copies()
+    docs = spark.createDataFrame([(i, t, "x", k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, n_removed string, row int").repartition(5)
+    got = substrings.remove_repeats(docs, window).collect()
+    assert sorted((str(r.doc.doc_id), r.doc.row, r.text, r.n_words, r.n_removed) for r in got) == sorted(
+        (str(i), k, kept, n, gone) for k, (i, kept, n, gone) in enumerate(cut(rows, window))
+    )
+
+
+def test_nothing_to_remove_in_an_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert substrings.remove_repeats(docs).count() == 0
+    assert setjoin.similar_sets(docs).count() == 0
+    assert setjoin.one_of_each(docs).count() == 0
+
+
+def ngrams(text, n):
+    ws = [w.translate({k: k + 32 for k in range(65, 91)}) for w in WORD.findall(text or "")]
+    return {tuple(ws[k : k + n]) for k in range(len(ws) - n + 1)} if len(ws) >= n else {tuple(ws)} if ws else set()
+
+
+def grouped(rows, n, num, den):
+    sets = [ngrams(t, n) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if sets[a] and sets[b] and den * both >= num * (len(sets[a]) + len(sets[b]) - both):
+                root[find(a)] = find(b)
+    least = defaultdict(list)
+    for k, (i, _) in enumerate(rows):
+        least[find(k)].append(i)
+    return [(i, len(sets[k]), min([x for x in least[find(k)] if x is not None], default=None)) for k, (i, _) in enumerate(rows)]
+
+
+@pytest.mark.parametrize(("n", "num", "den", "seed"), [(4, 85, 100, 3), (5, 80, 100, 4), (1, 60, 100, 5), (2, 100, 100, 6)])
+def test_groups_are_those_of_all_pairs(spark, n, num, den, seed):
+    rows = copies(seed, vocabulary=9 if n == 1 else 60)
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, root string").repartition(4)
+    got = setjoin.similar_sets(docs, n, num, den).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, grouped(rows, n, num, den)))
+
+
+def test_one_row_of_each_group_stays(spark):
+    rows = copies()
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, component string")
+    got = [r.doc_id for r in setjoin.one_of_each(docs, 4, 85, 100).collect()]
+    want = grouped(rows, 4, 85, 100)
+    stay = {(i, t) for (i, t), (_, n, c) in zip(rows, want, strict=True) if i == c or n == 0}
+    assert sorted(map(str, got)) == sorted(str(i) for i, _ in stay)
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    links = [(k, k + 1) for k in range(0, 60)] + [(100, 100 + k) for k in range(1, 30)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
+    links = [(b, a) if a % 3 else (a, b) for a, b in links]
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    want = {k: 0 for k in range(61)} | {100 + k: 100 for k in range(30)} | {200: 200, 201: 200, 202: 200}
+    assert got == want
