@@ -18,11 +18,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finloom.llm.components import components
@@ -31,6 +31,10 @@ from finloom.session import materialize
 
 #: Cost of an expected meeting over an empty subset, in keys.
 EMPTY_COST = 500.0
+#: Nodes in a block of a tile.
+TILE_NODES = 1500
+#: Row keys that are sent to every task to pick texts; more are joined by shuffle.
+MOST_SENT = 2_000_000
 
 _U = np.uint64
 
@@ -48,6 +52,8 @@ class Bands:
         most = n * self.den // self.num
         while self.low[-2] <= most:
             self.low.append(max(self.low[-1] + 1, math.ceil(self.low[-1] * (self.den / self.num) ** 2)))
+        if not n:
+            return range(0)
         return range(max(0, int(np.searchsorted(self.low, n, "right")) - 1), int(np.searchsorted(self.low, most, "right")))
 
     def way(self, band: int) -> tuple[bool, int, int]:
@@ -94,67 +100,157 @@ def _beyond(mean: float, skip: int) -> float:
     return mean - skip + total
 
 
-def _sets(batches: Iterator[pa.RecordBatch], n: int, shift: int = 0) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
-    """Row keys, and for each row the sorted hashes of its distinct n-grams."""
-    for rows, texts in row_chunks(batches, "text"):
-        w = words_of(texts, lower=True)
-        h = w.hashes()
-        g, _ = w.grams(n, h)
-        edge = w.first().tolist()
-        sets = []
-        for a, b in zip(edge, edge[1:], strict=False):
-            if b - a >= n:
-                sets.append(np.unique(g[a : b - n + 1]))
-            elif b > a:
-                short = np.zeros(1, _U)
-                for x in h[a:b]:
-                    short = mix(short * _U(31) + x)
-                sets.append(short + _U(b - a))
-            else:
-                sets.append(np.zeros(0, _U))
-        yield rows.column(0).to_numpy(zero_copy_only=False), sets
+def _sets(texts: list[bytes | None], n: int) -> list[np.ndarray]:
+    """For each text the sorted hashes of its distinct n-grams."""
+    w = words_of(texts, lower=True)
+    h = w.hashes()
+    g, _ = w.grams(n, h)
+    edge = w.first().tolist()
+    sets = []
+    for a, b in zip(edge, edge[1:], strict=False):
+        if b - a >= n:
+            sets.append(np.unique(g[a : b - n + 1]))
+        elif b > a:
+            short = np.zeros(1, _U)
+            for x in h[a:b]:
+                short = mix(short * _U(31) + x)
+            sets.append(short + _U(b - a))
+        else:
+            sets.append(np.zeros(0, _U))
+    return sets
+
+
+def _node(elements: np.ndarray) -> int:
+    """A number for the set; equal sets have equal numbers."""
+    total = np.array([mix(elements).sum(dtype=_U)], _U)
+    return int(mix(total + _U(len(elements))).view(np.int64)[0])
+
+
+def _sketch(elements: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of elements in at least twice as many cells as elements.
+
+    Two sets that differ in d elements have sketches that differ in d bits at most. A sketch of
+    half the cells is the exclusive or of both halves."""
+    cells = max(64, 1 << int(2 * len(elements) - 1).bit_length())
+    odd = np.bincount((mix(elements + _U(0x5E7)) & _U(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def _facts(n: int):
+    """row, node, size and sketch of each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in row_chunks(batches, "text"):
+            sets = _sets(texts, n)
+            sketches = [_sketch(s) if len(s) else np.zeros(0, np.int64) for s in sets]
+            cut = np.cumsum([0, *map(len, sketches)])
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0), pa.array([_node(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(np.concatenate(sketches)))],
+                names=["row", "node", "size", "sketch"],
+            )
+
+    return run
 
 
 def _keys(n: int, bands: Bands):
-    """(key, row, size) for each key of each row; and one with size -1 - size that tells the size."""
+    """(key, node) for each key of each row's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, sets in _sets(batches, n):
+        for _, texts in row_chunks(batches, "text"):
+            sets = [s for s in _sets(texts, n) if len(s)]
             keys = [bands.keys(s) for s in sets]
-            size = np.array([len(s) for s in sets], np.int64)
-            many = np.array([len(k) for k in keys])
-            key = np.concatenate([*keys, mix(rows.view(_U))]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.concatenate([np.repeat(rows, many), rows])), pa.array(np.concatenate([np.repeat(size, many), -1 - size]))], names=["key", "row", "size"])
+            if keys:
+                node = np.repeat(np.array([_node(s) for s in sets], np.int64), [len(k) for k in keys])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(node)], names=["key", "node"])
 
     return run
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by key and row: each row that shares its key, with the first row of the
-    key; and the rows that tell a size, without a key. Holds one row between batches."""
-    held = None  # key, row, size of the first row of the last key, and whether it has been given
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows (key, node) sorted by key and node: each other node of a key with the key's
+    first one. Holds one row between batches."""
+    held = None
     for batch in batches:
-        key, row, size = (c.to_numpy() for c in batch.columns)
-        tells = size < 0
-        alone = (np.full(tells.sum(), None), row[tells], row[tells], -1 - size[tells], -1 - size[tells])
-        key, row, size = key[~tells], row[~tells], size[~tells]
-        given = False
+        key, node = (c.to_numpy() for c in batch.columns)
         if held:
-            key, row, size = (np.concatenate([[x], c]) for x, c in zip(held, (key, row, size), strict=False))
-            given = held[3]
-        out = [alone]
-        if len(key):
-            new = np.ones(len(key), bool)
-            new[1:] = key[1:] != key[:-1]
-            first = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
-            member = ~new
-            firsts = np.unique(first[member])
-            pick = np.concatenate([firsts[1:] if given and len(firsts) and firsts[0] == 0 else firsts, np.flatnonzero(member)])
-            out.append((key[pick], row[first[pick]], row[pick], size[first[pick]], size[pick]))
-            f = first[-1]
-            held = (key[f], row[f], size[f], bool(member[-1]) or (f == 0 and given))
-        columns = [np.concatenate([o[k] for o in out]) for k in range(5)]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["key", "first", "row", "first_size", "size"])
+            key, node = np.concatenate([[held[0]], key]), np.concatenate([[held[1]], node])
+        if not len(key):
+            continue
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        first = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
+        other = node != node[first]
+        held = (key[-1], node[first[-1]])
+        if other.any():
+            yield pa.RecordBatch.from_arrays([pa.array(node[first[other]]), pa.array(node[other])], names=["a", "b"])
+
+
+def _apart(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Bits in which each left sketch differs from each right one of the same length."""
+    return np.bitwise_count(left[:, None, :] ^ right[None, :, :]).sum(axis=2, dtype=np.int32)
+
+
+def _near(num: int, den: int, best_only: bool):
+    """Of one tile: pairs of nodes of different groups whose sketches allow the similarity; with
+    best_only for each node only the closest other."""
+
+    def run(tile: pa.Table) -> pa.Table:
+        node, root, size = (tile[c].to_numpy() for c in ("node", "root", "size"))
+        side = tile["side"].to_numpy()
+        sketch = tile["sketch"].combine_chunks()
+        length = sketch.value_lengths().to_numpy()
+        flat, begin = sketch.flatten().to_numpy(), np.concatenate([[0], np.cumsum(length)])
+        stacked = {int(x): np.flatnonzero(length == x) for x in np.unique(length)}
+        table = {x: flat[(begin[at][:, None] + np.arange(x)[None, :])] for x, at in stacked.items()}
+        found = []
+        for x in stacked:
+            for y in (x, 2 * x):
+                if y not in stacked:
+                    continue
+                right = table[y] if y == x else table[y][:, :x] ^ table[y][:, x:]
+                step = max(1, (1 << 20) // (len(right) * x))
+                for k in range(0, len(table[x]), step):
+                    i, j = stacked[x][k : k + step], stacked[y]
+                    both = size[i][:, None] + size[j][None, :]
+                    far = _apart(table[x][k : k + step], right)
+                    ok = (root[i][:, None] != root[j][None, :]) & (far <= (den - num) * both // (den + num))
+                    ok &= den * np.minimum(size[i][:, None], size[j][None, :]) >= num * np.maximum(size[i][:, None], size[j][None, :])
+                    # two blocks meet here: a pair inside one block is that block's own tile's
+                    ok &= (side[i][:, None] != side[j][None, :]) | (side[i][:, None] < 0)
+                    p, q = np.nonzero(ok)
+                    found.append((i[p], j[q], far[p, q]))
+        i, j, far = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, int),) * 3
+        if best_only and len(i):
+            ends, twice, many = np.concatenate([i, j]), np.concatenate([np.arange(len(i))] * 2), np.concatenate([far, far])
+            order = np.lexsort((twice, many, ends))
+            pick = np.unique(twice[order][np.unique(ends[order], return_index=True)[1]])
+            i, j = i[pick], j[pick]
+        return pa.table({"a": pa.array(np.minimum(node[i], node[j]), pa.int64()), "b": pa.array(np.maximum(node[i], node[j]), pa.int64())})
+
+    return run
+
+
+def _exact(n: int, num: int, den: int):
+    """Of rows (a, b, x, y) with texts x and y: the pairs that are similar enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple = (None, None)
+        for rows, right in row_chunks(batches, "y"):
+            left = rows.column(2).cast(pa.binary()).to_pylist()
+            many = _sets(right, n)
+            keep = []
+            for k, (x, b) in enumerate(zip(left, many, strict=True)):
+                if x != last[0]:
+                    last = (x, _sets([x], n)[0])
+                a = last[1]
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                if den * common >= num * (len(a) + len(b) - common):
+                    keep.append(k)
+            if keep:
+                at = pa.array(keep)
+                yield pa.RecordBatch.from_arrays([rows.column(0).take(at), rows.column(1).take(at)], names=["a", "b"])
+
+    return run
 
 
 def similar_sets(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -162,64 +258,84 @@ def similar_sets(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id_
 
     Words are runs of anything but ASCII white space, A-Z lower-cased; a set holds the distinct
     n-grams of words, or the whole sequence when there are fewer words. Two rows are linked when
-    den * intersection >= num * union; n-grams are told apart by 64-bit hashes. component_id is the
-    smallest id reachable over links (null ids only when there is no other); component is the
-    same for all rows of a group. Null and empty texts have no n-grams and no links: they are
-    groups of their own. Rows repeated with the same id and text stay rows of one group. Other
-    columns are ignored. An empty table gives no rows.
-
-    Groups need no pairs of all copies. Each row that shares a key is checked against the key's
-    first row; links give groups; then only rows of a key outside the key's largest group are
-    checked against its rows of other groups. No pair of different groups that meets is left out.
+    den * intersection >= num * union. n-grams, and equal sets, are told apart by 64-bit hashes.
+    component_id is the smallest id reachable over links (null ids only when there is no other);
+    component is the same for all rows of a group. Null and empty texts have no n-grams and no
+    links: they are groups of their own. Rows repeated with the same id and text stay rows of one
+    group. Other columns are ignored. An empty table gives no rows.
+
+    Rows of equal sets are one node. No group is ever paired out:
+    1. Each node that shares a key meets the key's first node only. Sketches that differ in too many
+       bits rule pairs out without loss; the others are checked on their texts. Links give groups.
+    2. Nodes that met the same first node form a neighbourhood: any two nodes that share a key are in
+       one. In blocks, sketches of nodes of different groups are compared, and each node's closest
+       is checked, as long as that finds links.
+    3. At last every pair of different groups whose sketches allow the similarity is checked.
     """
     spark = docs.sparkSession
     small_batches(spark)
     bands = Bands(num, den)
     source = docs.select(row_key(id_column, text_column).alias("row"), F.col(text_column).alias("text"))
-    keyed = source.mapInArrow(_keys(n, bands), "key long, row long, size long")
-    dealt = keyed.repartition("key").sortWithinPartitions("key", "row")
-    shared = materialize(dealt.mapInArrow(_groups, "key long, first long, row long, first_size long, size long"), "shared-keys")
-    sizes = shared.where("key IS NULL").select("row", "size").distinct()
-    met = shared.where("key IS NOT NULL")
-    fits = f"{den} * least(first_size, size) >= {num} * greatest(first_size, size)"
-    stars = met.where("first <> row").where(fits).select(F.col("first").alias("a"), F.col("row").alias("b")).distinct()
-    members = met.select("row").distinct()
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, found in _sets(batches, n):
-            cut = np.cumsum([0, *map(len, found)])
-            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(np.concatenate(found).view(np.int64)))], names=["row", "elements"])
-
-    known = materialize(source.join(members, "row", "left_semi").dropDuplicates(["row"]).mapInArrow(sets, "row long, elements array<bigint>"), "sets")
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        left = known.select(F.col("row").alias("a"), F.col("elements").alias("x"))
-        right = known.select(F.col("row").alias("b"), F.col("elements").alias("y"))
-        both = pairs.join(right, "b").join(left, "a").withColumn("common", F.size(F.array_intersect("x", "y")))
-        return both.where(f"{den}L * common >= {num}L * (size(x) + size(y) - common)").select("a", "b")
-
-    links = materialize(linked(stars), "links")
-    groups = components(links)
-    placed = materialize(met.select("key", "row", "size").join(groups.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row")), "placed")
-    parts = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
-    main = parts.groupBy("key").agg(F.max_by("root", "n").alias("main"), F.count("*").alias("groups")).where("groups > 1").select("key", "main")
-    mixed = placed.join(main, "key")
-    a, b = mixed.where("root <> main").alias("a"), mixed.alias("b")
-    rest = (
-        a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.root") != F.col("b.root")) & ((F.col("b.root") == F.col("b.main")) | (F.col("a.row") < F.col("b.row"))))
-        .where(f"{den} * least(a.size, b.size) >= {num} * greatest(a.size, b.size)")
-        .select(F.least("a.row", "b.row").alias("a"), F.greatest("a.row", "b.row").alias("b"))
-        .distinct()
-    )
-    more = materialize(linked(rest.join(stars, ["a", "b"], "left_anti")), "more-links")
-    if not more.isEmpty():
-        groups = components(links.unionByName(more))
+    info = materialize(source.mapInArrow(_facts(n), "row long, node long, size long, sketch array<bigint>"), "sets")
+    keyed = source.select("text").mapInArrow(_keys(n, bands), "key long, node long").repartition("key").sortWithinPartitions("key", "node")
+    stars = materialize(keyed.mapInArrow(_stars, "a long, b long").distinct(), "stars")
+    nodes = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
+    members = info.where("size > 0").join(nodes, "node", "left_semi").groupBy("node").agg(F.min_by(F.struct("row", "size", "sketch"), "row").alias("of")).select("node", "of.*")
+    members = materialize(members, "members")
+    few = members.count() <= MOST_SENT
+    reps = members.select("row", "node")
+    texts = materialize(source.join(F.broadcast(reps) if few else reps, "row").dropDuplicates(["row"]).select("node", "text"), "texts")
+
+    def exact(pairs: DataFrame) -> DataFrame:
+        one, two = (texts.select(F.col("node").alias(k), F.col("text").alias(t)) for k, t in (("a", "x"), ("b", "y")))
+        both = pairs.join(two, "b").join(one, "a").select("a", "b", "x", "y")
+        return materialize(both.mapInArrow(_exact(n, num, den), "a long, b long"), "links")
+
+    def told(side: str) -> DataFrame:
+        return members.select(F.col("node").alias(side), F.col("size").alias(f"size_{side}"), F.col("sketch").alias(f"sketch_{side}"))
+
+    met = stars.join(told("b"), "b").join(told("a"), "a")
+    halved = [F.when(F.size(f"sketch_{x}") > F.size(f"sketch_{y}"), _folded(F.col(f"sketch_{x}"))).otherwise(F.col(f"sketch_{x}")) for x, y in ("ab", "ba")]
+    apart = F.aggregate(F.zip_with(*halved, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    fits = (den * F.least("size_a", "size_b") >= num * F.greatest("size_a", "size_b")) & (apart <= F.floor((den - num) * (F.col("size_a") + F.col("size_b")) / (den + num)))
+    checked = materialize(met.where(fits).select("a", "b"), "checked")
+    links = [exact(checked)]
+    groups = components(links[0])
+    around = stars.select("a", F.col("b").alias("node")).unionByName(stars.select("a", F.col("a").alias("node")).distinct()).join(members.drop("row"), "node")
+
+    def close(best_only: bool) -> DataFrame:
+        rooted = around.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mixed = rooted.groupBy("a").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+        blocks = mixed.select("a", F.ceil(F.col("n") / TILE_NODES).alias("blocks"))
+        own = rooted.join(blocks, "a").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        tiles = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        tiles = tiles.select("a", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "root", "size", "sketch", F.when(F.col("own") == F.col("other"), -1).otherwise(F.when(F.col("own") < F.col("other"), 0).otherwise(1)).alias("side"))
+        pairs = tiles.groupBy("a", "i", "j").applyInArrow(_near(num, den, best_only), "a long, b long").distinct()
+        done = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        return materialize(pairs.join(done, ["a", "b"], "left_anti"), "close")
+
+    for best_only in (True, False):
+        while True:
+            pairs = close(best_only)
+            more = None if pairs.isEmpty() else exact(pairs)
+            checked = checked.unionByName(pairs)
+            if more is None or more.isEmpty():
+                break
+            links.append(more)
+            groups = components(reduce(DataFrame.unionByName, links))
+            if not best_only:
+                break
     ids = docs.select(F.col(id_column), row_key(id_column, text_column).alias("row_key"))
-    info = ids.join(sizes.select(F.col("row").alias("row_key"), F.col("size").alias("n_shingles")), "row_key").join(groups.select(F.col("node").alias("row_key"), "root"), "row_key", "left")
-    smallest = info.where("root IS NOT NULL").groupBy("root").agg(F.min(id_column).alias("component_id"))
-    return info.join(smallest, "root", "left").select(
-        id_column, "row_key", "n_shingles", F.coalesce("component_id", id_column).alias("component_id"), F.coalesce("root", "row_key").alias("component")
-    )
+    told_of = info.select(F.col("row").alias("row_key"), F.col("size").alias("n_shingles"), "node").distinct()
+    placed = ids.join(told_of, "row_key").join(groups, "node", "left")
+    placed = placed.withColumn("component", F.when(F.col("n_shingles") == 0, F.col("row_key")).otherwise(F.coalesce("root", "node")))
+    smallest = placed.groupBy("component").agg(F.min(id_column).alias("component_id"))
+    return placed.join(smallest, "component").select(id_column, "row_key", "n_shingles", "component_id", "component")
+
+
+def _folded(sketch: Column) -> Column:
+    half = (F.size(sketch) / 2).cast("int")
+    return F.zip_with(F.slice(sketch, F.lit(1), half), F.slice(sketch, half + 1, half), lambda x, y: x.bitwiseXOR(y))
 
 
 def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -95,8 +95,9 @@ def grouped(rows, n, num, den):
     return [(i, len(sets[k]), min([x for x in least[find(k)] if x is not None], default=None)) for k, (i, _) in enumerate(rows)]
 
 
-@pytest.mark.parametrize(("n", "num", "den", "seed"), [(4, 85, 100, 3), (5, 80, 100, 4), (1, 60, 100, 5), (2, 100, 100, 6)])
-def test_groups_are_those_of_all_pairs(spark, n, num, den, seed):
+@pytest.mark.parametrize(("n", "num", "den", "seed", "block"), [(4, 85, 100, 3, 1500), (5, 80, 100, 4, 3), (1, 60, 100, 5, 4), (2, 100, 100, 6, 1500)])
+def test_groups_are_those_of_all_pairs(spark, n, num, den, seed, block, monkeypatch):
+    monkeypatch.setattr(setjoin, "TILE_NODES", block)
     rows = copies(seed, vocabulary=9 if n == 1 else 60)
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, root string").repartition(4)
     got = setjoin.similar_sets(docs, n, num, den).select("doc_id", "n_shingles", "component_id").collect()
