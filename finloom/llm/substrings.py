@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, BooleanType, LongType, StringType, StructField, StructType
 
 from finloom.llm.words import Words, mix, row_chunks, row_key, small_batches, words_of
 from finloom.session import materialize
@@ -65,6 +65,44 @@ def _minimisers(window: int):
     return run
 
 
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows (row, key) sorted by key: those whose key is there more than once, with the part
+    of the key's super-k-mers they go to, and whether the key has several parts. Holds one part."""
+    here, held, part = None, [], 0
+
+    def given(rows: list[int], key: int, part: int, wide: bool) -> pa.RecordBatch:
+        n = len(rows)
+        return pa.record_batch([pa.array(rows, pa.int64()), pa.array(np.full(n, key)), pa.array(np.full(n, part)), pa.array(np.full(n, wide))], names=["row", "key", "part", "wide"])
+
+    for batch in batches:
+        row, key = (c.to_numpy() for c in batch.columns)
+        edge = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
+        out, single = [], np.diff(edge) == 1
+        single[[0, -1]] = False  # may go on from the last batch, or into the next
+        # short runs inside the batch, at once
+        many = np.repeat(~single, np.diff(edge))
+        inner = many.copy()
+        inner[: edge[1]] = inner[edge[-2] :] = False
+        size = np.repeat(np.diff(edge), np.diff(edge))
+        short = inner & (size <= BUCKET_ROWS)
+        if short.any():
+            n = int(short.sum())
+            out.append(pa.record_batch([pa.array(row[short]), pa.array(key[short]), pa.array(np.zeros(n, np.int64)), pa.array(np.zeros(n, bool))], names=["row", "key", "part", "wide"]))
+        rest = np.flatnonzero(~short & many)
+        for k, r in zip(key[rest].tolist(), row[rest].tolist(), strict=True):
+            if k != here:
+                if len(held) > 1 or part:
+                    out.append(given(held, here, part, part > 0))
+                here, held, part = k, [], 0
+            if len(held) == BUCKET_ROWS:
+                out.append(given(held, here, part, True))
+                held, part = [], part + 1
+            held.append(r)
+        yield from out
+    if len(held) > 1 or part:
+        yield given(held, here, part, part > 0)
+
+
 def _packed(window: int):
     """Super-k-mers whose minimiser is among the row's `seen`, as strings of words."""
 
@@ -82,16 +120,16 @@ def _packed(window: int):
             pick = np.flatnonzero(tag[order][slot] == own)
             row = w.doc[first[pick]]
             a, b = w.start[first[pick]], w.end[first[pick] + count[pick] + window - 2]
+            spot = pa.array(order[slot[pick]])
             yield pa.RecordBatch.from_arrays(
                 [
                     rows.column(0).take(pa.array(row)),
                     rows.column(1).take(pa.array(row)),
                     pa.array(first[pick] - w.first()[row], pa.int64()),
-                    pa.array(key[pick].view(np.int64)),
-                    pa.array(flat.field(1).to_numpy()[order][slot[pick]]),
+                    *[flat.field(k).take(spot) for k in range(3)],
                     pa.array([w.buf[i:j] for i, j in zip(a.tolist(), b.tolist(), strict=True)], pa.binary()),
                 ],
-                names=["row", "id", "first", "key", "seen", "packed"],
+                names=["row", "id", "first", "key", "part", "wide", "packed"],
             )
 
     return run
@@ -192,7 +230,7 @@ def _cut(window: int, drop_spans_at: int):
 
 
 def remove_repeats(docs: DataFrame, window: int = 35, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per row of docs: struct doc (all its columns), text (the kept words joined by one
+    """One row per row of docs: struct doc (its other columns), text (the kept words joined by one
     space), n_words and n_removed.
 
     Words are runs of anything but ASCII white space, unchanged. A word goes when a window over it
@@ -201,33 +239,35 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_column: str = "doc_id",
     null text gives an empty one with no words). Rows repeated with the same id and text are
     documents of their own, so their windows repeat. Columns of any name may come along in doc.
 
-    1. Minimisers of all super-k-mers are counted (16 bytes for each, added up before the shuffle).
-    2. Super-k-mers whose minimiser was seen twice travel as one string to its bucket, where equal
-       windows are found by comparing their words. A minimiser found very often is dealt over more
+    1. Minimisers of all super-k-mers are sorted (16 bytes for each); those found once are done.
+    2. The other super-k-mers travel as one string to their minimiser's bucket, where equal windows
+       are found by comparing their words. A minimiser found very often is dealt over more
        buckets; the different windows of these buckets meet again, each by its own hash.
-    3. Marked windows go back to their documents, whose words are cut.
+    3. Marked windows go back to their documents, whose words are cut. Steps 2 and 3 deal the
+       texts by row in the same way, so that they are shuffled once.
     """
     spark = docs.sparkSession
     small_batches(spark)
     row = row_key(id_column, text_column)
-    source = docs.select(row.alias("row"), F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    id_type = source.schema["id"].dataType
-    minimisers = materialize(source.select("row", "text").mapInArrow(_minimisers(window), "row long, key long"), "minimisers")
-    twice = minimisers.groupBy("key").agg(F.count("*").alias("seen")).where("seen > 1")
-    wanted = minimisers.join(twice, "key").groupBy("row").agg(F.collect_set(F.struct("key", "seen")).alias("keys"))
-    packed = source.join(wanted, "row").mapInArrow(_packed(window), StructType([StructField("row", LongType()), StructField("id", id_type), *[StructField(n, LongType()) for n in ("first", "key", "seen")], StructField("packed", BinaryType())]))
-    marked_type = StructType([StructField("row", LongType()), StructField("id", id_type), StructField("first", LongType()), StructField("bits", LongType()), StructField("packed", BinaryType())])
-    parts = F.ceil(F.col("seen") / BUCKET_ROWS)
-    bucket = F.when(F.col("seen") <= BUCKET_ROWS, F.col("key")).otherwise(F.xxhash64("key", F.pmod(F.col("row"), parts)))
+    others = [c for c in docs.columns if c.lower() != text_column.lower()]
+    source = docs.select(row.alias("row"), F.struct(*[F.col(f"`{c}`") for c in others]).alias("doc"), F.col(text_column).alias("text"))
+    id_type = docs.schema[id_column].dataType
+    minimisers = source.select("row", "text").mapInArrow(_minimisers(window), "row long, key long")
+    repeated = minimisers.repartition("key").sortWithinPartitions("key", "row").mapInArrow(_repeated, "row long, key long, part long, wide boolean")
+    keys = materialize(repeated, "minimisers").groupBy("row").agg(F.collect_set(F.struct("key", "part", "wide")).alias("keys"))
+    places = [StructField("row", LongType()), StructField("id", id_type), StructField("first", LongType())]
+    whole = source.join(keys, "row").select("row", F.col(f"doc.`{id_column}`").alias("id"), "text", "keys")
+    packed = whole.mapInArrow(_packed(window), StructType([*places, StructField("key", LongType()), StructField("part", LongType()), StructField("wide", BooleanType()), StructField("packed", BinaryType())]))
 
     def marked(rows: DataFrame) -> DataFrame:
         dealt = rows.repartition("bucket").sortWithinPartitions("bucket")
-        return dealt.select("row", "id", "first", "bucket", "wide", "packed").mapInArrow(_mark(window), marked_type)
+        return dealt.select("row", "id", "first", "bucket", "wide", "packed").mapInArrow(_mark(window), StructType([*places, StructField("bits", LongType()), StructField("packed", BinaryType())]))
 
-    inner = materialize(marked(packed.select("row", "id", "first", bucket.alias("bucket"), (F.col("seen") > BUCKET_ROWS).alias("wide"), "packed")), "marked")
+    bucket = F.when(F.col("wide"), F.xxhash64("key", "part")).otherwise(F.col("key"))
+    inner = marked(packed.withColumn("bucket", bucket))
     single = inner.where("packed IS NOT NULL").select("row", "id", "first", F.xxhash64("packed").alias("bucket"), F.lit(False).alias("wide"), "packed")
-    spans = inner.where("packed IS NULL").unionByName(marked(single)).groupBy("row", "id").agg(F.collect_set(F.struct("first", "bits")).alias("spans"))
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(text_column).alias("text"), row.alias("row"), F.col(id_column).alias("id"))
-    both = whole.join(spans.withColumnsRenamed({"row": "_row", "id": "_id"}), (F.col("row") == F.col("_row")) & F.col("id").eqNullSafe(F.col("_id")), "left")
-    return both.select("doc", "text", "spans").mapInArrow(_cut(window, 2), StructType([both.schema["doc"], StructField("text", StringType()), StructField("n_words", LongType()), StructField("n_removed", LongType())]))
-
+    spans = inner.where("packed IS NULL").unionByName(marked(single)).groupBy("row").agg(F.collect_set(F.struct("first", "bits", "id")).alias("spans"))
+    both = source.join(spans, "row", "left")
+    # the row's hash is one of 64 bits: the id tells apart what should share it
+    own = F.filter("spans", lambda x: x["id"].eqNullSafe(F.col(f"doc.`{id_column}`")))
+    return both.select("doc", "text", own.alias("spans")).mapInArrow(_cut(window, 2), StructType([both.schema["doc"], StructField("text", StringType()), StructField("n_words", LongType()), StructField("n_removed", LongType())]))
