@@ -23,6 +23,9 @@ JOBS = {
         jobs.load_earning_calls,
         jobs.load_earning_star,
         jobs.write_digests,
+        jobs.mail_of_run,
+        jobs.messages_of_run,
+        jobs.register_arrived,
     )
 }
 

@@ -2,6 +2,7 @@
 
 from finloom.catalog import (  # noqa: F401
     digest_queries,
+    job_queries,
     merge_queries,
     page_queries,
     scalar_queries,

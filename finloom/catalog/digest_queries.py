@@ -13,6 +13,7 @@ from finloom.functions import lines
 from finloom.functions.lines import LABELS
 from finloom.plans import digests
 from finloom.plans.fanout import member_messages
+from finloom.plans.jobs import MAIL_SECTIONS
 from finloom.schemas import MARKET_ZONE
 
 _UNITS = "CASE o_orderpriority WHEN '1-URGENT' THEN 'K' WHEN '2-HIGH' THEN 'M' WHEN '3-MEDIUM' THEN 'B' WHEN '4-NOT SPECIFIED' THEN 'T' END"
@@ -55,6 +56,10 @@ def _size_sql(unit: str) -> str:
     return f"CAST(CASE {unit} WHEN 'K' THEN 1000 WHEN 'M' THEN 1000000 WHEN 'B' THEN 1000000000 WHEN 'T' THEN 1000000000000 ELSE 1 END AS DECIMAL(13,0))"
 
 
+def _real_mark_sql(a: str, b: str) -> str:
+    return _mark_sql(f"CAST({a} AS FLOAT)", f"CAST({b} AS FLOAT)")
+
+
 def _mark_sql(a: str, b: str) -> str:
     return f"CASE WHEN {a} > {b} THEN '▲' WHEN {a} < {b} THEN '▼' ELSE '=' END"
 
@@ -142,7 +147,7 @@ def events_today_post(t: Tables):
 
 
 def _number_sql(x: str) -> str:
-    text = f"CAST(CAST({x} AS DECIMAL(30,6)) AS VARCHAR)"
+    text = f"CAST(CAST(CAST(CAST({x} AS FLOAT) AS VARCHAR) AS DECIMAL(30,6)) AS VARCHAR)"
     return f"regexp_replace(regexp_replace({text}, '0+$', ''), '\\.$', '.0')"
 
 
@@ -154,17 +159,22 @@ _PREVIEW_SQL = f"""{_HEAD_SQL} || CASE WHEN contains(title, 'Speaks') THEN ''
   WHEN forecast <> 0 THEN '(예상: ' || {_number_sql("forecast")} || {_U} || ')'
   WHEN previous <> 0 THEN '(이전: ' || {_number_sql("previous")} || {_U} || ')' ELSE '' END || chr(10) || chr(10)"""
 _RECAP_SQL = f"""{_HEAD_SQL} || CASE WHEN contains(title, 'Speaks') THEN '' ELSE '실제: ' || {_number_sql("actual")} || {_U} ||
-  CASE WHEN forecast <> 0 AND previous <> 0 THEN ' → 예상(' || {_number_sql("forecast")} || {_U} || '): ' || {_mark_sql("actual", "forecast")}
-      || ', 이전(' || {_number_sql("previous")} || {_U} || '): ' || {_mark_sql("actual", "previous")}
-    WHEN forecast <> 0 THEN ' → 예상(' || {_number_sql("forecast")} || {_U} || '): ' || {_mark_sql("actual", "forecast")}
-    WHEN previous <> 0 THEN ' → 이전(' || {_number_sql("previous")} || {_U} || '): ' || {_mark_sql("actual", "previous")}
+  CASE WHEN forecast <> 0 AND previous <> 0 THEN ' → 예상(' || {_number_sql("forecast")} || {_U} || '): ' || {_real_mark_sql("actual", "forecast")}
+      || ', 이전(' || {_number_sql("previous")} || {_U} || '): ' || {_real_mark_sql("actual", "previous")}
+    WHEN forecast <> 0 THEN ' → 예상(' || {_number_sql("forecast")} || {_U} || '): ' || {_real_mark_sql("actual", "forecast")}
+    WHEN previous <> 0 THEN ' → 이전(' || {_number_sql("previous")} || {_U} || '): ' || {_real_mark_sql("actual", "previous")}
     ELSE '' END END || chr(10) || chr(10)"""
 _LINES_SQL = f"""lines AS (SELECT event_id, 'preview' AS kind, release_time, {_PREVIEW_SQL} AS line FROM cal
   UNION ALL SELECT event_id, 'recap', release_time, {_RECAP_SQL} FROM cal WHERE actual IS NOT NULL)"""
 
 
+def _stored_events(t: Tables) -> DataFrame:
+    """The calendar rows with their numbers as the event table stores them, REAL."""
+    return _calendar(t, "event_id").withColumns({c: F.col(c).cast("float") for c in ("actual", "forecast", "previous")})
+
+
 def _event_lines(t: Tables) -> DataFrame:
-    rows = _calendar(t, "event_id")
+    rows = _stored_events(t)
     parts = [
         digests.event_lines(rows, hour).select("event_id", F.lit(kind).alias("kind"), "release_time", "line")
         for kind, hour in (("preview", 21), ("recap", 7))
@@ -208,7 +218,7 @@ def article_digest_text(t: Tables):
 @query(
     "mail_text",
     f"""WITH {_CALENDAR_SQL}, {_LINES_SQL}, recap AS (SELECT * FROM lines WHERE kind = 'recap'), {_digest_sql("true")},
-blocks AS (SELECT doc_id, {_ARTICLE_LINE_SQL} AS line FROM documents WHERE lang = 'en'),
+blocks AS (SELECT doc_id, {_ARTICLE_LINE_SQL} AS line FROM documents),
 money AS (SELECT *, {_EARNING_LINE} AS line FROM d)
 SELECT 0 AS section, part, text FROM ({_parts_sql('blocks', '', 'doc_id', 'line', 20)})
 UNION ALL SELECT 1, part, text FROM ({_parts_sql('recap', '', 'release_time, event_id', 'line', 500)})
@@ -217,15 +227,14 @@ UNION ALL SELECT unnest([0, 1, 2]), -1, unnest(['【미국 뉴스】', '【지
 UNION ALL SELECT unnest([0, 1]), 4611686018427387904, chr(10) || repeat('-', 116) || chr(10) || chr(10)""",
 )
 def mail_text(t: Tables):
-    english = t.documents.where("lang = 'en'")
-    blocks = english.select("doc_id", lines.article_block(F.col("source"), F.col("text")).alias("line"))
-    recap = digests.event_lines(_calendar(t, "event_id"), 7)
+    blocks = t.documents.select("doc_id", lines.article_block(F.col("source"), F.col("text")).alias("line"))
+    recap = digests.event_lines(_stored_events(t), 7)
     money = digests.earning_lines(digests.earnings_digest(*_order_star(t)))
     return digests.mail_parts(
         [
-            ("미국 뉴스", digests.digest_parts(blocks, "line", ["doc_id"], lines_per_part=20)),
-            ("지표 발표", digests.digest_parts(recap, "line", ["release_time", "event_id"])),
-            ("실적 발표", digests.digest_parts(money, "line", ["call_date", "name", "revenue_actual", "line"])),
+            (MAIL_SECTIONS[0][1], digests.digest_parts(blocks, "line", ["doc_id"], lines_per_part=20)),
+            (MAIL_SECTIONS[1][1], digests.digest_parts(recap, "line", ["release_time", "event_id"])),
+            (MAIL_SECTIONS[2][1], digests.digest_parts(money, "line", ["call_date", "name", "revenue_actual", "line"])),
         ]
     )
 

@@ -123,17 +123,20 @@ def update_join(t: Tables):
 
 @query(
     "upsert_latest",
-    f"""WITH {_BATCHES_SQL}, small AS (SELECT * FROM early WHERE event_type IN ('view', 'error'))
+    f"""WITH {_BATCHES_SQL}, small AS (SELECT * FROM early WHERE event_type IN ('view', 'error')),
+more AS (SELECT * FROM (SELECT * FROM late UNION ALL SELECT * FROM early WHERE event_type NOT IN ('view', 'error'))
+  QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1)
 SELECT e.user_id, e.event_type, CASE WHEN l.user_id IS NULL THEN e.ts ELSE l.ts END AS ts,
   CASE WHEN l.user_id IS NULL THEN e.event_id ELSE l.event_id END AS event_id,
   CASE WHEN l.user_id IS NULL THEN e.value ELSE l.value END AS value
-FROM small e LEFT JOIN latest l ON e.user_id = l.user_id AND e.event_type = l.event_type
-UNION ALL SELECT * FROM latest l WHERE NOT EXISTS (SELECT 1 FROM small e WHERE e.user_id = l.user_id AND e.event_type = l.event_type)""",
+FROM small e LEFT JOIN more l ON e.user_id = l.user_id AND e.event_type = l.event_type
+UNION ALL SELECT * FROM more l WHERE NOT EXISTS (SELECT 1 FROM small e WHERE e.user_id = l.user_id AND e.event_type = l.event_type)""",
 )
 def upsert_latest(t: Tables):
     early, late = _event_batches(t)
-    target = early.where("event_type IN ('view', 'error')")
-    return merge.upsert_latest(target, late, ["user_id", "event_type"], ["ts", "event_id"])
+    stored = "event_type IN ('view', 'error')"
+    staged = late.unionByName(early.where(f"NOT ({stored})"))
+    return merge.upsert_latest(early.where(stored), staged, ["user_id", "event_type"], ["ts", "event_id"])
 
 
 @query(
@@ -280,7 +283,7 @@ _STAR_SQL = f"""rec AS (SELECT 'Company ' || o_custkey AS name, CASE WHEN o_orde
   'America/New_York' AS timezone, o_orderkey FROM orders),
 ids AS (SELECT *, {key_sql("name", "symbol")} AS company_id, {key_sql("year", "quarter")} AS period_id FROM rec),
 one AS (SELECT * FROM ids WHERE call_date >= TIMESTAMP '1998-01-01'),
-two AS (SELECT * FROM ids WHERE call_date < TIMESTAMP '2000-01-01' AND country <> 'F'),
+two AS (SELECT * FROM ids WHERE call_date < TIMESTAMP '2000-01-01' AND (country <> 'F' OR call_date < TIMESTAMP '1998-01-01')),
 last_one AS (SELECT * FROM one QUALIFY row_number() OVER (PARTITION BY company_id, period_id ORDER BY call_date DESC, o_orderkey DESC) = 1),
 last_two AS (SELECT * FROM two QUALIFY row_number() OVER (PARTITION BY company_id, period_id ORDER BY call_date DESC, o_orderkey DESC) = 1)"""
 _EARNING_FIELDS = (
@@ -289,13 +292,17 @@ _EARNING_FIELDS = (
 _EARNING_SQL = f"{key_sql('company_id', 'period_id')} AS earning_id, company_id, period_id, {_EARNING_FIELDS}"
 
 
-def _star(t: Tables) -> dict[str, DataFrame]:
-    """The star after the orders from 1998 on, and after a late batch of those before 2000."""
+def _star(t: Tables, dimensions_only: bool = False) -> dict[str, DataFrame]:
+    """The star after the orders from 1998 on, and after a late batch of those before 2000.
+
+    The late batch has all orders before 1998, and again those until 2000 that are not F."""
     records, order = order_records(t), ("call_date", "o_orderkey")
     empty = [empty_table(t.spark, schema) for schema in (COMPANIES, EARNING_PERIODS, EARNINGS)]
-    one = load_star(records.where("call_date >= 883612800000"), *empty, order)
-    tables = [materialize(one[name], name) for name in ("companies", "periods", "earnings")]
-    return load_star(records.where("call_date < 946684800000 AND country <> 'F'"), *tables, order)
+    names = ("companies", "periods") if dimensions_only else ("companies", "periods", "earnings")
+    one = load_star(records.where("call_date >= 883612800000"), *empty, order, dimensions_only=dimensions_only)
+    tables = [materialize(one[name], name) for name in names] + empty[len(names) :]
+    late = records.where("call_date < 946684800000 AND (country <> 'F' OR call_date < 883612800000)")
+    return load_star(late, *tables, order, dimensions_only=dimensions_only)
 
 
 @query(
@@ -306,7 +313,7 @@ f AS (SELECT * FROM f1 UNION ALL SELECT * FROM f2 WHERE company_id NOT IN (SELEC
 SELECT company_id, name, symbol, country, market_cap, market_cap_unit FROM f""",
 )
 def star_companies(t: Tables):
-    return _star(t)["companies"]
+    return _star(t, dimensions_only=True)["companies"]
 
 
 @query(
@@ -314,7 +321,7 @@ def star_companies(t: Tables):
     f"""WITH {_STAR_SQL} SELECT period_id, year, quarter FROM one UNION SELECT period_id, year, quarter FROM two""",
 )
 def star_periods(t: Tables):
-    return _star(t)["periods"]
+    return _star(t, dimensions_only=True)["periods"]
 
 
 @query(

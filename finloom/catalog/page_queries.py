@@ -32,14 +32,14 @@ def page_titles(t: Tables):
     "page_links",
     f"""WITH l AS (SELECT page_id, regexp_extract_all(html, '{_LINK}', 1) AS h, regexp_extract_all(html, '{_LINK}', 2) AS w FROM pages),
 x AS (SELECT page_id, unnest(h) AS link, unnest(w) AS words, CAST(generate_subscripts(h, 1) - 1 AS INTEGER) AS position FROM l)
-SELECT page_id, position, link, words FROM x WHERE position > 0 AND words <> 'the'""",
+SELECT page_id, position, link, words FROM x WHERE position > 0""",
 )
 def page_links(t: Tables):
     links, words = [F.regexp_extract_all("html", F.lit(_LINK), F.lit(i)) for i in (1, 2)]
     found = t.pages.select(
         "page_id", F.posexplode(F.arrays_zip(links.alias("link"), words.alias("words"))).alias("position", "a")
     )
-    return found.where("position > 0").select("page_id", "position", "a.link", "a.words").where("words <> 'the'")
+    return found.where("position > 0").select("page_id", "position", "a.link", "a.words")
 
 
 @query(
@@ -105,7 +105,7 @@ SELECT page_id, trim({_decoded_sql("regexp_extract(html, '<title>([^<]*)</title>
 FROM a""",
 )
 def page_fields(t: Tables):
-    parsed = t.dealt("pages").select("page_id", page_rows(F.col("html"), STORED_PAGE_RULES)[0].alias("f"))
+    parsed = t.pages.select("page_id", page_rows(F.col("html"), STORED_PAGE_RULES)[0].alias("f"))
     return parsed.select("page_id", "f.*").withColumn("links", F.array_join("links", "|"))
 
 
@@ -155,7 +155,7 @@ def event_pages(t: Tables):
         row("All Day", F.lit(0), "Holiday", none, none, none),
         "</tbody></table></body></html>",
     )
-    return t.dealt("events").select(
+    return t.spread("events", "event_id").select(
         F.concat(F.lit("calendar/"), F.col("event_id").cast("string")).alias("url"),
         F.to_date("ts").alias("day"),
         content.alias("content"),
@@ -217,7 +217,7 @@ def earning_pages(t: Tables):
         row(company, _markup("<a>", key, "</a>"), ["1", "/2"]),
         "</tbody></table>",
     )
-    return t.dealt("orders").select(
+    return t.spread("orders", "o_orderkey").select(
         F.concat(F.lit("earnings/"), key).alias("url"), F.to_date("o_orderdate").alias("day"), content.alias("content")
     )
 
@@ -270,7 +270,7 @@ def article_pages(t: Tables):
         paragraphs,
         "</p><script>var x = '<p>no</p>';</script></div></div>",
     )
-    return t.dealt("documents").select(
+    return t.spread("documents", "doc_id").select(
         F.concat(F.lit("https://news.example/"), F.col("doc_id").cast("string"), F.lit(".html")).alias("url"),
         content.alias("content"),
         F.when(F.col("lang") == "en", "Tech").otherwise("Latest").alias("theme"),
@@ -358,5 +358,5 @@ def listing_links(t: Tables):
         card(_markup("/c-", key), ""),
         '<div class="content"><div class="footer"><div class="publishing">Wire • 1 hour ago</div></div></div></section>',
     )
-    pages = t.dealt("orders").select(F.concat(F.lit("listing/"), key).alias("url"), content.alias("content"))
+    pages = t.spread("orders", "o_orderkey").select(F.concat(F.lit("listing/"), key).alias("url"), content.alias("content"))
     return articles.listing_links(pages)

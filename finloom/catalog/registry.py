@@ -24,12 +24,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-
-    def dealt(self, name: str) -> DataFrame:
-        """A table for costly per-row work: its rows dealt out anew when the files give fewer
-        splits than there are cores. Large tables have splits enough and are left alone."""
-        df, cores = getattr(self, name), self.spark.sparkContext.defaultParallelism
-        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    def spread(self, name: str, key: str) -> DataFrame:
+        """A table out of which wider rows are made for costly work: dealt by key while narrow."""
+        return getattr(self, name).repartition(key)
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], Callable]:

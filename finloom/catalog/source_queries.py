@@ -143,7 +143,7 @@ def swap_publish(t: Tables):
     """WITH early AS (SELECT user_id, event_type, CAST(ts AS DATE)::VARCHAR AS day, max(ts) AS ts, max(value) AS value
   FROM events WHERE ts < TIMESTAMP '2024-01-20' GROUP BY ALL),
 late AS (SELECT user_id, event_type, CAST(ts AS DATE)::VARCHAR AS day, max(ts) AS ts, -max(value) AS value
-  FROM events WHERE ts >= TIMESTAMP '2024-01-18' AND event_type <> 'view' GROUP BY ALL)
+  FROM events WHERE ts >= TIMESTAMP '2024-01-18' AND (event_type <> 'view' OR ts >= TIMESTAMP '2024-01-20') GROUP BY ALL)
 SELECT * FROM late UNION ALL
 SELECT * FROM early e WHERE NOT EXISTS (SELECT 1 FROM late l WHERE l.user_id = e.user_id AND l.event_type = e.event_type AND l.day = e.day)""",
 )
@@ -151,10 +151,12 @@ def partition_upsert(t: Tables):
     """A table stored by day; a late batch rewrites only the days it touches."""
     store, table = Store(t.spark, scratch_dir(t.spark, "by-day")), f"finloom_days_{uuid.uuid4().hex}"
     early = t.events.where("ts < TIMESTAMP_NTZ '2024-01-20'")
-    late = t.events.where("ts >= TIMESTAMP_NTZ '2024-01-18' AND event_type <> 'view'")
+    late = t.events.where(
+        "ts >= TIMESTAMP_NTZ '2024-01-18' AND (event_type <> 'view' OR ts >= TIMESTAMP_NTZ '2024-01-20')"
+    )
 
     def upsert(stored: DataFrame, new: DataFrame) -> DataFrame:
-        return merge.upsert_latest(stored, new, ["user_id", "event_type", "day"], ["ts"])
+        return merge.upsert_unique(stored, new, ["user_id", "event_type", "day"], ["ts"])
 
     for i, (batch, sign) in enumerate(((early, 1), (late, -1))):
         rows = _by_day(batch).withColumn("value", F.col("value") * sign)
@@ -171,15 +173,16 @@ def _by_day(events: DataFrame) -> DataFrame:
 
 @query(
     "append_new_rows",
-    """SELECT DISTINCT text, lang FROM documents WHERE lang IN ('en', 'de')""",
+    "SELECT DISTINCT text, lang FROM documents",
 )
 def append_new_rows(t: Tables):
     """A declared table filled batch by batch with the rows whose text it lacks."""
     location, table = scratch_dir(t.spark, "appended"), f"finloom_documents_{uuid.uuid4().hex}"
     rows = t.documents.select("text", "lang")
     writers.create_table(t.spark, table, rows.schema, location)
-    for lang in ("en", "de", "en"):
-        fresh = merge.insert_if_absent(t.spark.table(table), rows.where(F.col("lang") == lang), ["text", "lang"])
+    batches = [rows.where("lang = 'en'"), rows.where("lang IS NULL OR lang <> 'en'"), rows.where("lang = 'en'")]
+    for batch in batches:
+        fresh = merge.insert_if_absent(t.spark.table(table), batch, ["text", "lang"])
         writers.append_rows(fresh, table)
     return t.spark.table(table)
 

@@ -20,12 +20,12 @@ def _arrivals(df: DataFrame, name: str, kind: str = "parquet") -> tuple[str, int
     """df as files, one per task, and the number of files that makes about _BATCHES batches."""
     path = scratch_dir(df.sparkSession, name)
     df.write.format(kind).save(path)
-    return path, max(1, len(df.sparkSession.read.format(kind).load(path).inputFiles()) // _BATCHES)
+    return path, max(1, len(df.sparkSession.read.schema(df.schema).format(kind).load(path).inputFiles()) // _BATCHES)
 
 
 @query("stream_ingest", "SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events")
 def stream_ingest(t: Tables):
-    rows = t.dealt("events").select("user_id", "event_type", F.to_date("ts").alias("day"))
+    rows = t.spread("events", "event_id").select("user_id", "event_type", F.to_date("ts").alias("day"))
     (source, files), out = _arrivals(rows, "arrivals"), scratch_dir(t.spark, "unseen")
     stream = ingest.file_stream(t.spark, source, rows.schema, files_per_batch=files)
     ingest.ingest_unseen(stream, rows.columns, f"{out}/rows", f"{out}/checkpoint")
@@ -34,7 +34,7 @@ def stream_ingest(t: Tables):
 
 @query("stream_first_seen", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_first_seen(t: Tables):
-    rows = t.dealt("events").select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    rows = t.spread("events", "event_id").select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
     (source, files), out = _arrivals(rows, "arrivals"), scratch_dir(t.spark, "first-seen")
     stream = ingest.file_stream(t.spark, source, rows.schema, files_per_batch=files)
     ingest.ingest_first_seen(stream, ["user_id", "event_type"], "ts", "60 days", f"{out}/rows", f"{out}/checkpoint")
@@ -48,7 +48,7 @@ QUALIFY row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) OR
 )
 def stream_revision(t: Tables):
     value = F.when(F.col("event_type") != "error", F.col("value")).alias("value")
-    rows = t.dealt("events").select("user_id", "event_type", F.to_date("ts").alias("day"), "ts", "event_id", value)
+    rows = t.spread("events", "event_id").select("user_id", "event_type", F.to_date("ts").alias("day"), "ts", "event_id", value)
     (source, files), out = _arrivals(rows, "revisions"), scratch_dir(t.spark, "revised")
     keys, order = ["user_id", "event_type", "day"], ["ts", "event_id"]
     stream = ingest.file_stream(t.spark, source, rows.schema, files_per_batch=files)
@@ -69,7 +69,7 @@ def stream_members(t: Tables):
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp"),
         F.concat(F.lit("c"), key, F.lit("@"), F.lower("o_orderpriority"), F.col("o_orderkey").cast("string")).alias("email"),
     )
-    bodies = t.dealt("orders").select(F.to_json(body).alias("body"))
+    bodies = t.spread("orders", "o_orderkey").select(F.to_json(body).alias("body"))
     (source, files), out = _arrivals(bodies, "registrations", "json"), scratch_dir(t.spark, "members")
     stream = member_records(ingest.file_stream(t.spark, source, row(body=TEXT), "json", files_per_batch=files))
     order = ["timestamp", "email_address"]

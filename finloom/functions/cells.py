@@ -83,6 +83,9 @@ def decimal_or_zero(value: Column, precision: int, scale: int) -> Column:
 
 
 def number_text(value: Column) -> Column:
-    """A plain number for a digest line: at most six decimals, no trailing zeros, '3.0' for 3."""
-    text = value.cast("decimal(30,6)").cast("string")
+    """A plain number for a digest line: at most six decimals, no trailing zeros, '3.0' for 3.
+
+    It goes through the shortest text of the column's own type, so that a REAL 98.3 reads 98.3.
+    """
+    text = value.cast("string").try_cast("decimal(30,6)").cast("string")
     return F.regexp_replace(F.regexp_replace(text, "0+$", ""), r"\.$", ".0")

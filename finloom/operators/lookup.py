@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HEAVY_SHARE = 0.01
-_MOST_HEAVY = 100  # no more than 1 / HEAVY_SHARE keys can hold that share
 _TRACKED = 10_000
+_MOST_HEAVY = 2_000
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -19,17 +19,26 @@ def key_hash(keys: Sequence[str]) -> Column:
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str]) -> list[int]:
-    """Hashes of the keys (NULL included) that hold at least HEAVY_SHARE of the rows.
+    """Hashes of the keys (NULL included) that fill more than an even shuffle partition.
 
-    One scan of the key columns into a frequent-items sketch that is merged on the map
-    side; the answer is at most _MOST_HEAVY numbers. It only decides how rows are spread,
-    so a sketch error can never change a join's result.
+    That is a share of one over the shuffle partitions, and HEAVY_SHARE at most. One scan of
+    the key columns into a frequent-items sketch that is merged on the map side; the answer
+    is at most _MOST_HEAVY numbers. It only decides how rows are spread, so a sketch error can never change a
+    join's result.
     """
+    share = min(HEAVY_SHARE, 1 / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    most = min(_MOST_HEAVY, round(1 / share))
     found = df.select(key_hash(keys).alias("h")).agg(
-        F.expr(f"approx_top_k(h, {_MOST_HEAVY}, {_TRACKED})").alias("top"), F.count("*").alias("n")
+        F.expr(f"approx_top_k(h, {most}, {_TRACKED})").alias("top"), F.count("*").alias("n")
     )
     row = found.first()
-    return sorted(t["item"] for t in row["top"] or [] if t["count"] >= max(HEAVY_SHARE * row["n"], 2))
+    return sorted(t["item"] for t in row["top"] or [] if t["count"] >= max(share * row["n"], 2))
+
+
+def _broadcast_by_size(df: DataFrame) -> bool:
+    """Whether Spark's size estimate lets it send df to every task."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
 
 
 def lookup_join(
@@ -39,6 +48,7 @@ def lookup_join(
     how: str = "inner",
     null_safe: bool = False,
     heavy: Sequence[int] | None = None,
+    sketch: DataFrame | None = None,
 ) -> DataFrame:
     """Join `left` to `right`, which has at most one row per key.
 
@@ -49,15 +59,17 @@ def lookup_join(
     task that is run again spreads its rows as before; what equal copies of one row still
     put in one place, adaptive execution splits.
 
-    `heavy` are the heavy keys when the caller knows them, or has found them in a frame that
-    is cheaper to scan than `left`.
+    `heavy` are the heavy keys when the caller knows them; `sketch` is a frame to find them in
+    that is cheaper to scan than `left`. A right side that Spark broadcasts by its size needs
+    no search, since then no row of `left` moves.
     """
     keys = list(keys)
     for k in keys:
         # Key hashes decide the salt, and equal values of two types hash differently.
         if left.schema[k].dataType != right.schema[k].dataType:
             raise ValueError(f"key {k} is {left.schema[k].dataType} on the left, {right.schema[k].dataType} on the right")
-    heavy = heavy_keys(left, keys) if heavy is None else heavy
+    if heavy is None:
+        heavy = [] if _broadcast_by_size(right) else heavy_keys(left if sketch is None else sketch, keys)
     on = keys
     if heavy:
         salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from finloom.functions.keys import surrogate_key
 from finloom.operators.lookup import heavy_keys, lookup_join, same_key
+from finloom.session import materialize
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], choose) -> DataFrame:
@@ -43,7 +44,7 @@ def insert_if_absent(
     and a staged NULL key is only new to an empty target. It takes a single key.
     """
     known = target.select(*keys).distinct()
-    fresh = lookup_join(staged.distinct(), known, keys, "left_anti", heavy=heavy_keys(staged, keys))
+    fresh = lookup_join(staged.distinct(), known, keys, "left_anti", sketch=staged)
     if not sql_not_in:
         return fresh
     (key,) = keys
@@ -98,6 +99,18 @@ def upsert_latest(
     return update_matched(target, latest, keys, heavy).unionByName(new.select(*target.columns))
 
 
+def upsert_unique(
+    target: DataFrame, staged: DataFrame, keys: Sequence[str], order: Sequence[str]
+) -> DataFrame:
+    """upsert_latest for a target with one row per key, NULL keys included: it is read once.
+
+    Target rows whose key is not staged stay, and the latest staged row of every key is added.
+    The latest rows are stored, since they are read twice. Keys match NULL to NULL.
+    """
+    latest = materialize(last_per_key(staged, keys, order).select(*target.columns), "latest")
+    return lookup_join(target, latest.select(*keys), keys, "left_anti", null_safe=True).unionByName(latest)
+
+
 def extend_dimension(
     dimension: DataFrame,
     records: DataFrame,
@@ -123,10 +136,10 @@ def resolve_key(
     dimension: DataFrame,
     id_column: str,
     keys: Sequence[str],
-    heavy: Sequence[int] | None = None,
+    sketch: DataFrame | None = None,
 ) -> DataFrame:
     """Records with the id of their dimension row, matching NULL to NULL."""
-    return lookup_join(records, dimension.select(id_column, *keys), keys, "inner", True, heavy)
+    return lookup_join(records, dimension.select(id_column, *keys), keys, "inner", True, sketch=sketch)
 
 
 def change_flags(
@@ -146,6 +159,22 @@ def change_flags(
     return both.withColumn("change", change).drop("_old")
 
 
+def merge_changes(
+    target: DataFrame, latest: DataFrame, keys: Sequence[str], compared: Sequence[str]
+) -> DataFrame:
+    """The target with the rows of latest that are new or differ in a compared column.
+
+    Both sides have one row per key and are read once, in one full join.
+    """
+    rest = [c for c in target.columns if c not in keys]
+    sides = [df.select(*keys, F.struct(*rest).alias(n)) for df, n in ((target, "_old"), (latest, "_new"))]
+    both = sides[0].join(sides[1], list(keys), "full")
+    fields = lambda side: F.struct(*[F.col(f"{side}.{c}") for c in compared])
+    same = F.col("_old").isNotNull() & fields("_old").eqNullSafe(fields("_new"))
+    picked = F.when(F.col("_new").isNull() | same, F.col("_old")).otherwise(F.col("_new"))
+    return both.select(*keys, picked.alias("_row")).select(*[c if c in keys else f"_row.{c}" for c in target.columns])
+
+
 def apply_changes(target: DataFrame, flagged: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The target after the inserts and updates that change_flags found."""
     changed = flagged.where("change <> 'same'").select(*target.columns)

@@ -51,11 +51,14 @@ def ordered_parts(
 ) -> DataFrame:
     """(groups, part, text): a group's parts, put together by part number, are its whole text.
 
+    The text itself may end the order; a hash of it stands for it, so no text is a sort key.
     Part numbers grow with the order over all groups. A part holds at most lines_per_part
     lines, so no task collects a whole group, however large that is.
     """
-    lines = df.select(*groups, *[c for c in order if c not in groups and c != text], F.col(text))
-    numbered = number_rows(lines, [*groups, *order])
+    tied = [c for c in order if c != text]
+    lines = df.select(*groups, *[c for c in tied if c not in groups], F.xxhash64(text).alias("_tie"), F.col(text))
+    # Stored first: the range sample would make the lines a second time.
+    numbered = number_rows(materialize(lines, "lines"), [*groups, *tied, *(["_tie"] if text in order else [])])
     return numbered.groupBy(*groups, F.floor(F.col("row_no") / lines_per_part).alias("part")).agg(
         F.expr(f"listagg(`{text}`, '') WITHIN GROUP (ORDER BY row_no)").alias("text")
     )

@@ -33,8 +33,11 @@ PLAIN_ARTICLE_RULES = PageRules({k: v for k, v in ARTICLE_RULES.fields.items() i
 
 
 def parsed_articles(pages: DataFrame, rules: PageRules = ARTICLE_RULES) -> DataFrame:
-    """One record per page, with a list of authors; `wraps` = 0 marks a page that is no article."""
-    parsed = pages.where("content IS NOT NULL").withColumn("_a", page_rows(F.col("content"), rules)[0])
+    """One record per page, with a list of authors.
+
+    `wraps` = 0 marks a page that is no article, -1 one without content.
+    """
+    parsed = pages.withColumn("_a", page_rows(F.coalesce("content", F.lit("")), rules)[0])
     blank = F.lit("")
     authors = byline_authors(F.col("_a.links"), F.col("_a.image_alt"), F.col("_a.byline"))
     publisher = F.coalesce(F.col("_a.publisher"), blank) if "publisher" in rules.fields else blank
@@ -47,19 +50,20 @@ def parsed_articles(pages: DataFrame, rules: PageRules = ARTICLE_RULES) -> DataF
         "url",
         F.coalesce(F.col("_a.text"), blank).alias("text"),
         "theme",
-        F.col("_a.wraps").alias("wraps"),
+        F.when(F.col("content").isNull(), -1).otherwise(F.col("_a.wraps")).alias("wraps"),
     )
 
 
 def split_articles(parsed: DataFrame, keep_empty: bool = False) -> tuple[DataFrame, DataFrame]:
     """(articles, rejects): one article row per author, dates as market wall clock.
 
-    Pages without the article element are rejects (url, theme, reason). Store `parsed`
+    Pages without content or the article element are rejects (url, theme, reason). Store `parsed`
     first when both sides are needed, so that the pages are parsed once.
     """
     found = one_row_per_item(parsed.where("wraps > 0"), ["authors"], keep_empty)
     dated = found.withColumn("date", parse_utc_stamp(F.col("date"), MARKET_ZONE))
-    rejects = parsed.where("wraps = 0").select("url", "theme", F.lit("no article element").alias("reason"))
+    reason = F.when(F.col("wraps") < 0, "no content").otherwise("no article element")
+    rejects = parsed.where("wraps <= 0").select("url", "theme", reason.alias("reason"))
     return align(dated, ARTICLES), rejects
 
 

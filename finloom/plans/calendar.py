@@ -12,7 +12,9 @@ from finloom.functions.cells import event_values, parse_value
 from finloom.functions.dates import clock_on, iso_text, midnight_ms, to_epoch_ms
 from finloom.operators.markup import PageRules, Step, Take, page_rows
 from finloom.operators.project import align, cast_columns, flatten_earnings
-from finloom.schemas import EARNING_RECORD, MARKET_ZONE
+from finloom.schemas import EARNING_RECORD, MARKET_ZONE, PAGE_PLACE
+
+NO_CONTENT = "no content"
 
 # Where the fields of a calendar row are.
 EVENT_RULES = PageRules(
@@ -63,14 +65,19 @@ EARNING_COLUMN_KINDS = {
 EVENT_COLUMN_KINDS = {"volatility": "smallint", "actual": "float", "forecast": "float", "previous": "float"}
 
 
+def _rows_or_none(rules: PageRules) -> Column:
+    """(position, r) of each row of a page, and one empty row for a page without content."""
+    rows = page_rows(F.coalesce("content", F.lit("")), rules)
+    return F.posexplode(F.when(F.col("content").isNull(), F.array(F.lit(None))).otherwise(rows)).alias("position", "r")
+
+
 def parsed_events(pages: DataFrame, day: Column, keep: Sequence[str] = ()) -> DataFrame:
-    """One row per event of the calendar pages, with `reject` = time, number or NULL.
+    """One row per event of the calendar pages, with `reject` = no content, time, number or NULL.
 
+    A page without content, such as one whose JSON cannot be read, gives one row that says so.
     `day` is the page's calendar day; the page columns of `keep` are carried along.
     """
-    rows = pages.where("content IS NOT NULL").select(
-        *keep, "url", day.alias("_day"), F.posexplode(page_rows(F.col("content"), EVENT_RULES)).alias("position", "r")
-    )
+    rows = pages.select(*keep, "url", "content", day.alias("_day"), _rows_or_none(EVENT_RULES))
     read = rows.withColumn(
         "v", event_values(F.col("r.actual"), F.col("r.forecast"), F.col("r.previous"))
     ).withColumn("release_wall", clock_on(F.col("_day"), F.col("r.clock")))
@@ -79,7 +86,10 @@ def parsed_events(pages: DataFrame, day: Column, keep: Sequence[str] = ()) -> Da
         *keep,
         "url",
         "position",
-        F.when(bad_time, "time").when(F.col("v.unreadable"), "number").alias("reject"),
+        F.when(F.col("content").isNull(), NO_CONTENT)
+        .when(bad_time, "time")
+        .when(F.col("v.unreadable"), "number")
+        .alias("reject"),
         to_epoch_ms(F.col("release_wall")).alias("release_time"),
         F.lit(MARKET_ZONE).alias("timezone"),
         F.col("r.country").alias("country"),
@@ -92,13 +102,17 @@ def parsed_events(pages: DataFrame, day: Column, keep: Sequence[str] = ()) -> Da
     )
 
 
-def split_events(parsed: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+def split_events(
+    parsed: DataFrame, keep: Sequence[str] = (), placed: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """(events, rejects) of parsed_events.
 
     An event whose numbers cannot be read is kept with NULLs and also listed in rejects;
-    one whose time cannot be read only goes to rejects.
+    one whose time cannot be read, and a page without content, only go to rejects. With
+    `placed` events carry their page and their position in it.
     """
-    kept = parsed.where("reject IS NULL OR reject <> 'time'").drop("url", "position", "reject")
+    kept = parsed.where("reject IS NULL OR reject = 'number'").drop("reject")
+    kept = kept.withColumnRenamed("url", "page") if placed else kept.drop("url", "position")
     rejects = parsed.where("reject IS NOT NULL").select("url", "position", F.col("reject").alias("reason"), *keep)
     return cast_columns(kept, EVENT_COLUMN_KINDS)[0], rejects
 
@@ -116,11 +130,10 @@ def events_with_iso_time(events: DataFrame, zone_label: str = "ET") -> DataFrame
 def parsed_earnings(pages: DataFrame, day: Column, keep: Sequence[str] = ()) -> DataFrame:
     """One record per row of the earnings pages, the heading row left out.
 
-    `reject` tells why a row is incomplete.
+    `reject` tells why a row is incomplete; a page without content gives one row that says so.
     """
-    rows = pages.where("content IS NOT NULL").select(
-        *keep, "url", day.alias("_day"), F.posexplode(page_rows(F.col("content"), EARNING_RULES)).alias("position", "r")
-    ).where("position > 0")
+    rows = pages.select(*keep, "url", "content", day.alias("_day"), _rows_or_none(EARNING_RULES))
+    rows = rows.where("position > 0 OR content IS NULL")
     last_cell = max(position for position, _ in EARNING_CELLS.values())
 
     def cell(name: str, side: str | None = None) -> Column:
@@ -134,7 +147,9 @@ def parsed_earnings(pages: DataFrame, day: Column, keep: Sequence[str] = ()) ->
         *keep,
         "url",
         "position",
-        F.when(F.size("r.cells") < last_cell, "too few cells").alias("reject"),
+        F.when(F.col("content").isNull(), NO_CONTENT)
+        .when(F.size("r.cells") < last_cell, "too few cells")
+        .alias("reject"),
         F.struct(F.col("r.name").alias("name"), F.col("r.symbol").alias("symbol")).alias("company"),
         F.col("r.country").alias("country"),
         pair("eps"),
@@ -147,11 +162,14 @@ def parsed_earnings(pages: DataFrame, day: Column, keep: Sequence[str] = ()) ->
     )
 
 
-def split_earnings(parsed: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """(records, rejects) of parsed_earnings."""
+def split_earnings(
+    parsed: DataFrame, keep: Sequence[str] = (), placed: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(records, rejects) of parsed_earnings. With `placed` records carry their page and position."""
     rejects = parsed.where("reject IS NOT NULL").select("url", "position", F.col("reject").alias("reason"), *keep)
-    kept = T.StructType([*EARNING_RECORD.fields, *[parsed.schema[c] for c in keep]])
-    return align(parsed.where("reject IS NULL"), kept), rejects
+    spots = PAGE_PLACE.fields if placed else []
+    kept = T.StructType([*EARNING_RECORD.fields, *spots, *[parsed.schema[c] for c in keep]])
+    return align(parsed.where("reject IS NULL").withColumn("page", F.col("url")), kept), rejects
 
 
 def earning_calls(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from finloom.functions import lines
 from finloom.functions.cells import scaled
 from finloom.functions.dates import day_bounds, recent_hours
-from finloom.operators.lookup import heavy_keys, lookup_join
+from finloom.operators.lookup import lookup_join
 from finloom.operators.ordered_text import ordered_parts
 from finloom.schemas import MARKET_ZONE
 
@@ -44,8 +44,8 @@ def earnings_digest(
     facts = [c for c in EARNING_DIGEST_COLUMNS if c.startswith("revenue")]
     firsts = rows.groupBy("company_id", "period_id", *facts).agg(F.min("call_date").alias("call_date"))
     names, quarters = companies.select("company_id", "name", "symbol"), periods.select("period_id", "year", "quarter")
-    named = lookup_join(firsts, names, ["company_id"], heavy=heavy_keys(rows, ["company_id"]))
-    placed = lookup_join(named, quarters, ["period_id"], heavy=heavy_keys(rows, ["period_id"]))
+    named = lookup_join(firsts, names, ["company_id"], sketch=rows)
+    placed = lookup_join(named, quarters, ["period_id"], sketch=rows)
     # Two ids may carry the same name and period, so distinct again on what is shown.
     return placed.groupBy(*EARNING_DIGEST_COLUMNS).agg(F.min("call_date").alias("call_date"))
 

@@ -34,7 +34,9 @@ from finloom.schemas import (
     FINANCIAL_EVENTS,
     MARKET_ZONE,
     MEMBERS,
+    PAGE_PLACE,
     READER_ZONE,
+    STORED_ARTICLES,
     empty_table,
     row,
     theme_table,
@@ -50,6 +52,8 @@ CALL_KEYS = ("company_name", "symbol", "year", "quarter")
 # Stored events have their release date as folder column; it depends on the key.
 STORED_EVENTS = row(**{f.name: f.dataType for f in FINANCIAL_EVENTS.fields}, release_day=T.StringType())
 NO_DAY = "none"
+# An earning record as its envelope holds it, with the place where it stood.
+PLACED_RECORD = T.StructType([*EARNING_RECORD.fields, *PAGE_PLACE.fields])
 
 Combine = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -91,7 +95,7 @@ class Store:
         writers.create_table(self.spark, name, schema, f"{self.base}/TABLES/{table}/rows", by)
         touched = staged.select(*by).distinct().collect()  # few: days or quarters of one batch
         if touched:
-            same = [reduce(and_, [F.col(c) == F.lit(r[c]) for c in by]) for r in touched]
+            same = [reduce(and_, [F.col(c).eqNullSafe(F.lit(r[c])) for c in by]) for r in touched]
             merged = combine(self.spark.table(name).where(reduce(or_, same)), staged)
             writers.publish_partitions(merged, name, by, self.version(table, as_of))
         return self.spark.table(name).count()
@@ -111,20 +115,32 @@ def _load_order() -> Column:
 
 
 def _in_files(table: T.StructType, moment: str) -> T.StructType:
-    """A table's columns as its day files hold them: the moment as epoch milliseconds, and no folder columns."""
-    kinds = {f.name: f.dataType for f in table.fields if f.name not in writers.DAY_COLUMNS}
+    """A table's columns as its day files hold them: the moment as epoch milliseconds, no folder columns,
+    and where the row stood."""
+    kinds = {f.name: f.dataType for f in (*table.fields, *PAGE_PLACE.fields) if f.name not in writers.DAY_COLUMNS}
     return row(**kinds | {moment: T.LongType()})
 
 
+# The order in which rows count as loaded: day files, then pages by address, then page order.
+LOADED = ("load_order", *PAGE_PLACE.fieldNames())
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"page": F.coalesce("page", F.lit("")), "position": F.coalesce("position", F.lit(-1))})
+
+
 def extract_articles(store: Store, as_of: dt.datetime) -> None:
     """Today's raw article pages of the hour's themes -> themed article rows and rejects."""
     day = local_day(as_of)
     themes = readers.themes_for_hour(local_time(as_of, READER_ZONE).hour)
     pages = readers.themed_pages(store.spark, store.folder("RAW", "ARTICLES"), themes, [day])
     parsed = materialize(articles.parsed_articles(pages), "articles")
-    for kind, df in zip(("TRANSFORMED", "REJECTS"), articles.split_articles(parsed)):
-        dated = writers.with_day_columns(df.withColumn("theme", F.upper("theme")), F.lit(day))
-        writers.write_partitions(dated, store.folder(kind, "ARTICLES"), ("theme", *writers.DAY_COLUMNS))
+    rows, rejects = articles.split_articles(parsed)
+    dated = writers.with_day_columns(rows.withColumn("theme", F.upper("theme")), F.lit(day))
+    writers.write_partitions(dated, store.folder("TRANSFORMED", "ARTICLES"), ("theme", *writers.DAY_COLUMNS))
+    for theme in themes:
+        own = writers.with_day_columns(rejects.where(F.upper("theme") == theme.upper()), F.lit(day)).drop("theme")
+        writers.write_day_rejects(own, f"{store.folder('REJECTS', 'ARTICLES')}/theme={theme.upper()}", [day])
 
 
 def _calendar_window(store: Store, kind: str, as_of: dt.datetime) -> DataFrame:
@@ -135,8 +151,9 @@ def extract_events(store: Store, as_of: dt.datetime) -> None:
     """Calendar pages of yesterday, today and tomorrow -> event rows per day, and rejects."""
     pages = _calendar_window(store, "EVENTS", as_of)
     parsed = materialize(calendar.parsed_events(pages, readers.calendar_day(), keep=writers.DAY_COLUMNS), "events")
-    for kind, df in zip(("TRANSFORMED", "REJECTS"), calendar.split_events(parsed, keep=writers.DAY_COLUMNS)):
-        writers.write_partitions(df, store.folder(kind, "EVENTS"))
+    rows, rejects = calendar.split_events(parsed, keep=writers.DAY_COLUMNS, placed=True)
+    writers.write_partitions(rows, store.folder("TRANSFORMED", "EVENTS"))
+    writers.write_day_rejects(rejects, store.folder("REJECTS", "EVENTS"), readers.window_days(local_day(as_of)))
 
 
 def extract_earnings(store: Store, as_of: dt.datetime) -> None:
@@ -145,18 +162,19 @@ def extract_earnings(store: Store, as_of: dt.datetime) -> None:
     # A record's own year is that of its folder, so it serves as the folder column too.
     keep, days = writers.DAY_COLUMNS[1:], writers.DAY_COLUMNS
     parsed = materialize(calendar.parsed_earnings(pages, readers.calendar_day(), keep), "earnings")
-    records = calendar.split_earnings(parsed, keep)[0]
+    records = calendar.split_earnings(parsed, keep, placed=True)[0]
     rejects = parsed.where("reject IS NOT NULL").select("url", "position", F.col("reject").alias("reason"), *days)
-    envelope = F.array(F.struct(*EARNING_RECORD.fieldNames())).alias("data")
+    envelope = F.array(F.struct(*PLACED_RECORD.fieldNames())).alias("data")
     writers.write_partitions(records.select(envelope, *days), store.folder("OLTP", "EARNING_CALLS"), kind="json")
-    writers.write_partitions(calendar.earning_calls(records, keep), store.folder("TRANSFORMED", "EARNING_CALLS"))
-    writers.write_partitions(rejects, store.folder("REJECTS", "EARNING_CALLS"))
+    flat = calendar.earning_calls(records, [*PAGE_PLACE.fieldNames(), *keep])
+    writers.write_partitions(flat, store.folder("TRANSFORMED", "EARNING_CALLS"))
+    writers.write_day_rejects(rejects, store.folder("REJECTS", "EARNING_CALLS"), readers.window_days(local_day(as_of)))
 
 
 def load_articles(store: Store, as_of: dt.datetime) -> int:
     """Append today's articles whose url is new; of several themes the first one keeps a url."""
     name, spark = store.name("financial_articles"), store.spark
-    writers.create_table(spark, name, ARTICLES, f"{store.base}/TABLES/financial_articles/rows")
+    writers.create_table(spark, name, STORED_ARTICLES, f"{store.base}/TABLES/financial_articles/rows", ["day"])
     path = store.folder("TRANSFORMED", "ARTICLES")
     staged = readers.day_folders(spark, path, ARTICLES, days=[local_day(as_of)], above="theme=*/")
     ranks = theme_table(spark).select(F.upper("theme").alias("theme"), F.col("theme").alias("_name"), "precedence")
@@ -164,7 +182,8 @@ def load_articles(store: Store, as_of: dt.datetime) -> int:
     first = themed.groupBy("url").agg(F.min("precedence").alias("precedence"))
     kept = lookup_join(themed, first, ["url", "precedence"], "left_semi").withColumn("theme", F.col("_name"))
     fresh = merge.insert_if_absent(spark.table(name), align(kept, ARTICLES), ["url"])
-    writers.append_rows(fresh, name)
+    by_day = fresh.withColumn("day", F.coalesce(F.date_format("date", "yyyy-MM-dd"), F.lit(NO_DAY)))
+    writers.append_rows(by_day.hint("rebalance", "day"), name)
     return spark.table(name).count()
 
 
@@ -180,9 +199,10 @@ def load_events(store: Store, as_of: dt.datetime) -> int:
     stored = _in_files(FINANCIAL_EVENTS, "release_time")
     rows = _staged(store, "TRANSFORMED", "EVENTS", as_of, stored, "parquet")
     rows = rows.withColumn("release_time", from_epoch_ms(F.col("release_time")))
-    staged = rows.withColumn("_row", F.to_json(F.struct(*FINANCIAL_EVENTS.fieldNames()))).dropDuplicates()
-    staged = staged.withColumn("release_day", F.coalesce(F.date_format("release_time", "yyyy-MM-dd"), F.lit(NO_DAY)))
-    combine = lambda stored, new: merge.upsert_latest(stored, new, EVENT_KEYS, ["load_order", "_row"])
+    day = F.coalesce(F.date_format("release_time", "yyyy-MM-dd"), F.lit(NO_DAY))
+    staged = _placed(rows).withColumn("release_day", day)
+    # Events without a time or title are one row per key too: a rerun does not add them again.
+    combine = lambda stored, new: merge.upsert_unique(stored, new, EVENT_KEYS, LOADED)
     return store.merge("financial_events", STORED_EVENTS, ["release_day"], staged, combine, as_of)
 
 
@@ -206,22 +226,20 @@ def load_earning_star(store: Store, as_of: dt.datetime) -> dict[str, int]:
 
     Earnings are stored by period, so only the batch's periods are read and replaced.
     """
-    files = _staged(store, "OLTP", "EARNING_CALLS", as_of, row(data=T.ArrayType(EARNING_RECORD)), "json")
-    records = files.select("load_order", F.inline("data"))
-    ordered = materialize(records.withColumn("tie", F.to_json(F.struct(*EARNING_RECORD.fieldNames()))), "records")
+    files = _staged(store, "OLTP", "EARNING_CALLS", as_of, row(data=T.ArrayType(PLACED_RECORD)), "json")
+    ordered = materialize(_placed(files.select("load_order", F.inline("data"))), "records")
     dims = {"companies": COMPANIES, "earning_periods": EARNING_PERIODS}
     companies, periods = [store.table(name, schema) for name, schema in dims.items()]
-    loaded = {}
+    counts = {}
 
     def combine(stored: DataFrame, _: DataFrame) -> DataFrame:
-        loaded.update(star.load_star(ordered, companies, periods, stored, order=("load_order", "tie")))
+        loaded = star.load_star(ordered, companies, periods, stored, order=LOADED)
+        # Published before the earnings that refer to them.
+        counts.update({n: store.publish(loaded[p], n, as_of) for n, p in zip(dims, ("companies", "periods"))})
         return loaded["earnings"]
 
     touched = ordered.select(surrogate_key(F.col("year"), F.col("quarter")).alias("period_id"))
-    counts = {"earnings": store.merge("earnings", EARNINGS, ["period_id"], touched, combine, as_of)}
-    if loaded:
-        counts |= {n: store.publish(loaded[p], n, as_of) for n, p in zip(dims, ("companies", "periods"))}
-    return counts
+    return {"earnings": store.merge("earnings", EARNINGS, ["period_id"], touched, combine, as_of), **counts}
 
 
 def write_digests(store: Store, as_of: dt.datetime) -> dict[str, str]:
@@ -231,7 +249,9 @@ def write_digests(store: Store, as_of: dt.datetime) -> dict[str, str]:
     which at the morning and the evening run is also the market's date.
     """
     now, day = local_time(as_of, READER_ZONE), as_of.date()
-    news = digests.news_window(store.table("financial_articles", ARTICLES), as_of)
+    days = [(local_day(as_of) - dt.timedelta(days=n)).isoformat() for n in (0, 1)]
+    articles_of = store.table("financial_articles", STORED_ARTICLES).where(F.col("day").isin(days))
+    news = digests.news_window(articles_of, as_of)
     stored = store.table("financial_events", STORED_EVENTS).where(F.col("release_day") == day.isoformat())
     events = digests.events_of_day(stored, day, now.hour)
     earnings = digests.earnings_digest(
@@ -255,13 +275,37 @@ def write_mail(store: Store, folders: dict[str, str], as_of: dt.datetime) -> str
     return writers.write_digest(mail, store.base, "final", local_time(as_of, READER_ZONE), order=("section", "part"))
 
 
+def _run_folder(store: Store, kind: str, as_of: dt.datetime) -> str:
+    base = store.base if kind == "final" else f"{store.base}/SUMMARY"
+    return writers.digest_folder(base, kind, local_time(as_of, READER_ZONE))
+
+
+def mail_of_run(store: Store, as_of: dt.datetime) -> str:
+    """write_mail over the digests that this run has written."""
+    return write_mail(store, {kind: _run_folder(store, kind, as_of) for kind, _ in MAIL_SECTIONS}, as_of)
+
+
+def messages_of_run(store: Store, as_of: dt.datetime) -> str:
+    """write_messages over the mail that this run has written."""
+    return write_messages(store, writers.read_digest(store.spark, _run_folder(store, "final", as_of)), as_of)
+
+
+def register_arrived(store: Store, as_of: dt.datetime) -> int:
+    """register_members over the registration bodies, one a line, under REGISTRATIONS."""
+    path = f"{store.base}/REGISTRATIONS"
+    if not readers.path_exists(store.spark, path):
+        return 0
+    return register_members(store, store.spark.read.text(path).withColumnRenamed("value", "body"), as_of)
+
+
 def write_messages(store: Store, texts: DataFrame, as_of: dt.datetime) -> str:
-    """One message row per member and text row; returns the folder.
+    """One message row per member and text; a long text is cut by its length. Returns the folder.
 
     `texts` is readers.latest_text of a folder, or writers.read_digest of a written mail.
     """
     out = f"{store.base}/MESSAGES/{as_of:%Y%m%dT%H%M%S}"
-    fanout.member_messages(store.table("members", MEMBERS), texts).write.mode("overwrite").json(out)
+    parts = fanout.sized_parts(texts) if "part" in texts.columns else texts
+    fanout.member_messages(store.table("members", MEMBERS), parts).write.mode("overwrite").json(out)
     return out
 
 

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from finloom.functions.dates import from_epoch_ms
 from finloom.functions.keys import surrogate_key
-from finloom.operators.lookup import heavy_keys
-from finloom.operators.merge import apply_changes, change_flags, extend_dimension, last_per_key, resolve_key
+from finloom.operators.merge import change_flags, extend_dimension, last_per_key, merge_changes, resolve_key
 from finloom.schemas import EARNINGS
 from finloom.session import materialize
 
@@ -49,6 +48,7 @@ def load_star(
     order: tuple[str, ...],
     missing_as_zero: bool = False,
     foreign_ids: bool = False,
+    dimensions_only: bool = False,
 ) -> dict[str, DataFrame]:
     """The three tables after the batch, and the batch's earnings with their change flag.
 
@@ -58,14 +58,17 @@ def load_star(
 
     Ids made here are a function of the name and symbol, or year and quarter, so a record
     knows its ids without a join. With `foreign_ids` the dimensions may hold ids from
-    elsewhere, and records look them up.
+    elsewhere, and records look them up. With `dimensions_only` the earnings are left out,
+    and nothing is stored.
     """
     flat = _measured(records, missing_as_zero)
     companies = extend_dimension(companies, flat, "company_id", COMPANY_KEYS, order)
     periods = extend_dimension(periods, flat, "period_id", PERIOD_KEYS, order)
+    if dimensions_only:
+        return {"companies": companies, "periods": periods}
     if foreign_ids:
         keyed = resolve_key(flat, companies, "company_id", COMPANY_KEYS)
-        keyed = resolve_key(keyed, periods, "period_id", PERIOD_KEYS, heavy_keys(flat, PERIOD_KEYS))
+        keyed = resolve_key(keyed, periods, "period_id", PERIOD_KEYS, sketch=flat)
     else:
         ids = {"company_id": COMPANY_KEYS, "period_id": PERIOD_KEYS}
         keyed = flat.withColumns({name: surrogate_key(*map(F.col, keys)) for name, keys in ids.items()})
@@ -76,10 +79,9 @@ def load_star(
     ).withColumn("earning_id", surrogate_key(*[F.col(k) for k in EARNING_KEYS]))
     # The batch is read several times from here on; stored, its keys are resolved once.
     batch = materialize(latest.select(*EARNINGS.fieldNames()), "earnings")
-    flagged = change_flags(earnings, batch, EARNING_KEYS, EARNING_FIELDS)
     return {
         "companies": companies,
         "periods": periods,
-        "earnings": apply_changes(earnings, flagged, EARNING_KEYS),
-        "changes": flagged,
+        "earnings": merge_changes(earnings, batch, EARNING_KEYS, EARNING_FIELDS),
+        "changes": change_flags(earnings, batch, EARNING_KEYS, EARNING_FIELDS),
     }

@@ -35,6 +35,7 @@ def row(**fields: T.DataType) -> T.StructType:
 DAY_PARTITIONS = row(year=TEXT, month=TEXT, day=TEXT)
 RAW_PAGE = row(url=TEXT, timestamp=TEXT, content=TEXT)
 
+# The columns of the tables.
 ARTICLES = row(
     article_publisher=TEXT,
     authors=TEXT,
@@ -45,6 +46,8 @@ ARTICLES = row(
     title=TEXT,
     url=TEXT,
 )
+# Stored articles have the day of their date as folder column.
+STORED_ARTICLES = row(**{f.name: f.dataType for f in ARTICLES.fields}, day=TEXT)
 FINANCIAL_EVENTS = row(
     release_time=WALL,
     timezone=TEXT,
@@ -56,6 +59,8 @@ FINANCIAL_EVENTS = row(
     previous=REAL,
     unit=TEXT,
 )
+# Where a parsed row stood: rows of one page are loaded in page order.
+PAGE_PLACE = row(page=TEXT, position=T.IntegerType())
 MEASURE = row(value=NUMBER, unit=TEXT)
 EARNING_RECORD = row(
     company=row(name=TEXT, symbol=TEXT),

@@ -98,13 +98,12 @@ def latest_text(spark: SparkSession, path: str) -> DataFrame:
     """(path, text) of the newest file in a folder; no row when it has none."""
     if not path_exists(spark, path):
         return empty_table(spark, LATEST_TEXT)
-    files = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_modification_time").alias("changed"),
-        F.col("value").alias("text"),
-    )
-    newest = files.agg(F.max_by("path", F.struct("changed", "path")).alias("path"))
-    return files.join(F.broadcast(newest), "path").select("path", "text")  # newest is one row
+    # Listed without their content; only the newest file is opened.
+    files = spark.read.format("binaryFile").load(path).select("path", "modificationTime")
+    newest = files.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path")).first()["path"]
+    if newest is None:
+        return empty_table(spark, LATEST_TEXT)
+    return spark.read.text(newest, wholetext=True).select(F.lit(newest).alias("path"), F.col("value").alias("text"))
 
 
 def member_records(bodies: DataFrame, body: str = "body") -> DataFrame:

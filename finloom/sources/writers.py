@@ -39,6 +39,14 @@ def write_partitions(
     writer.option("partitionOverwriteMode", "dynamic").format(kind).save(path)
 
 
+def write_day_rejects(df: DataFrame, path: str, days: Sequence[dt.date]) -> None:
+    """Replace the rejects of these days, also with none: df has the day columns."""
+    for day in days:
+        own = {"year": f"{day:%Y}", "month": f"{day:%m}", "day": f"{day:%d}"}
+        rows = df.where(" AND ".join(f"CAST({c} AS INT) = {int(v)}" for c, v in own.items())).drop(*own)
+        rows.write.mode("overwrite").parquet(f"{path}/" + "/".join(f"{c}={v}" for c, v in own.items()))
+
+
 def write_pages(pages: DataFrame, path: str, day: Column) -> None:
     """Raw pages by theme and day; Spark names the files, so the page slug is kept as a column."""
     named = with_day_columns(pages.withColumn("slug", slug(F.col("url"))), day)
@@ -78,11 +86,11 @@ def write_digest(
 
 
 def read_digest(spark: SparkSession, folder: str) -> DataFrame:
-    """(part, text) of a written digest: one part per file, numbered in file order."""
+    """(part, text) of a written digest: one row per file, whose parts grow in file order."""
     files = spark.read.text(folder, wholetext=True).where("value <> ''")
     # Files are named part-<task>-<job id>-c<file of the task>.
     task, file = [F.regexp_extract(F.col("_metadata.file_name"), p, 1).cast("bigint") for p in (r"^part-(\d+)", r"-c(\d+)")]
-    return files.select((task * 1_000_000 + file).alias("part"), F.col("value").alias("text"))
+    return files.select((F.shiftleft(task, 32) + file).alias("part"), F.col("value").alias("text"))
 
 
 def load_staging(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -119,20 +127,32 @@ def publish(df: DataFrame, table: str, version_path: str) -> int:
     return spark.table(table).count()
 
 
+def _literal(value: object) -> str:
+    """A partition value as SQL text."""
+    if value is None:
+        return "NULL"
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def publish_partitions(df: DataFrame, table: str, by: Sequence[str], version_path: str) -> None:
     """Replace the partitions present in df: write them to a new folder, then point the table's
     partitions there one by one.
 
     df may read the table itself; the old folders stay, and other partitions are untouched.
-    A batch touches few partitions, so their names are listed on the driver.
+    A batch touches few partitions, so their names are listed on the driver. Folders are named
+    as Spark has written them, so any value can be a partition, NULL too.
     """
     spark = df.sparkSession
     df.hint("rebalance", *by).write.mode("errorifexists").partitionBy(*by).parquet(version_path)
-    written = spark.read.schema(df.schema).parquet(version_path).select(*by).distinct().collect()
-    folders = {"/".join(f"{c}={v}" for c, v in zip(by, values)): values for values in written}
+    place = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    folder_of = F.regexp_extract(place, rf"({'/'.join([r'[^/]+'] * len(by))})/[^/]+$", 1).alias("folder")
+    written = spark.read.schema(df.schema).parquet(version_path).select(*by, folder_of).distinct().collect()
     clauses = {
-        folder: (f"PARTITION ({', '.join(f'{c} = {v!r}' for c, v in zip(by, values))})", f"LOCATION '{version_path}/{folder}'")
-        for folder, values in folders.items()
+        r["folder"]: (
+            f"PARTITION ({', '.join(f'`{c}` = {_literal(r[c])}' for c in by)})",
+            f"LOCATION {_literal(version_path + '/' + r['folder'])}",
+        )
+        for r in written
     }
     listed = spark.sql(f"SHOW PARTITIONS {table}").where(F.col("partition").isin(list(clauses)))
     known = {r.partition for r in listed.collect()}

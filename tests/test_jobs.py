@@ -97,8 +97,8 @@ def test_whole_day(spark, tmp_path):
     sent = sorted((json.loads(m.value) for m in spark.read.json(out).collect()), key=lambda m: m["part"])
     assert "".join(m["text"] for m in sent) == text_of(final)
 
-    rejects = spark.read.parquet(str(tmp_path / "REJECTS/EVENTS"))
-    assert rejects.count() == 1
+    # the later run's page of 25 March has no unreadable row, and replaced the day's rejects
+    assert spark.read.parquet(str(tmp_path / "REJECTS/EVENTS")).count() == 0
     spark.sql("DROP DATABASE daily CASCADE")
 
 
