@@ -24,6 +24,8 @@ from finloom.session import materialize
 GRAM = 8
 #: A minimiser found more often is dealt over buckets of about so many super-k-mers.
 BUCKET_ROWS = 1000
+#: A minimiser found so often in one chunk of rows is dealt by chunk from the start.
+HEAVY_IN_CHUNK = 50
 #: Windows of a super-k-mer fit one bit each in a long.
 MOST_WINDOWS = 60
 
@@ -55,50 +57,74 @@ def super_kmers(w: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def _minimisers(window: int):
+    """(row, key, salt, mark) of every super-k-mer. A key found many times in one chunk of rows is
+    known to repeat: its rows get a salt of the chunk's own, and one mark without salt tells so."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in row_chunks(batches, "text"):
             w = words_of(texts)
             first, _, key = super_kmers(w, window)
-            owner = rows.column(0).to_numpy(zero_copy_only=False)[w.doc[first]]
-            yield pa.RecordBatch.from_arrays([pa.array(owner, pa.int64()), pa.array(key.view(np.int64))], names=["row", "key"])
+            row = rows.column(0).to_numpy(zero_copy_only=False)
+            _, where, many = np.unique(key, return_inverse=True, return_counts=True)
+            heavy = many[where] >= HEAVY_IN_CHUNK
+            salt = np.where(heavy, row[0] if len(row) and row[0] else 1, 0)
+            told = np.unique(key[heavy])
+            yield pa.record_batch(
+                [
+                    pa.array(np.concatenate([row[w.doc[first]], np.zeros(len(told), np.int64)]), pa.int64()),
+                    pa.array(np.concatenate([key, told]).view(np.int64)),
+                    pa.array(np.concatenate([salt, np.zeros(len(told), np.int64)]), pa.int64()),
+                    pa.array(np.concatenate([np.zeros(len(key), bool), np.ones(len(told), bool)])),
+                ],
+                names=["row", "key", "salt", "mark"],
+            )
 
     return run
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows (row, key) sorted by key: those whose key is there more than once, with the part
-    of the key's super-k-mers they go to, and whether the key has several parts. Holds one part."""
-    here, held, part = None, [], 0
+    """From rows (row, key, salt, mark) sorted by key, salt, and marks first: those whose key is
+    there more than once, with the part of the key's super-k-mers they go to, and whether the key has
+    several parts. Holds one part between batches."""
+    here, told, held, part = None, None, [], 0
 
-    def given(rows: list[int], key: int, part: int, wide: bool) -> pa.RecordBatch:
-        n = len(rows)
-        return pa.record_batch([pa.array(rows, pa.int64()), pa.array(np.full(n, key)), pa.array(np.full(n, part)), pa.array(np.full(n, wide))], names=["row", "key", "part", "wide"])
+    def given(row, key, part, wide: bool) -> pa.RecordBatch:
+        n = len(row)
+        return pa.record_batch([pa.array(row, pa.int64()), pa.array(np.broadcast_to(key, n), pa.int64()), pa.array(np.broadcast_to(part, n), pa.int64()), pa.array(np.full(n, wide))], names=["row", "key", "part", "wide"])
 
     for batch in batches:
-        row, key = (c.to_numpy() for c in batch.columns)
+        row, key, salt = (batch.column(k).to_numpy() for k in range(3))
+        mark = batch.column(3).to_numpy(zero_copy_only=False)
+        if not len(row):
+            continue
+        known = key[mark] if told is None else np.append(key[mark], told)
+        wide = np.isin(key, known) | (salt != 0)
+        if wide.any():
+            pick = wide & ~mark
+            # any split into parts will do: rows of a part are about BUCKET_ROWS neighbours
+            yield given(row[pick], key[pick], mix((salt[pick] + 1 + np.arange(pick.sum()) // BUCKET_ROWS).view(_U)).view(np.int64), True)
+        told = key[-1] if wide[-1] and (salt[-1] == 0) else None
+        row, key = row[~wide], key[~wide]
+        if not len(row):
+            continue
+        # short runs inside the batch go on at once; the first and last may be parts of longer ones
         edge = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
-        out, single = [], np.diff(edge) == 1
-        single[[0, -1]] = False  # may go on from the last batch, or into the next
-        # short runs inside the batch, at once
-        many = np.repeat(~single, np.diff(edge))
-        inner = many.copy()
-        inner[: edge[1]] = inner[edge[-2] :] = False
         size = np.repeat(np.diff(edge), np.diff(edge))
-        short = inner & (size <= BUCKET_ROWS)
+        inner = np.ones(len(key), bool)
+        inner[: edge[1]] = inner[edge[-2] :] = False
+        short = inner & (size > 1) & (size <= BUCKET_ROWS)
         if short.any():
-            n = int(short.sum())
-            out.append(pa.record_batch([pa.array(row[short]), pa.array(key[short]), pa.array(np.zeros(n, np.int64)), pa.array(np.zeros(n, bool))], names=["row", "key", "part", "wide"]))
-        rest = np.flatnonzero(~short & many)
+            yield given(row[short], key[short], 0, False)
+        rest = np.flatnonzero(~inner | (size > BUCKET_ROWS))
         for k, r in zip(key[rest].tolist(), row[rest].tolist(), strict=True):
             if k != here:
                 if len(held) > 1 or part:
-                    out.append(given(held, here, part, part > 0))
+                    yield given(held, here, part, part > 0)
                 here, held, part = k, [], 0
             if len(held) == BUCKET_ROWS:
-                out.append(given(held, here, part, True))
+                yield given(held, here, part, True)
                 held, part = [], part + 1
             held.append(r)
-        yield from out
     if len(held) > 1 or part:
         yield given(held, here, part, part > 0)
 
@@ -240,6 +266,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_column: str = "doc_id",
     documents of their own, so their windows repeat. Columns of any name may come along in doc.
 
     1. Minimisers of all super-k-mers are sorted (16 bytes for each); those found once are done.
+       One that is frequent where it is read is dealt by where it was read, not by itself alone.
     2. The other super-k-mers travel as one string to their minimiser's bucket, where equal windows
        are found by comparing their words. A minimiser found very often is dealt over more
        buckets; the different windows of these buckets meet again, each by its own hash.
@@ -252,8 +279,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_column: str = "doc_id",
     others = [c for c in docs.columns if c.lower() != text_column.lower()]
     source = docs.select(row.alias("row"), F.struct(*[F.col(f"`{c}`") for c in others]).alias("doc"), F.col(text_column).alias("text"))
     id_type = docs.schema[id_column].dataType
-    minimisers = source.select("row", "text").mapInArrow(_minimisers(window), "row long, key long")
-    repeated = minimisers.repartition("key").sortWithinPartitions("key", "row").mapInArrow(_repeated, "row long, key long, part long, wide boolean")
+    minimisers = source.select("row", "text").mapInArrow(_minimisers(window), "row long, key long, salt long, mark boolean")
+    repeated = minimisers.repartition("key", "salt").sortWithinPartitions("key", "salt", F.desc("mark"), "row").mapInArrow(_repeated, "row long, key long, part long, wide boolean")
     keys = materialize(repeated, "minimisers").groupBy("row").agg(F.collect_set(F.struct("key", "part", "wide")).alias("keys"))
     places = [StructField("row", LongType()), StructField("id", id_type), StructField("first", LongType())]
     whole = source.join(keys, "row").select("row", F.col(f"doc.`{id_column}`").alias("id"), "text", "keys")

@@ -55,6 +55,7 @@ def cut(rows, window):
 @pytest.mark.parametrize("bucket", [1000, 2])
 def test_repeated_windows_go(spark, window, bucket, monkeypatch):
     monkeypatch.setattr(substrings, "BUCKET_ROWS", bucket)
+    monkeypatch.setattr(substrings, "HEAVY_IN_CHUNK", 50 if bucket > 2 else 2)
     rows = copies()
     docs = spark.createDataFrame([(i, t, "x", k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, n_removed string, row int").repartition(5)
     got = substrings.remove_repeats(docs, window).collect()
