@@ -75,9 +75,9 @@ def log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _cell(depth: int, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Slot of each node (context bytes and bit prefix as one number) and a tag to tell it by."""
     if SLOT_BITS[depth] >= 8 * (depth + 1):
-        return node.astype(np.int64), np.zeros(len(node), np.uint16)
+        return node.astype(np.int64), np.zeros(len(node), np.uint8)
     h = mix(node + _U((depth + 1) << 56))
-    return (h >> _U(64 - SLOT_BITS[depth])).astype(np.int64), (h & _U(0xFFFF)).astype(np.uint16)
+    return (h >> _U(64 - SLOT_BITS[depth])).astype(np.int64), (h & _U(0xFF)).astype(np.uint8)
 
 
 def _values(depth: int, node, a, b, kt, pw) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +86,7 @@ def _values(depth: int, node, a, b, kt, pw) -> tuple[np.ndarray, np.ndarray]:
     rank = np.minimum(np.log2(a + b) * 800, 32000).astype(np.int64)
     p = np.clip(np.rint((b + 0.5) / (a + b + 1) * 65536), 1, 65535).astype(np.int64)
     w = np.rint(np.exp(np.clip(math.log(0.5) * (depth < DEPTH) + kt - pw, -50, 0)) * 65535).astype(np.int64)
-    return _OFFSET[depth] + slot, (rank << 48) | (p << 32) | (tag.astype(np.int64) << 16) | w
+    return _OFFSET[depth] + slot, (rank << 40) | (p << 24) | (w << 8) | tag
 
 
 def _summed(node: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -114,18 +114,13 @@ def subtree(key: np.ndarray, n: np.ndarray, least_depth: int) -> tuple[list[tupl
 
 
 class Tables:
-    """The nodes by slot: estimate of a one (0: not seen), tag, weight."""
-
-    def __init__(self, parts: dict[int, bytes], top: list[tuple[np.ndarray, np.ndarray]]):
-        size = int(_OFFSET[-1])
-        self.p, self.tag, self.w = (np.zeros(size, np.uint16) for _ in range(3))
-        for part, raw in parts.items():
-            three = np.frombuffer(raw, "<u2").reshape(3, -1)
-            at = slice(part << PART_BITS, min(size, (part + 1) << PART_BITS))
-            for own, got in zip((self.p, self.tag, self.w), three, strict=True):
-                own[at] = got[: at.stop - at.start]
-        for cell, value in top:
-            self.p[cell], self.tag[cell], self.w[cell] = (value >> 32) & 0xFFFF, (value >> 16) & 0xFFFF, value & 0xFFFF
+    """The nodes by slot, five bytes each: estimate of a one (0: not seen) and weight, and tag."""
+
+    def __init__(self) -> None:
+        self.cells, self.tags = np.zeros(int(_OFFSET[-1]), np.uint32), np.zeros(int(_OFFSET[-1]), np.uint8)
+
+    def put(self, at, value: np.ndarray) -> None:
+        self.cells[at], self.tags[at] = (value >> 8) & 0xFFFFFFFF, value & 0xFF
 
     def log10(self, key: np.ndarray) -> np.ndarray:
         """log10 of the probability of each gram's last byte after the others."""
@@ -137,9 +132,9 @@ class Tables:
             for depth in range(DEPTH, -1, -1):
                 slot, tag = _cell(depth, ((context & _U((1 << 8 * depth) - 1)) << _U(8)) | prefix)
                 slot += _OFFSET[depth]
-                p = self.p[slot]
-                seen = (p > 0) & (self.tag[slot] == tag)
-                own, w = p / 65536, self.w[slot] / 65535
+                cell = self.cells[slot]
+                seen = (cell > 0) & (self.tags[slot] == tag)
+                own, w = (cell >> 16) / 65536, (cell & 0xFFFF) / 65535
                 mixed = np.where(seen, np.where(deeper, w * own + (1 - w) * mixed, own), mixed)
                 deeper |= seen
             total += np.log10(np.where((symbol >> _U(7 - j)) & _U(1), mixed, 1 - mixed))
@@ -175,11 +170,7 @@ _NODE_NAMES = ["cell", "value", "node", "a", "b", "pw"]
 
 def _part(table: pa.Table) -> pa.Table:
     cell, value = table["cell"].to_numpy(), table["value"].to_numpy()
-    three = np.zeros((3, 1 << PART_BITS), "<u2")
-    at = cell & ((1 << PART_BITS) - 1)
-    for k, shift in enumerate((32, 16, 0)):
-        three[k, at] = (value >> shift) & 0xFFFF
-    return pa.table({"part": pa.array(cell[:1] >> PART_BITS, pa.int64()), "raw": pa.array([three.tobytes()], pa.binary())})
+    return pa.table({"part": pa.array(cell[:1] >> PART_BITS, pa.int64()), "cells": pa.array([(cell & ((1 << PART_BITS) - 1)).astype("<u2").tobytes()]), "values": pa.array([value.astype("<i8").tobytes()])})
 
 
 def train_tree(texts: DataFrame) -> Tables:
@@ -192,9 +183,10 @@ def train_tree(texts: DataFrame) -> Tables:
     dealt = counts.groupBy(F.shiftright("gram", 8).bitwiseAND(0xFFFF)).applyInArrow(_nodes, "cell long, value long, node long, a double, b double, pw double")
     nodes = materialize(dealt, "nodes")
     cells = nodes.where("cell IS NOT NULL").groupBy("cell").agg(F.max("value").alias("value"))
-    parts = {r["part"]: bytes(r["raw"]) for r in cells.groupBy(F.shiftright("cell", PART_BITS)).applyInArrow(_part, "part long, raw binary").collect()}
+    tables = Tables()
+    for r in cells.groupBy(F.shiftright("cell", PART_BITS)).applyInArrow(_part, "part long, cells binary, values binary").toLocalIterator():
+        tables.put((r["part"] << PART_BITS) + np.frombuffer(r["cells"], "<u2").astype(np.int64), np.frombuffer(r["values"], "<i8"))
     top = nodes.where("node IS NOT NULL").groupBy("node").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("pw").alias("pw")).collect()
-    upper = []
     if top:
         node = np.array([r["node"] for r in top], _U)
         a, b, below = (np.array([r[c] for r in top]) for c in ("a", "b", "pw"))
@@ -202,9 +194,10 @@ def train_tree(texts: DataFrame) -> Tables:
             node, a, b, below = _summed(node & _U((1 << (8 * depth + 8)) - 1), a, b, below)
             kt = log_kt(a, b)
             pw = math.log(0.5) + np.logaddexp(kt, below)
-            upper.append(_values(depth, node, a, b, kt, pw))
+            cell, value = _values(depth, node, a, b, kt, pw)
+            tables.put(cell, value)
             below = pw
-    return Tables(parts, upper)
+    return tables
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
