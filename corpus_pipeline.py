@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finloom.llm import decontaminate, language, packing
+from finloom.llm import decontaminate, language, packing, setjoin, substrings
 from finloom.llm.queries import table, tokenizer_path
 from finloom.session import scratch_dir
 
@@ -23,6 +23,23 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return kept.select("doc.*")
 
 
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles with a similarity of 0.8 or more."""
+    return setjoin.one_of_each(docs, n=5, num=80, den=100)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 35 words or more that are found twice. A document that
+    loses nothing keeps its text as it is; n_chars follows the text."""
+    cut = substrings.remove_repeats(docs.withColumn("_whole", F.col("text")), window=35)
+    changed = F.col("n_removed") > 0
+    new = {"text": F.when(changed, F.col("text")).otherwise(F.col("doc._whole"))}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        new["n_chars"] = F.when(changed, F.length("text").cast(kind)).otherwise(F.col("doc.n_chars"))
+    return cut.select(*[(new[c] if c in new else F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
+
+
 def no_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return decontaminate.remove_leaking(docs, table(spark, sf_dir, "benchmark"))
@@ -37,6 +54,8 @@ def windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
     ("language_id", known_language),
+    ("near_copies", one_of_near_copies),
+    ("substring_dedup", without_repeats),
     ("decontamination", no_leaks),
     ("packing", windows),
 ]

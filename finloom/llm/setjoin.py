@@ -30,7 +30,9 @@ from finloom.llm.words import mix, row_chunks, row_key, small_batches, words_of
 from finloom.session import materialize
 
 #: Cost of an expected meeting over an empty subset, in keys.
-EMPTY_COST = 500.0
+EMPTY_COST = 50.0
+#: Widths of the size bands to choose from.
+BAND_WIDTHS = (2.0, 1.5, 1.25, 1.0)
 #: Nodes in a block of a tile.
 TILE_NODES = 1500
 #: Row keys that are sent to every task to pick texts; more are joined by shuffle.
@@ -44,14 +46,28 @@ class Bands:
 
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
-        self.low = [1, 2]
+        sizes = [round(100 * 1.2**k) for k in range(20)]
+        self._widen(min(BAND_WIDTHS, key=lambda width: (self._widen(width), sum(self.cost(n) / n for n in sizes))[1]))
+
+    def _widen(self, width: float) -> None:
+        """Bands whose sizes span a factor of (den / num) ** width: wide ones are fewer, narrow ones
+        let fewer elements differ."""
+        self.width, self.low = width, [1, 2]
         self._ways: dict[int, tuple[bool, int, int]] = {}
 
+    def cost(self, n: int) -> float:
+        """Keys, and useless meetings over empty subsets, of a set of n elements."""
+        total = 0.0
+        for band in self.of(n):
+            deletions, m, skip = self.way(band)
+            total += (m + n if deletions else m - skip) + EMPTY_COST * _beyond(m * math.exp(-n / m), skip) * (m > 1)
+        return total
+
     def of(self, n: int) -> range:
         """Bands in which a set of n elements can meet another: its own, and those of larger sets."""
         most = n * self.den // self.num
         while self.low[-2] <= most:
-            self.low.append(max(self.low[-1] + 1, math.ceil(self.low[-1] * (self.den / self.num) ** 2)))
+            self.low.append(max(self.low[-1] + 1, math.ceil(self.low[-1] * (self.den / self.num) ** self.width)))
         if not n:
             return range(0)
         return range(max(0, int(np.searchsorted(self.low, n, "right")) - 1), int(np.searchsorted(self.low, most, "right")))
@@ -63,7 +79,7 @@ class Bands:
             apart = (self.den - self.num) * 2 * most // (self.den + self.num)
             m = apart // 2 + 1
             ways = [(m + most + EMPTY_COST * m * math.exp(-least / m) * (m > 1), True, m, 0)]
-            for skip in (0, 1, 2, 4, 8, 16, 32, 64):
+            for skip in (0, 1, 2, 3, 4, 5, 7, 9, 12, 15, 20, 26, 34, 44, 57, 74, 96, 125, 160, 210, 270, 350):
                 m = apart + 1 + 2 * skip
                 if m <= max(1, least):
                     ways.append((m - skip + EMPTY_COST * _beyond(m * math.exp(-least / m), skip) * (m > 1), False, m, skip))
