@@ -12,15 +12,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
-from finloom.llm.words import LOWER, row_chunks, small_batches, without
+from finloom.llm.words import LOWER, mix, row_chunks, small_batches, without, words_of
+from finloom.session import materialize
+
+_U = np.uint64
 
 #: Rows of labels that the model is fitted on, at most about so many, chosen by hash of the id.
 TRAIN_ROWS = 200_000
 #: Features: hashed words.
 FEATURES = 1 << 18
 SLICE = 1 << 10
+#: Share of the rows of a label that a word must be in to weigh anything.
+LEAST_SHARE = 0.02
 
 #: Symbols of the character model: a-z, any other letter, and the gap between words.
 GAP, OTHER, SYMBOLS = 0, 27, 28
@@ -150,6 +155,22 @@ class Decoder:
         return "".join(reversed(letters)).strip()
 
 
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, label) with the smallest of two hashes over runs of three words of the text."""
+    for rows, texts in row_chunks(batches, "text"):
+        w = words_of(texts, lower=True)
+        g, whole = w.grams(3)
+        out = []
+        for salt in (0, 0x51ED):
+            h = np.where(whole, mix(g ^ _U(salt)), _U(2**64 - 1))
+            smallest = mix(np.array([zlib.crc32(t or b"") for t in texts], _U))  # of texts with fewer words
+            if len(h):
+                np.minimum.at(low := np.full(len(texts), _U(2**64 - 1)), w.doc[: len(h)], h)
+                smallest = np.where(low < _U(2**64 - 1), low, smallest)
+            out.append(pa.array(smallest.view(np.int64)))
+        yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), *out], names=["id", "label", "s", "t"])
+
+
 def feature(word: str) -> int:
     return zlib.crc32(word.encode()) % FEATURES
 
@@ -203,9 +224,11 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     """The model from docs (all texts, for the character model) and labels of some of their ids.
 
     Labels are 0 or 1; null labels and ids are left out; an id labelled twice counts as its largest
-    label. At most about `rows` labelled ids are used, chosen by hash. A word's weight is its
-    log ratio of document shares, kept where the ratio is at least e and the likelihood ratio
-    statistic at least 20; other words weigh nothing. Without labels of both kinds all
+    label. At most about `rows` labelled ids are used, chosen by hash; of texts with the same label
+    that share the smallest hash of three words, one: copies say nothing new. A word's weight is its
+    log ratio of document shares, kept where the ratio is at least e, the likelihood ratio
+    statistic at least 20, and the word in LEAST_SHARE of one label's rows, so that the words of a few
+    copied texts do not count; other words weigh nothing. Without labels of both kinds all
     weights are 0 and the score is the share of label 1."""
     spark = docs.sparkSession
     small_batches(spark)
@@ -213,7 +236,11 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     known = labels.where(f"`{id_column}` IS NOT NULL AND `{label_column}` IS NOT NULL").groupBy(F.col(id_column).alias("id")).agg(F.max(F.col(label_column).cast("int")).alias("label"))
     share = min(1.0, rows / max(1, known.count()))
     chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    texts = docs.where(f"`{text_column}` IS NOT NULL").join(F.broadcast(chosen), F.col(id_column) == F.col("id")).select(F.col(text_column).alias("text"), "label")
+    rows_of = docs.where(f"`{text_column}` IS NOT NULL").select(F.col(id_column).alias("doc"), F.col(text_column).alias("text"))
+    signed = rows_of.join(F.broadcast(chosen), F.col("doc") == F.col("id")).select("id", "label", "text").mapInArrow(_signed, StructType([chosen.schema["id"], StructField("label", IntegerType()), StructField("s", LongType()), StructField("t", LongType())]))
+    single = signed.groupBy("label", "s").agg(F.min(F.struct("id", "t")).alias("x")).select("label", "x.*").groupBy("label", "t").agg(F.min("id").alias("id"))
+    single = materialize(single.select("id", "label"), "single")
+    texts = rows_of.join(F.broadcast(single), F.col("doc") == F.col("id")).select("text", "label")
     shared = spark.sparkContext.broadcast(characters)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,7 +261,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
         expected = (a + b) * n1 / (n0 + n1)
         with np.errstate(divide="ignore", invalid="ignore"):
             surprise = 2 * (np.where(a > 0, a * np.log(a / expected), 0) + np.where(b > 0, b * np.log(b / (a + b - expected)), 0))
-        keep = (np.abs(ratio) >= 1) & (surprise >= 20)
+        keep = (np.abs(ratio) >= 1) & (surprise >= 20) & ((a >= LEAST_SHARE * n1) | (b >= LEAST_SHARE * n0))
         weights[keep] = ratio[keep]
     model = Model(characters, weights, 0.0, math.log((n1 + 0.5) / (n0 + 0.5)))
     if weights.any():
