@@ -25,7 +25,7 @@ TRAIN_ROWS = 200_000
 FEATURES = 1 << 18
 SLICE = 1 << 10
 #: Share of the rows of a label that a word must be in to weigh anything.
-LEAST_SHARE = 0.02
+LEAST_SHARE = 0.03
 
 #: Symbols of the character model: a-z, any other letter, and the gap between words.
 GAP, OTHER, SYMBOLS = 0, 27, 28
