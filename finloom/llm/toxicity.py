@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,11 +23,10 @@ _U = np.uint64
 
 #: Rows of labels that the model is fitted on, at most about so many, chosen by hash of the id.
 TRAIN_ROWS = 200_000
-#: Features: hashed words.
-FEATURES = 1 << 18
-SLICE = 1 << 10
-#: Share of the rows of a label that a word must be in to weigh anything.
-LEAST_SHARE = 0.03
+#: Different words held by a task before it hands on their counts.
+HELD = 1_000_000
+#: Rows of a label, copies counted once, that a word must be in to weigh anything.
+LEAST_ROWS = 5
 
 #: Symbols of the character model: a-z, any other letter, and the gap between words.
 GAP, OTHER, SYMBOLS = 0, 27, 28
@@ -172,7 +173,8 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def feature(word: str) -> int:
-    return zlib.crc32(word.encode()) % FEATURES
+    """63 bits that stand for a word, so that no clean word shares the weight of another."""
+    return int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest()) >> 1
 
 
 class Reader:
@@ -215,7 +217,7 @@ class Model:
     """Character model, weights of the features, and the line from their sum to log odds."""
 
     characters: np.ndarray
-    weights: np.ndarray
+    weights: dict[int, float]
     slope: float
     base: float
 
@@ -227,7 +229,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     label. At most about `rows` labelled ids are used, chosen by hash; of texts with the same label
     that share the smallest hash of three words, one: copies say nothing new. A word's weight is its
     log ratio of document shares, kept where the ratio is at least e, the likelihood ratio
-    statistic at least 20, and the word in LEAST_SHARE of one label's rows, so that the words of a few
+    statistic at least 20, and the word in LEAST_ROWS rows of one label, so that the words of a few
     copied texts do not count; other words weigh nothing. Without labels of both kinds all
     weights are 0 and the score is the share of label 1."""
     spark = docs.sparkSession
@@ -244,27 +246,36 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     shared = spark.sparkContext.broadcast(characters)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, total = Reader(shared.value), np.zeros((2, FEATURES + SLICE), np.int64)
+        reader, held = Reader(shared.value), (Counter(), Counter())
+
+        def given() -> pa.RecordBatch:
+            words = list(held[0] | held[1])
+            columns = [pa.array(words, pa.int64()), *[pa.array([h[w] for w in words], pa.int64()) for h in held]]
+            for h in held:
+                h.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["word", "zeros", "ones"])
+
         for part, found in row_chunks(batches, "text"):
             for label, text in zip(part.column(1).to_pylist(), found, strict=True):
-                hits = np.fromiter(reader.features(text.decode()), np.int64)
-                total[int(label == 1), hits] += 1
-                total[int(label == 1), FEATURES] += 1
-        yield _sliced(total.ravel(), SLICE)
-
-    total = _gathered(texts.mapInArrow(count, "part int, counts binary"), 2 * (FEATURES + SLICE)).reshape(2, -1).astype(float)
-    n0, n1 = total[:, FEATURES]
-    weights = np.zeros(FEATURES, np.float32)
+                own = held[int(label == 1)]
+                own.update(reader.features(text.decode()))
+                own[-1] += 1  # all rows
+                if len(own) > HELD:
+                    yield given()
+        yield given()
+
+    words = materialize(texts.mapInArrow(count, "word long, zeros long, ones long").groupBy("word").agg(F.sum("zeros").cast("double").alias("b"), F.sum("ones").cast("double").alias("a")), "label-words")
+    n0, n1 = next(((r["b"], r["a"]) for r in words.where("word = -1").collect()), (0.0, 0.0))
+    weights: dict[int, float] = {}
     if n0 and n1:
-        a, b = total[1, :FEATURES], total[0, :FEATURES]
-        ratio = np.log((a + 0.5) / (n1 + 1)) - np.log((b + 0.5) / (n0 + 1))
-        expected = (a + b) * n1 / (n0 + n1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            surprise = 2 * (np.where(a > 0, a * np.log(a / expected), 0) + np.where(b > 0, b * np.log(b / (a + b - expected)), 0))
-        keep = (np.abs(ratio) >= 1) & (surprise >= 20) & ((a >= LEAST_SHARE * n1) | (b >= LEAST_SHARE * n0))
-        weights[keep] = ratio[keep]
+        a, b = F.col("a"), F.col("b")
+        expected = (a + b) * (n1 / (n0 + n1))
+        ratio = F.log((a + 0.5) / (n1 + 1)) - F.log((b + 0.5) / (n0 + 1))
+        surprise = 2 * (F.when(a > 0, a * F.log(a / expected)).otherwise(0) + F.when(b > 0, b * F.log(b / (a + b - expected))).otherwise(0))
+        kept = words.where((F.col("word") >= 0) & (F.greatest(a, b) >= LEAST_ROWS) & (F.abs(ratio) >= 1) & (surprise >= 20))
+        weights = {r["word"]: r["ratio"] for r in kept.select("word", ratio.alias("ratio")).collect()}
     model = Model(characters, weights, 0.0, math.log((n1 + 0.5) / (n0 + 0.5)))
-    if weights.any():
+    if weights:
         sums = score(texts, model, "text").select("label", F.round("toxic_sum", 1).alias("s")).groupBy("s").agg(F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("ones"), F.count("*").alias("n")).collect()
         model.slope, model.base = _line([(r["s"], r["ones"], r["n"]) for r in sums])
     return model
@@ -300,7 +311,7 @@ def score(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         reader = Reader(own.characters)
-        weight = {int(k): float(own.weights[k]) for k in np.flatnonzero(own.weights)}
+        weight = own.weights
         for part, texts in row_chunks(batches, text_column):
             sums = np.zeros(len(texts))
             for k, t in enumerate(texts):

@@ -172,3 +172,16 @@ def test_without_labels_the_score_is_even(spark):
     docs = spark.createDataFrame([(0, "a b")], "doc_id long, text string")
     none = toxicity.train(docs, spark.createDataFrame([(None, 1), (0, None)], "doc_id long, toxic int"))
     assert toxicity.score(docs, none).first().toxic_score == pytest.approx(0.5)
+
+
+def test_a_sure_word_of_few_rows_weighs(spark):
+    # ten of 400 toxic rows (2.5 %) and no clean row hold the word of a small language
+    def line(k):
+        return " ".join(f"{w}{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}" for w in ("one", "two", "six", "ten"))
+
+    rows = [(k, line(k) + (" malvado" if k < 10 else " scum" if k < 400 else " fine"), int(k < 400)) for k in range(1600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    fitted = toxicity.train(docs, docs.select("doc_id", "toxic"))
+    asked = spark.createDataFrame([(0, "malvado x"), (1, "fine x")], "doc_id long, text string")
+    got = {r.doc_id: r.toxic_score for r in toxicity.score(asked, fitted).collect()}
+    assert got[0] > 0.5 > got[1]
