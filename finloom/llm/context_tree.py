@@ -20,24 +20,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from finloom.llm.words import mix, row_chunks, small_batches
+from finloom.llm.words import row_chunks, small_batches
 from finloom.session import materialize
 
 DEPTH = 5
-#: Slots (as a power of two) for the nodes of each depth: the model sent to the tasks has this size
-#: whatever the corpus. Where two nodes fall on a slot the more frequent one stays, and the other
-#: counts as not seen, so that shorter contexts speak for it.
-SLOT_BITS = (8, 16, 20, 21, 22, 23)
+#: Grams whose scores are sent to every task, at most so many of the most frequent ones; the others
+#: are joined.
+FREQUENT_GRAMS = 1 << 21
 #: Words whose counts are sent to every task, the most frequent ones; the others are joined.
 FREQUENT_WORDS = 200_000
 #: Different grams or words held by a task before it hands on what it has.
 HELD = 3_000_000
 
-PART_BITS = 15
 END = b"\n"
 
 _U = np.uint64
-_OFFSET = np.concatenate([[0], np.cumsum([1 << b for b in SLOT_BITS])])
 
 
 def stream(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -72,21 +69,9 @@ def log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return log_gamma(a + 0.5) + log_gamma(b + 0.5) - log_gamma(a + b + 1) - math.log(math.pi)
 
 
-def _cell(depth: int, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Slot of each node (context bytes and bit prefix as one number) and a tag to tell it by."""
-    if SLOT_BITS[depth] >= 8 * (depth + 1):
-        return node.astype(np.int64), np.zeros(len(node), np.uint8)
-    h = mix(node + _U((depth + 1) << 56))
-    return (h >> _U(64 - SLOT_BITS[depth])).astype(np.int64), (h & _U(0xFF)).astype(np.uint8)
-
-
-def _values(depth: int, node, a, b, kt, pw) -> tuple[np.ndarray, np.ndarray]:
-    """Cells of the nodes, and frequency, estimate, tag and weight packed into one long."""
-    slot, tag = _cell(depth, node)
-    rank = np.minimum(np.log2(a + b) * 800, 32000).astype(np.int64)
-    p = np.clip(np.rint((b + 0.5) / (a + b + 1) * 65536), 1, 65535).astype(np.int64)
-    w = np.rint(np.exp(np.clip(math.log(0.5) * (depth < DEPTH) + kt - pw, -50, 0)) * 65535).astype(np.int64)
-    return _OFFSET[depth] + slot, (rank << 40) | (p << 24) | (w << 8) | tag
+def _weight(depth: int, kt: np.ndarray, pw: np.ndarray) -> np.ndarray:
+    """Share of a node's own estimate against the mixture of the next longer context."""
+    return np.exp(math.log(0.5) * (depth < DEPTH) + kt - pw)
 
 
 def _summed(node: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -95,109 +80,135 @@ def _summed(node: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
     return unique, *[np.add.reduceat(c[order], begin) if len(begin) else c[:0] for c in columns]
 
 
-def subtree(key: np.ndarray, n: np.ndarray, least_depth: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], tuple]:
-    """Cells and values of all nodes from full depth to least_depth over these grams, and nodes,
-    counts and log Pw of the nodes of least_depth."""
+def _bits(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of the eight decisions of each gram its node of full depth, and the bit taken."""
     symbol, context = key & _U(255), key >> _U(8)
-    node = np.concatenate([(context << _U(8)) | (_U(1 << j) | (symbol >> _U(8 - j))) for j in range(8)])
-    one = np.concatenate([(symbol >> _U(7 - j)) & _U(1) for j in range(8)]).astype(float)
-    many = np.tile(n.astype(float), 8)
+    node = np.array([(context << _U(8)) | (_U(1 << j) | (symbol >> _U(8 - j))) for j in range(8)])
+    return node, np.array([(symbol >> _U(7 - j)) & _U(1) for j in range(8)]).astype(bool)
+
+
+def _mixed(depth: int, asked: np.ndarray, bit: np.ndarray, mixed: np.ndarray, known: tuple[np.ndarray, ...]) -> np.ndarray:
+    """Probabilities of the bits taken with the nodes of one more depth; nan: no longer context seen."""
+    node, a, b, w = known
+    if not len(node):
+        return mixed
+    asked = asked & _U((1 << (8 * depth + 8)) - 1)
+    at = np.minimum(np.searchsorted(node, asked), len(node) - 1)
+    own = (np.where(bit, b[at], a[at]) + 0.5) / (a[at] + b[at] + 1)
+    with np.errstate(invalid="ignore"):
+        both = np.where(np.isnan(mixed), own, w[at] * own + (1 - w[at]) * mixed)
+    return np.where(node[at] == asked, both, mixed)
+
+
+def subtree(key: np.ndarray, n: np.ndarray, least_depth: int) -> tuple[np.ndarray, tuple]:
+    """Probabilities of the eight bits of each gram under the contexts from full depth to
+    least_depth, and nodes, counts and log Pw of the nodes of least_depth. Grams with n = 0 are
+    scored but not learned."""
+    asked, bit = _bits(key)
+    learned = n > 0
+    node, one = asked[:, learned].ravel(), bit[:, learned].ravel().astype(float)
+    many = np.tile(n[learned].astype(float), 8)
     node, a, b = _summed(node, many * (1 - one), many * one)
-    kt = log_kt(a, b)
-    pw, out = kt, [_values(DEPTH, node, a, b, kt, kt)]
+    pw = kt = log_kt(a, b)
+    mixed = _mixed(DEPTH, asked, bit, np.full(asked.shape, np.nan), (node, a, b, _weight(DEPTH, kt, pw)))
     for depth in range(DEPTH - 1, least_depth - 1, -1):
         node, a, b, below = _summed(node & _U((1 << (8 * depth + 8)) - 1), a, b, pw)
         kt = log_kt(a, b)
         pw = math.log(0.5) + np.logaddexp(kt, below)
-        out.append(_values(depth, node, a, b, kt, pw))
-    return out, (node, a, b, pw)
-
-
-class Tables:
-    """The nodes by slot, five bytes each: estimate of a one (0: not seen) and weight, and tag."""
-
-    def __init__(self) -> None:
-        self.cells, self.tags = np.zeros(int(_OFFSET[-1]), np.uint32), np.zeros(int(_OFFSET[-1]), np.uint8)
-
-    def put(self, at, value: np.ndarray) -> None:
-        self.cells[at], self.tags[at] = (value >> 8) & 0xFFFFFFFF, value & 0xFF
-
-    def log10(self, key: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each gram's last byte after the others."""
-        symbol, context = key & _U(255), key >> _U(8)
-        total = np.zeros(len(key))
-        for j in range(8):
-            prefix = _U(1 << j) | (symbol >> _U(8 - j))
-            mixed, deeper = np.full(len(key), 0.5), np.zeros(len(key), bool)
-            for depth in range(DEPTH, -1, -1):
-                slot, tag = _cell(depth, ((context & _U((1 << 8 * depth) - 1)) << _U(8)) | prefix)
-                slot += _OFFSET[depth]
-                cell = self.cells[slot]
-                seen = (cell > 0) & (self.tags[slot] == tag)
-                own, w = (cell >> 16) / 65536, (cell & 0xFFFF) / 65535
-                mixed = np.where(seen, np.where(deeper, w * own + (1 - w) * mixed, own), mixed)
-                deeper |= seen
-            total += np.log10(np.where((symbol >> _U(7 - j)) & _U(1), mixed, 1 - mixed))
-        return total
+        mixed = _mixed(depth, asked, bit, mixed, (node, a, b, _weight(depth, kt, pw)))
+    return mixed, (node, a, b, pw)
 
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def given(key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(key.view(np.int64)), pa.array(n)], names=["gram", "n"])
-
-    key, n = np.zeros(0, _U), np.zeros(0, np.int64)
-    for _, texts in row_chunks(batches, "text", 8 << 20):
-        got, many = np.unique(stream(texts)[0], return_counts=True)
-        key, n = _summed(np.concatenate([key, got]), np.concatenate([n, many]))
+    """Grams with how often they are in all rows, and in the rows to learn from."""
+
+    def given(key: np.ndarray, n: np.ndarray, learned: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(key.view(np.int64)), pa.array(n), pa.array(learned)], names=["gram", "n", "learned"])
+
+    key, n, learned = np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for rows, texts in row_chunks(batches, "text", 8 << 20):
+        grams, begin = stream(texts)
+        own = np.repeat(rows.column("learn").to_numpy(zero_copy_only=False), np.diff(begin))
+        got, where = np.unique(grams, return_inverse=True)
+        many, of_learn = np.bincount(where, minlength=len(got)), np.bincount(where[own], minlength=len(got))
+        key, n, learned = _summed(np.concatenate([key, got]), np.concatenate([n, many]), np.concatenate([learned, of_learn]))
         if len(key) > HELD:
-            yield given(key, n)
-            key, n = key[:0], n[:0]
-    yield given(key, n)
+            yield given(key, n, learned)
+            key, n, learned = key[:0], n[:0], learned[:0]
+    yield given(key, n, learned)
 
 
 def _nodes(table: pa.Table) -> pa.Table:
-    out, (node, a, b, pw) = subtree(table["gram"].to_numpy().view(_U), table["n"].to_numpy(), 2)
-    cell, value = (np.concatenate(c) for c in zip(*out, strict=True))
+    key = table["gram"].to_numpy().view(_U)
+    mixed, (node, a, b, pw) = subtree(key, table["learned"].to_numpy(), 2)
     up, a, b, pw = _summed(node & _U(0xFFFF), a, b, pw)
-    none = [pa.nulls(len(up), pa.int64()), pa.nulls(len(up), pa.int64())]
-    rows = pa.table([pa.array(cell, pa.int64()), pa.array(value), *[pa.nulls(len(cell), t) for t in (pa.int64(), pa.float64(), pa.float64(), pa.float64())]], names=_NODE_NAMES)
+    flat = pa.ListArray.from_arrays(pa.array(np.arange(0, mixed.size + 1, 8), pa.int32()), pa.array(mixed.T.ravel()))
+    rows = pa.table([table["gram"], table["n"], flat, pa.nulls(len(key), pa.int64()), *[pa.nulls(len(key), pa.float64())] * 3], names=_NODE_NAMES)
+    none = [pa.nulls(len(up), pa.int64()), pa.nulls(len(up), pa.int64()), pa.nulls(len(up), pa.list_(pa.float64()))]
     top = pa.table([*none, pa.array(up.astype(np.int64)), pa.array(a), pa.array(b), pa.array(pw)], names=_NODE_NAMES)
     return pa.concat_tables([rows, top])
 
 
-_NODE_NAMES = ["cell", "value", "node", "a", "b", "pw"]
-
+_NODE_NAMES = ["gram", "n", "mixed", "node", "a", "b", "pw"]
 
-def _part(table: pa.Table) -> pa.Table:
-    cell, value = table["cell"].to_numpy(), table["value"].to_numpy()
-    return pa.table({"part": pa.array(cell[:1] >> PART_BITS, pa.int64()), "cells": pa.array([(cell & ((1 << PART_BITS) - 1)).astype("<u2").tobytes()]), "values": pa.array([value.astype("<i8").tobytes()])})
 
-
-def train_tree(texts: DataFrame) -> Tables:
-    """Tables of the context trees of all rows of texts (one column, text; null counts as empty).
+def gram_scores(texts: DataFrame) -> DataFrame:
+    """For each gram of texts (text, and learn: true or false) how often it is in them, n, and
+    log10 of the probability of its last byte after the others, log10p, from the context trees of
+    the rows to learn from. Null counts as an empty text.
 
     Grams of depth + 1 bytes are counted in the tasks, added up by a shuffle, and dealt by their two
-    latest context bytes: each group holds whole subtrees. What is above two bytes is at most
-    65,280 nodes and is finished on the driver, which gathers the tables of fixed size."""
-    counts = texts.mapInArrow(_grams, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    dealt = counts.groupBy(F.shiftright("gram", 8).bitwiseAND(0xFFFF)).applyInArrow(_nodes, "cell long, value long, node long, a double, b double, pw double")
+    latest context bytes: each group holds whole subtrees and all grams that ask for them. What is
+    above two bytes is at most 65,280 nodes and is finished on the driver. Every node is kept."""
+    counts = texts.mapInArrow(_grams, "gram long, n long, learned long").groupBy("gram").agg(F.sum("n").alias("n"), F.sum("learned").alias("learned"))
+    dealt = counts.groupBy(F.shiftright("gram", 8).bitwiseAND(0xFFFF)).applyInArrow(_nodes, "gram long, n long, mixed array<double>, node long, a double, b double, pw double")
     nodes = materialize(dealt, "nodes")
-    cells = nodes.where("cell IS NOT NULL").groupBy("cell").agg(F.max("value").alias("value"))
-    tables = Tables()
-    for r in cells.groupBy(F.shiftright("cell", PART_BITS)).applyInArrow(_part, "part long, cells binary, values binary").toLocalIterator():
-        tables.put((r["part"] << PART_BITS) + np.frombuffer(r["cells"], "<u2").astype(np.int64), np.frombuffer(r["values"], "<i8"))
     top = nodes.where("node IS NOT NULL").groupBy("node").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("pw").alias("pw")).collect()
-    if top:
-        node = np.array([r["node"] for r in top], _U)
-        a, b, below = (np.array([r[c] for r in top]) for c in ("a", "b", "pw"))
-        for depth in (1, 0):
-            node, a, b, below = _summed(node & _U((1 << (8 * depth + 8)) - 1), a, b, below)
-            kt = log_kt(a, b)
-            pw = math.log(0.5) + np.logaddexp(kt, below)
-            cell, value = _values(depth, node, a, b, kt, pw)
-            tables.put(cell, value)
-            below = pw
-    return tables
+    node = np.array([r["node"] for r in top], _U)
+    a, b, below = (np.array([r[c] for r in top], float) for c in ("a", "b", "pw"))
+    known = []
+    for depth in (1, 0):
+        node, a, b, below = _summed(node & _U((1 << (8 * depth + 8)) - 1), a, b, below)
+        kt = log_kt(a, b)
+        pw = math.log(0.5) + np.logaddexp(kt, below)
+        known.append((depth, (node, a, b, _weight(depth, kt, pw))))
+        below = pw
+    shared = texts.sparkSession.sparkContext.broadcast(known)
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            asked, bit = _bits(batch.column(0).to_numpy().view(_U))
+            mixed = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, 8).T
+            for depth, table in shared.value:
+                mixed = _mixed(depth, asked, bit, mixed, table)
+            log = np.log10(np.where(np.isnan(mixed), 0.5, mixed)).sum(axis=0)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(log)], names=["gram", "n", "log10p"])
+
+    scores = nodes.where("node IS NULL").select("gram", "n", "mixed").mapInArrow(finish, "gram long, n long, log10p double")
+    return materialize(scores, "gram-scores")
+
+
+def _head(scores: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Grams and their scores, in order: those more frequent than a bound that FREQUENT_GRAMS
+    or fewer exceed. Grams as frequent are all in it or all out, so no order of rows matters."""
+    rank = F.floor(F.log2("n") * 16)
+    least, total = None, 0
+    for r in scores.groupBy(rank.alias("rank")).count().orderBy(F.desc("rank")).collect():
+        total += r["count"]
+        if total > FREQUENT_GRAMS:
+            break
+        least = r["rank"]
+    if least is None:
+        return np.zeros(0, _U), np.zeros(0)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.column(k).to_numpy().tobytes()], pa.binary()) for k in (0, 1)], names=["grams", "logs"])
+
+    rows = list(scores.where(rank >= least).select("gram", "log10p").mapInArrow(packed, "grams binary, logs binary").toLocalIterator())
+    grams = np.concatenate([np.frombuffer(r["grams"], _U) for r in rows])
+    order = np.argsort(grams)
+    return grams[order], np.concatenate([np.frombuffer(r["logs"], float) for r in rows])[order]
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,14 +248,22 @@ def score(docs: DataFrame, learn: Column, id_column: str = "doc_id", text_column
     known = spark.sparkContext.broadcast({r["word"].encode(): math.log10(r["c"] + 1) for r in top})
     # a word that is not among the frequent ones and cannot be below them was never seen
     complete = total["v"] <= FREQUENT_WORDS
-    tables = spark.sparkContext.broadcast(train_tree(texts))
+    scores = gram_scores(docs.select(F.col(text_column).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn")))
+    head = spark.sparkContext.broadcast(_head(scores))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs = known.value
+        logs, (grams, gram_logs) = known.value, head.value
         for rows, found in row_chunks(batches, "text", 8 << 20):
             key, begin = stream(found)
             unique, where = np.unique(key, return_inverse=True)
-            scores = np.add.reduceat(tables.value.log10(unique)[where], begin[:-1])
+            at = np.minimum(np.searchsorted(grams, unique), max(0, len(grams) - 1))
+            hit = grams[at] == unique if len(grams) else np.zeros(len(unique), bool)
+            one = np.zeros(len(unique))
+            one[hit] = gram_logs[at[hit]]
+            sums = np.add.reduceat(one[where], begin[:-1])
+            missed = ~hit[where]
+            offsets = np.concatenate([[0], np.cumsum(missed)])[begin]
+            others = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(key[missed].view(np.int64)))
             out = []
             for t in found:
                 split = (t or b"").lower().split()
@@ -254,18 +273,20 @@ def score(docs: DataFrame, learn: Column, id_column: str = "doc_id", text_column
                 out.append((len(split), len(got), math.fsum(got), [w.decode() for w in rest], list(rest.values())))
             n, seen, base, rare, times = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(n, pa.int64()), pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(rare, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int32())), pa.array(scores), pa.array(np.diff(begin))],
-                names=[rows.schema.names[0], "n_tokens", "seen", "base", "rare", "times", "score", "n_bytes"],
+                [rows.column(0), pa.array(n, pa.int64()), pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(rare, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int32())), others, pa.array(sums), pa.array(np.diff(begin))],
+                names=[rows.schema.names[0], "n_tokens", "seen", "base", "rare", "times", "grams", "score", "n_bytes"],
             )
 
     source = docs.select(id_column, F.col(text_column).alias("text"))
-    kinds = {"n_tokens": LongType(), "seen": LongType(), "base": DoubleType(), "rare": ArrayType(StringType()), "times": ArrayType(IntegerType()), "score": DoubleType(), "n_bytes": LongType()}
+    kinds = {"n_tokens": LongType(), "seen": LongType(), "base": DoubleType(), "rare": ArrayType(StringType()), "times": ArrayType(IntegerType()), "grams": ArrayType(LongType()), "score": DoubleType(), "n_bytes": LongType()}
     scored = source.mapInArrow(run, StructType([source.schema[0], *[StructField(k, v) for k, v in kinds.items()]]))
     scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
     more = rare.join(words, "word").groupBy("row").agg(F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("more"), F.sum("times").alias("also"))
+    # grams that are not in the head are all rare, so no key of this join is a hot one
+    rest = scored.select("row", F.explode("grams").alias("gram")).join(scores.select("gram", "log10p"), "gram").groupBy("row").agg(F.sum("log10p").alias("rest"))
     fixed = math.log10(total["n"] + total["v"] + 1)
-    return scored.join(more, "row", "left").select(
+    return scored.drop("rare", "times", "grams").join(more, "row", "left").join(rest, "row", "left").withColumn("score", F.col("score") + F.coalesce("rest", F.lit(0.0))).select(
         id_column,
         "n_tokens",
         (F.col("seen") + F.coalesce("also", F.lit(0))).alias("n_known"),

@@ -1,6 +1,7 @@
 """Context trees against the recursion written out, and toxicity on held-out labels."""
 
 import math
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -185,3 +186,15 @@ def test_a_sure_word_of_few_rows_weighs(spark):
     asked = spark.createDataFrame([(0, "malvado x"), (1, "fine x")], "doc_id long, text string")
     got = {r.doc_id: r.toxic_score for r in toxicity.score(asked, fitted).collect()}
     assert got[0] > 0.5 > got[1]
+
+
+@pytest.mark.parametrize("most", [1 << 21, 40])
+def test_no_node_of_varied_text_is_lost(spark, monkeypatch, most):
+    monkeypatch.setattr(context_tree, "FREQUENT_GRAMS", most, raising=False)
+    rng = random.Random(3)
+    rows = [(k, "".join(chr(rng.randrange(33, 127)) for _ in range(700)).lower()) for k in range(20)] + [(20, "aaaa " * 50)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.score for r in context_tree.score(frame, F.col("doc_id") != 7).collect()}
+    want = tree_scores([t for k, t in rows if k != 7], [t for _, t in rows], context_tree.DEPTH)
+    for (k, _), s in zip(rows, want, strict=True):
+        assert got[k] == pytest.approx(s, rel=1e-7)
