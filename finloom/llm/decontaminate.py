@@ -81,6 +81,7 @@ class Items:
         self.known = {size: np.unique(np.concatenate(g)) for size, g in known.items()}
         for group in self.groups.values():
             marks = np.array([i[3] for i in group["items"]], _U)
+            group["lightest"] = min(int(i[2].sum()) for i in group["items"])
             group["marks"], group["index"] = marks, []
             for b in range(BLOCKS):
                 value = ((marks >> _U(b * BLOCK_BITS)) & _U(0xFFFF)).astype(np.uint32)
@@ -118,12 +119,17 @@ def _matches(w: Words, hashes: np.ndarray, items: Items, least: float) -> Iterat
             total = np.concatenate([[0], np.cumsum(x)])
             spots = np.flatnonzero(h)
             for (n, s), group in items.groups.items():
-                if s != size or n > hi - lo:
+                if s != size:
                     continue
+                item_span = n - size + 1
+                n = min(n, hi - lo)  # a document shorter than the item is one window
                 span = n - size + 1
                 # a window as similar as asked has at least that share of its weight in benchmark shingles
                 begin = np.unique(np.clip(spots[:, None] - np.arange(span)[None, :], 0, hi - lo - n))
                 inside = covered[begin + span] - covered[begin]
+                if span < item_span:
+                    begin = begin[inside >= least * group["lightest"] - 1e-9]
+                    inside = covered[begin + span] - covered[begin]
                 begin = begin[inside >= least * (total[begin + span] - total[begin]) - 1e-9]
                 if not len(begin):
                     continue
@@ -150,7 +156,8 @@ def find_leaks(
     first_word and n_words of the best window (the first of equal ones), and row_key.
 
     Words are runs of letters, digits and non-ASCII bytes, A-Z lower-cased. For an item of n words
-    every window of n words of every document is looked at: its 64-bit SimHash over weighted
+    every window of n words of every document is looked at, or the whole document if it has fewer
+    words: its 64-bit SimHash over weighted
     shingles must be within radius bits of the item's, and then the exact weighted Jaccard of the
     two bags of shingles at least `least`. Windows without enough weight in any benchmark shingle
     cannot reach it and get no fingerprint. Items with fewer words than a shingle match as a

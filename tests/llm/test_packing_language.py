@@ -168,6 +168,15 @@ def test_leaks_are_those_of_all_windows(spark, at_once):
     assert decontaminate.find_leaks(frame.limit(0), bench).count() == 0
 
 
+def test_a_shortened_item_is_a_leak(spark):
+    words = [f"word{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(40)]
+    rows = [(0, words[:33]), (1, words[:39]), (2, words[1:]), (3, words[:30]), (4, words), (5, words[:4])]
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
+    got = {r.doc_id: (round(r.similarity, 9), r.first_word, r.n_words) for r in decontaminate.find_leaks(docs, bench).collect()}
+    assert got == {0: (round(29 / 36, 9), 0, 33), 1: (round(35 / 36, 9), 0, 39), 2: (round(35 / 36, 9), 0, 39), 4: (1.0, 0, 40)}
+
+
 def test_hamming_blocks_find_every_fingerprint_within_the_radius():
     rng = np.random.default_rng(7)
     rows = [(k, " ".join(f"w{x}" for x in rng.integers(0, 50, 12))) for k in range(6)]
