@@ -177,6 +177,17 @@ def test_a_shortened_item_is_a_leak(spark):
     assert got == {0: (round(29 / 36, 9), 0, 33), 1: (round(35 / 36, 9), 0, 39), 2: (round(35 / 36, 9), 0, 39), 4: (1.0, 0, 40)}
 
 
+def test_edited_leaks_near_the_threshold_are_found(spark):
+    rng = random.Random(11)
+    items = [[f"{k}x{rng.randrange(1000, 10000)}" for _ in range(40)] for k in range(100, 500)]
+    docs = [(k, " ".join(w[:36] + [f"{rng.randrange(10000)}" for _ in range(4)])) for k, w in enumerate(items)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    got = {r.doc_id: r.similarity for r in decontaminate.find_leaks(frame, bench).collect()}
+    assert all(0.8 <= s < 0.83 for s in got.values())
+    assert len(got) >= len(docs) - 1
+
+
 def test_hamming_blocks_find_every_fingerprint_within_the_radius():
     rng = np.random.default_rng(7)
     rows = [(k, " ".join(f"w{x}" for x in rng.integers(0, 50, 12))) for k in range(6)]
