@@ -42,8 +42,9 @@ _SYMBOL[97:123] = np.arange(1, 27)
 _SYMBOL[128:] = OTHER
 
 _EDGES = re.compile(r"^[\"'`(\[{<*_~#.,;:]+|[\"'`)\]}>*_~#.,;:!?%&^=/\\-]+$|(?:([^\w\s])\1+)$")
-_RUN = re.compile(r"(.)\1\1")
-_SPACED = re.compile(r"(?<![^\W_])(?:[a-z0-9@$!+|][ ._*-]){3,}[a-z0-9@$!+|](?![^\W_])")
+_RUN = re.compile(r"(.)\1\1|([a-z])\2")
+_OTHERS = re.compile(r"([^\W\d_a-z])\1*")
+_SPACED = re.compile(r"(?<![^\W_])(?:[a-z0-9@$!+|][ ._*-]++){2,}[a-z0-9@$!+|](?![^\W_])")
 
 
 def symbols(text: bytes) -> np.ndarray:
@@ -185,7 +186,7 @@ class Reader:
         self.known: dict[str, tuple[int, ...]] = {}
 
     def words(self, token: str) -> list[str]:
-        """The plain words behind a token: itself when it is made of letters only."""
+        """The plain words behind a token: itself when it is made of letters only, none of them doubled."""
         core = _EDGES.sub("", token)
         if core.isalpha() and not _RUN.search(core):
             return [core]
@@ -194,7 +195,12 @@ class Reader:
             return []
         if core.isalpha() and not _RUN.search(core):
             return [core]
-        return self.decoder.read(core[:200]).split() if len(core) <= 200 else [w for k in range(0, len(core), 200) for w in self.decoder.read(core[k : k + 200]).split()]
+        return [w for k in range(0, len(core), 200) for w in self.read(core[k : k + 200]).split()]
+
+    def read(self, text: str) -> str:
+        """The decoder's reading, with the letters other than a-z that it leaves open filled in."""
+        others = (m[1] for m in _OTHERS.finditer(text) if m[1].isalpha())
+        return "".join(next(others, c) if c == "?" else c for c in self.decoder.read(text))
 
     def features(self, text: str) -> set[int]:
         text = text.lower()
@@ -300,8 +306,8 @@ def _line(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
 def score(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
     """docs with toxic_sum and toxic_score (0 to 1), from the whole text alone.
 
-    Words are read through the decoder where they hold digits, signs or long runs between letters,
-    and rows of single letters are read as one text. A null or empty text has the sum 0. Rows are
+    Words are read through the decoder where they hold digits, signs, doubled letters or long runs,
+    and rows of three or more single letters are read as one text. A null or empty text has the sum 0. Rows are
     scored alone; input columns of these two names are replaced."""
     spark = docs.sparkSession
     small_batches(spark)

@@ -144,6 +144,14 @@ def test_disguised_words_are_restored(spark, model):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_doubled_letters_and_wide_spacing_are_read(model):
+    read = toxicity.Reader(model.characters)
+    for text, plain in (("idiiot", "idiot"), ("stuupid", "stupid"), ("trassh", "trash"), ("i  d  i  o  t", "idiot"), ("t. r. a. s. h", "trash")):
+        assert toxicity.feature(plain) in read.features(text), text
+    assert read.features("a b c") >= set(map(toxicity.feature, read.read("a b c").split()))
+    assert read.words("日日") == ["日日"] and read.words("mürrisch") != read.words("mérrisch")
+
+
 def test_the_decoder_finds_the_cheapest_path(model):
     decoder = toxicity.Decoder(model.characters)
 
