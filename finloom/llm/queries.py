@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finloom.llm import context_tree, decontaminate, language, neighbours, packing, setjoin, substrings, toxicity, urls, warc
+from finloom.llm import audit, context_tree, decontaminate, language, lexical, neighbours, packing, setjoin, substrings, toxicity, urls, warc
 from finloom.llm.words import id_remainder
 from finloom.session import materialize, scratch_dir
 
@@ -85,13 +85,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     WITH v AS (
         SELECT DISTINCT vec_id, embedding::DOUBLE[] AS e FROM embeddings
-        WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-          AND len(list_filter(embedding, x -> x <> 0)) > 0
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0
     ), n AS (
-        SELECT *, sqrt(list_reduce(list_transform(e, x -> x * x), (a, b) -> a + b)) AS length FROM v
+        SELECT *, sqrt(list_reduce(list_transform(e, lambda x: x * x), lambda a, b: a + b)) AS length FROM v
     ), s AS (
         SELECT q.vec_id AS query_id, c.vec_id,
-               list_reduce(list_transform(list_zip(q.e, c.e), z -> z[1] * z[2]), (a, b) -> a + b) / (q.length * c.length) AS score
+               list_reduce(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2]), lambda a, b: a + b) / (q.length * c.length) AS score
         FROM n q JOIN n c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0
     ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
     SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
@@ -132,3 +132,15 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = context_tree.score(docs, id_remainder("doc_id", 7) != 2)
     return scored.withColumn("held_out", id_remainder("doc_id", 7) == 2)
+
+
+@query("op12_filter_audit", audit.AUDIT_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    masks = audit.failure_masks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return audit.audit(masks)
+
+
+@query("op13_lexical_search", lexical.SEARCH_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")

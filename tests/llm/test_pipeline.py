@@ -91,7 +91,7 @@ def test_the_pipeline_packs_what_its_stages_keep(spark):
 
 def test_every_query_is_registered():
     names = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
     assert "pipeline" in names and set(queries.ORACLES) <= set(names)
 
 
