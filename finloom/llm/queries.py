@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finloom.llm import audit, context_tree, decontaminate, language, lexical, neighbours, packing, setjoin, substrings, toxicity, urls, warc
+from finloom.llm import audit, context_tree, decontaminate, language, lexical, neighbours, packing, private, setjoin, substrings, toxicity, urls, warc
 from finloom.llm.words import id_remainder
 from finloom.session import materialize, scratch_dir
 
@@ -144,3 +144,18 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
     return found.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
+@query("op11_private_data")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = private.find_private(docs, private.train(private.labelled_chains(docs)))
+
+    def listed(spans: Column) -> Column:
+        one = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        return F.concat_ws(",", one)
+
+    base = F.filter("private", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, lambda x: x == F.lit(k))).cast("long").alias(f"n_{k}") for k in private.KINDS]  # noqa: B023
+    return found.select("doc_id", *counts, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("private")).alias("spans"))
