@@ -10,37 +10,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from finloom.llm.words import LOWER, mix, row_chunks, small_batches, without
+from finloom.llm.words import mix, row_chunks, small_batches, without
 
 BUCKET_BITS = 16
 ORDERS = (1, 2, 3)
 UNKNOWN = "und"
 
-_U = np.uint64
-_tables: dict[tuple[int, int], np.ndarray] = {}
-
-
-def _bucket_table(order: int, bits: int) -> np.ndarray:
-    """Bucket of every gram of up to two bytes; longer grams continue from it."""
-    if (order, bits) not in _tables:
-        g = np.arange(256**order, dtype=_U) | _U(order << 40)
-        _tables[order, bits] = (mix(g) >> _U(64 - bits)).astype(np.uint32)
-    return _tables[order, bits]
+#: Standard deviations of a text's mean log probability that are put down to its length.
+CHANCE = 3.0
 
+_U = np.uint64
 
-def gram_buckets(texts: list[bytes], bits: int = BUCKET_BITS) -> tuple[list[np.ndarray], np.ndarray]:
-    """Buckets of all byte n-grams of the lower-cased texts, one array per order, by position in
-    the texts joined by line feeds, and where each text begins. Grams reach into the line feed."""
-    joined = LOWER[np.frombuffer(b"\n" + b"\n".join(texts) + b"\n\n", np.uint8)]
-    a = joined.astype(np.uint32)
-    out, n = [], len(a) - 2
-    out.append(_bucket_table(1, bits)[a[:n]])
-    pair = (a[:n] << 8) | a[1 : n + 1]
-    out.append(_bucket_table(2, bits)[pair])
-    tri = ((pair << 8) | a[2 : n + 2]).astype(np.uint64)
-    out.append((mix(tri | _U(3 << 40)) >> _U(64 - bits)).astype(np.uint32))
-    begins = np.concatenate([[1], 1 + np.cumsum([len(t) + 1 for t in texts])]) if texts else np.array([1])
-    return out, begins
+#: Code points that stand for the edge of a text and for what is not a letter; no letter has them.
+_MARK, _GAP = 1, 32
+_PLAIN = np.array([b if chr(b).isalpha() else _GAP for b in range(128)], np.uint32)
+
+
+def gram_buckets(texts: list[bytes], bits: int = BUCKET_BITS) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Buckets of all n-grams of code points of the lower-cased texts, one array per order and by
+    position, and where the positions of each text begin and end. Runs of ASCII characters other
+    than letters are one gap. A text stands between marks of its own, so its grams tell where it
+    begins and ends and never reach into another text."""
+    lowered = [t.decode("utf-8", "replace").lower() for t in texts]
+    chars = np.frombuffer(("".join(f" {t}  " for t in lowered) + " ").encode("utf-32-le", "replace"), np.uint32)
+    size = np.array([len(t) + 3 for t in lowered], np.int64)
+    begins = np.cumsum(size) - size
+    chars = np.where(chars < 128, _PLAIN[np.minimum(chars, 127)], chars)
+    for mark in (begins, begins + size - 2, begins + size - 1):
+        chars[mark] = _MARK
+    kept = np.ones(len(chars), bool)
+    kept[1:] = (chars[1:] != _GAP) | (chars[:-1] != _GAP)
+    place = np.cumsum(kept) - 1
+    chars = chars[kept].astype(_U)
+    n = max(0, len(chars) - 2)
+    gram, out = np.zeros(n, _U), []
+    for k in range(max(ORDERS)):
+        gram |= chars[k : k + n] << _U(21 * k)
+        out.append((mix(gram) >> _U(64 - bits)).astype(np.uint32))
+    return out, place[begins], place[begins + size - 2]
+
+
+def _own_positions(begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The positions of all texts, without the line feeds after them."""
+    size = ends - begins
+    return np.arange(size.sum()) + np.repeat(begins - (np.cumsum(size) - size), size)
 
 
 def train(docs: DataFrame, bits: int = BUCKET_BITS, text_column: str = "text", lang_column: str = "lang") -> tuple[list[str], np.ndarray]:
@@ -59,8 +72,10 @@ def train(docs: DataFrame, bits: int = BUCKET_BITS, text_column: str = "text", l
             for lang in set(langs):
                 own = [t for t, x in zip(texts, langs, strict=True) if x == lang]
                 total = sums.setdefault(lang, np.zeros((1 << bits) + 1, np.int64))
-                for g in gram_buckets(own, bits)[0]:
-                    total[:-1] += np.bincount(g, minlength=1 << bits)
+                grams, begins, ends = gram_buckets(own, bits)
+                at = _own_positions(begins, ends)
+                for g in grams:
+                    total[:-1] += np.bincount(g[at], minlength=1 << bits)
                 total[-1] += len(own)
         for lang, total in sums.items():
             cells = list(total[:-1].reshape(slices, 256)) + [total[-1:]]
@@ -81,37 +96,49 @@ def train(docs: DataFrame, bits: int = BUCKET_BITS, text_column: str = "text", l
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_column: str = "text") -> DataFrame:
-    """docs with lang_pred and score, the posterior probability of lang_pred.
+    """docs with lang_pred; score, the posterior probability of lang_pred; and lang_fit, by how many
+    nats a gram the text is less likely than texts of lang_pred are on average, for their share
+    of the grams by chance left off (0 or less: as likely as they are).
 
     All n-grams of the whole text count. A null text, or one without any letter, gets `und` with
-    score 0, as does every text when nothing was learned. Ties go to the first language by name.
-    Rows are scored alone: repeated rows score alike, and input columns named lang_pred or score
-    are replaced.
+    score 0 and no lang_fit, as does every text when nothing was learned. Ties go to the first language by name.
+    Rows are scored alone: repeated rows score alike, and input columns named lang_pred, score or
+    lang_fit are replaced.
     """
     spark = docs.sparkSession
     small_batches(spark)
     langs, matrix = model
     shared = spark.sparkContext.broadcast(matrix)
-    docs = without(docs, "lang_pred", "score")
+    docs = without(docs, "lang_pred", "score", "lang_fit")
+    own = np.exp(matrix[:, :-1].astype(float))
+    mean = (own * matrix[:, :-1]).sum(axis=1)
+    spread = np.sqrt(np.maximum((own * matrix[:, :-1].astype(float) ** 2).sum(axis=1) - mean**2, 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = np.ascontiguousarray(shared.value[:, :-1])
         prior = shared.value[:, -1].astype(float)
         for rows, texts in row_chunks(batches, text_column, 2 << 20):
-            known = np.array([bool(langs) and t is not None and any(map(str.isalpha, t.decode())) for t in texts])
-            pred, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
-            own = [t for t, k in zip(texts, known, strict=True) if k]
-            if own:
-                grams, begins = gram_buckets(own)
-                total = np.empty((len(own), len(langs)))
+            known = np.array([bool(langs) and t is not None and any(map(str.isalpha, t.decode("utf-8", "replace"))) for t in texts])
+            pred, score, fit = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts)), np.full(len(texts), np.nan)
+            judged = [t for t, k in zip(texts, known, strict=True) if k]
+            if judged:
+                grams, begins, ends = gram_buckets(judged)
+                sums = np.empty((len(judged), len(langs)))
+                cuts = np.stack([begins, ends], axis=1).ravel()
                 for k in range(len(langs)):
-                    each = weights[k][grams[0]]
+                    each = weights[k][grams[0]].astype(float)
                     for g in grams[1:]:
                         each += weights[k][g]
-                    total[:, k] = np.add.reduceat(each, begins[:-1], dtype=float) + prior[k]
+                    sums[:, k] = np.add.reduceat(each, cuts)[::2]
+                total = sums + prior
                 best = total.argmax(axis=1)
+                places = (ends - begins).astype(float)
+                behind = mean[best] - sums[np.arange(len(judged)), best] / (len(ORDERS) * places)
                 pred[known] = np.array(langs, object)[best]
                 score[known] = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(pred, pa.string()), pa.array(score)], names=[*rows.schema.names, "lang_pred", "score"])
+                fit[known] = behind - CHANCE * spread[best] / np.sqrt(places)
+            columns = [pa.array(pred, pa.string()), pa.array(score), pa.array(fit, from_pandas=True)]
+            yield pa.RecordBatch.from_arrays([*rows.columns, *columns], names=[*rows.schema.names, "lang_pred", "score", "lang_fit"])
 
-    return docs.mapInArrow(run, StructType([*docs.schema, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
+    added = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("lang_fit", DoubleType())]
+    return docs.mapInArrow(run, StructType([*docs.schema, *added]))

@@ -96,27 +96,71 @@ def test_languages_of_held_out_documents(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def plain_grams(text):
+    """All runs of one to three characters of a text between marks, hashed one by one."""
+    chars, out = [1], []
+    for c in text.lower():
+        code = ord(c) if ord(c) >= 128 or c.isalpha() else 32
+        if code != 32 or chars[-1] != 32:
+            chars.append(code)
+    end = len(chars)
+    chars += [1, 1]
+    for k in range(end):
+        value = 0
+        for n in range(3):
+            value |= chars[k + n] << (21 * n)
+            out.append(int(language.mix(np.array([value], np.uint64))[0]) >> (64 - language.BUCKET_BITS))
+    return out
+
+
 def test_naive_bayes_is_that_of_counted_grams(spark):
-    rows = [("aab", "x"), ("ba", "x"), ("bbb c", "y"), (None, "y"), ("zz", None)]
+    rows = [("aab", "x"), ("ba", "x"), ("bbb c", "y"), (None, "y"), ("zz", None), ("ÉÉ 12 b", "y"), ("", "x")]
     docs = spark.createDataFrame(rows, "text string, lang string").withColumn("score", F.lit("kept?"))
     langs, matrix = language.train(docs)
     assert langs == ["x", "y"]
-    counts = {x: np.zeros(1 << language.BUCKET_BITS) for x in langs}
+    counts, sizes = {x: np.zeros(1 << language.BUCKET_BITS) for x in langs}, {x: 0 for x in langs}
     for t, x in rows:
-        if t and x:
-            for g in language.gram_buckets([t.encode()])[0]:
-                np.add.at(counts[x], g, 1)
+        if t is not None and x:
+            np.add.at(counts[x], plain_grams(t), 1)
+            sizes[x] += 1
+    logs = {x: np.log(c + 0.5) - np.log((c + 0.5).sum()) for x, c in counts.items()}
     for k, x in enumerate(langs):
-        want = np.log(counts[x] + 0.5) - np.log((counts[x] + 0.5).sum())
-        assert np.allclose(matrix[k, :-1], want, atol=1e-5)
-    asked = spark.createDataFrame([(0, "AAB"), (1, None), (2, ""), (3, "12 !?"), (4, "é"), (5, "b" * 200_000), (0, "AAB")], "doc_id int, text string")
-    got = sorted((r.doc_id, r.lang_pred, round(r.score, 6)) for r in language.predict(asked, (langs, matrix)).collect())
-    assert got[0] == got[1] and got[0][1] == "x"
-    assert [g[1] for g in got[2:5]] == ["und"] * 3 and [g[2] for g in got[2:5]] == [0] * 3
-    assert got[5][1] in langs and got[6][1] == "y"
-    assert language.predict(asked.limit(0), (langs, matrix)).count() == 0
+        assert np.allclose(matrix[k, :-1], logs[x], atol=1e-5)
+    asked = [(0, "AAB"), (1, None), (2, ""), (3, "12 !?"), (4, "é"), (5, "b" * 200_000), (0, "AAB"), (6, "a\x00\nB"), (7, "日本 a"), (8, "bé12bé")]
+    frame = spark.createDataFrame([(i, t, 1) for i, t in asked], "doc_id int, text string, Lang_Fit int")
+    found = language.predict(frame, (langs, matrix)).collect()
+    for r in found:
+        if not r.text or not any(map(str.isalpha, r.text)):
+            assert (r.lang_pred, r.score, r.lang_fit) == ("und", 0, None)
+            continue
+        total = {x: logs[x][plain_grams(r.text)].sum() + np.log(sizes[x] / sum(sizes.values())) for x in langs}
+        best = max(langs, key=total.get)
+        assert r.lang_pred == best and abs(r.score - 1 / sum(np.exp(total[x] - total[best]) for x in langs)) < 1e-4
+    assert language.predict(frame.limit(0), (langs, matrix)).count() == 0
     nothing = language.train(docs.limit(0))
-    assert {r.lang_pred for r in language.predict(asked, nothing).collect()} == {"und"}
+    assert {r.lang_pred for r in language.predict(frame, nothing).collect()} == {"und"}
+
+
+def test_a_prediction_does_not_depend_on_its_neighbours(spark):
+    texts = sorted({w for r in spark.read.parquet(f"{DATA}/documents.parquet").limit(40).collect() for w in r.text.split()[:5]})
+    model = language.train(spark.read.parquet(f"{DATA}/documents.parquet"))
+
+    def judged(rows, parts):
+        frame = spark.createDataFrame([(t,) for t in rows], "text string").coalesce(parts)
+        return {r.text: (r.lang_pred, r.score, r.lang_fit) for r in language.predict(frame, model).collect()}
+
+    together = judged(texts, 1)
+    assert judged(texts[::-1], 1) == together
+    for t in texts[:6]:
+        assert judged([t], 1)[t] == together[t]
+
+
+def test_texts_of_unlearned_languages_do_not_fit(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = language.train(docs.where("lang <> 'de' AND doc_id % 2 = 0"))
+    own = language.predict(docs.where("lang <> 'de' AND doc_id % 2 = 1"), model).select("lang_fit").toPandas().lang_fit
+    other = language.predict(docs.where("lang = 'de'"), model).select("lang_fit").toPandas().lang_fit
+    assert (own <= 1.7).mean() > 0.999 and (other > 1.7).mean() > 0.95
 
 
 def leaks(docs, items, size, least):
