@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from finloom.llm import audit, context_tree, decontaminate, language, lexical, neighbours, packing, private, setjoin, substrings, toxicity, urls, warc
 from finloom.llm.words import id_remainder
-from finloom.session import materialize, scratch_dir
+from finloom.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,12 +72,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "archives")
     warc.write_pages(table(spark, sf_dir, "pages"), path)
-    records = warc.read_records(spark, path).select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
-    records = materialize(records, "read-records")
-    # a revisit has the payload of the response it refers to
-    first = records.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("b"), F.col("payload_digest").alias("d")).distinct()
-    full = records.join(first, "refers_to", "left")
-    return full.select("page_id", F.coalesce("b", "payload_bytes").alias("payload_bytes"), F.coalesce("d", "payload_digest").alias("payload_digest"), "record_type", "refers_to")
+    records = warc.full_payloads(warc.read_records(spark, path))
+    return records.select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
 
 
 @query(

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from finloom.operators.lookup import lookup_join
 from finloom.session import materialize
 
 #: Fixed values of the format.
@@ -51,7 +52,7 @@ def write_pages(pages: DataFrame, path: str, id_column: str = "page_id", url_col
     rows = rows.withColumn("size", F.octet_length("payload")).withColumn("digest", base32_sha1(F.col("payload")))
     light = materialize(rows.where(F.col("size") >= least_bytes).select("id", "size", "digest"), "digests")
     shared = light.groupBy("digest", "size").agg(F.max("id").alias("refers"), F.count("*").alias("n")).where("n > 1 AND refers IS NOT NULL")
-    again = light.join(shared, ["digest", "size"]).where("NOT (id <=> refers)").select(F.col("id").alias("_id"), F.col("digest").alias("_digest"), F.col("size").alias("_size"), "refers").distinct()
+    again = lookup_join(light, shared, ["digest", "size"]).where("NOT (id <=> refers)").select(F.col("id").alias("_id"), F.col("digest").alias("_digest"), F.col("size").alias("_size"), "refers").distinct()
     again = materialize(again, "revisits")
     few = again.count() <= MOST_SENT
     named = rows.join(F.broadcast(again) if few else again, F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")) & (F.col("size") == F.col("_size")), "left")
@@ -158,16 +159,24 @@ def _follow(batch: pd.DataFrame) -> pd.DataFrame:
 
 
 def read_records(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
-    """The records of all archives under path: file, at (offset of the header), type, page_id,
-    refers_to, uri, digest (as written), payload_bytes and payload_digest (of the payload that is
-    there), and with payloads=True the payload itself.
+    """The records of read_archives; what it could not read is left out."""
+    return read_archives(spark, path, payloads)[0]
+
+
+def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(records, rejects) of all archives under path.
+
+    Records: file, at (offset of the header), type, page_id, refers_to, uri, digest (as written),
+    payload_bytes and payload_digest (of the payload that is there), and with payloads=True the
+    payload itself. Rejects: file, at and bytes of what no record could be read from up to the
+    file's end, such as a record cut off or all that stands behind a broken length.
 
     Files are read in splits. Every magic is a candidate, also one inside a payload. Its header tells
     where the next record must begin. Chains are followed inside each split, and pointer jumping
     over what leaves the splits finds the candidates that can be reached from the start of the
     file; the others are bytes of some payload. Only these offsets are shuffled. A payload that
-    holds a magic, or crosses splits, is put together from its segments. Records after a broken
-    length are left out, as nothing leads to them. Files without records give no rows.
+    holds a magic, or crosses splits, is put together from its segments. Nothing leads to what follows a
+    broken length: it is one reject. Files without records give no records, empty files no reject.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     segments = _segments(spark, path)
@@ -197,8 +206,28 @@ def read_records(spark: SparkSession, path: str, payloads: bool = False) -> Data
     parts = _assembled(spark, path, wanted, bases).select("file", "at", *(["payload"] if payloads else []), F.col("payload_bytes").alias("n"), F.col("payload_digest").alias("d")) if payloads or not wanted.isEmpty() else None
     if parts is not None:
         records = records.join(parts, ["file", "at"], "left").withColumns({"payload_bytes": F.coalesce("payload_bytes", "n"), "payload_digest": F.coalesce("payload_digest", "d")}).drop("n", "d")
-    records = records.withColumn("at", F.col("at") - len(MAGIC))
-    return records.drop("split", "next", "block_at", "whole").where("payload_bytes IS NOT NULL")
+    records = records.where("payload_bytes IS NOT NULL")
+    ends = totals.groupBy(F.col("file_path").alias("file")).agg(F.sum("size").alias("end"))
+    read = ends.join(records.groupBy("file").agg(F.max("next").alias("read")), "file", "left").fillna(len(MAGIC), ["read"])
+    rejects = read.where("read < end").select("file", (F.col("read") - len(MAGIC)).alias("at"), (F.col("end") - F.col("read")).alias("bytes"))
+    return records.withColumn("at", F.col("at") - len(MAGIC)).drop("split", "next", "block_at", "whole"), rejects
+
+
+def full_payloads(records: DataFrame) -> DataFrame:
+    """Records of read_records with payload_bytes and payload_digest of the whole payload.
+
+    A revisit carries none; it takes those of the response that it names and whose digest its own
+    header repeats. So a page id with several payloads is told apart, and a revisit of
+    something that is not there gets NULLs. Only revisits are joined, each response once, and a
+    response that most of the table revisits is spread.
+    """
+    records = materialize(records, "read-records")
+    revisit = F.col("type").eqNullSafe("revisit")
+    own = F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("digest")
+    first = records.where(~revisit).groupBy(*own).agg(F.max("payload_bytes").alias("n"))
+    again = lookup_join(records.where(revisit).drop("payload_bytes", "payload_digest"), first, ["refers_to", "digest"], "left")
+    again = again.withColumns({"payload_bytes": F.col("n"), "payload_digest": F.when(F.col("n").isNotNull(), F.col("digest"))})
+    return records.where(~revisit).unionByName(again.select(*records.columns))
 
 
 def _assembled(spark: SparkSession, path: str, wanted: DataFrame, bases: DataFrame) -> DataFrame:
@@ -221,7 +250,10 @@ def _assembled(spark: SparkSession, path: str, wanted: DataFrame, bases: DataFra
         one = batch.iloc[0]
         text = MAGIC.encode().join(batch["value"])
         begin = int(one["block_at"] - one["offset"])
-        payload = _payload(text[begin : int(one["next"] - one["offset"]) - len(RECORD_END) - len(MAGIC)])
+        end = int(one["next"] - one["offset"]) - len(RECORD_END) - len(MAGIC)
+        if end > len(text):  # cut off by the file's end
+            return pd.DataFrame({c: pd.Series(dtype=t) for c, t in (("file", str), ("at", int), ("payload", object), ("payload_bytes", int), ("payload_digest", str))})
+        payload = _payload(text[begin:end])
         digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
         return pd.DataFrame({"file": [one["file"]], "at": [one["at"]], "payload": [payload], "payload_bytes": [len(payload)], "payload_digest": [digest]})
 

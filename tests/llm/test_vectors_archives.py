@@ -99,6 +99,37 @@ def test_small_payloads_are_not_compared(spark, tmp_path):
     assert warc.read_records(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_revisits_take_the_payload_they_name(spark, tmp_path):
+    rows = [(9, "u", "AAAA"), (9, "u", "BB"), (5, "u", "AAAA"), (4, "u", "BB"), (3, "u", None), (2, "u", ""), (1, "u", "é"), (None, "u", "é"), (None, "u", "none")]
+    rows += [(100 + k, "u", "copied") for k in range(300)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    warc.write_pages(frame, str(tmp_path / "w"))
+    got = warc.full_payloads(warc.read_records(spark, str(tmp_path / "w"))).collect()
+    last = {}
+    for i, _, t in rows:
+        last[t or ""] = max((x for x in (i, last.get(t or "")) if x is not None), default=None)
+    want = [(i, len((t or "").encode()), digest((t or "").encode()), *(("response", None) if last[t or ""] in (i, None) else ("revisit", last[t or ""]))) for i, _, t in rows]
+    assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.type, r.refers_to) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_what_cannot_be_read_is_told(spark, tmp_path):
+    frame = spark.createDataFrame([(k, "u", f"text {k}") for k in range(6)], "page_id long, url string, html string").coalesce(1)
+    warc.write_pages(frame, str(tmp_path / "w"))
+    whole = next((tmp_path / "w").glob("part-*")).read_bytes()
+    assert warc.read_archives(spark, str(tmp_path / "w"))[1].count() == 0
+    starts = [m for m in range(len(whole)) if whole.startswith(b"WARC/1.1", m)]
+    (tmp_path / "x").mkdir()
+    cut = whole[:-20]
+    at = whole.index(b"\r\nContent-Length: ", starts[2])
+    broken = whole[:at] + whole[at:].replace(b"Content-Length: ", b"Content-Length: 99999", 1)
+    for name, data in (("cut", cut), ("broken", broken), ("other", b"no archive"), ("empty", b"")):
+        (tmp_path / "x" / name).write_bytes(data)
+    records, rejects = warc.read_archives(spark, str(tmp_path / "x"))
+    count = {r.file.rsplit("/", 1)[1]: r["count"] for r in records.groupBy("file").count().collect()}
+    assert count == {"cut": 5, "broken": 2}
+    assert {(r.file.rsplit("/", 1)[1], r.at, r.bytes) for r in rejects.collect()} == {("cut", starts[5], len(cut) - starts[5]), ("broken", starts[2], len(broken) - starts[2]), ("other", 0, 10)}
+
+
 def parse(url):
     if url is None or "://" not in url:
         return "", ""
