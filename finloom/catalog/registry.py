@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of a narrow table that one task makes into wide rows.
+SPREAD_BYTES = 4 << 20
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -25,8 +28,14 @@ class Tables:
         return self.spark.read.parquet(self.path(name))
 
     def spread(self, name: str, key: str) -> DataFrame:
-        """A table out of which wider rows are made for costly work: dealt by key while narrow."""
-        return getattr(self, name).repartition(key)
+        """A table out of which wider rows are made for costly work: dealt by key while narrow.
+
+        The number of tasks follows from its bytes, at least one a core, and is given outright:
+        adaptive execution would gather the narrow rows before they grow.
+        """
+        df = getattr(self, name)
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        return df.repartition(max(self.spark.sparkContext.defaultParallelism, -(-size // SPREAD_BYTES)), key)
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], Callable]:

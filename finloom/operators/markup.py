@@ -74,166 +74,328 @@ class PageRules:
         return T.ArrayType(T.StructType([T.StructField(n, t.type) for n, t in self.fields.items()]))
 
 
-# Tags in the common forms, every attribute with a value; the standard parser reads the others.
+# Tags and comments in the common forms; a page with any other form is read by the standard parser.
 _VALUE = r"""(?:"[^"<>]*"|'[^'<>]*'|[-\w.]+)"""
-_PLAIN_TAG = re.compile(rf"<([a-zA-Z][a-zA-Z0-9]*)((?:\s+[a-zA-Z][-\w:.]*={_VALUE})*)\s*>", re.ASCII)
-_PLAIN_END = re.compile(r"</([a-zA-Z][a-zA-Z0-9]*)\s*>", re.ASCII)
-_PLAIN_ATTRIBUTE = re.compile(rf"([-\w:.]+)=({_VALUE})", re.ASCII)
+_ATTRIBUTES = rf"((?:\s+[a-zA-Z][-\w:.]*={_VALUE})*)"
+_TAG = re.compile(
+    rf"([^<]*+)<(?:([a-zA-Z][a-zA-Z0-9]*){_ATTRIBUTES}\s*(/?)>|/([a-zA-Z][a-zA-Z0-9]*)\s*>|!--[^<>-]*(?:-[^<>-]+)*-->)", re.ASCII
+)
+_ATTRIBUTE = re.compile(rf"([-\w:.]+)=({_VALUE})", re.ASCII)
+_MOST_MOVES = 50_000
 
 
-class _Element:
-    """An element and the stretch of the page's nodes that lies inside it."""
+def _attributes(source: str | tuple) -> dict[str, str]:
+    """Attributes by name, out of a tag's text or of the standard parser's pairs."""
+    if isinstance(source, tuple):
+        return {k: v or "" for k, v in source}
+    return {k.lower(): unescape(v[1:-1] if v[0] in "\"'" else v) for k, v in _ATTRIBUTE.findall(source)}
 
-    __slots__ = ("tag", "start", "end", "_source", "_attrs", "_classes")
 
-    def __init__(self, tag: str, start: int, source: str = "", attrs: dict[str, str] | None = None):
-        self.tag, self.start, self.end = tag, start, start
-        self._source, self._attrs, self._classes = source, attrs, None
+def _fits(step: Step, tag: str, attrs: dict[str, str]) -> bool:
+    if (step.tag is not None and step.tag != tag) or (step.id is not None and step.id != attrs.get("id")):
+        return False
+    classes = frozenset(attrs.get("class", "").split())
+    if step.class_part is not None and not any(step.class_part in c for c in classes):
+        return False
+    return classes.issuperset(step.classes)
 
-    @property
-    def attrs(self) -> dict[str, str]:
-        if self._attrs is None:
-            found = _PLAIN_ATTRIBUTE.findall(self._source)
-            self._attrs = {k.lower(): unescape(v[1:-1] if v[0] in "\"'" else v) for k, v in found}
-        return self._attrs
-
-    def fits(self, step: Step) -> bool:
-        """The id and class rules of a step; the tag is compared before."""
-        if step.id is not None and step.id != self.attrs.get("id"):
-            return False
-        if not step.classes and step.class_part is None:
-            return True
-        if self._classes is None:
-            self._classes = frozenset(self.attrs.get("class", "").split())
-        if step.class_part is not None and not any(step.class_part in c for c in self._classes):
-            return False
-        return self._classes.issuperset(step.classes)
 
+class _Automaton:
+    """Paths as one automaton over the stack of open elements.
+
+    The state of an element is the set of (path, steps done) that it and the elements around it
+    have reached. What a tag adds to a state is worked out once per state and text of the tag, so
+    rows that repeat each other cost one look-up per tag, however many fields there are.
+    """
+
+    def __init__(self, paths: Sequence[Sequence[Step]]):
+        self.paths = paths
+        self.states: list[frozenset[tuple[int, int]]] = []
+        self.numbers: dict[frozenset[tuple[int, int]], int] = {}
+        self.start = self._number(frozenset((p, 0) for p in range(len(paths))))
+        self.moves: dict[tuple, tuple[tuple[int, int], ...]] = {}
+
+    def _number(self, state: frozenset[tuple[int, int]]) -> int:
+        if state not in self.numbers:
+            self.numbers[state] = len(self.states)
+            self.states.append(state)
+        return self.numbers[state]
+
+    def reached(self, state: int, tag: str, source: str | tuple) -> tuple[tuple[int, int], ...]:
+        """(path, steps done) that a tag adds to the state around it."""
+        key = (state, tag, source)
+        found = self.moves.get(key)
+        if found is None:
+            if len(self.moves) >= _MOST_MOVES:
+                self.moves.clear()
+            attrs = _attributes(source)
+            found = self.moves[key] = tuple(
+                (p, done + 1) for p, done in sorted(self.states[state]) if _fits(self.paths[p][done], tag, attrs)
+            )
+        return found
+
+    def joined(self, state: int, added: Sequence[tuple[int, int]]) -> int:
+        open_ended = [(p, done) for p, done in added if done < len(self.paths[p])]
+        return self._number(self.states[state].union(open_ended)) if open_ended else state
+
+
+class _Stretch:
+    """The nodes of the page inside one element."""
+
+    __slots__ = ("start", "end")
+
+    def __init__(self, start: int):
+        self.start = self.end = start
+
+
+class _Row:
+    """What is found for the fields of one row."""
+
+    __slots__ = ("found", "passed")
 
-class _Page(HTMLParser):
-    """The elements and text runs of a page, in page order.
+    def __init__(self, fields: int):
+        self.found: list[list] = [[] for _ in range(fields)]
+        self.passed: set[tuple[int, int]] = set()
 
-    An end tag closes up to its nearest open element, if there is one.
+
+class _Compiled:
+    """A rule set's automata; one per rule set in a worker, with all its pages' moves."""
+
+    _known: dict[PageRules, _Compiled] = {}
+
+    def __init__(self, rules: PageRules):
+        self.takes = list(rules.fields.values())
+        self.row_steps = len(rules.rows)
+        self.rows = _Automaton([rules.rows] if rules.rows else [])
+        self.fields = _Automaton([t.path for t in self.takes])
+        self.last = [len(t.path) for t in self.takes]
+
+    @classmethod
+    def of(cls, rules: PageRules) -> _Compiled:
+        key = (tuple(rules.fields.items()), rules.rows)
+        if key not in cls._known:
+            cls._known[key] = cls(rules)
+        return cls._known[key]
+
+
+class _Walk:
+    """One pass over a page: every tag moves the automata, and rows collect what their fields need.
+
+    An open element is (tag, state of the row path, (row, field state) of each open row, stretches
+    that end with it). An end tag closes up to its nearest open element, if there is one. Text is
+    kept while a row is open.
     """
 
-    def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
-        self.nodes: list[_Element | str | None] = []
-        self.top = _Element("", 0, attrs={})
-        self.open = [self.top]
-        self.feed(html)
-        self.close()
-        self._close_from(0)
-
-    def _close_from(self, depth: int) -> None:
+    def __init__(self, compiled: _Compiled):
+        self.compiled = compiled
+        self.nodes: list[str | _Stretch | None] = []
+        self.rows: list[_Row] = []
+        rows = () if compiled.row_steps else ((self._row(), compiled.fields.start),)
+        self.open: list[tuple] = [("", compiled.rows.start, rows, ())]
+
+    def _row(self) -> _Row:
+        self.rows.append(_Row(len(self.compiled.takes)))
+        return self.rows[-1]
+
+    def start(self, tag: str, source: str | tuple) -> None:
+        compiled, nodes = self.compiled, self.nodes
+        _, row_state, rows, _ = self.open[-1]
+        ends: Sequence[_Stretch] = ()
+        if rows:
+            if nodes and nodes[-1].__class__ is str:
+                nodes.append(None)
+            if tag in NOT_TEXT:
+                ends = [_Stretch(len(nodes) + 1)]
+                nodes.append(ends[0])
+            moved = None
+            for k, (row, state) in enumerate(rows):
+                added = compiled.fields.moves.get((state, tag, source))
+                if added is None:
+                    added = compiled.fields.reached(state, tag, source)
+                if added:
+                    after, stretch = self._take(row, state, added, source)
+                    if stretch is not None:
+                        ends = (*ends, stretch)
+                    if after != state:
+                        moved = moved or list(rows)
+                        moved[k] = (row, after)
+            if moved:
+                rows = tuple(moved)
+        if compiled.row_steps:
+            added = compiled.rows.moves.get((row_state, tag, source))
+            if added is None:
+                added = compiled.rows.reached(row_state, tag, source)
+            if added:
+                row_state = compiled.rows.joined(row_state, added)
+                if added[-1][1] == compiled.row_steps:
+                    rows = (*rows, (self._row(), compiled.fields.start))
+        if tag not in VOID:
+            self.open.append((tag, row_state, rows, ends))
+
+    def _take(self, row: _Row, state: int, added: Sequence[tuple[int, int]], source: str | tuple) -> tuple[int, _Stretch | None]:
+        """Note what a tag is to a row; the state inside it, and the stretch to close with it."""
+        takes, last = self.compiled.takes, self.compiled.last
+        kept, stretch = [], None
+        for p, done in added:
+            take, found = takes[p], row.found[p]
+            if done < last[p]:
+                # only the first match of a step leads on, unless any branch may
+                if take.any_branch or (p, done) not in row.passed:
+                    row.passed.add((p, done))
+                    kept.append((p, done))
+            elif take.kind == "count":
+                found.append(None)
+            elif take.kind.startswith("all") or not found:
+                if take.kind == "attribute":
+                    found.append(_attributes(source).get(take.attribute))
+                    continue
+                stretch = stretch or _Stretch(len(self.nodes))
+                found.append(stretch)
+        return (self.compiled.fields.joined(state, kept) if kept else state), stretch
+
+    def end(self, tag: str) -> None:
+        stack = self.open
+        if stack[-1][0] == tag and len(stack) > 1:
+            for stretch in stack.pop()[3]:
+                stretch.end = len(self.nodes)
+        else:
+            for depth in range(len(stack) - 1, 0, -1):
+                if stack[depth][0] == tag:
+                    self.close_from(depth)
+                    break
+        nodes = self.nodes
+        if nodes and nodes[-1].__class__ is str:
+            nodes.append(None)
+
+    def close_from(self, depth: int) -> None:
         for element in self.open[depth:]:
-            element.end = len(self.nodes)
+            for stretch in element[3]:
+                stretch.end = len(self.nodes)
         del self.open[depth:]
 
-    def _start(self, element: _Element) -> None:
-        self.nodes.append(element)
-        element.start = element.end = len(self.nodes)
-        if element.tag not in VOID:
-            self.open.append(element)
+    def text(self, data: str) -> None:
+        if self.open[-1][2]:
+            nodes = self.nodes
+            if nodes and nodes[-1].__class__ is str:
+                nodes[-1] += data
+            else:
+                nodes.append(data)
+
+    def break_run(self) -> None:
+        """What follows is a text run of its own."""
+        if self.nodes and isinstance(self.nodes[-1], str):
+            self.nodes.append(None)
+
+    def _runs(self, inside: _Stretch) -> Iterator[str]:
+        """Text runs of a stretch, without scripts, styles and templates in it."""
+        i = inside.start
+        while i < inside.end:
+            node = self.nodes[i]
+            i += 1
+            if isinstance(node, str):
+                yield node
+            elif node is not None:
+                i = max(i, node.end)
+
+    def _string(self, inside: _Stretch, kind: str) -> str:
+        if kind == "raw":
+            return "".join(self._runs(inside))
+        if kind == "text":
+            return "".join(self._runs(inside)).strip()
+        tight = [run for run in (r.strip() for r in self._runs(inside)) if run]
+        return ("\n" if kind == "lines" else "").join(tight)
+
+    def value(self, found: list, kind: str) -> str | int | list[str] | None:
+        if kind == "count":
+            return len(found)
+        if kind.startswith("all"):
+            return [self._string(e, kind.removeprefix("all ")) for e in found]
+        if not found or kind == "attribute":
+            return found[0] if found else None
+        return self._string(found[0], kind)
+
+
+class _Standard(HTMLParser):
+    """Any page at all, handed to a walk piece by piece."""
+
+    def __init__(self, walk: _Walk):
+        super().__init__(convert_charrefs=True)
+        self.walk = walk
 
     def updatepos(self, i, j):  # line numbers are not needed
         return j
 
     def parse_starttag(self, i):
-        found = _PLAIN_TAG.match(self.rawdata, i)
-        tag = found.group(1).lower() if found else ""
-        if not found or tag in self.CDATA_CONTENT_ELEMENTS:
+        found = _TAG.match(self.rawdata, i)
+        tag = found[2].lower() if found and found[2] and not found[4] else ""
+        if not tag or tag in self.CDATA_CONTENT_ELEMENTS:
             return super().parse_starttag(i)
         self.lasttag = tag
-        self._start(_Element(tag, 0, found.group(2)))
-        return found.end()
-
-    def parse_endtag(self, i):
-        found = None if self.cdata_elem else _PLAIN_END.match(self.rawdata, i)
-        if not found:
-            return super().parse_endtag(i)
-        self.handle_endtag(found.group(1).lower())
+        self.walk.start(tag, found[3])
         return found.end()
 
     def handle_starttag(self, tag, attrs):
-        self._start(_Element(tag, 0, attrs={k: v or "" for k, v in attrs}))
+        self.walk.start(tag, tuple(attrs))
 
     def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == tag:
-                self._close_from(depth)
-                break
-        self._break_run()
+        self.walk.end(tag)
 
     def handle_data(self, data):
-        if self.nodes and isinstance(self.nodes[-1], str):
-            self.nodes[-1] += data
-        else:
-            self.nodes.append(data)
+        self.walk.text(data)
 
-    def _break_run(self, _=None):
-        """What follows is a text run of its own."""
-        if self.nodes and isinstance(self.nodes[-1], str):
-            self.nodes.append(None)
+    def _break(self, _=None):
+        self.walk.break_run()
 
-    handle_comment = handle_decl = handle_pi = _break_run
+    handle_comment = handle_decl = handle_pi = _break
 
     def unknown_decl(self, data):
-        self._break_run()
+        self._break()
         if data.upper().startswith("CDATA["):
-            self.handle_data(data[len("CDATA[") :])
-            self._break_run()
-
-    def runs(self, element: _Element) -> Iterator[str]:
-        """Text runs inside an element, without scripts, styles and comments."""
-        i = element.start
-        while i < element.end:
-            node = self.nodes[i]
-            i += 1
-            if isinstance(node, str):
-                yield node
-            elif node is not None and node.tag in NOT_TEXT:
-                i = node.end
-
-    def find(self, inside: _Element, path: Sequence[Step], any_branch: bool) -> Iterator[_Element]:
-        step, rest = path[0], path[1:]
-        tag = step.tag
-        for node in self.nodes[inside.start : inside.end]:
-            if isinstance(node, _Element) and (tag is None or tag == node.tag) and node.fits(step):
-                if not rest:
-                    yield node
-                    continue
-                yield from self.find(node, rest, any_branch)
-                if not any_branch:
-                    return
-
-    def string(self, element: _Element, kind: str) -> str:
-        if kind == "raw":
-            return "".join(self.runs(element))
-        if kind == "text":
-            return "".join(self.runs(element)).strip()
-        tight = [run for run in (r.strip() for r in self.runs(element)) if run]
-        return ("\n" if kind == "lines" else "").join(tight)
-
-    def read(self, row: _Element, take: Take) -> str | int | list[str] | None:
-        found = self.find(row, take.path, take.any_branch)
-        if take.any_branch and len(take.path) > 1:
-            found = iter(dict.fromkeys(found))  # branches may meet in one element
-        if take.kind == "count":
-            return sum(1 for _ in found)
-        if take.kind.startswith("all"):
-            return [self.string(e, take.kind.removeprefix("all ")) for e in found]
-        element = next(found, None)
-        if element is None:
-            return None
-        return element.attrs.get(take.attribute) if take.kind == "attribute" else self.string(element, take.kind)
+            self.walk.text(data[len("CDATA[") :])
+            self._break()
+
+
+def _walk_plain(html: str, walk: _Walk) -> bool:
+    """Walk a page made of common forms only; False, at some place, for any other page."""
+    at, size, match = 0, len(html), _TAG.match
+    start, end, text = walk.start, walk.end, walk.text
+    while at < size:
+        found = match(html, at)
+        if found is None:
+            if html.find("<", at) >= 0:
+                return False
+            text(unescape(html[at:]))
+            return True
+        data, name, source, closed, ended = found.groups()
+        at = found.end()
+        if data:
+            text(unescape(data) if "&" in data else data)
+        if ended:
+            end(ended.lower())
+        elif name:
+            tag = name.lower()
+            if tag in HTMLParser.CDATA_CONTENT_ELEMENTS or (closed and source and found[0][-3] not in "\"' \t\n\r\f\v"):
+                return False
+            start(tag, source)
+            if closed:
+                end(tag)
+        else:
+            walk.break_run()
+    return True
 
 
 def read_page(html: str | None, rules: PageRules) -> list[dict]:
     """The rows of one page."""
-    page = _Page(html or "")
-    rows = dict.fromkeys(page.find(page.top, rules.rows, True)) if rules.rows else [page.top]
-    return [{name: page.read(row, take) for name, take in rules.fields.items()} for row in rows]
+    compiled = _Compiled.of(rules)
+    walk = _Walk(compiled)
+    if not _walk_plain(html or "", walk):
+        walk = _Walk(compiled)
+        parser = _Standard(walk)
+        parser.feed(html or "")
+        parser.close()
+    walk.close_from(0)
+    kinds = [t.kind for t in compiled.takes]
+    return [{n: walk.value(f, k) for n, f, k in zip(rules.fields, row.found, kinds)} for row in walk.rows]
 
 
 def page_rows(html: Column, rules: PageRules) -> Column:

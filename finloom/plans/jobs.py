@@ -133,7 +133,7 @@ def extract_articles(store: Store, as_of: dt.datetime) -> None:
     """Today's raw article pages of the hour's themes -> themed article rows and rejects."""
     day = local_day(as_of)
     themes = readers.themes_for_hour(local_time(as_of, READER_ZONE).hour)
-    pages = readers.themed_pages(store.spark, store.folder("RAW", "ARTICLES"), themes, [day])
+    pages = readers.spread_pages(readers.themed_pages(store.spark, store.folder("RAW", "ARTICLES"), themes, [day]))
     parsed = materialize(articles.parsed_articles(pages), "articles")
     rows, rejects = articles.split_articles(parsed)
     dated = writers.with_day_columns(rows.withColumn("theme", F.upper("theme")), F.lit(day))
@@ -144,7 +144,8 @@ def extract_articles(store: Store, as_of: dt.datetime) -> None:
 
 
 def _calendar_window(store: Store, kind: str, as_of: dt.datetime) -> DataFrame:
-    return readers.calendar_pages(store.spark, store.folder("RAW", kind), readers.window_days(local_day(as_of)))
+    pages = readers.calendar_pages(store.spark, store.folder("RAW", kind), readers.window_days(local_day(as_of)))
+    return readers.spread_pages(pages)
 
 
 def extract_events(store: Store, as_of: dt.datetime) -> None:

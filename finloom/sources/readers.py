@@ -16,6 +16,9 @@ from finloom.schemas import DAY_PARTITIONS, LATEST_TEXT, MEMBER_BODY, RAW_PAGE,
 FULL_HOURS = (7, 21)
 HOURLY_THEME = "Latest"
 
+#: Bytes of stored pages that one task parses.
+PAGE_TASK_BYTES = 16 << 20
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -77,6 +80,21 @@ def calendar_pages(spark: SparkSession, base: str, days: Iterable[dt.date] | Non
     return day_folders(spark, base, RAW_PAGE, "json", "json", whole_file_objects=True, days=days)
 
 
+def spread_pages(pages: DataFrame) -> DataFrame:
+    """Stored pages over enough tasks to parse them, when their files are fewer.
+
+    A day's pages may stand in one file that cannot be split. The number of tasks follows from
+    the bytes read, at least one a core; it is given outright, so adaptive execution does not
+    gather the small rows again before they are parsed. Pages in many files move nowhere.
+    """
+    spark, files = pages.sparkSession, len(pages.inputFiles())
+    if not files:
+        return pages
+    size = int(str(pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-size // PAGE_TASK_BYTES))
+    return pages if files >= tasks else pages.repartition(tasks)
+
+
 def themed_pages(
     spark: SparkSession, base: str, themes: Iterable[str] = THEMES, days: Iterable[dt.date] | None = None
 ) -> DataFrame:
