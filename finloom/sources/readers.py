@@ -104,7 +104,7 @@ def themed_pages(
     that is not wanted is not even listed.
     """
     parts = [calendar_pages(spark, f"{base}/{t.upper()}", days).withColumn("theme", F.lit(t)) for t in themes]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, [p for p in parts if p.inputFiles()] or parts[:1])
 
 
 def envelope_rows(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
