@@ -5,8 +5,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import uuid
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,8 +23,6 @@ _U = np.uint64
 
 #: Rows of labels that the model is fitted on, at most about so many, chosen by hash of the id.
 TRAIN_ROWS = 200_000
-#: Different words held by a task before it hands on their counts.
-HELD = 1_000_000
 #: Rows of a label, copies counted once, that a word must be in to weigh anything.
 LEAST_ROWS = 5
 
@@ -42,6 +40,7 @@ _SYMBOL[97:123] = np.arange(1, 27)
 _SYMBOL[128:] = OTHER
 
 _EDGES = re.compile(r"^[\"'`(\[{<*_~#.,;:]+|[\"'`)\]}>*_~#.,;:!?%&^=/\\-]+$|(?:([^\w\s])\1+)$")
+_LEADING, _TRAILING = "\"'`([{<*_~#.,;:", "\"'`)]}>*_~#.,;:!?%&^=/\\-"
 _RUN = re.compile(r"(.)\1\1|([a-z])\2")
 _OTHERS = re.compile(r"([^\W\d_a-z])\1*")
 _SPACED = re.compile(r"(?<![^\W_])(?:[a-z0-9@$!+|][ ._*-]++){2,}[a-z0-9@$!+|](?![^\W_])")
@@ -133,6 +132,16 @@ class Decoder:
             k = end
         return out
 
+    def one_double(self, word: str, at: int) -> str:
+        """What read gives for letters a-z with one doubled letter, at `at`: it alone is undecided."""
+        symbols = [GAP] * 3 + [ord(c) - 96 for c in word] + [GAP]
+        short = symbols[: at + 4] + symbols[at + 5 :]
+
+        def price(s: list[int], end: int) -> float:
+            return sum(self.cost[s[k - 3]][s[k - 2]][s[k - 1]][s[k]] for k in range(at + 4, min(end, len(s))))
+
+        return word if price(symbols, at + 8) <= price(short, at + 7) + 3.0 else word[:at] + word[at + 1 :]
+
     def read(self, text: str) -> str:
         """Words of a-z and ?, for other letters, separated by single gaps."""
         states: dict[tuple[int, int, int], tuple[float, tuple]] = {(GAP, GAP, GAP): (0.0, ())}
@@ -158,19 +167,19 @@ class Decoder:
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (id, label) with the smallest of two hashes over runs of three words of the text."""
+    """Rows (id, label) with the smallest of four hashes over runs of three words of the text."""
     for rows, texts in row_chunks(batches, "text"):
         w = words_of(texts, lower=True)
         g, whole = w.grams(3)
         out = []
-        for salt in (0, 0x51ED):
+        for salt in (0, 0x51ED, 0x2F3B, 0x70C9):
             h = np.where(whole, mix(g ^ _U(salt)), _U(2**64 - 1))
             smallest = mix(np.array([zlib.crc32(t or b"") for t in texts], _U))  # of texts with fewer words
             if len(h):
                 np.minimum.at(low := np.full(len(texts), _U(2**64 - 1)), w.doc[: len(h)], h)
                 smallest = np.where(low < _U(2**64 - 1), low, smallest)
             out.append(pa.array(smallest.view(np.int64)))
-        yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), *out], names=["id", "label", "s", "t"])
+        yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), *out], names=["id", "label", "s", "t", "u", "v"])
 
 
 def feature(word: str) -> int:
@@ -179,14 +188,23 @@ def feature(word: str) -> int:
 
 
 class Reader:
-    """Features of texts; words seen before are kept in a table of bounded size."""
+    """Features of texts; words seen before are kept in a table of bounded size.
+
+    With weights given, only features that weigh something are kept and returned."""
 
-    def __init__(self, model: np.ndarray, most: int = 600_000):
-        self.decoder, self.most = Decoder(model), most
+    def __init__(self, model: np.ndarray, weights: dict[int, float] | None = None, most: int = 600_000):
+        self.decoder, self.weights, self.most = Decoder(model), weights, most
         self.known: dict[str, tuple[int, ...]] = {}
 
     def words(self, token: str) -> list[str]:
         """The plain words behind a token: itself when it is made of letters only, none of them doubled."""
+        core = token.lstrip(_LEADING).rstrip(_TRAILING)
+        if core.isalpha():
+            runs = [m.span() for m in _RUN.finditer(core)]
+            if not runs:
+                return [core]
+            if len(runs) == 1 and runs[0][1] - runs[0][0] == 2 and core.isascii():
+                return [self.decoder.one_double(core, runs[0][0])]
         core = _EDGES.sub("", token)
         if core.isalpha() and not _RUN.search(core):
             return [core]
@@ -195,13 +213,17 @@ class Reader:
             return []
         if core.isalpha() and not _RUN.search(core):
             return [core]
-        return [w for k in range(0, len(core), 200) for w in self.read(core[k : k + 200]).split()]
+        return self.read(core).split()
 
     def read(self, text: str) -> str:
         """The decoder's reading, with the letters other than a-z that it leaves open filled in."""
         others = (m[1] for m in _OTHERS.finditer(text) if m[1].isalpha())
         return "".join(next(others, c) if c == "?" else c for c in self.decoder.read(text))
 
+    def _numbers(self, words: list[str]) -> tuple[int, ...]:
+        found = map(feature, words)
+        return tuple(found) if self.weights is None else tuple(f for f in found if f in self.weights)
+
     def features(self, text: str) -> set[int]:
         text = text.lower()
         found: set[int] = set()
@@ -211,13 +233,27 @@ class Reader:
             if got is None:
                 if len(known) >= self.most:
                     known.clear()
-                got = known[token] = tuple(map(feature, self.words(token)))
-            found.update(got)
+                got = self._numbers(self.words(token))
+                if len(token) <= 200:
+                    known[token] = got
+            if got:
+                found.update(got)
         for m in _SPACED.finditer(text):
-            found.update(map(feature, self.decoder.read(m[0]).split()))
+            found.update(self._numbers(self.decoder.read(m[0]).split()))
         return found
 
 
+_readers: dict[object, Reader] = {}
+
+
+def reader(key: object, model: np.ndarray, weights: dict[int, float] | None = None) -> Reader:
+    """The worker's reader for a model; tasks that follow in the same worker find its words."""
+    if key not in _readers:
+        _readers.clear()
+        _readers[key] = Reader(model, weights)
+    return _readers[key]
+
+
 @dataclass
 class Model:
     """Character model, weights of the features, and the line from their sum to log odds."""
@@ -233,7 +269,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
 
     Labels are 0 or 1; null labels and ids are left out; an id labelled twice counts as its largest
     label. At most about `rows` labelled ids are used, chosen by hash; of texts with the same label
-    that share the smallest hash of three words, one: copies say nothing new. A word's weight is its
+    that share the smallest of four hashes over runs of three words all alike, one: copies say nothing new. A word's weight is its
     log ratio of document shares, kept where the ratio is at least e, the likelihood ratio
     statistic at least 20, and the word in LEAST_ROWS rows of one label, so that the words of a few
     copied texts do not count; other words weigh nothing. Without labels of both kinds all
@@ -245,44 +281,40 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     share = min(1.0, rows / max(1, known.count()))
     chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
     rows_of = docs.where(f"`{text_column}` IS NOT NULL").select(F.col(id_column).alias("doc"), F.col(text_column).alias("text"))
-    signed = rows_of.join(F.broadcast(chosen), F.col("doc") == F.col("id")).select("id", "label", "text").mapInArrow(_signed, StructType([chosen.schema["id"], StructField("label", IntegerType()), StructField("s", LongType()), StructField("t", LongType())]))
-    single = signed.groupBy("label", "s").agg(F.min(F.struct("id", "t")).alias("x")).select("label", "x.*").groupBy("label", "t").agg(F.min("id").alias("id"))
-    single = materialize(single.select("id", "label"), "single")
+    minima = [StructField(c, LongType()) for c in "stuv"]
+    signed = rows_of.join(F.broadcast(chosen), F.col("doc") == F.col("id")).select("id", "label", "text").mapInArrow(_signed, StructType([chosen.schema["id"], StructField("label", IntegerType()), *minima]))
+    single = materialize(signed.groupBy("label", *"stuv").agg(F.min("id").alias("id")).select("id", "label"), "single")
     texts = rows_of.join(F.broadcast(single), F.col("doc") == F.col("id")).select("text", "label")
-    shared = spark.sparkContext.broadcast(characters)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, held = Reader(shared.value), (Counter(), Counter())
-
-        def given() -> pa.RecordBatch:
-            words = list(held[0] | held[1])
-            columns = [pa.array(words, pa.int64()), *[pa.array([h[w] for w in words], pa.int64()) for h in held]]
-            for h in held:
-                h.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["word", "zeros", "ones"])
+    shared, key = spark.sparkContext.broadcast(characters), uuid.uuid4().hex
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = reader(key, shared.value)
         for part, found in row_chunks(batches, "text"):
-            for label, text in zip(part.column(1).to_pylist(), found, strict=True):
-                own = held[int(label == 1)]
-                own.update(reader.features(text.decode()))
-                own[-1] += 1  # all rows
-                if len(own) > HELD:
-                    yield given()
-        yield given()
-
-    words = materialize(texts.mapInArrow(count, "word long, zeros long, ones long").groupBy("word").agg(F.sum("zeros").cast("double").alias("b"), F.sum("ones").cast("double").alias("a")), "label-words")
-    n0, n1 = next(((r["b"], r["a"]) for r in words.where("word = -1").collect()), (0.0, 0.0))
+            words = [sorted(own.features(t.decode("utf-8", "replace"))) for t in found]
+            yield pa.RecordBatch.from_arrays([part.column(1), pa.array(words, pa.list_(pa.int64()))], names=["label", "words"])
+
+    rows_read = materialize(texts.mapInArrow(read, "label int, words array<long>"), "label-words")
+    n1, n0 = (float(x or 0) for x in rows_read.agg(F.sum(F.when(F.col("label") == 1, 1).otherwise(0)), F.sum(F.when(F.col("label") == 1, 0).otherwise(1))).first())
+    one = F.col("label") == 1
+    words = rows_read.select(F.explode("words").alias("word"), "label").groupBy("word").agg(F.sum(F.when(one, 0.0).otherwise(1.0)).alias("b"), F.sum(F.when(one, 1.0).otherwise(0.0)).alias("a"))
     weights: dict[int, float] = {}
     if n0 and n1:
         a, b = F.col("a"), F.col("b")
         expected = (a + b) * (n1 / (n0 + n1))
         ratio = F.log((a + 0.5) / (n1 + 1)) - F.log((b + 0.5) / (n0 + 1))
         surprise = 2 * (F.when(a > 0, a * F.log(a / expected)).otherwise(0) + F.when(b > 0, b * F.log(b / (a + b - expected))).otherwise(0))
-        kept = words.where((F.col("word") >= 0) & (F.greatest(a, b) >= LEAST_ROWS) & (F.abs(ratio) >= 1) & (surprise >= 20))
+        kept = words.where((F.greatest(a, b) >= LEAST_ROWS) & (F.abs(ratio) >= 1) & (surprise >= 20))
         weights = {r["word"]: r["ratio"] for r in kept.select("word", ratio.alias("ratio")).collect()}
     model = Model(characters, weights, 0.0, math.log((n1 + 0.5) / (n0 + 0.5)))
     if weights:
-        sums = score(texts, model, "text").select("label", F.round("toxic_sum", 1).alias("s")).groupBy("s").agg(F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("ones"), F.count("*").alias("n")).collect()
+        small = spark.sparkContext.broadcast(weights)
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in batches:
+                sums = [round(sum(small.value.get(w, 0.0) for w in ws), 1) for ws in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sums, pa.float64())], names=["label", "s"])
+
+        sums = rows_read.mapInArrow(add, "label int, s double").groupBy("s").agg(F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("ones"), F.count("*").alias("n")).collect()
         model.slope, model.base = _line([(r["s"], r["ones"], r["n"]) for r in sums])
     return model
 
@@ -312,18 +344,17 @@ def score(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame
     spark = docs.sparkSession
     small_batches(spark)
     docs = without(docs, "toxic_sum", "toxic_score")
-    shared = spark.sparkContext.broadcast(model)
+    shared, key = spark.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        reader = Reader(own.characters)
         weight = own.weights
+        words = reader(key, own.characters, weight)
         for part, texts in row_chunks(batches, text_column):
             sums = np.zeros(len(texts))
             for k, t in enumerate(texts):
                 if t:
-                    hits = reader.features(t.decode()) & weight.keys()
-                    sums[k] = sum(weight[h] for h in sorted(hits))
+                    sums[k] = sum(weight[h] for h in sorted(words.features(t.decode("utf-8", "replace"))))
             odds = np.clip(own.slope * sums + own.base, -500, 500)
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sums), pa.array(1 / (1 + np.exp(-odds)))], names=[*part.schema.names, "toxic_sum", "toxic_score"])
 

@@ -206,3 +206,51 @@ def test_no_node_of_varied_text_is_lost(spark, monkeypatch, most):
     want = tree_scores([t for k, t in rows if k != 7], [t for _, t in rows], context_tree.DEPTH)
     for (k, _), s in zip(rows, want, strict=True):
         assert got[k] == pytest.approx(s, rel=1e-7)
+
+
+def test_long_tokens_are_read_as_a_whole(model):
+    read = toxicity.Reader(model.characters)
+    for lead in range(170, 215, 3):
+        token = "x-" * (lead // 2) + "1d10t"
+        assert read.words(token)[-1] == "idiot", lead
+    assert toxicity.feature("idiot") in read.features("9" * 20_000 + " 1d10t")
+
+
+def test_one_doubled_letter_reads_as_the_whole_search_does(spark, model):
+    read = toxicity.Reader(model.characters)
+    words = {w for r in spark.read.parquet(f"{DATA}/documents.parquet").collect() for w in r.text.lower().split()}
+    found = 0
+    for w in words:
+        runs = [m.span() for m in toxicity._RUN.finditer(w)]
+        if w.isascii() and w.isalpha() and len(runs) == 1 and runs[0][1] - runs[0][0] == 2:
+            found += 1
+            assert read.decoder.one_double(w, runs[0][0]) == read.read(w)
+    assert found > 1000
+
+
+def test_weights_and_scores_are_those_of_counted_words(spark):
+    rng = random.Random(4)
+    names = ["".join(chr(97 + (k * q + q) % 26) for q in (1, 3, 5, 7)) for k in range(60)]
+    rows = []
+    for k in range(700):
+        toxic = int(k % 5 == 0)
+        words = rng.choices(names, k=12) + (["slur"] * (rng.random() < 0.8) if toxic else ["nice"] * (rng.random() < 0.7))
+        rows.append((k, " ".join(words), toxic))
+    rows += [(1000 + k, rows[0][1], 1) for k in range(40)]  # copies count once
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4)
+    fitted = toxicity.train(docs, docs.select("doc_id", "toxic"))
+    read = toxicity.Reader(fitted.characters)
+    single = {(t, x): read.features(t) for _, t, x in rows}
+    n = [sum(x == k for _, x in single) for k in (0, 1)]
+    want = {}
+    for w in set().union(*single.values()):
+        b, a = (sum(w in f for (_, x), f in single.items() if x == k) for k in (0, 1))
+        ratio = math.log((a + 0.5) / (n[1] + 1)) - math.log((b + 0.5) / (n[0] + 1))
+        e = (a + b) * n[1] / sum(n)
+        surprise = 2 * ((a * math.log(a / e) if a else 0) + (b * math.log(b / (a + b - e)) if b else 0))
+        if max(a, b) >= 5 and abs(ratio) >= 1 and surprise >= 20:
+            want[w] = ratio
+    assert want.keys() == fitted.weights.keys() and all(abs(want[w] - r) < 1e-9 for w, r in fitted.weights.items())
+    for r in toxicity.score(docs, fitted).collect():
+        total = sum(want.get(w, 0) for w in read.features(r.text))
+        assert abs(r.toxic_sum - total) < 1e-9 and abs(r.toxic_score - 1 / (1 + math.exp(-(fitted.slope * total + fitted.base)))) < 1e-9
