@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from finloom.catalog.page_queries import ARTICLE_ROWS_SQL, article_pages
 from finloom.catalog.registry import Tables, query
+from finloom.operators.merge import last_per_key
 from finloom.schemas import ARTICLES, MEMBERS, TEXT, row
-from finloom.session import scratch_dir
+from finloom.session import materialize, scratch_dir
 from finloom.sources.readers import member_records
 from finloom.streaming import ingest
+from finloom.streaming.levels import Levels
 from finloom.streaming.pages import ingest_articles
 
 _BATCHES = 4
@@ -52,10 +54,26 @@ def stream_revision(t: Tables):
     (source, files), out = _arrivals(rows, "revisions"), scratch_dir(t.spark, "revised")
     keys, order = ["user_id", "event_type", "day"], ["ts", "event_id"]
     stream = ingest.file_stream(t.spark, source, rows.schema, files_per_batch=files)
-    ingest.ingest_revisions(stream, keys, order, f"{out}/rows", f"{out}/checkpoint")
+    ingest.ingest_revisions(stream, keys, order, f"{out}/rows", f"{out}/checkpoint", by=["day"])
     return ingest.current_rows(t.spark, f"{out}/rows", rows.schema, keys, order)
 
 
+@query(
+    "stream_levels",
+    """SELECT l_suppkey, l_partkey, l_shipdate, l_orderkey, l_linenumber, l_quantity FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_suppkey, l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) = 1""",
+)
+def stream_levels(t: Tables):
+    """Revisions in batches of one order-key slice each, merged three folders at a time on two levels."""
+    rows = t.lineitem.select("l_suppkey", "l_partkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity")
+    keys, order = ["l_suppkey", "l_partkey"], ["l_shipdate", "l_orderkey", "l_linenumber"]
+    out = scratch_dir(t.spark, "levels")
+    store = Levels(t.spark, out, rows.schema, keys, lambda r: last_per_key(r, keys, [*order, "batch_id"]), fanout=3)
+    for batch in range(10):
+        store.add(materialize(last_per_key(rows.where(F.pmod("l_orderkey", F.lit(10)) == batch), keys, order), "slice"), batch)
+    return store.combine(store.rows()).drop("batch_id")
+
+
 @query(
     "stream_members",
     """SELECT o_custkey::VARCHAR AS response_id, max(o_orderdate) AS timestamp,

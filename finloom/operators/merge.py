@@ -53,6 +53,20 @@ def insert_if_absent(
     return fresh.where((size == 0) | ((nulls == 0) & F.col(key).isNotNull()))
 
 
+def insert_new_keys(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """insert_if_absent for a target that lies by key already, such as one bucketed by it.
+
+    The batch is reduced to one row per key before it meets the target, so no key is hot there and
+    only the batch's keys are shuffled; its rows then follow the keys that are new. A row with a NULL
+    in its key is always new. `staged` is read twice.
+    """
+    whole = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    asked = staged.where(whole).select(*keys).distinct()
+    new = materialize(asked.join(target.select(*keys), list(keys), "left_anti"), "new-keys")
+    rows = lookup_join(staged.distinct(), new, keys, "left_semi", sketch=staged)
+    return rows.unionByName(staged.where(~whole).distinct())
+
+
 def replace_by_keys(
     target: DataFrame, staged: DataFrame, keys: Sequence[str], null_safe: bool = False
 ) -> DataFrame:

@@ -1,8 +1,8 @@
 """Incremental jobs over arriving files.
 
 Each micro-batch writes one `batch_id` folder in overwrite mode, so a repeated batch
-replaces its own output and nothing is written twice. Nothing already stored is rewritten:
-revisions are kept as they arrive and the current rows are the latest per key.
+replaces its own output and nothing is written twice. Folders are merged level by level
+(`levels.py`): a row is rewritten once a level, and a reader opens a few folders a level.
 """
 
 from __future__ import annotations
@@ -10,11 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finloom.operators.merge import insert_if_absent, last_per_key
-from finloom.sources.readers import path_exists
+from finloom.operators.merge import insert_new_keys, last_per_key
+from finloom.session import materialize
+from finloom.streaming.levels import Levels
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def file_stream(
@@ -37,23 +40,26 @@ def run_available(stream: DataFrame, each: Callable[[DataFrame, int], None], che
     query.awaitTermination()
 
 
-def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    if not path_exists(spark, f"{path}/batch_id=*"):
-        return spark.createDataFrame([], with_batch)
-    return spark.read.schema(with_batch).parquet(path)
+def _unseen_store(spark: SparkSession, keys: Sequence[str], path: str, schema: T.StructType) -> Levels:
+    return Levels(spark, path, schema, keys, filtered=True)
 
 
 def ingest_unseen(stream: DataFrame, keys: Sequence[str], path: str, checkpoint: str) -> None:
-    """Append the distinct rows whose key was in no earlier batch."""
+    """Append the distinct rows whose key was in no earlier batch; rows with a NULL key always.
+
+    Earlier folders are opened only where their key filter lets a key of the batch through, and
+    are few, since they are merged level by level.
+    """
     schema = stream.schema
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        earlier = _stored(batch.sparkSession, path, schema).where(F.col("batch_id") < batch_id)
-        batch.persist()  # read more than once below
-        fresh = insert_if_absent(earlier.drop("batch_id"), batch, keys)
-        fresh.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        batch.unpersist()
+        store = _unseen_store(batch.sparkSession, keys, path, schema)
+        if not store.has_merged(batch_id):
+            batch = materialize(batch.distinct(), "arrived")  # read more than once below
+            hits = store.may_hold(batch, [r for r in store.runs() if r.last < batch_id])
+            earlier = store.rows(list(hits), hits).drop("batch_id")
+            fresh = materialize(insert_new_keys(earlier, batch, keys), "unseen") if hits else batch
+            store.add(fresh, batch_id)
 
     run_available(stream, each, checkpoint)
 
@@ -61,7 +67,14 @@ def ingest_unseen(stream: DataFrame, keys: Sequence[str], path: str, checkpoint:
 def ingest_first_seen(
     stream: DataFrame, keys: Sequence[str], event_time: str, lateness: str, path: str, checkpoint: str
 ) -> None:
-    """Append one row per key with bounded state: a key may come back after `lateness`."""
+    """Append one row per key with bounded state: a key may come back after `lateness`.
+
+    The keys seen are kept by RocksDB on the executors' disks, with changes alone written to the
+    checkpoint, so they need not fit in memory.
+    """
+    conf = stream.sparkSession.conf
+    conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     unique = stream.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(list(keys))
     query = (
         unique.writeStream.format("parquet")
@@ -74,24 +87,37 @@ def ingest_first_seen(
     query.awaitTermination()
 
 
+def _revision_store(
+    spark: SparkSession, keys: Sequence[str], order: Sequence[str], path: str, schema: T.StructType, by: Sequence[str] = ()
+) -> Levels:
+    return Levels(spark, path, schema, keys, lambda rows: last_per_key(rows, keys, [*order, "batch_id"]), by=by)
+
+
 def ingest_revisions(
-    stream: DataFrame, keys: Sequence[str], order: Sequence[str], path: str, checkpoint: str
+    stream: DataFrame, keys: Sequence[str], order: Sequence[str], path: str, checkpoint: str, by: Sequence[str] = ()
 ) -> None:
-    """Keep each batch's latest row per key; `current_rows` merges the batches when read."""
+    """Upsert each batch's latest row per key: batch folders are merged per key, level by level.
+
+    `by` are key columns, such as a day, by which merged folders are partitioned.
+    """
+    schema = stream.schema
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        last_per_key(batch, keys, order).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        store = _revision_store(batch.sparkSession, keys, order, path, schema, by)
+        if not store.has_merged(batch_id):
+            store.add(materialize(last_per_key(batch, keys, order), "revised"), batch_id)
 
     run_available(stream, each, checkpoint)
 
 
 def stored_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return _stored(spark, path, schema).drop("batch_id")
+    """All rows that the stream under path has stored."""
+    return Levels(spark, path, schema, ()).rows().drop("batch_id")
 
 
 def current_rows(
     spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], order: Sequence[str] = ()
 ) -> DataFrame:
     """The latest stored row per key, by `order` and then by arrival."""
-    stored = _stored(spark, path, schema)
-    return last_per_key(stored, keys, [*order, "batch_id"]).drop("batch_id")
+    store = _revision_store(spark, keys, order, path, schema)
+    return store.combine(store.rows()).drop("batch_id")
