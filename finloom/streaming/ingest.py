@@ -47,8 +47,8 @@ def _unseen_store(spark: SparkSession, keys: Sequence[str], path: str, schema: T
 def ingest_unseen(stream: DataFrame, keys: Sequence[str], path: str, checkpoint: str) -> None:
     """Append the distinct rows whose key was in no earlier batch; rows with a NULL key always.
 
-    Earlier folders are opened only where their key filter lets a key of the batch through, and
-    are few, since they are merged level by level.
+    Of earlier folders, merged level by level, only the buckets whose key filter lets a key of
+    the batch through are opened, and the few newest batches.
     """
     schema = stream.schema
 
@@ -56,10 +56,10 @@ def ingest_unseen(stream: DataFrame, keys: Sequence[str], path: str, checkpoint:
         store = _unseen_store(batch.sparkSession, keys, path, schema)
         if not store.has_merged(batch_id):
             batch = materialize(batch.distinct(), "arrived")  # read more than once below
-            hits = store.may_hold(batch, [r for r in store.runs() if r.last < batch_id])
-            earlier = store.rows(list(hits), hits).drop("batch_id")
-            fresh = materialize(insert_new_keys(earlier, batch, keys), "unseen") if hits else batch
-            store.add(fresh, batch_id)
+            runs = [r for r in store.runs() if r.last < batch_id]
+            hits = store.may_hold(batch, [r for r in runs if r.level])
+            opened = [r for r in runs if r in hits or not r.level]
+            store.add(insert_new_keys(store.rows(opened, hits), batch, keys) if opened else batch, batch_id)
 
     run_available(stream, each, checkpoint)
 
@@ -105,7 +105,7 @@ def ingest_revisions(
     def each(batch: DataFrame, batch_id: int) -> None:
         store = _revision_store(batch.sparkSession, keys, order, path, schema, by)
         if not store.has_merged(batch_id):
-            store.add(materialize(last_per_key(batch, keys, order), "revised"), batch_id)
+            store.add(last_per_key(batch, keys, order), batch_id)
 
     run_available(stream, each, checkpoint)
 

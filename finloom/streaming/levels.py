@@ -57,7 +57,8 @@ class Levels:
 
     Rows have the columns of `schema` and batch_id. `keys` place rows in hash buckets; `by` are
     further partition columns of merged folders, such as a day that depends on the key. With
-    `filtered` every folder has a filter of its keys beside it.
+    `filtered` every merged folder has a filter of its keys beside it; the newest batches, fewer
+    than `fanout` folders, are small and have none.
     """
 
     spark: SparkSession
@@ -76,8 +77,13 @@ class Levels:
     def _folder(self, run: Run) -> str:
         return f"{self.path}/_merged/level={run.level}/run={run.name}" if run.level else f"{self.path}/batch_id={run.first}"
 
-    def _filter_folder(self, run: Run) -> str:
-        return f"{self.path}/_filters/{run.name}"
+    def _filter_folder(self, run: Run, bits: int | str) -> str:
+        return f"{self.path}/_filters/{run.name}.{bits}"
+
+    def _filters(self) -> dict[str, tuple[int, str]]:
+        """Of each folder with a complete filter, by name: its bucket bits and the filter's path."""
+        marks = [m.rsplit("/", 1)[0] for m in _matching(self.spark, f"{self.path}/_filters/*/_SUCCESS")]
+        return {m.rsplit("/", 1)[1].split(".")[0]: (int(m.rsplit(".", 1)[1]), m) for m in marks}
 
     def _complete(self) -> list[Run]:
         found = []
@@ -87,6 +93,9 @@ class Levels:
         for marked in _matching(self.spark, f"{self.path}/_merged/level=*/run=*/_SUCCESS"):
             level, run = marked.split("/")[-3:-1]
             found.append(Run(*map(int, run.split("=")[1].split("-")), int(level.split("=")[1])))
+        if self.filtered:
+            known = self._filters()
+            found = [r for r in found if not r.level or r.name in known]
         return found
 
     def _counted(self) -> tuple[list[Run], list[Run]]:
@@ -119,21 +128,21 @@ class Levels:
     def _hash(self) -> Column:
         return F.xxhash64(*[F.col(k) for k in self.keys])
 
-    def _write(self, rows: DataFrame, run: Run) -> None:
-        """rows, which are stored or kept in memory, as a folder; the filter first, so that no folder lacks it."""
-        count = rows.count()
-        bits = max(0, int(count // BUCKET_ROWS).bit_length())
+    def _write(self, rows: DataFrame, run: Run, most: int) -> None:
+        """rows, at most so many, as a folder; a merged one with a filter counts once that is written too."""
+        if not run.level:
+            rows.write.mode("overwrite").parquet(self._folder(run))
+            return
+        bits = int(most // BUCKET_ROWS).bit_length()
+        by = ["bucket", *self.by]
         bucket = F.shiftrightunsigned(self._hash(), 64 - bits).cast("int") if bits else F.lit(0)
-        dealt = rows.withColumn("bucket", bucket)
+        rows.withColumn("bucket", bucket).hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(self._folder(run))
         if self.filtered:
-            hashes = dealt.select("bucket", self._hash().alias("h")).distinct()
-            made = hashes.groupBy("bucket").applyInArrow(_make_filter, "bucket int, bits int, filter binary")
-            made.withColumn("bits", F.lit(bits)).write.mode("overwrite").parquet(self._filter_folder(run))
-        if run.level or self.filtered:
-            by = ["bucket", *(self.by if run.level else ())]
-            dealt.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(self._folder(run))
-        else:
-            rows.write.mode("overwrite").parquet(self._folder(run))
+            schema = T.StructType([*self.stored.fields, T.StructField("bucket", T.IntegerType())])
+            stored = self.spark.read.schema(schema).parquet(self._folder(run))
+            hashes = stored.select("bucket", self._hash().alias("h")).distinct()
+            filters = hashes.groupBy("bucket").applyInArrow(_make_filter, "bucket int, filter binary")
+            filters.write.mode("overwrite").parquet(self._filter_folder(run, bits))
 
     def has_merged(self, batch_id: int) -> bool:
         return any(r.level and r.first <= batch_id <= r.last for r in self.runs())
@@ -141,7 +150,7 @@ class Levels:
     def add(self, rows: DataFrame, batch_id: int) -> None:
         """Store a batch, then merge the levels that are full."""
         if not self.has_merged(batch_id):
-            self._write(rows, Run(batch_id, batch_id, 0))
+            self._write(rows, Run(batch_id, batch_id, 0), 0)
         self.merge_full()
 
     def merge_full(self) -> None:
@@ -153,25 +162,26 @@ class Levels:
                 return
             some = full[: self.fanout]
             merged = Run(some[0].first, some[-1].last, some[0].level + 1)
-            self._write(self.combine(self.rows(some)), merged)
+            stored = self.rows(some)
+            self._write(self.combine(stored), merged, stored.count())
             # Who listed the folders before an earlier merge has had a whole round to read them.
             for run in covered:
                 _delete(self.spark, self._folder(run))
-                _delete(self.spark, self._filter_folder(run))
+                for folder in _matching(self.spark, self._filter_folder(run, "*")):
+                    _delete(self.spark, folder)
 
     def may_hold(self, batch: DataFrame, runs: Sequence[Run]) -> dict[Run, list[int]]:
-        """The buckets of these folders whose filter lets some key of the batch through.
+        """The buckets of these merged folders whose filter lets some key of the batch through.
 
         Only hashes of the batch's keys and filters are read and shuffled, no stored rows; what
         comes back is one line per bucket that has to be opened."""
-        if not runs or batch.isEmpty():
-            return {}
-        names = {r.name: r for r in runs}
-        filters = self.spark.read.parquet(*[self._filter_folder(r) for r in runs])
-        filters = filters.withColumn("run", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
-        sizes = [F.struct(F.lit(r["run"]).alias("run"), F.lit(r["bits"]).alias("bits")) for r in filters.select("run", "bits").distinct().collect()]
-        if not sizes:  # folders of empty batches have no keys
+        if not runs:
             return {}
+        names, made = {r.name: r for r in runs}, self._filters()
+        kind = "bucket int, filter binary"
+        parts = [self.spark.read.schema(kind).parquet(made[n][1]).withColumn("run", F.lit(n)) for n in names]
+        filters = reduce(DataFrame.unionByName, parts)
+        sizes = [F.struct(F.lit(n).alias("run"), F.lit(made[n][0]).alias("bits")) for n in names]
         asked = batch.select(self._hash().alias("h")).distinct().select("h", F.inline(F.array(*sizes)))  # a few folders
         bucket = F.when(F.col("bits") > 0, F.expr("CAST(shiftrightunsigned(h, 64 - bits) AS INT)")).otherwise(0)
         asked = asked.select("run", bucket.alias("bucket"), "h")
@@ -194,7 +204,7 @@ def _make_filter(table: pa.Table) -> pa.Table:
     hashes = table["h"].to_numpy()
     bits = np.zeros(max(64, -(-FILTER_BITS * len(hashes) // 8) * 8), bool)
     bits[_places(hashes, len(bits)).ravel()] = True
-    return pa.table({"bucket": table["bucket"][:1], "bits": pa.array([0], pa.int32()), "filter": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+    return pa.table({"bucket": table["bucket"][:1], "filter": pa.array([np.packbits(bits).tobytes()], pa.binary())})
 
 
 def _test_filter(asked: pa.Table, filters: pa.Table) -> pa.Table:

@@ -101,19 +101,19 @@ def unseen_store(spark, path):
 def test_folders_whose_filter_excludes_the_batch_stay_closed(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(levels, "BUCKET_ROWS", 100)
     store = unseen_store(spark, str(tmp_path))
-    for number in range(5):
+    for number in range(8):
         store.add(spark.range(500).select(F.concat(F.lit(f"b{number}-"), "id").alias("url"), F.col("id").cast("int").alias("n")), number)
     runs = store.runs()
-    assert [(r.first, r.last) for r in runs] == [(0, 3), (4, 4)]
+    assert [(r.first, r.last) for r in runs] == [(0, 3), (4, 7)]
     new = spark.createDataFrame([(f"new-{k}", k) for k in range(200)], "url string, n int")
     assert store.may_hold(new, runs) == {}
     asked = spark.createDataFrame([("b4-77", 1), ("b4-77", 2), ("new", 1)], "url string, n int")
     hits = store.may_hold(asked, runs)
     assert list(hits) == [runs[1]] and len(hits[runs[1]]) == 1
     opened = store.rows(list(hits), hits).inputFiles()
-    assert opened and all(f"batch_id=4/bucket={hits[runs[1]][0]}/" in f for f in opened)
+    assert opened and all(f"run=4-7/bucket={hits[runs[1]][0]}/" in f for f in opened)
     whole = store.rows().drop("batch_id")
-    assert rows(insert_new_keys(store.rows(list(hits), hits).drop("batch_id"), asked, ["url"])) == rows(insert_if_absent(whole, asked, ["url"])) == Counter([("new", 1)])
+    assert rows(insert_new_keys(store.rows(list(hits), hits), asked, ["url"])) == rows(insert_if_absent(whole, asked, ["url"])) == Counter([("new", 1)])
     assert store.may_hold(asked.limit(0), runs) == store.may_hold(asked, []) == {}
 
 
@@ -121,9 +121,10 @@ def test_filters_hold_all_their_keys(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(levels, "BUCKET_ROWS", 50)
     store = unseen_store(spark, str(tmp_path))
     made = spark.range(3000).select(F.when(F.col("id") % 100 > 0, F.concat(F.lit("u"), "id")).alias("url"), F.lit(1).alias("n"))
-    store.add(made, 0)
+    for number in range(4):
+        store.add(made.where(F.pmod(F.hash("url"), F.lit(4)) == number), number)
     (run,) = store.runs()
-    buckets = {r.bucket for r in spark.read.parquet(f"{tmp_path}/batch_id=0").select("bucket").distinct().collect()}
+    buckets = {r.bucket for r in store.spark.read.parquet(f"{tmp_path}/_merged/level=1/run=0-3").select("bucket").distinct().collect()}
     assert set(store.may_hold(made, [run])[run]) == buckets and len(buckets) > 30
 
 
