@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
@@ -13,11 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finloom.llm.words import NOT_ALNUM, Words, row_chunks, row_key, small_batches, words_of
+from finloom.llm.words import NOT_ALNUM, Words, mix, row_chunks, row_key, small_batches, words_of
 from finloom.session import materialize
 
 _U = np.uint64
 BLOCKS, BLOCK_BITS = 4, 16
+_AGAIN = _U(0x9E3779B97F4A7C15)
 
 
 def _bits(h: np.ndarray) -> np.ndarray:
@@ -59,22 +61,42 @@ def similarity(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) ->
     return both / max(1, sum(left.values()) + sum(right.values()) - both)
 
 
+def _occurrences(grams: np.ndarray) -> np.ndarray:
+    """How often each gram stands before its place in the same bag."""
+    order = np.argsort(grams, kind="stable")
+    first = np.ones(len(grams), bool)
+    first[1:] = grams[order][1:] != grams[order][:-1]
+    place = np.arange(len(grams))
+    out = np.empty(len(grams), np.int64)
+    out[order] = place - np.maximum.accumulate(np.where(first, place, 0))
+    return out
+
+
+def _signed(grams: np.ndarray, x: np.ndarray, again: np.ndarray | int = 0) -> np.ndarray:
+    """What each gram adds to the 64 sums of a fingerprint: the root of its weight, by its hash's bits.
+
+    With roots the cosine of two bags is their common weight over the root of both weights, so a
+    weighted Jaccard of t bounds it by 2t / (1 + t) from below, however uneven the words are. The
+    second and later occurrences of a gram are grams of their own, as they are to the Jaccard."""
+    return _bits(mix(grams + _AGAIN * np.asarray(again).astype(_U))) * np.rint(np.sqrt(x) * 1024).astype(np.int64)[:, None]
+
+
 class Items:
     """Benchmark items by word count and shingle size, with an index of their fingerprints.
 
     A fingerprint has 64 bits in four blocks. Two fingerprints that differ in at most radius bits
-    differ in at most radius // 4 bits of some block, so each block's table lists, for every value
-    within that many bits of an item's block, the item. A lookup of a window's own four blocks
-    then finds all items within the radius.
+    differ in at most radius // 4 bits of some block. Each block's table lists the items by the
+    value of their block; a window looks up every value within that many bits of its own.
     """
 
     def __init__(self, rows: list[tuple], shingle: int, radius: int):
         self.groups: dict[tuple[int, int], dict] = {}
-        self.radius = radius
+        self.radius, self.near = radius, _neighbours(radius // BLOCKS)
+        self.items: list[tuple] = []
         w = words_of([t.encode() if t is not None else None for _, t in rows], NOT_ALNUM, lower=True)
         hashes, first = w.hashes(), w.first()
         known: dict[int, list] = {}
-        near = _neighbours(radius // BLOCKS)
+        marks, group_of = [], []
         for k, (item, _) in enumerate(rows):
             n = int(first[k + 1] - first[k])
             if not n:
@@ -84,32 +106,72 @@ class Items:
             grams, _ = own.grams(size, hashes[first[k] : first[k + 1]])
             x = weights(own, size)
             known.setdefault(size, []).append(grams)
-            group = self.groups.setdefault((n, size), {"items": []})
-            group["items"].append((item, grams, x, _pack((_bits(grams) * x[:, None]).sum(axis=0, keepdims=True) > 0)[0]))
+            group = self.groups.setdefault((n, size), {"number": len(self.groups), "lightest": int(x.sum())})
+            group["lightest"] = min(group["lightest"], int(x.sum()))
+            self.items.append((item, grams, x))
+            marks.append(_pack(_signed(grams, x, _occurrences(grams)).sum(axis=0, keepdims=True) > 0)[0])
+            group_of.append(group["number"])
         self.known = {size: np.unique(np.concatenate(g)) for size, g in known.items()}
-        for group in self.groups.values():
-            marks = np.array([i[3] for i in group["items"]], _U)
-            group["lightest"] = min(int(i[2].sum()) for i in group["items"])
-            group["marks"], group["index"] = marks, []
-            for b in range(BLOCKS):
-                value = ((marks >> _U(b * BLOCK_BITS)) & _U(0xFFFF)).astype(np.uint32)
-                cells = (value[:, None] ^ near[None, :]).ravel()
-                order = np.argsort(cells, kind="stable")
-                group["index"].append((np.searchsorted(cells[order], np.arange(65537)), np.repeat(np.arange(len(marks), dtype=np.int32), len(near))[order]))
-
-    def candidates(self, group: dict, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (window, item) whose fingerprints differ in at most radius bits."""
-        pairs = []
-        for b, (begin, item) in enumerate(group["index"]):
-            value = ((marks >> _U(b * BLOCK_BITS)) & _U(0xFFFF)).astype(np.int64)
-            n = begin[value + 1] - begin[value]
-            at = np.repeat(np.arange(len(marks)), n)
-            pos = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + begin[value][at]
-            pairs.append(at * len(group["marks"]) + item[pos])
-        both = np.unique(np.concatenate(pairs))
-        at, item = both // len(group["marks"]), both % len(group["marks"])
-        close = np.bitwise_count(marks[at] ^ group["marks"][item]) <= self.radius
-        return at[close], item[close]
+        self.marks, self.group_of = np.array(marks, _U), np.array(group_of, np.int64)
+        self.tables = []
+        for b in range(BLOCKS):
+            value = self._block(self.marks, b)
+            order = np.argsort(value, kind="stable")
+            self.tables.append((np.searchsorted(value[order], np.arange(65537)).astype(np.int32), order.astype(np.int32)))
+
+    @staticmethod
+    def _block(marks: np.ndarray, b: int) -> np.ndarray:
+        return ((marks >> _U(b * BLOCK_BITS)) & _U(0xFFFF)).astype(np.int64)
+
+    def candidates(self, group: dict, marks: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Pairs (window, item of the group) whose fingerprints differ in at most radius bits."""
+        for lo in range(0, len(marks), 128):
+            some, pairs = marks[lo : lo + 128], []
+            for b, (begin, item) in enumerate(self.tables):
+                cells = (self._block(some, b)[:, None] ^ self.near[None, :].astype(np.int64)).ravel()
+                n = begin[cells + 1] - begin[cells]
+                met = np.flatnonzero(n)
+                n, start = n[met], begin[cells[met]]
+                at = np.repeat(met // len(self.near), n)
+                found = item[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start, n)]
+                own = self.group_of[found] == group["number"]
+                pairs.append(at[own] * len(self.marks) + found[own])
+            both = np.unique(np.concatenate(pairs))
+            at, item = both // max(1, len(self.marks)), both % max(1, len(self.marks))
+            close = np.bitwise_count(some[at] ^ self.marks[item]) <= self.radius
+            yield from zip((lo + at[close]).tolist(), item[close].tolist(), strict=True)
+
+
+_built: dict[str, Items] = {}
+
+
+def _items(key: str, rows: list[tuple], shingle: int, radius: int) -> Items:
+    """The worker's index of a block of items, built once."""
+    if key not in _built:
+        _built.clear()
+        _built[key] = Items(rows, shingle, radius)
+    return _built[key]
+
+
+def _marks(g: np.ndarray, x: np.ndarray, begin: np.ndarray, span: int) -> np.ndarray:
+    """Fingerprints of the windows of span grams that begin at `begin`, in order."""
+    lo, hi = begin[0], begin[-1] + span
+    sums = np.zeros((hi - lo + 1, 64), np.int64)
+    np.cumsum(_signed(g[lo:hi], x[lo:hi]), axis=0, out=sums[1:])
+    out = _pack(sums[begin - lo + span] - sums[begin - lo] > 0)
+    # where each gram stood last; a window that holds it twice is summed on its own
+    order = np.argsort(g[lo:hi], kind="stable")
+    last = np.full(hi - lo, -1)
+    same = g[lo:hi][order][1:] == g[lo:hi][order][:-1]
+    last[order[1:][same]] = order[:-1][same]
+    if same.any():
+        twice = np.concatenate([[0], np.cumsum(last >= 0)])
+        for k in np.flatnonzero(twice[begin - lo + span] > twice[begin - lo]).tolist():
+            p = begin[k]
+            if (last[p - lo : p - lo + span] >= p - lo).any():
+                own = g[p : p + span]
+                out[k] = _pack(_signed(own, x[p : p + span], _occurrences(own)).sum(axis=0, keepdims=True) > 0)[0]
+    return out
 
 
 def _matches(w: Words, hashes: np.ndarray, items: Items, least: float) -> Iterator[tuple]:
@@ -141,13 +203,9 @@ def _matches(w: Words, hashes: np.ndarray, items: Items, least: float) -> Iterat
                 begin = begin[inside >= least * (total[begin + span] - total[begin]) - 1e-9]
                 if not len(begin):
                     continue
-                lo_word, hi_word = begin[0], begin[-1] + span
-                signed = np.zeros((hi_word - lo_word + 1, 64), np.int64)
-                np.cumsum(_bits(g[lo_word:hi_word]) * x[lo_word:hi_word, None], axis=0, out=signed[1:])
-                marks = _pack(signed[begin - lo_word + span] - signed[begin - lo_word] > 0)
-                for k, i in zip(*items.candidates(group, marks), strict=True):
+                for k, i in items.candidates(group, _marks(g, x, begin, span)):
                     p = begin[k]
-                    item, ig, ix, _ = group["items"][i]
+                    item, ig, ix = items.items[i]
                     sim = similarity(g[p : p + span], x[p : p + span], ig, ix)
                     if sim >= least - 1e-12:
                         key = (int(row), item)
@@ -158,23 +216,23 @@ def _matches(w: Words, hashes: np.ndarray, items: Items, least: float) -> Iterat
 
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, shingle: int = 5, least: float = 0.8, radius: int | None = None,
-    items_at_once: int = 5000, id_column: str = "doc_id", text_column: str = "text",
+    items_at_once: int = 5000, bytes_at_once: int = 16 << 20, id_column: str = "doc_id", text_column: str = "text",
 ) -> DataFrame:
     """One row per document and benchmark item that it holds: the id, item_id, similarity,
     first_word and n_words of the best window (the first of equal ones), and row_key.
 
     Words are runs of letters, digits and non-ASCII bytes, A-Z lower-cased. For an item of n words
     every window of n words of every document is looked at, or the whole document if it has fewer
-    words: its 64-bit SimHash over weighted
-    shingles must be within radius bits of the item's, and then the exact weighted Jaccard of the
+    words: its 64-bit SimHash over shingles with the roots of their weights
+    must be within radius bits of the item's, and then the exact weighted Jaccard of the
     two bags of shingles at least `least`. Windows without enough weight in any benchmark shingle
     cannot reach it and get no fingerprint. Items with fewer words than a shingle match as a
     whole; items without words, null ids' items included, match nothing without words. The radius,
     unless given, follows from `least` (19 bits for 0.8); by the same model it misses under 0.1 % of the
     pairs right at the threshold and fewer of the more similar ones.
 
-    Benchmark items are sent to the tasks in blocks of items_at_once, one pass over the documents
-    for each block, so what is broadcast is bounded. No shuffle of documents. Null and empty texts
+    Benchmark items are sent to the tasks in blocks of about items_at_once items and bytes_at_once,
+    one pass over the documents for each block, so what is broadcast is bounded. No shuffle of documents. Null and empty texts
     match nothing; repeated rows match alike; empty tables give no rows; other columns are ignored.
     """
     radius = radius_for(least) if radius is None else radius
@@ -182,16 +240,17 @@ def find_leaks(
     small_batches(spark)
     source = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), row_key(id_column, text_column).alias("row_key"))
     ranked = benchmark.select("item_id", "text").where("text IS NOT NULL")
-    blocks = -(-ranked.count() // items_at_once)
+    count, size = ranked.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    blocks = max(-(-count // items_at_once), -(-size // bytes_at_once))
     ranked = ranked.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, blocks))))
     schema = f"`{id_column}` {source.schema[0].dataType.simpleString()}, row_key long, item_id {ranked.schema[0].dataType.simpleString()}, similarity double, first_word long, n_words long"
     found = []
     for block in range(max(1, blocks)):
         rows = [(r["item_id"], r["text"]) for r in ranked.where(F.col("block") == block).collect()]
-        shared = spark.sparkContext.broadcast(rows)
+        shared, key = spark.sparkContext.broadcast(rows), uuid.uuid4().hex
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            items = Items(shared.value, shingle, radius)
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, key=key) -> Iterator[pa.RecordBatch]:
+            items = _items(key, shared.value, shingle, radius)
             for part, texts in row_chunks(batches, "text"):
                 w = words_of(texts, NOT_ALNUM, lower=True)
                 got = list(_matches(w, w.hashes(), items, least)) if items.known else []
