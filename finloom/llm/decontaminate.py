@@ -19,6 +19,8 @@ from finloom.session import materialize
 
 _U = np.uint64
 BLOCKS, BLOCK_BITS = 4, 16
+#: Windows that are looked up together.
+WINDOWS_AT_ONCE = 1024
 _AGAIN = _U(0x9E3779B97F4A7C15)
 
 
@@ -85,13 +87,15 @@ class Items:
     """Benchmark items by word count and shingle size, with an index of their fingerprints.
 
     A fingerprint has 64 bits in four blocks. Two fingerprints that differ in at most radius bits
-    differ in at most radius // 4 bits of some block. Each block's table lists the items by the
-    value of their block; a window looks up every value within that many bits of its own.
+    differ in at most radius // 4 bits of some block. Half of these bits are flipped on either side:
+    each block's table lists an item under every value that near to its own, and a window looks
+    up every value that near to its own.
     """
 
     def __init__(self, rows: list[tuple], shingle: int, radius: int):
         self.groups: dict[tuple[int, int], dict] = {}
-        self.radius, self.near = radius, _neighbours(radius // BLOCKS)
+        self.radius, apart = radius, radius // BLOCKS
+        self.near, listed = _neighbours(apart - apart // 2), _neighbours(apart // 2)
         self.items: list[tuple] = []
         w = words_of([t.encode() if t is not None else None for _, t in rows], NOT_ALNUM, lower=True)
         hashes, first = w.hashes(), w.first()
@@ -106,8 +110,8 @@ class Items:
             grams, _ = own.grams(size, hashes[first[k] : first[k + 1]])
             x = weights(own, size)
             known.setdefault(size, []).append(grams)
-            group = self.groups.setdefault((n, size), {"number": len(self.groups), "lightest": int(x.sum())})
-            group["lightest"] = min(group["lightest"], int(x.sum()))
+            group = self.groups.setdefault((n, size), {"number": len(self.groups), "lightest": int(x.sum()), "heaviest": 0})
+            group["lightest"], group["heaviest"] = min(group["lightest"], int(x.sum())), max(group["heaviest"], int(x.sum()))
             self.items.append((item, grams, x))
             marks.append(_pack(_signed(grams, x, _occurrences(grams)).sum(axis=0, keepdims=True) > 0)[0])
             group_of.append(group["number"])
@@ -115,18 +119,18 @@ class Items:
         self.marks, self.group_of = np.array(marks, _U), np.array(group_of, np.int64)
         self.tables = []
         for b in range(BLOCKS):
-            value = self._block(self.marks, b)
+            value = (self._block(self.marks, b)[:, None] ^ listed[None, :].astype(np.int64)).ravel()
             order = np.argsort(value, kind="stable")
-            self.tables.append((np.searchsorted(value[order], np.arange(65537)).astype(np.int32), order.astype(np.int32)))
+            self.tables.append((np.searchsorted(value[order], np.arange(65537)).astype(np.int32), (order // len(listed)).astype(np.int32)))
 
     @staticmethod
     def _block(marks: np.ndarray, b: int) -> np.ndarray:
         return ((marks >> _U(b * BLOCK_BITS)) & _U(0xFFFF)).astype(np.int64)
 
-    def candidates(self, group: dict, marks: np.ndarray) -> Iterator[tuple[int, int]]:
-        """Pairs (window, item of the group) whose fingerprints differ in at most radius bits."""
-        for lo in range(0, len(marks), 128):
-            some, pairs = marks[lo : lo + 128], []
+    def candidates(self, group: np.ndarray, marks: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Pairs (window, item) of one group whose fingerprints differ in at most radius bits."""
+        for lo in range(0, len(marks), WINDOWS_AT_ONCE):
+            some, pairs = marks[lo : lo + WINDOWS_AT_ONCE], []
             for b, (begin, item) in enumerate(self.tables):
                 cells = (self._block(some, b)[:, None] ^ self.near[None, :].astype(np.int64)).ravel()
                 n = begin[cells + 1] - begin[cells]
@@ -134,7 +138,7 @@ class Items:
                 n, start = n[met], begin[cells[met]]
                 at = np.repeat(met // len(self.near), n)
                 found = item[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start, n)]
-                own = self.group_of[found] == group["number"]
+                own = self.group_of[found] == group[lo + at]
                 pairs.append(at[own] * len(self.marks) + found[own])
             both = np.unique(np.concatenate(pairs))
             at, item = both // max(1, len(self.marks)), both % max(1, len(self.marks))
@@ -177,6 +181,7 @@ def _marks(g: np.ndarray, x: np.ndarray, begin: np.ndarray, span: int) -> np.nda
 def _matches(w: Words, hashes: np.ndarray, items: Items, least: float) -> Iterator[tuple]:
     """(row, item, similarity, first word, words) of the best window of each row and item."""
     best: dict[tuple, tuple] = {}
+    windows, marks, numbers = [], [], []
     for size, known in items.known.items():
         grams, whole = w.grams(size, hashes)
         slot = np.searchsorted(known, grams)
@@ -191,25 +196,31 @@ def _matches(w: Words, hashes: np.ndarray, items: Items, least: float) -> Iterat
             for (n, s), group in items.groups.items():
                 if s != size:
                     continue
-                item_span = n - size + 1
                 n = min(n, hi - lo)  # a document shorter than the item is one window
                 span = n - size + 1
-                # a window as similar as asked has at least that share of its weight in benchmark shingles
                 begin = np.unique(np.clip(spots[:, None] - np.arange(span)[None, :], 0, hi - lo - n))
-                inside = covered[begin + span] - covered[begin]
-                if span < item_span:
-                    begin = begin[inside >= least * group["lightest"] - 1e-9]
-                    inside = covered[begin + span] - covered[begin]
-                begin = begin[inside >= least * (total[begin + span] - total[begin]) - 1e-9]
+                # a window as similar as asked weighs about what the item does, and has that share of
+                # both weights in benchmark shingles
+                inside, own_weight = covered[begin + span] - covered[begin], total[begin + span] - total[begin]
+                fits = inside * (1 + least) >= least * (own_weight + group["lightest"]) - 1e-9
+                fits &= (inside >= least * own_weight - 1e-9) & (inside >= least * group["lightest"] - 1e-9) & (least * own_weight <= group["heaviest"] + 1e-9)
+                begin = begin[fits]
                 if not len(begin):
                     continue
-                for k, i in items.candidates(group, _marks(g, x, begin, span)):
-                    p = begin[k]
-                    item, ig, ix = items.items[i]
-                    sim = similarity(g[p : p + span], x[p : p + span], ig, ix)
-                    if sim >= least - 1e-12:
-                        key = (int(row), item)
-                        best[key] = max(best.get(key, (0.0, 0, 0)), (sim, -int(p), n))
+                windows.append((int(row), g, x, begin, span, n))
+                marks.append(_marks(g, x, begin, span))
+                numbers.append(np.full(len(begin), group["number"]))
+    if not windows:
+        return
+    edge = np.cumsum([0, *map(len, marks)])
+    for k, i in items.candidates(np.concatenate(numbers), np.concatenate(marks)):
+        at = int(np.searchsorted(edge, k, "right")) - 1
+        row, g, x, begin, span, n = windows[at]
+        p = begin[k - edge[at]]
+        item, ig, ix = items.items[i]
+        sim = similarity(g[p : p + span], x[p : p + span], ig, ix)
+        if sim >= least - 1e-12:
+            best[row, item] = max(best.get((row, item), (0.0, 0, 0)), (sim, -int(p), n))
     for (row, item), (sim, p, n) in best.items():
         yield row, item, sim, -p, n
 
