@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,7 +40,38 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="finloom-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/finloom/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/finloom/{name}-{uuid.uuid4().hex}"
+    for made in _scopes:
+        made.append(path)
+    return path
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope() -> Iterator[list[str]]:
+    """Collects the scratch folders named meanwhile, for release once nothing reads them any more."""
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield made
+    finally:
+        _scopes[:] = [s for s in _scopes if s is not made]
+
+
+def release(spark: SparkSession, folders: Iterable[str]) -> None:
+    """Delete scratch folders, and the shuffle files of plans that nothing refers to."""
+    for folder in folders:
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    free_shuffles(spark)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Spark drops a shuffle's files when the driver collects its plan; have it do so now."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
