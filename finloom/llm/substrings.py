@@ -25,7 +25,7 @@ GRAM = 8
 #: A minimiser found more often is dealt over buckets of about so many super-k-mers.
 BUCKET_ROWS = 1000
 #: A minimiser found so often in one chunk of rows is dealt by chunk from the start.
-HEAVY_IN_CHUNK = 50
+HEAVY_IN_CHUNK = 12
 #: Windows of a super-k-mer fit one bit each in a long.
 MOST_WINDOWS = 60
 
@@ -87,6 +87,7 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     there more than once, with the part of the key's super-k-mers they go to, and whether the key has
     several parts. Holds one part between batches."""
     here, told, held, part = None, None, [], 0
+    counted, count = None, 0  # rows so far of the last wide key
 
     def given(row, key, part, wide: bool) -> pa.RecordBatch:
         n = len(row)
@@ -101,8 +102,16 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wide = np.isin(key, known) | (salt != 0)
         if wide.any():
             pick = wide & ~mark
-            # any split into parts will do: rows of a part are about BUCKET_ROWS neighbours
-            yield given(row[pick], key[pick], mix((salt[pick] + 1 + np.arange(pick.sum()) // BUCKET_ROWS).view(_U)).view(np.int64), True)
+            own = key[pick]
+            if len(own):
+                # any split into parts will do: rows of a part are about BUCKET_ROWS neighbours, also over batches
+                first = np.ones(len(own), bool)
+                first[1:] = own[1:] != own[:-1]
+                nth = np.arange(len(own)) - np.maximum.accumulate(np.where(first, np.arange(len(own)), 0))
+                nth += np.where(own == counted, count, 0) if counted is not None else 0
+                counted, count = own[-1], nth[-1] + 1
+                split = mix((salt[pick] + 1).view(_U)) + mix((nth // BUCKET_ROWS).astype(_U))
+                yield given(row[pick], own, split.view(np.int64), True)
         told = key[-1] if wide[-1] and (salt[-1] == 0) else None
         row, key = row[~wide], key[~wide]
         if not len(row):

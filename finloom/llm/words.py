@@ -15,7 +15,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text handled by one numpy step, unless a single document is longer.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 #: The whitespace class of the word pattern [^\x20\x09-\x0D]+.
 WHITESPACE = np.zeros(256, bool)
