@@ -10,6 +10,10 @@ segments; the part of a set in a segment is its subset.
 * One-deletion neighbourhoods: with m = H // 2 + 1 segments some subset differs in one element at
   most. A subset's key and its keys with any one element deleted then meet the other's.
 
+An empty part would be a key that all sets without it share. Such a key is replaced by the
+one-deletion keys of a second partition, tagged with the first one's segment: two sets that
+both leave the segment empty both send them, and these meet by the second partition's own count.
+
 Each band takes the cheaper way by an estimate of keys and of useless meetings. Pairs that meet
 are checked on their whole sets.
 """
@@ -27,12 +31,13 @@ from pyspark.sql import functions as F
 
 from finloom.llm.components import components
 from finloom.llm.words import mix, row_chunks, row_key, small_batches, words_of
-from finloom.session import materialize
+from finloom.operators.lookup import lookup_join
+from finloom.session import free_shuffles, materialize
 
-#: Cost of an expected meeting over an empty subset, in keys.
-EMPTY_COST = 50.0
+#: Cost of an expected key of an empty part of the second partition, in keys.
+EMPTY_COST = 200.0
 #: Widths of the size bands to choose from.
-BAND_WIDTHS = (2.0, 1.5, 1.25, 1.0)
+BAND_WIDTHS = (3.0, 2.5, 2.0, 1.5, 1.25, 1.0)
 #: Nodes in a block of a tile.
 TILE_NODES = 1500
 #: Row keys that are sent to every task to pick texts; more are joined by shuffle.
@@ -56,13 +61,25 @@ class Bands:
         self._ways: dict[int, tuple[bool, int, int]] = {}
 
     def cost(self, n: int) -> float:
-        """Keys, and useless meetings over empty subsets, of a set of n elements."""
+        """Keys, and what empty parts cost, of a set of n elements."""
         total = 0.0
         for band in self.of(n):
             deletions, m, skip = self.way(band)
-            total += (m + n if deletions else m - skip) + EMPTY_COST * _beyond(m * math.exp(-n / m), skip) * (m > 1)
+            total += self._cost(n, deletions, m, skip, self._apart(band))
         return total
 
+    def _apart(self, band: int) -> int:
+        """Elements in which two sets of a band differ at most."""
+        return (self.den - self.num) * 2 * (self.low[band + 1] - 1) // (self.den + self.num)
+
+    @staticmethod
+    def _cost(n: int, deletions: bool, m: int, skip: int, apart: int) -> float:
+        second = apart // 2 + 1
+        again = second + n + EMPTY_COST * (second > 1) * second * math.exp(-n / second) * (1 + n / second)
+        if deletions:
+            return m + n + again * (m > 1) * m * math.exp(-n / m) * (1 + n / m)
+        return m - skip + again * (m > 1) * _beyond(m * math.exp(-n / m), skip)
+
     def of(self, n: int) -> range:
         """Bands in which a set of n elements can meet another: its own, and those of larger sets."""
         most = n * self.den // self.num
@@ -75,14 +92,13 @@ class Bands:
     def way(self, band: int) -> tuple[bool, int, int]:
         """(deletions, segments, subsets left out) of a band."""
         if band not in self._ways:
-            most, least = self.low[band + 1] - 1, max(1, math.ceil(self.low[band] * self.num / self.den))
-            apart = (self.den - self.num) * 2 * most // (self.den + self.num)
+            least, apart = max(1, math.ceil(self.low[band] * self.num / self.den)), self._apart(band)
             m = apart // 2 + 1
-            ways = [(m + most + EMPTY_COST * m * math.exp(-least / m) * (m > 1), True, m, 0)]
+            ways = [(self._cost(least, True, m, 0, apart), True, m, 0)]
             for skip in (0, 1, 2, 3, 4, 5, 7, 9, 12, 15, 20, 26, 34, 44, 57, 74, 96, 125, 160, 210, 270, 350):
                 m = apart + 1 + 2 * skip
                 if m <= max(1, least):
-                    ways.append((m - skip + EMPTY_COST * _beyond(m * math.exp(-least / m), skip) * (m > 1), False, m, skip))
+                    ways.append((self._cost(least, False, m, skip, apart), False, m, skip))
             self._ways[band] = min(ways)[1:]
         return self._ways[band]
 
@@ -91,21 +107,38 @@ class Bands:
         out = []
         for band in self.of(len(elements)):
             deletions, m, skip = self.way(band)
-            own = mix(elements ^ _U(0xA5A5A5A5 + band))
-            segment = (((own >> _U(32)) * _U(m)) >> _U(32)).astype(np.int64)
-            order = np.argsort(segment, kind="stable")
-            sums = np.concatenate([np.zeros(1, _U), np.cumsum(own[order], dtype=_U)])
-            edge = np.searchsorted(segment[order], np.arange(m + 1))
-            whole, count = sums[edge[1:]] - sums[edge[:-1]], np.diff(edge)
+            whole, count, segment, own = _parts(elements, m, band)
             salt = mix(np.arange(m, dtype=_U) + _U(band << 32))
             if deletions:
                 out += [mix(whole + salt), mix(whole[segment] - own + salt[segment])]
+                empty, held = np.flatnonzero(count <= 1), count > 0
+                if m > 1 and len(empty):  # without any element, or without the only one
+                    out[-2], out[-1] = out[-2][held], out[-1][count[segment] > 1]
             else:
                 pick = np.argsort(count, kind="stable")[skip:]
+                empty = pick[count[pick] == 0] if m > 1 else pick[:0]
+                if len(empty):
+                    pick = pick[count[pick] > 0]
                 out.append(mix(whole[pick] + salt[pick]))
+            if m > 1 and len(empty):
+                m = self._apart(band) // 2 + 1
+                whole, _, segment, own = _parts(elements, m, band + (1 << 20))
+                salt = mix(np.arange(m, dtype=_U) + _U(band << 32) + _U(1 << 60))
+                second = np.concatenate([mix(whole + salt), mix(whole[segment] - own + salt[segment])])
+                out += [mix(second ^ tag) for tag in mix(empty.astype(_U) + _U(0xE3779))]
         return np.unique(np.concatenate(out)) if out else np.zeros(0, _U)
 
 
+def _parts(elements: np.ndarray, m: int, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sum and number of the elements of each of m segments; each element's segment and number in the sums."""
+    own = mix(elements ^ _U(0xA5A5A5A5 + salt))
+    segment = (((own >> _U(32)) * _U(m)) >> _U(32)).astype(np.int64)
+    order = np.argsort(segment, kind="stable")
+    sums = np.concatenate([np.zeros(1, _U), np.cumsum(own[order], dtype=_U)])
+    edge = np.searchsorted(segment[order], np.arange(m + 1))
+    return sums[edge[1:]] - sums[edge[:-1]], np.diff(edge), segment, own
+
+
 @lru_cache
 def _beyond(mean: float, skip: int) -> float:
     """Expected number beyond skip of a Poisson number."""
@@ -274,7 +307,7 @@ def similar_sets(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id_
 
     Words are runs of anything but ASCII white space, A-Z lower-cased; a set holds the distinct
     n-grams of words, or the whole sequence when there are fewer words. Two rows are linked when
-    den * intersection >= num * union. n-grams, and equal sets, are told apart by 64-bit hashes.
+    den * intersection >= num * union; num / den is 0.5 at least. n-grams, and equal sets, are told apart by 64-bit hashes.
     component_id is the smallest id reachable over links (null ids only when there is no other);
     component is the same for all rows of a group. Null and empty texts have no n-grams and no
     links: they are groups of their own. Rows repeated with the same id and text stay rows of one
@@ -288,16 +321,24 @@ def similar_sets(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id_
        is checked, as long as that finds links.
     3. At last every pair of different groups whose sketches allow the similarity is checked.
     """
+    if 2 * num < den:
+        raise ValueError("sketches tell sets apart from a similarity of 0.5 on")
     spark = docs.sparkSession
     small_batches(spark)
     bands = Bands(num, den)
     source = docs.select(row_key(id_column, text_column).alias("row"), F.col(text_column).alias("text"))
     info = materialize(source.mapInArrow(_facts(n), "row long, node long, size long, sketch array<bigint>"), "sets")
-    keyed = source.select("text").mapInArrow(_keys(n, bands), "key long, node long").repartition("key").sortWithinPartitions("key", "node")
+    # equal sets have equal keys: one row of each node sends them
+    single = materialize(info.where("size > 0").groupBy("node").agg(F.min("row").alias("row")), "single")
+    few, sole = single.count() <= MOST_SENT, single.select("row")
+    sending = source.join(F.broadcast(sole) if few else sole, "row", "left_semi")
+    keyed = sending.select("text").mapInArrow(_keys(n, bands), "key long, node long").repartition("key").sortWithinPartitions("key", "node")
     stars = materialize(keyed.mapInArrow(_stars, "a long, b long").distinct(), "stars")
+    del keyed
+    free_shuffles(spark)  # the keys are the largest shuffle
     nodes = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
-    members = info.where("size > 0").join(nodes, "node", "left_semi").groupBy("node").agg(F.min_by(F.struct("row", "size", "sketch"), "row").alias("of")).select("node", "of.*")
-    members = materialize(members, "members")
+    known = single.join(nodes, "node", "left_semi").join(info.dropDuplicates(["row"]).select("row", "size", "sketch"), "row")
+    members = materialize(known.select("node", "row", "size", "sketch"), "members")
     few = members.count() <= MOST_SENT
     reps = members.select("row", "node")
     texts = materialize(source.join(F.broadcast(reps) if few else reps, "row").dropDuplicates(["row"]).select("node", "text"), "texts")
@@ -341,12 +382,18 @@ def similar_sets(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id_
             groups = components(reduce(DataFrame.unionByName, links))
             if not best_only:
                 break
+    # Ids and groups meet on nodes, each once; rows are joined to their node last, and spread there.
     ids = docs.select(F.col(id_column), row_key(id_column, text_column).alias("row_key"))
-    told_of = info.select(F.col("row").alias("row_key"), F.col("size").alias("n_shingles"), "node").distinct()
-    placed = ids.join(told_of, "row_key").join(groups, "node", "left")
-    placed = placed.withColumn("component", F.when(F.col("n_shingles") == 0, F.col("row_key")).otherwise(F.coalesce("root", "node")))
-    smallest = placed.groupBy("component").agg(F.min(id_column).alias("component_id"))
-    return placed.join(smallest, "component").select(id_column, "row_key", "n_shingles", "component_id", "component")
+    told_of = info.select(F.col("row").alias("row_key"), F.col("size").alias("n_shingles"), "node").dropDuplicates(["row_key"])
+    placed = materialize(ids.join(told_of, "row_key"), "placed")
+    alone = placed.where("n_shingles = 0").withColumns({"component_id": F.col(id_column), "component": F.col("row_key")})
+    least = placed.where("n_shingles > 0").groupBy("node").agg(F.min(id_column).alias("id"))
+    rooted = least.join(groups, "node", "left").withColumn("component", F.coalesce("root", "node"))
+    smallest = rooted.groupBy("component").agg(F.min("id").alias("component_id"))
+    of_node = materialize(rooted.select("node", "component").join(smallest, "component"), "components")
+    rest = lookup_join(placed.where("n_shingles > 0"), of_node, ["node"])
+    names = [id_column, "row_key", "n_shingles", "component_id", "component"]
+    return rest.select(*names).unionByName(alone.select(*names))
 
 
 def _folded(sketch: Column) -> Column:

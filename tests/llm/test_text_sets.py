@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from finloom.llm import setjoin, substrings
@@ -120,3 +121,37 @@ def test_components_of_chains_stars_and_loops(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     want = {k: 0 for k in range(61)} | {100 + k: 100 for k in range(30)} | {200: 200, 201: 200, 202: 200}
     assert got == want
+
+
+@pytest.mark.parametrize("num", [85, 80, 50])
+def test_similar_sets_of_any_size_share_a_key(num):
+    rng = np.random.default_rng(num)
+    bands, met = setjoin.Bands(num, 100), 0
+    for _ in range(2500):
+        n = int(rng.integers(1, 70))
+        left = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        fresh = rng.integers(0, 2**63, int(rng.integers(0, n // 3 + 2)), dtype=np.uint64)
+        right = np.unique(np.concatenate([left[int(rng.integers(0, n // 3 + 2)) :], fresh]))
+        both = len(np.intersect1d(left, right))
+        if len(right) and 100 * both >= num * (len(left) + len(right) - both):
+            met += 1
+            assert len(np.intersect1d(bands.keys(left), bands.keys(right)))
+    assert met > 150
+
+
+def test_few_unlike_sets_share_a_key():
+    """Short sets leave segments empty; no key may be common to a share of all sets."""
+    rng = np.random.default_rng(1)
+    for num in (85, 80):
+        bands = setjoin.Bands(num, 100)
+        for n in (9, 12, 20, 40):
+            count = {}
+            for _ in range(4000):
+                for k in bands.keys(np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))).tolist():
+                    count[k] = count.get(k, 0) + 1
+            assert max(count.values()) <= 80, (num, n, max(count.values()))
+
+
+def test_low_similarities_are_refused(spark):
+    with pytest.raises(ValueError):
+        setjoin.similar_sets(spark.createDataFrame([(1, "a")], "doc_id long, text string"), num=2, den=5)
