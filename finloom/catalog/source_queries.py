@@ -18,6 +18,7 @@ from finloom.plans.jobs import Store
 from finloom.schemas import EARNING_RECORD, RAW_PAGE, TEXT, THEMES, row, theme_table
 from finloom.session import scratch_dir
 from finloom.sources import readers, writers
+from finloom.sources.reconcile import read_united
 
 
 @query(
@@ -217,3 +218,33 @@ def theme_rows(t: Tables):
     """The hourly theme subset of a themed table."""
     themed = t.events.withColumn("theme", F.when(F.col("event_type") == "click", THEMES[-1]).otherwise("Tech"))
     return themed.where(F.col("theme").isin(*readers.themes_for_hour(10))).groupBy("theme").agg(F.count("*").alias("n"))
+
+
+@query(
+    "united_folders",
+    """SELECT o_orderkey::BIGINT AS key, o_custkey::BIGINT AS customer, o_totalprice::DOUBLE AS price, NULL::VARCHAR AS status,
+  NULL::VARCHAR AS note FROM orders WHERE o_orderkey % 3 = 0
+UNION ALL SELECT o_orderkey, NULL, floor(o_totalprice)::DOUBLE, o_orderstatus, o_custkey::VARCHAR FROM orders WHERE o_orderkey % 3 = 1
+UNION ALL SELECT o_orderkey, o_custkey, NULL, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 3 = 2""",
+)
+def united_folders(t: Tables):
+    """Three folders whose columns, number types and kinds of a note differ, read as one table."""
+    path, key = scratch_dir(t.spark, "differing"), F.col("o_orderkey")
+    third = lambda k: t.orders.where(F.pmod(key, F.lit(3)) == k)
+    third(0).select(key.cast("int").alias("key"), F.col("o_custkey").cast("int").alias("customer"), F.col("o_totalprice").cast("double").alias("price")).write.parquet(f"{path}/a")
+    third(1).select(key.cast("bigint").alias("key"), F.floor("o_totalprice").cast("int").alias("price"), F.col("o_orderstatus").alias("status"), F.col("o_custkey").cast("bigint").alias("note")).write.parquet(f"{path}/b")
+    third(2).select(key.cast("bigint").alias("key"), F.col("o_custkey").cast("bigint").alias("customer"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("note")).write.parquet(f"{path}/c")
+    return read_united(t.spark, path)[0]
+
+
+@query(
+    "united_report",
+    """SELECT * FROM (VALUES ('value', ['date', 'double'], 2::BIGINT)) AS r(column, types, files)
+WHERE (SELECT count(*) FROM events) > 0""".replace("r(column,", 'r("column",'),
+)
+def united_report(t: Tables):
+    """The column of two event folders whose kinds cannot be united."""
+    path = scratch_dir(t.spark, "torn")
+    t.events.select("event_id", "value").coalesce(1).write.parquet(f"{path}/a")
+    t.events.select(F.col("event_id").cast("int").alias("event_id"), F.to_date("ts").alias("value")).coalesce(1).write.parquet(f"{path}/b")
+    return read_united(t.spark, path)[1]

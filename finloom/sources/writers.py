@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from finloom.functions.text import slug, theme_key
 from finloom.operators.project import align
+from finloom.sources.reconcile import read_united
 
 DAY_COLUMNS = ("year", "month", "day")
 PARTS_PER_FILE = 64
@@ -94,8 +95,19 @@ def read_digest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def load_staging(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A Parquet folder as rows of the target schema, matched by column name."""
-    return align(spark.read.parquet(path), schema)
+    """A Parquet folder as rows of the target schema, matched by column name.
+
+    Files may differ in their columns and number types. A value that is none of the target's type
+    is NULL; `reconcile.read_united` reports the columns whose types cannot be united.
+    """
+    rows, _ = read_united(spark, path)
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    return rows.select(
+        *[
+            (F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in kinds else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in schema.fields
+        ]
+    )
 
 
 def create_table(
