@@ -248,3 +248,21 @@ def united_report(t: Tables):
     t.events.select("event_id", "value").coalesce(1).write.parquet(f"{path}/a")
     t.events.select(F.col("event_id").cast("int").alias("event_id"), F.to_date("ts").alias("value")).coalesce(1).write.parquet(f"{path}/b")
     return read_united(t.spark, path)[1]
+
+
+@query(
+    "bucketed_loads",
+    """SELECT l_partkey, l_suppkey, min(l_quantity) AS quantity, CAST(min(l_orderkey % 2) AS INTEGER) AS load
+FROM lineitem GROUP BY l_partkey, l_suppkey""",
+)
+def bucketed_loads(t: Tables):
+    """Two loads of new keys into a table bucketed by key; the second one leaves the first's rows in place."""
+    name = f"bucketed_{uuid.uuid4().hex}"
+    rows = t.lineitem.groupBy("l_partkey", "l_suppkey", F.pmod("l_orderkey", F.lit(2)).cast("int").alias("load"))
+    least = t.lineitem.groupBy("l_partkey", "l_suppkey").agg(F.min("l_quantity").alias("quantity"))
+    loads = rows.agg(F.count("*").alias("n")).join(least, ["l_partkey", "l_suppkey"]).select("l_partkey", "l_suppkey", "quantity", "load")
+    keys, path = ["l_partkey", "l_suppkey"], scratch_dir(t.spark, "bucketed")
+    writers.create_table(t.spark, name, loads.schema, path, buckets=16, bucket_by=keys)
+    for k in range(2):
+        writers.append_new_keys(loads.where(F.col("load") == k), name, keys, 16)
+    return t.spark.table(name)

@@ -65,6 +65,7 @@ class Store:
     spark: SparkSession
     base: str
     database: str = "default"
+    key_buckets: int = 64
 
     def folder(self, stage: str, kind: str) -> str:
         return f"{self.base}/{stage}/{kind}"
@@ -175,16 +176,16 @@ def extract_earnings(store: Store, as_of: dt.datetime) -> None:
 def load_articles(store: Store, as_of: dt.datetime) -> int:
     """Append today's articles whose url is new; of several themes the first one keeps a url."""
     name, spark = store.name("financial_articles"), store.spark
-    writers.create_table(spark, name, STORED_ARTICLES, f"{store.base}/TABLES/financial_articles/rows", ["day"])
+    place, buckets = f"{store.base}/TABLES/financial_articles/rows", store.key_buckets
+    writers.create_table(spark, name, STORED_ARTICLES, place, ["day"], buckets, ["url"])
     path = store.folder("TRANSFORMED", "ARTICLES")
     staged = readers.day_folders(spark, path, ARTICLES, days=[local_day(as_of)], above="theme=*/")
     ranks = theme_table(spark).select(F.upper("theme").alias("theme"), F.col("theme").alias("_name"), "precedence")
     themed = staged.join(F.broadcast(ranks), "theme")  # eight fixed rows
     first = themed.groupBy("url").agg(F.min("precedence").alias("precedence"))
     kept = lookup_join(themed, first, ["url", "precedence"], "left_semi").withColumn("theme", F.col("_name"))
-    fresh = merge.insert_if_absent(spark.table(name), align(kept, ARTICLES), ["url"])
-    by_day = fresh.withColumn("day", F.coalesce(F.date_format("date", "yyyy-MM-dd"), F.lit(NO_DAY)))
-    writers.append_rows(by_day.hint("rebalance", "day"), name)
+    by_day = align(kept, ARTICLES).withColumn("day", F.coalesce(F.date_format("date", "yyyy-MM-dd"), F.lit(NO_DAY)))
+    writers.append_new_keys(materialize(by_day, "arrived"), name, ["url"], buckets)
     return spark.table(name).count()
 
 

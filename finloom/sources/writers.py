@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finloom.functions.text import slug, theme_key
+from finloom.operators.merge import insert_new_keys
 from finloom.operators.project import align
 from finloom.sources.reconcile import read_united
 
@@ -111,10 +112,21 @@ def load_staging(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def create_table(
-    spark: SparkSession, name: str, schema: T.StructType, location: str | None = None, by: Sequence[str] = ()
+    spark: SparkSession,
+    name: str,
+    schema: T.StructType,
+    location: str | None = None,
+    by: Sequence[str] = (),
+    buckets: int = 0,
+    bucket_by: Sequence[str] = (),
 ) -> None:
+    """Create a Parquet table unless it is there, partitioned `by` and dealt over `buckets` files by key.
+
+    A join on the keys of a bucketed table leaves its rows where they are.
+    """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parts = f" PARTITIONED BY ({', '.join(by)})" if by else ""
+    parts += f" CLUSTERED BY ({', '.join(bucket_by)}) INTO {buckets} BUCKETS" if buckets else ""
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{parts}{place}")
 
@@ -123,6 +135,16 @@ def append_rows(df: DataFrame, table: str) -> None:
     df.select(*df.sparkSession.table(table).columns).write.mode("append").insertInto(table)
 
 
+def append_new_keys(staged: DataFrame, table: str, keys: Sequence[str], buckets: int) -> None:
+    """Append the distinct staged rows whose key the table does not hold; the table is bucketed by key.
+
+    Only keys of the batch are shuffled to the table's buckets, and each bucket's new rows are
+    written by one task.
+    """
+    fresh = insert_new_keys(staged.sparkSession.table(table), staged, keys)
+    append_rows(fresh.repartition(buckets, *keys), table)
+
+
 def publish(df: DataFrame, table: str, version_path: str) -> int:
     """Make df the content of `table`: write a new folder, then point the table at it.
 
