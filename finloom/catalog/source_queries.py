@@ -14,7 +14,7 @@ from finloom.catalog.registry import Tables, query
 from finloom.operators import merge
 from finloom.operators.ordered_text import ordered_parts
 from finloom.operators.project import flatten_earnings
-from finloom.plans.jobs import Store
+from finloom.plans.jobs import Store, register_members
 from finloom.schemas import EARNING_RECORD, RAW_PAGE, TEXT, THEMES, row, theme_table
 from finloom.session import scratch_dir
 from finloom.sources import readers, writers
@@ -266,3 +266,50 @@ def bucketed_loads(t: Tables):
     for k in range(2):
         writers.append_new_keys(loads.where(F.col("load") == k), name, keys, 16)
     return t.spark.table(name)
+
+
+@query(
+    "load_metrics",
+    """WITH first AS (SELECT o_orderkey, o_orderpriority, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0),
+second AS (SELECT o_orderkey, o_orderpriority || '!' AS o_orderpriority, o_orderstatus FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 4 < 2),
+now AS (SELECT * FROM second UNION ALL SELECT * FROM first f WHERE NOT EXISTS (SELECT 1 FROM second s WHERE s.o_orderkey = f.o_orderkey))
+SELECT 'o_orderstatus=' || o_orderstatus AS part, count(*) AS rows, sum(length(o_orderpriority) + length(o_orderstatus))::BIGINT AS characters
+FROM now GROUP BY o_orderstatus""",
+)
+def load_metrics(t: Tables):
+    """Rows and characters of a table's partitions after two loads, as the writes observed them."""
+    store, table = Store(t.spark, scratch_dir(t.spark, "metered")), f"finloom_metered_{uuid.uuid4().hex}"
+    rows, key = t.orders.select("o_orderkey", "o_orderpriority", "o_orderstatus"), F.col("o_orderkey")
+    louder = F.concat("o_orderpriority", F.lit("!"))
+    second = rows.where((F.col("o_orderstatus") == "F") & (F.pmod(key, F.lit(4)) < 2)).withColumn("o_orderpriority", louder)
+    replace = lambda stored, new: merge.replace_by_keys(stored, new, ["o_orderkey"])
+    for hour, batch in enumerate((rows.where(F.pmod(key, F.lit(2)) == 0), second)):
+        store.merge(table, rows.schema, ["o_orderstatus"], batch, replace, dt.datetime(2024, 2, 1, hour))
+    return store.metrics.latest().select("part", "rows", "characters")
+
+
+@query(
+    "member_loads",
+    """WITH b AS (SELECT o_custkey::VARCHAR AS response_id, o_orderdate AS timestamp, o_orderpriority || o_orderkey AS email_address,
+  CASE WHEN o_orderkey % 2 = 0 THEN 0 ELSE 1 END AS load FROM orders)
+SELECT response_id, timestamp, email_address FROM b
+QUALIFY row_number() OVER (PARTITION BY response_id ORDER BY load DESC, timestamp DESC, email_address DESC) = 1""",
+)
+def member_loads(t: Tables):
+    """Two batches of registrations, members stored by hash bucket: the later batch wins."""
+    base = scratch_dir(t.spark, "registered")
+    database = f"members_{uuid.uuid4().hex}"
+    t.spark.sql(f"CREATE DATABASE {database} LOCATION '{base}/db'")
+    store, key = Store(t.spark, base, database), F.col("o_custkey").cast("string")
+    body = F.to_json(
+        F.struct(
+            key.alias("responseId"),
+            F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp"),
+            F.concat("o_orderpriority", F.col("o_orderkey").cast("string")).alias("email"),
+        )
+    )
+    for k in range(2):
+        bodies = t.orders.where(F.pmod("o_orderkey", F.lit(2)) == k).select(body.alias("body"))
+        register_members(store, bodies, dt.datetime(2024, 2, 1, k))
+    stored = t.spark.table(store.name("members"))
+    return stored.select("response_id", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "email_address")

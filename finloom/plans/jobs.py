@@ -43,6 +43,7 @@ from finloom.schemas import (
 )
 from finloom.session import materialize
 from finloom.sources import readers, writers
+from finloom.sources.metrics import Metrics, Observed, part_name
 
 # The mail's sections, in order.
 MAIL_SECTIONS = (("articles", "미국 뉴스"), ("events", "지표 발표"), ("earnings", "실적 발표"))
@@ -52,6 +53,9 @@ CALL_KEYS = ("company_name", "symbol", "year", "quarter")
 # Stored events have their release date as folder column; it depends on the key.
 STORED_EVENTS = row(**{f.name: f.dataType for f in FINANCIAL_EVENTS.fields}, release_day=T.StringType())
 NO_DAY = "none"
+# Stored members have a hash bucket of their key as folder column.
+MEMBER_BUCKETS = 64
+STORED_MEMBERS = row(**{f.name: f.dataType for f in MEMBERS.fields}, bucket=T.IntegerType())
 # An earning record as its envelope holds it, with the place where it stood.
 PLACED_RECORD = T.StructType([*EARNING_RECORD.fields, *PAGE_PLACE.fields])
 
@@ -82,24 +86,44 @@ class Store:
         """A new folder for a table's files; a repeated run gets its own."""
         return f"{self.base}/TABLES/{table}/{as_of:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
 
+    @property
+    def metrics(self) -> Metrics:
+        """Rows and characters of each table's parts, as each run wrote them."""
+        return Metrics(self.spark, self.folder("METRICS", "WRITTEN"))
+
     def publish(self, df: DataFrame, table: str, as_of: dt.datetime) -> int:
         return writers.publish(df, self.name(table), self.version(table, as_of))
 
     def merge(
-        self, table: str, schema: T.StructType, by: Sequence[str], staged: DataFrame, combine: Combine, as_of: dt.datetime
+        self,
+        table: str,
+        schema: T.StructType,
+        by: Sequence[str],
+        staged: DataFrame,
+        combine: Combine,
+        as_of: dt.datetime,
+        job: str = "merge",
     ) -> int:
         """Combine staged rows with the partitions of the table that they touch, and replace these.
 
-        `by` are partition columns that depend on the key, so no other partition can match.
+        `by` are partition columns that depend on the key, so no other partition can match. Returns
+        the rows of the table, from the sizes of its partitions that the writes have observed.
         """
         name = self.name(table)
         writers.create_table(self.spark, name, schema, f"{self.base}/TABLES/{table}/rows", by)
         touched = staged.select(*by).distinct().collect()  # few: days or quarters of one batch
-        if touched:
-            same = [reduce(and_, [F.col(c).eqNullSafe(F.lit(r[c])) for c in by]) for r in touched]
-            merged = combine(self.spark.table(name).where(reduce(or_, same)), staged)
-            writers.publish_partitions(merged, name, by, self.version(table, as_of))
-        return self.spark.table(name).count()
+        if not touched:
+            return self.total(table, by, as_of)
+        same = {part_name(r.asDict()): reduce(and_, [F.col(c).eqNullSafe(F.lit(r[c])) for c in by]) for r in touched}
+        self.metrics.seed(table, self.spark.table(name), tuple(by), as_of)
+        merged = Observed(combine(self.spark.table(name).where(reduce(or_, same.values())), staged), same)
+        writers.publish_partitions(merged.frame, name, by, self.version(table, as_of))
+        return self.metrics.record(job, table, as_of, merged.sizes())
+
+    def total(self, table: str, by: Sequence[str], as_of: dt.datetime) -> int:
+        self.metrics.seed(table, self.spark.table(self.name(table)), tuple(by), as_of)
+        known = self.metrics.known(table)
+        return known[0] if known else 0
 
 
 def local_day(as_of: dt.datetime, zone: str = MARKET_ZONE) -> dt.date:
@@ -185,8 +209,9 @@ def load_articles(store: Store, as_of: dt.datetime) -> int:
     first = themed.groupBy("url").agg(F.min("precedence").alias("precedence"))
     kept = lookup_join(themed, first, ["url", "precedence"], "left_semi").withColumn("theme", F.col("_name"))
     by_day = align(kept, ARTICLES).withColumn("day", F.coalesce(F.date_format("date", "yyyy-MM-dd"), F.lit(NO_DAY)))
-    writers.append_new_keys(materialize(by_day, "arrived"), name, ["url"], buckets)
-    return spark.table(name).count()
+    store.metrics.seed("financial_articles", spark.table(name), (), as_of)
+    added = writers.append_new_keys(materialize(by_day, "arrived"), name, ["url"], buckets)
+    return store.metrics.record("load_articles", "financial_articles", as_of, added, added=True)
 
 
 def _staged(store: Store, stage: str, kind: str, as_of: dt.datetime, schema: T.StructType, files: str) -> DataFrame:
@@ -205,7 +230,7 @@ def load_events(store: Store, as_of: dt.datetime) -> int:
     staged = _placed(rows).withColumn("release_day", day)
     # Events without a time or title are one row per key too: a rerun does not add them again.
     combine = lambda stored, new: merge.upsert_unique(stored, new, EVENT_KEYS, LOADED)
-    return store.merge("financial_events", STORED_EVENTS, ["release_day"], staged, combine, as_of)
+    return store.merge("financial_events", STORED_EVENTS, ["release_day"], staged, combine, as_of, "load_events")
 
 
 def load_earning_calls(store: Store, as_of: dt.datetime) -> int:
@@ -220,7 +245,7 @@ def load_earning_calls(store: Store, as_of: dt.datetime) -> int:
     staged = lookup_join(calls.where(whole), newest, [*CALL_KEYS, "load_order"], "left_semi")
     staged = align(staged.unionByName(calls.where(~whole)), EARNING_CALLS)
     combine = lambda stored, new: merge.replace_by_keys(stored, new, CALL_KEYS)
-    return store.merge("earning_calls", EARNING_CALLS, ["year", "quarter"], staged, combine, as_of)
+    return store.merge("earning_calls", EARNING_CALLS, ["year", "quarter"], staged, combine, as_of, "load_earning_calls")
 
 
 def load_earning_star(store: Store, as_of: dt.datetime) -> dict[str, int]:
@@ -241,7 +266,14 @@ def load_earning_star(store: Store, as_of: dt.datetime) -> dict[str, int]:
         return loaded["earnings"]
 
     touched = ordered.select(surrogate_key(F.col("year"), F.col("quarter")).alias("period_id"))
-    return {"earnings": store.merge("earnings", EARNINGS, ["period_id"], touched, combine, as_of), **counts}
+    loaded = store.merge("earnings", EARNINGS, ["period_id"], touched, combine, as_of, "load_earning_star")
+    return {"earnings": loaded, **counts}
+
+
+def period_of(day: dt.date) -> Column:
+    """The id of a day's quarter. A call's period follows from its day, so a day's calls are all
+    in one folder of the stored earnings; the id is a constant, which Spark prunes folders by."""
+    return surrogate_key(F.lit(day.year), F.lit((day.month + 2) // 3))
 
 
 def write_digests(store: Store, as_of: dt.datetime) -> dict[str, str]:
@@ -256,11 +288,12 @@ def write_digests(store: Store, as_of: dt.datetime) -> dict[str, str]:
     news = digests.news_window(articles_of, as_of)
     stored = store.table("financial_events", STORED_EVENTS).where(F.col("release_day") == day.isoformat())
     events = digests.events_of_day(stored, day, now.hour)
+    called = day - dt.timedelta(days=1)
     earnings = digests.earnings_digest(
-        store.table("earnings", EARNINGS),
+        store.table("earnings", EARNINGS).where(F.col("period_id") == period_of(called)),
         store.table("companies", COMPANIES),
         store.table("earning_periods", EARNING_PERIODS),
-        day - dt.timedelta(days=1),
+        called,
     )
     parts = {
         "articles": digests.digest_parts(digests.article_lines(news), "line", ["date", "title", "line"]),
@@ -307,14 +340,18 @@ def write_messages(store: Store, texts: DataFrame, as_of: dt.datetime) -> str:
     """
     out = f"{store.base}/MESSAGES/{as_of:%Y%m%dT%H%M%S}"
     parts = fanout.sized_parts(texts) if "part" in texts.columns else texts
-    fanout.member_messages(store.table("members", MEMBERS), parts).write.mode("overwrite").json(out)
+    fanout.member_messages(store.table("members", STORED_MEMBERS).drop("bucket"), parts).write.mode("overwrite").json(out)
     return out
 
 
 def register_members(store: Store, bodies: DataFrame, as_of: dt.datetime) -> int:
-    """Upsert members from registration bodies (column body); the latest timestamp wins."""
+    """Upsert members from registration bodies (column body); the latest timestamp wins.
+
+    Members are stored by a hash bucket of their key, so a batch reads and rewrites its buckets only.
+    """
     staged = readers.member_records(bodies.select("body")).where("response_id IS NOT NULL")
-    target = store.table("members", MEMBERS)
     staged = staged.withColumn("_mail", F.coalesce("email_address", F.lit("")))
     staged = staged.withColumn("_when", F.coalesce("timestamp", F.timestamp_seconds(F.lit(0))))
-    return store.publish(merge.upsert_latest(target, staged, ["response_id"], ["_when", "_mail"]), "members", as_of)
+    staged = staged.withColumn("bucket", F.pmod(F.hash("response_id"), F.lit(MEMBER_BUCKETS)))
+    combine = lambda stored, new: merge.upsert_unique(stored, new, ["response_id"], ["_when", "_mail"])
+    return store.merge("members", STORED_MEMBERS, ["bucket"], staged, combine, as_of, "register_members")

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from finloom.functions.text import slug, theme_key
 from finloom.operators.merge import insert_new_keys
 from finloom.operators.project import align
+from finloom.sources.metrics import WHOLE, Observed, Sizes
 from finloom.sources.reconcile import read_united
 
 DAY_COLUMNS = ("year", "month", "day")
@@ -135,14 +136,15 @@ def append_rows(df: DataFrame, table: str) -> None:
     df.select(*df.sparkSession.table(table).columns).write.mode("append").insertInto(table)
 
 
-def append_new_keys(staged: DataFrame, table: str, keys: Sequence[str], buckets: int) -> None:
+def append_new_keys(staged: DataFrame, table: str, keys: Sequence[str], buckets: int) -> Sizes:
     """Append the distinct staged rows whose key the table does not hold; the table is bucketed by key.
 
     Only keys of the batch are shuffled to the table's buckets, and each bucket's new rows are
-    written by one task.
+    written by one task. Returns the rows and characters that were added.
     """
-    fresh = insert_new_keys(staged.sparkSession.table(table), staged, keys)
-    append_rows(fresh.repartition(buckets, *keys), table)
+    fresh = Observed(insert_new_keys(staged.sparkSession.table(table), staged, keys))
+    append_rows(fresh.frame.repartition(buckets, *keys), table)
+    return fresh.sizes()
 
 
 def publish(df: DataFrame, table: str, version_path: str) -> int:
@@ -154,11 +156,12 @@ def publish(df: DataFrame, table: str, version_path: str) -> int:
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
         df = align(df, spark.table(table).schema)
-    df.write.mode("errorifexists").parquet(version_path)
+    seen = Observed(df)
+    seen.frame.write.mode("errorifexists").parquet(version_path)
     create_table(spark, table, df.schema, version_path)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{version_path}'")
     spark.catalog.refreshTable(table)
-    return spark.table(table).count()
+    return seen.sizes()[WHOLE][0]
 
 
 def _literal(value: object) -> str:
