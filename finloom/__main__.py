@@ -26,6 +26,7 @@ JOBS = {
         jobs.mail_of_run,
         jobs.messages_of_run,
         jobs.register_arrived,
+        jobs.sweep_store,
     )
 }
 

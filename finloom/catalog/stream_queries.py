@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finloom.catalog.page_queries import ARTICLE_ROWS_SQL, article_pages
+from finloom.catalog.page_queries import _EVENT_ROWS_SQL, ARTICLE_ROWS_SQL, article_pages, earning_pages, event_pages
 from finloom.catalog.registry import Tables, query
 from finloom.operators.merge import last_per_key
+from finloom.plans.calendar import parsed_events, split_events
 from finloom.schemas import ARTICLES, MEMBERS, TEXT, row
 from finloom.session import materialize, scratch_dir
 from finloom.sources.readers import member_records
 from finloom.streaming import ingest
 from finloom.streaming.levels import Levels
-from finloom.streaming.pages import ingest_articles
+from finloom.streaming.pages import ingest_articles, ingest_earnings, ingest_events
 
 _BATCHES = 4
 
@@ -103,3 +104,28 @@ def stream_pages(t: Tables):
     (source, files), out = _arrivals(pages, "landed", "json"), scratch_dir(t.spark, "parsed-pages")
     ingest_articles(ingest.file_stream(t.spark, source, pages.schema, "json", files), out, f"{out}/checkpoint")
     return ingest.stored_rows(t.spark, f"{out}/rows", ARTICLES)
+
+
+@query("stream_event_pages", _EVENT_ROWS_SQL)
+def stream_event_pages(t: Tables):
+    """Calendar pages landed as JSON files and parsed as they arrive."""
+    pages = event_pages(t)
+    (source, files), out = _arrivals(pages, "landed-events", "json"), scratch_dir(t.spark, "parsed-events")
+    ingest_events(ingest.file_stream(t.spark, source, pages.schema, "json", files), F.col("day"), out, f"{out}/checkpoint")
+    return t.spark.read.schema(event_row_schema(t)).parquet(f"{out}/rows").drop("batch_id")
+
+
+def event_row_schema(t: Tables):
+    return split_events(parsed_events(event_pages(t).limit(0), F.col("day")))[0].schema
+
+
+@query(
+    "stream_earning_rejects",
+    "SELECT 'earnings/' || o_orderkey AS url, 3 AS position, 'too few cells' AS reason FROM orders",
+)
+def stream_earning_rejects(t: Tables):
+    """What cannot be read on earnings pages that arrive as JSON files."""
+    pages = earning_pages(t)
+    (source, files), out = _arrivals(pages, "landed-earnings", "json"), scratch_dir(t.spark, "parsed-earnings")
+    ingest_earnings(ingest.file_stream(t.spark, source, pages.schema, "json", files), F.col("day"), out, f"{out}/checkpoint")
+    return t.spark.read.schema("url string, position int, reason string").parquet(f"{out}/rejects").drop("batch_id")

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from finloom.functions import lines
 from finloom.functions.dates import from_epoch_ms
 from finloom.functions.keys import surrogate_key
 from finloom.operators import merge
@@ -42,7 +43,7 @@ from finloom.schemas import (
     theme_table,
 )
 from finloom.session import materialize
-from finloom.sources import readers, writers
+from finloom.sources import readers, sweep, writers
 from finloom.sources.metrics import Metrics, Observed, part_name
 
 # The mail's sections, in order.
@@ -304,10 +305,15 @@ def write_digests(store: Store, as_of: dt.datetime) -> dict[str, str]:
 
 
 def write_mail(store: Store, folders: dict[str, str], as_of: dt.datetime) -> str:
-    """The sections of a run put together as the final text; returns its folder."""
+    """The sections of a run put together as the final text; returns its folder.
+
+    The subject, which names the readers' hour, stands in a folder of the same name with `_subject`.
+    """
     sections = [(title, writers.read_digest(store.spark, folders[kind])) for kind, title in MAIL_SECTIONS]
-    mail = digests.mail_parts(sections)
-    return writers.write_digest(mail, store.base, "final", local_time(as_of, READER_ZONE), order=("section", "part"))
+    mail, now = digests.mail_parts(sections), local_time(as_of, READER_ZONE)
+    subject = store.spark.range(1).select(lines.subject(F.lit(now.hour)).alias("text"))
+    subject.coalesce(1).write.mode("overwrite").text(f"{writers.digest_folder(store.base, 'final', now)}_subject")
+    return writers.write_digest(mail, store.base, "final", now, order=("section", "part"))
 
 
 def _run_folder(store: Store, kind: str, as_of: dt.datetime) -> str:
@@ -355,3 +361,14 @@ def register_members(store: Store, bodies: DataFrame, as_of: dt.datetime) -> int
     staged = staged.withColumn("bucket", F.pmod(F.hash("response_id"), F.lit(MEMBER_BUCKETS)))
     combine = lambda stored, new: merge.upsert_unique(stored, new, ["response_id"], ["_when", "_mail"])
     return store.merge("members", STORED_MEMBERS, ["bucket"], staged, combine, as_of, "register_members")
+
+
+#: Days for which a replaced version of a table can still be read.
+KEPT_DAYS = 7
+
+
+def sweep_store(store: Store, as_of: dt.datetime) -> int:
+    """Delete table versions that no table reads any more and scratch folders of ended runs; returns how many."""
+    before = as_of - dt.timedelta(days=KEPT_DAYS)
+    gone = sweep.sweep_versions(store.spark, store.base, store.database, before)
+    return len(gone) + len(sweep.sweep_scratch(store.spark, before))
