@@ -12,6 +12,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from finloom.operators.lookup import lookup_join
 from finloom.session import materialize
 
 ALLOW, BLOCK = "allow", "block"
@@ -125,6 +126,6 @@ def judge(
     open_urls = urls.where("rule IS NULL").select("url", tokens_of(F.col("url")).alias("items"))
     looked_up = open_urls.withColumn("posting", F.explode("items")).join(index, "posting").where(F.size(F.array_except("antecedent", "items")) == 0)
     order = F.struct((-F.col("confidence")).alias("c"), (-F.col("support")).alias("s"), (F.col("verdict") != BLOCK).alias("b"), F.col("antecedent").alias("a"), F.col("verdict").alias("v"))
-    best = looked_up.groupBy("url").agg(F.min(order).alias("best")).select(F.col("url").alias("_url"), F.col("best.v").alias("found"), F.col("best.a").alias("mined"))
-    judged = rows.join(best, F.col("url") == F.col("_url"), "left")
+    best = looked_up.groupBy("url").agg(F.min(order).alias("best")).select("url", F.col("best.v").alias("found"), F.col("best.a").alias("mined"))
+    judged = lookup_join(rows, best, ["url"], "left")  # spreads a url that fills the table
     return judged.select(F.col(id_column), "host", "path", "rule", F.coalesce(verdict_of, "found", F.lit(otherwise)).alias("verdict"), "mined")
