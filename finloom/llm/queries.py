@@ -127,7 +127,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = context_tree.score(docs, id_remainder("doc_id", 7) != 2)
-    return scored.withColumn("held_out", id_remainder("doc_id", 7) == 2)
+    first = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    told = scored.withColumn("held_out", id_remainder("doc_id", 7) == 2)
+    return told.select(*first, *[c for c in told.columns if c not in first])
 
 
 @query("op12_filter_audit", audit.AUDIT_SQL)

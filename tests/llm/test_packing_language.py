@@ -233,20 +233,22 @@ def test_edited_leaks_near_the_threshold_are_found(spark):
     assert len(got) >= len(docs) - 1
 
 
-def test_hamming_blocks_find_every_fingerprint_within_the_radius():
+@pytest.mark.parametrize("radius", [15, 19, 3])
+def test_hamming_blocks_find_every_fingerprint_within_the_radius(radius):
     rng = np.random.default_rng(7)
     rows = [(k, " ".join(f"w{x}" for x in rng.integers(0, 50, 12))) for k in range(6)]
-    items = decontaminate.Items(rows, 5, 15)
+    items = decontaminate.Items(rows, 5, radius)
     (group,) = items.groups.values()
     near = []
-    for mark in group["marks"].tolist():
-        for flips in range(0, 20):
+    for mark in items.marks.tolist():
+        for flips in range(0, 25):
             bits = rng.choice(64, flips, replace=False)
             near.append(mark ^ sum(1 << int(b) for b in bits))
     near = np.array(near, np.uint64)
-    got = set(zip(*(x.tolist() for x in items.candidates(group, near)), strict=True))
-    want = {(i, j) for i, a in enumerate(near.tolist()) for j, b in enumerate(group["marks"].tolist()) if (a ^ b).bit_count() <= 15}
+    got = set(items.candidates(np.full(len(near), group["number"]), near))
+    want = {(i, j) for i, a in enumerate(near.tolist()) for j, b in enumerate(items.marks.tolist()) if (a ^ b).bit_count() <= radius}
     assert got == want
+    assert not list(items.candidates(np.full(len(near), 99), near))
 
 
 def test_remainders_are_those_of_crc32(spark):
