@@ -11,7 +11,7 @@ segments; the part of a set in a segment is its subset.
   most. A subset's key and its keys with any one element deleted then meet the other's.
 
 An empty part would be a key that all sets without it share. Such a key is replaced by the
-one-deletion keys of a second partition, tagged with the first one's segment: two sets that
+keys of a second partition, tagged with the first one's segment: two sets that
 both leave the segment empty both send them, and these meet by the second partition's own count.
 
 Each band takes the cheaper way by an estimate of keys and of useless meetings. Pairs that meet
@@ -38,6 +38,8 @@ from finloom.session import free_shuffles, materialize
 EMPTY_COST = 200.0
 #: Widths of the size bands to choose from.
 BAND_WIDTHS = (3.0, 2.5, 2.0, 1.5, 1.25, 1.0)
+#: Numbers of subsets left out to choose from.
+SKIPS = (0, 1, 2, 3, 4, 5, 7, 9, 12, 15, 20, 26, 34, 44, 57, 74, 96, 125, 160, 210, 270, 350)
 #: Nodes in a block of a tile.
 TILE_NODES = 1500
 #: Row keys that are sent to every task to pick texts; more are joined by shuffle.
@@ -72,13 +74,11 @@ class Bands:
         """Elements in which two sets of a band differ at most."""
         return (self.den - self.num) * 2 * (self.low[band + 1] - 1) // (self.den + self.num)
 
-    @staticmethod
-    def _cost(n: int, deletions: bool, m: int, skip: int, apart: int) -> float:
-        second = apart // 2 + 1
-        again = second + n + EMPTY_COST * (second > 1) * second * math.exp(-n / second) * (1 + n / second)
-        if deletions:
-            return m + n + again * (m > 1) * m * math.exp(-n / m) * (1 + n / m)
-        return m - skip + again * (m > 1) * _beyond(m * math.exp(-n / m), skip)
+    def _cost(self, n: int, deletions: bool, m: int, skip: int, apart: int) -> float:
+        empty = 0.0
+        if m > 1:
+            empty = m * math.exp(-n / m) * (1 + n / m) if deletions else _beyond(m * math.exp(-n / m), skip)
+        return (m + n if deletions else m - skip) + empty * _second(n, apart)[0]
 
     def of(self, n: int) -> range:
         """Bands in which a set of n elements can meet another: its own, and those of larger sets."""
@@ -95,7 +95,7 @@ class Bands:
             least, apart = max(1, math.ceil(self.low[band] * self.num / self.den)), self._apart(band)
             m = apart // 2 + 1
             ways = [(self._cost(least, True, m, 0, apart), True, m, 0)]
-            for skip in (0, 1, 2, 3, 4, 5, 7, 9, 12, 15, 20, 26, 34, 44, 57, 74, 96, 125, 160, 210, 270, 350):
+            for skip in SKIPS:
                 m = apart + 1 + 2 * skip
                 if m <= max(1, least):
                     ways.append((self._cost(least, False, m, skip, apart), False, m, skip))
@@ -121,12 +121,18 @@ class Bands:
                     pick = pick[count[pick] > 0]
                 out.append(mix(whole[pick] + salt[pick]))
             if m > 1 and len(empty):
-                m = self._apart(band) // 2 + 1
-                whole, _, segment, own = _parts(elements, m, band + (1 << 20))
+                least = max(1, math.ceil(self.low[band] * self.num / self.den))
+                _, deletions, m, skip = _second(least, self._apart(band))
+                whole, count, segment, own = _parts(elements, m, band + (1 << 20))
                 salt = mix(np.arange(m, dtype=_U) + _U(band << 32) + _U(1 << 60))
-                second = np.concatenate([mix(whole + salt), mix(whole[segment] - own + salt[segment])])
+                if deletions:
+                    second = np.concatenate([mix(whole + salt), mix(whole[segment] - own + salt[segment])])
+                else:
+                    pick = np.argsort(count, kind="stable")[skip:]
+                    second = mix(whole[pick] + salt[pick])
                 out += [mix(second ^ tag) for tag in mix(empty.astype(_U) + _U(0xE3779))]
-        return np.unique(np.concatenate(out)) if out else np.zeros(0, _U)
+        # 48 bits are shuffled in less room; keys that are equal by chance cost a comparison, never a link
+        return np.unique(np.concatenate(out) >> _U(16)) if out else np.zeros(0, _U)
 
 
 def _parts(elements: np.ndarray, m: int, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -139,6 +145,18 @@ def _parts(elements: np.ndarray, m: int, salt: int) -> tuple[np.ndarray, np.ndar
     return sums[edge[1:]] - sums[edge[:-1]], np.diff(edge), segment, own
 
 
+@lru_cache(1 << 16)
+def _second(n: int, apart: int) -> tuple[float, bool, int, int]:
+    """(cost, deletions, segments, subsets left out) of the second partition for sets of n elements or more."""
+    m = apart // 2 + 1
+    ways = [(m + n + EMPTY_COST * (m > 1) * m * math.exp(-n / m) * (1 + n / m), True, m, 0)]
+    for skip in SKIPS:
+        m = apart + 1 + 2 * skip
+        if m <= max(1, n):
+            ways.append((m - skip + EMPTY_COST * (m > 1) * _beyond(m * math.exp(-n / m), skip), False, m, skip))
+    return min(ways)
+
+
 @lru_cache
 def _beyond(mean: float, skip: int) -> float:
     """Expected number beyond skip of a Poisson number."""
