@@ -376,6 +376,7 @@ def similar_sets(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id_
     checked = materialize(met.where(fits).select("a", "b"), "checked")
     links = [exact(checked)]
     groups = components(links[0])
+    free_shuffles(spark)
     around = stars.select("a", F.col("b").alias("node")).unionByName(stars.select("a", F.col("a").alias("node")).distinct()).join(members.drop("row"), "node")
 
     def close(best_only: bool) -> DataFrame:
@@ -392,12 +393,14 @@ def similar_sets(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id_
     for best_only in (True, False):
         while True:
             pairs = close(best_only)
+            free_shuffles(spark)  # a round's tiles are not needed again
             more = None if pairs.isEmpty() else exact(pairs)
             checked = checked.unionByName(pairs)
             if more is None or more.isEmpty():
                 break
             links.append(more)
             groups = components(reduce(DataFrame.unionByName, links))
+            free_shuffles(spark)
             if not best_only:
                 break
     # Ids and groups meet on nodes, each once; rows are joined to their node last, and spread there.
