@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from finloom.catalog.merge_queries import order_records
-from finloom.catalog.page_queries import event_pages
+from finloom.catalog.page_queries import _EVENT_ROWS_SQL, event_pages
 from finloom.catalog.registry import Tables, query
 from finloom.operators.merge import first_per_key, last_per_key
 from finloom.plans import calendar
+from finloom.schemas import RAW_PAGE
 from finloom.session import scratch_dir
-from finloom.sources import readers
+from finloom.sources import readers, writers
 
 
 @query(
@@ -73,3 +74,21 @@ def newest_text(t: Tables):
         text = rows.agg(F.expr(f"listagg({name}, '\\n') WITHIN GROUP (ORDER BY {key})").alias("value"))
         text.write.mode("append").text(path)
     return readers.latest_text(t.spark, path).select("text")
+
+
+@query("calendar_scan", _EVENT_ROWS_SQL)
+def calendar_scan(t: Tables):
+    """One pretty-printed calendar page a day, in its day folder, with the rows of all the day's events."""
+    path = scratch_dir(t.spark, "calendar")
+    pages = event_pages(t)
+    whole = pages.groupBy("day").agg(F.expr("listagg(content, '') WITHIN GROUP (ORDER BY url)").alias("content"))
+    page = F.struct(
+        F.concat(F.lit("calendar/"), F.col("day").cast("string")).alias("url"),
+        F.date_format("day", "yyyy-MM-dd'T'00:00:00").alias("timestamp"),
+        "content",
+    )
+    files = writers.with_day_columns(whole.select("day", F.to_json(page, {"pretty": "true"}).alias("value")), F.col("day"))
+    writers.write_partitions(files.select("value", *writers.DAY_COLUMNS), path, kind="text")
+    stored = readers.day_folders(t.spark, path, RAW_PAGE, "json", "txt", whole_file_objects=True)
+    parsed = calendar.parsed_events(readers.spread_pages(stored), readers.calendar_day())
+    return calendar.split_events(parsed)[0]
