@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from finloom.session import materialize
 
 #: Numbers in one block of candidates; a block of queries has an eighth of it.
-BLOCK_NUMBERS = 1 << 19
+BLOCK_NUMBERS = 1 << 21
 #: Rows of a product tile worked on at a time.
-STRIPE = 128
+STRIPE = 64
 
 
 def quantised(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -36,42 +38,77 @@ def dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     flat = column.combine_chunks()
+    flat = flat.chunk(0) if isinstance(flat, pa.ChunkedArray) else flat
     return np.asarray(flat.flatten(), dtype=np.float64).reshape(len(flat), -1)
 
 
+CODED = "vector_id long, vector_key long, d int, codes binary, scale double, lost double"
+
+
+def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (vector_id, vector_key, vector) as int8 codes of the unit vectors, CODED."""
+    for batch in batches:
+        size = pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False)
+        for d in np.unique(size).tolist():
+            some = batch.take(pa.array(np.flatnonzero(size == d)))
+            v = _matrix(pa.chunked_array([some.column(2)]))
+            codes, scale, lost = quantised(v / np.sqrt(dot(v, v))[:, None])
+            columns = [some.column(0), some.column(1), pa.array(np.full(len(v), d), pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(scale), pa.array(lost)]
+            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in CODED.split(", ")])
+
+
+def _codes(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    codes = np.frombuffer(b"".join(table["codes"].to_pylist()), np.int8).reshape(table.num_rows, -1)
+    return table["vector_id"].to_numpy(), codes, table["scale"].to_numpy(), table["lost"].to_numpy()
+
+
 def _tile(keep: int):
-    """The keep best candidates of every query of a tile, by exact cosine and then smallest id."""
+    """Of a tile, the candidates that may be among the keep best of a query, with bounds of their cosine."""
 
     def run(queries: pa.Table, candidates: pa.Table) -> pa.Table:
-        if not queries.num_rows or not candidates.num_rows:
-            return pa.table({"query": pa.array([], pa.int64()), "candidate": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        q, c = _matrix(queries["vector"]), _matrix(candidates["vector"])
-        ids, names = candidates["vector_id"].to_numpy(), queries["vector_id"].to_numpy()
-        length_q, length_c = np.sqrt(dot(q, q)), np.sqrt(dot(c, c))
-        code_q, scale_q, lost_q = quantised(q / length_q[:, None])
-        code_c, scale_c, lost_c = quantised(c / length_c[:, None])
-        # products of codes are whole numbers; float32 holds them exactly up to 2^24
-        kind = np.float32 if q.shape[1] * 127 * 127 < 1 << 24 else np.float64
-        across = np.ascontiguousarray(code_c.T.astype(kind))
-        found: list[tuple] = []
-        for at in range(0, len(q), STRIPE):
-            rows = slice(at, at + STRIPE)
-            near = (code_q[rows].astype(kind) @ across) * scale_q[rows, None] * scale_c[None, :]
-            bound = lost_q[rows, None] + (1 + lost_q[rows, None]) * lost_c[None, :] + 1e-9
-            least = near - bound
-            if len(c) > keep:
-                floor = np.partition(least, len(c) - keep, axis=1)[:, len(c) - keep]
-                i, j = np.nonzero(near + bound >= floor[:, None])
-            else:
-                i, j = np.nonzero(np.ones_like(near, bool))
-            score = dot(q[i + at], c[j]) / (length_q[i + at] * length_c[j])
-            cut = np.searchsorted(i, np.arange(len(near) + 1))
-            for k in range(len(near)):
-                some = slice(cut[k], cut[k + 1])
-                best = heapq.nsmallest(keep, zip((-score[some]).tolist(), ids[j[some]].tolist(), strict=True))
-                found += [(int(names[at + k]), one, -s) for s, one in best]
-        columns = list(zip(*found, strict=True))
-        return pa.table({"query": pa.array(columns[0], pa.int64()), "candidate": pa.array(columns[1], pa.int64()), "score": pa.array(columns[2], pa.float64())})
+        found: list[list[np.ndarray]] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0)]]
+        if queries.num_rows and candidates.num_rows:
+            names, code_q, scale_q, lost_q = _codes(queries)
+            ids, code_c, scale_c, lost_c = _codes(candidates)
+            # products of codes are whole numbers; float32 holds them exactly up to 2^24
+            kind = np.float32 if code_q.shape[1] * 127 * 127 < 1 << 24 else np.float64
+            across = np.ascontiguousarray(code_c.T.astype(kind))
+            for at in range(0, len(names), STRIPE):
+                rows = slice(at, at + STRIPE)
+                near = (code_q[rows].astype(kind) @ across) * scale_q[rows, None] * scale_c[None, :]
+                bound = lost_q[rows, None] + (1 + lost_q[rows, None]) * lost_c[None, :] + 1e-9
+                least = near - bound
+                if len(ids) > keep:
+                    floor = np.partition(least, len(ids) - keep, axis=1)[:, len(ids) - keep]
+                    i, j = np.nonzero(near + bound >= floor[:, None])
+                else:
+                    i, j = np.nonzero(np.ones_like(near, bool))
+                for column, values in zip(found, (names[i + at], ids[j], least[i, j], (near + bound)[i, j]), strict=True):
+                    column.append(values)
+        columns = [np.concatenate(c) for c in found]
+        return pa.table(dict(zip(("query", "candidate", "low", "high"), map(pa.array, columns), strict=True)))
+
+    return run
+
+
+def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (query, candidate, x, y) with the exact cosine of the vectors x and y."""
+    for batch in batches:
+        size = pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False)
+        for d in np.unique(size).tolist():
+            some = batch.take(pa.array(np.flatnonzero(size == d)))
+            x, y = (_matrix(pa.chunked_array([some.column(k)])) for k in (2, 3))
+            score = dot(x, y) / (np.sqrt(dot(x, x)) * np.sqrt(dot(y, y)))
+            yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(score)], names=["query", "candidate", "score"])
+
+
+def best_of(keep: int):
+    """Of the rows (query, candidate, score) of a group of one query: the keep best, from a heap."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = zip((-table["score"].to_numpy()).tolist(), table["candidate"].to_pylist(), strict=True)
+        best = heapq.nsmallest(keep, rows)
+        return pa.table({"query": table["query"][: len(best)], "candidate": pa.array([c for _, c in best], pa.int64()), "score": pa.array([-s for s, _ in best], pa.float64())})
 
     return run
 
@@ -87,10 +124,11 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str = "
     each. Other columns are ignored; an empty table or no query gives no rows.
 
     Equal vectors are one entry with its k + 1 smallest ids: no more can be among the k nearest.
-    Queries and entries are dealt into blocks; each tile (one block of each) multiplies int8 codes.
-    For unit vectors u = u' + a and v = v' + b the product of codes is off by at most
-    |a| + |u'||b|, so a candidate whose upper bound is below the (k + 1)-th lower bound is out, and
-    the others are computed exactly. Tiles give k + 1 entries per query, and heaps merge them.
+    Vectors are quantised once, and what is dealt into blocks and tiles (one block of queries and one of
+    entries) are int8 codes with a scale. For unit vectors u = u' + a and v = v' + b the product of
+    codes is off by at most |a| + |u'||b|, so a candidate whose upper bound is below the
+    (k + 1)-th lower bound, of its tile or of all tiles, is out. The vectors of the others are
+    fetched by id for the exact cosine, and heaps give the k + 1 best entries per query.
     """
     keep = k + 1
     vector = F.col(vector_column).cast("array<double>")
@@ -108,19 +146,24 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str = "
     def blocks(of: int, numbers: int) -> Column:
         """Number of blocks for a vector's length."""
         counts = [(d, max(1, -(-n[of] * d // numbers))) for d, n in sizes.items()]
-        return reduce(lambda c, x: F.when(F.size("vector") == x[0], F.lit(x[1])).otherwise(c), counts, F.lit(1))
+        return reduce(lambda c, x: F.when(F.col("d") == x[0], F.lit(x[1])).otherwise(c), counts, F.lit(1))
 
     parts_c, parts_q = blocks(0, BLOCK_NUMBERS), blocks(1, BLOCK_NUMBERS // 8)
-    d = F.size("vector").alias("d")
 
     def dealt(df: DataFrame, own: Column, other: Column, own_name: str, other_name: str) -> DataFrame:
-        numbered = df.select("vector_id", "vector", d, F.pmod(F.col("vector_key"), own).alias(own_name), F.explode(F.sequence(F.lit(0), other - 1)).alias(other_name))
-        return numbered.withColumn(own_name, F.col(own_name).cast("int"))
+        coded = df.select("vector_id", "vector_key", "vector").mapInArrow(_code, CODED)
+        numbered = coded.select("*", F.pmod(F.col("vector_key"), own).cast("int").alias(own_name), F.explode(F.sequence(F.lit(0), other - 1)).alias(other_name))
+        return numbered.drop("vector_key")
 
     left = dealt(asked, parts_q, parts_c, "q", "c").groupBy("d", "q", "c")
     right = dealt(entries, parts_c, parts_q, "c", "q").groupBy("d", "q", "c")
-    tiles = left.cogroup(right).applyInArrow(_tile(keep), "query long, candidate long, score double")
-    ranked = tiles.withColumn("n", F.row_number().over(_window(["query"], F.col("score").desc(), F.col("candidate")))).where(F.col("n") <= keep)
+    tiles = materialize(left.cogroup(right).applyInArrow(_tile(keep), "query long, candidate long, low double, high double"), "tiles")
+    order = F.row_number().over(_window(["query"], F.col("low").desc(), F.col("candidate")))
+    floors = tiles.withColumn("n", order).where(F.col("n") == keep).select("query", F.col("low").alias("floor"))
+    pairs = tiles.join(floors, "query", "left").where("floor IS NULL OR high >= floor").select("query", "candidate")
+    one, two = (df.select(F.col("vector_id").alias(n), F.col("vector").alias(v)) for df, n, v in ((asked, "query", "x"), (entries, "candidate", "y")))
+    scored = pairs.join(one, "query").join(two, "candidate").select("query", "candidate", "x", "y").mapInArrow(_exact, "query long, candidate long, score double")
+    ranked = scored.groupBy("query").applyInArrow(best_of(keep), "query long, candidate long, score double")
     ids = ranked.join(entries.select(F.col("vector_id").alias("candidate"), "ids"), "candidate").select("query", "score", F.explode("ids").alias("id"))
     best = ids.withColumn("n", F.row_number().over(_window(["query"], F.col("score").desc(), F.col("id")))).where(F.col("n") <= keep)
     lists = best.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("n", "id", "score"))).alias("found"))
