@@ -357,11 +357,13 @@ def similar_sets(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id_
     nodes = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
     known = single.join(nodes, "node", "left_semi").join(info.dropDuplicates(["row"]).select("row", "size", "sketch"), "row")
     members = materialize(known.select("node", "row", "size", "sketch"), "members")
-    few = members.count() <= MOST_SENT
-    reps = members.select("row", "node")
-    texts = materialize(source.join(F.broadcast(reps) if few else reps, "row").dropDuplicates(["row"]).select("node", "text"), "texts")
 
     def exact(pairs: DataFrame) -> DataFrame:
+        """The pairs that are similar enough; only texts of nodes that sketches leave over are read again."""
+        asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        wanted = materialize(asked.join(members.select("node", "row"), "node"), "wanted")
+        sent = F.broadcast(wanted) if wanted.count() <= MOST_SENT else wanted
+        texts = materialize(source.join(sent, "row").dropDuplicates(["row"]).select("node", "text"), "texts")
         one, two = (texts.select(F.col("node").alias(k), F.col("text").alias(t)) for k, t in (("a", "x"), ("b", "y")))
         both = pairs.join(two, "b").join(one, "a").select("a", "b", "x", "y")
         return materialize(both.mapInArrow(_exact(n, num, den), "a long, b long"), "links")
