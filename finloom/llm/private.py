@@ -28,6 +28,10 @@ LABELLED_LENGTH = 400
 #: Characters on each side of a digit, @ or written-out at-sign that belong to its chain.
 AROUND = 24
 
+#: Tokens that are decoded at once. A longer chain is decoded in windows of so many, each with OVERLAP
+#: tokens more on both sides, and gives the spans that begin inside: far more than a feature or a span reaches.
+CHAIN_TOKENS, OVERLAP = 50_000, 200
+
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -360,28 +364,44 @@ PRIVATE = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.Str
 _ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
 
 
+def _windows(size: int) -> Iterator[tuple[int, int, int, int]]:
+    """(from, to, own from, own to) of the windows in which a chain of tokens is decoded: one, but for very long chains."""
+    for lo in range(0, max(size, 1), CHAIN_TOKENS):
+        hi = min(size, lo + CHAIN_TOKENS)
+        yield max(0, lo - OVERLAP), min(size, hi + OVERLAP), lo, hi
+
+
 def _decoded(texts: Sequence[str], field: Field, shapes: Shapes) -> list[list[Span]]:
     """What the field finds in each text, before it is held against the fixed patterns."""
     out: list[list[Span]] = [[] for _ in texts]
-    pieces = []
+    held: list[tuple] = []
+
+    def decode() -> None:
+        held.sort(key=lambda p: -len(p[0]))
+        batch = Batch.of([p[0] for p in held])
+        labels = field.decode(batch)
+        for (_, places, lo, k, first, own_lo, own_hi), begin, size in zip(held, batch.begin.tolist(), batch.size.tolist(), strict=True):
+            own = labels[begin : begin + size]
+            for s in np.flatnonzero(own % 2 == 1).tolist():
+                if own_lo <= first + s < own_hi:
+                    e = s + 1
+                    while e < size and own[e] == own[s] + 1:
+                        e += 1
+                    out[k].append(((int(own[s]) - 1) // 2, lo + places[s][0], lo + places[e - 1][1]))
+        held.clear()
+
+    waiting = 0
     for k, text in enumerate(texts):
         for lo, hi in chains(text):
             numbers, places = _tokens(text[lo:hi], shapes)
-            if numbers:
-                pieces.append((numbers, places, lo, k))
-    pieces.sort(key=lambda p: -len(p[0]))
-    if not pieces:
-        return out
-    batch = Batch.of([p[0] for p in pieces])
-    labels = field.decode(batch)
-    for (_, places, lo, k), begin, size in zip(pieces, batch.begin.tolist(), batch.size.tolist(), strict=True):
-        own = labels[begin : begin + size]
-        starts = np.flatnonzero(own % 2 == 1).tolist()
-        for s in starts:
-            e = s + 1
-            while e < size and own[e] == own[s] + 1:
-                e += 1
-            out[k].append(((int(own[s]) - 1) // 2, lo + places[s][0], lo + places[e - 1][1]))
+            for a, b, own_lo, own_hi in _windows(len(numbers)) if numbers else ():
+                held.append((numbers[a:b], places[a:b], lo, k, a, own_lo, own_hi))
+                waiting += b - a
+                if waiting >= CHAIN_TOKENS:
+                    decode()
+                    waiting = 0
+    if held:
+        decode()
     return out
 
 
@@ -390,7 +410,8 @@ def find_private(docs: DataFrame, field: Field, text_column: str = "text") -> Da
 
     Places are code points, the end exclusive. Spans of the fixed patterns (base) always stay. The
     field adds those it decodes in the chains of the whole text that look like their kind and overlap
-    no other span. A null or empty text has none. Rows are judged alone: repeated rows alike;
+    no other span. Chains of more than CHAIN_TOKENS tokens are decoded in overlapping windows, so memory stays
+    bounded. A null or empty text has none. Rows are judged alone: repeated rows alike;
     an input column named private is replaced, others are kept. An empty table gives no row.
     """
     spark = docs.sparkSession

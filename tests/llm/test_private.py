@@ -143,3 +143,13 @@ def test_query_equals_plain_expressions(spark):
         assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for k, *_ in want) for x in private.KINDS]
         assert set(listed.split(",")) - {""} <= set(r.spans.split(","))
+
+
+def test_long_chains_decode_in_windows_as_in_one(trained, monkeypatch):
+    rng = random.Random(9)
+    parts = ["(377) 555-0271", "10.0.0[.]1", "a.b (at) c.example.com", "12 34", "word", "7536784127813050 4845168114407329", "+1 (826) 555-4081 190.137.223.204"]
+    text = " ".join(rng.choice(parts) for _ in range(3000))
+    whole = private._decoded([text], trained, private.Shapes())
+    monkeypatch.setattr(private, "CHAIN_TOKENS", 700)
+    assert private._decoded([text], trained, private.Shapes()) == whole and len(whole[0]) > 1000
+    assert private._decoded([text, "", "call (377) 555-0271"], trained, private.Shapes())[0] == whole[0]
