@@ -254,7 +254,8 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _apart(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Bits in which each left sketch differs from each right one of the same length."""
-    return np.bitwise_count(left[:, None, :] ^ right[None, :, :]).sum(axis=2, dtype=np.int32)
+    # numpy counts the bits of a signed number's absolute value
+    return np.bitwise_count((left[:, None, :] ^ right[None, :, :]).view(_U)).sum(axis=2, dtype=np.int32)
 
 
 def _near(num: int, den: int, best_only: bool):

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from finloom.llm import setjoin, substrings
@@ -106,6 +107,14 @@ def test_groups_are_those_of_all_pairs(spark, n, num, den, seed, block, monkeypa
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, grouped(rows, n, num, den)))
 
 
+def test_sketches_may_differ_in_their_highest_bit():
+    sketches = [[0, 0], [-(2**63) + 1, 0], [0, -1]]
+    cells = np.array(sketches, np.int64)
+    assert setjoin._apart(cells, cells).tolist() == [[0, 2, 64], [2, 0, 66], [64, 66, 0]]
+    tile = pa.table({"node": [5, 6, 7], "root": [5, 6, 7], "size": [60, 60, 60], "side": [-1, -1, -1], "sketch": pa.array(sketches, pa.list_(pa.int64()))})
+    assert {(r["a"], r["b"]) for r in setjoin._near(85, 100, False)(tile).to_pylist()} == {(5, 6)}
+
+
 def test_one_row_of_each_group_stays(spark):
     rows = copies()
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, component string")
