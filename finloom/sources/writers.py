@@ -181,9 +181,12 @@ def publish_partitions(df: DataFrame, table: str, by: Sequence[str], version_pat
     """
     spark = df.sparkSession
     df.hint("rebalance", *by).write.mode("errorifexists").partitionBy(*by).parquet(version_path)
-    place = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    folder_of = F.regexp_extract(place, rf"({'/'.join([r'[^/]+'] * len(by))})/[^/]+$", 1).alias("folder")
-    written = spark.read.schema(df.schema).parquet(version_path).select(*by, folder_of).distinct().collect()
+    # Each row names its file: its folder is cut out by linear steps, and decoded once per folder.
+    file = F.col("_metadata.file_path")
+    above = F.left(file, F.length(file) - F.length(F.substring_index(file, "/", -1)) - 1)
+    folders = spark.read.schema(df.schema).parquet(version_path).select(*by, F.substring_index(above, "/", -len(by)).alias("folder")).distinct()
+    place = F.url_decode(F.replace(F.col("folder"), F.lit("+"), F.lit("%2B")))
+    written = folders.select(*by, place.alias("folder")).collect()
     clauses = {
         r["folder"]: (
             f"PARTITION ({', '.join(f'`{c}` = {_literal(r[c])}' for c in by)})",
