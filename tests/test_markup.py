@@ -171,3 +171,15 @@ def test_pages_of_one_file_are_dealt_to_every_core(spark, tmp_path):
     one, many = (spark.read.schema(pages.schema).json(f"{tmp_path}/{n}") for n in ("one", "many"))
     assert readers.spread_pages(one).select(F.spark_partition_id().alias("p")).distinct().count() == cores
     assert "Exchange" not in readers.spread_pages(many)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_text_of_a_tag_is_read_once(monkeypatch):
+    from finloom.operators import markup
+
+    met = []
+    monkeypatch.setattr(markup, "_read_tag", lambda text, read=markup._read_tag: met.append(text) or read(text))
+    rules = PageRules({"once": Take((Step("u", ("k",)),)), "count": Take((Step("u"),), "count")}, rows=(Step("ol"), Step("li")))
+    page = "<ol>" + '<li><u class="k">a &amp; b</u><u>c</u><hr></li>' * 50 + "</ol>"
+    for _ in range(2):
+        assert read_page(page, rules) == [{"once": "a & b", "count": 2}] * 50
+    assert sorted(met) == sorted(["ol", "li", 'u class="k"', "/u", "u", "hr", "/li", "/ol"])
