@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finloom.llm.words import NOT_ALNUM, Words, mix, row_chunks, row_key, small_batches, words_of
+from finloom.llm.words import NOT_ALNUM, Words, kept, mix, row_chunks, row_key, small_batches, words_of
 from finloom.session import materialize
 
 _U = np.uint64
@@ -146,15 +146,9 @@ class Items:
             yield from zip((lo + at[close]).tolist(), item[close].tolist(), strict=True)
 
 
-_built: dict[str, Items] = {}
-
-
 def _items(key: str, rows: list[tuple], shingle: int, radius: int) -> Items:
     """The worker's index of a block of items, built once."""
-    if key not in _built:
-        _built.clear()
-        _built[key] = Items(rows, shingle, radius)
-    return _built[key]
+    return kept((Items, key), lambda: Items(rows, shingle, radius))
 
 
 def _marks(g: np.ndarray, x: np.ndarray, begin: np.ndarray, span: int) -> np.ndarray:

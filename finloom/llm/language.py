@@ -10,12 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from finloom.llm.words import mix, row_chunks, small_batches, without
+from finloom.llm.words import drop_kept, mix, row_chunks, small_batches, without
 
 BUCKET_BITS = 16
 ORDERS = (1, 2, 3)
 UNKNOWN = "und"
 
+#: Bytes of text handled at once: the arrays made of them take 60 times as much.
+CHUNK_BYTES = 1 << 19
+
 #: Standard deviations of a text's mean log probability that are put down to its length.
 CHANCE = 3.0
 
@@ -66,8 +69,9 @@ def train(docs: DataFrame, bits: int = BUCKET_BITS, text_column: str = "text", l
     slices = 1 << (bits - 8)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         sums: dict[str, np.ndarray] = {}
-        for rows, texts in row_chunks(batches, "text"):
+        for rows, texts in row_chunks(batches, "text", CHUNK_BYTES):
             langs = rows.column(1).to_pylist()
             for lang in set(langs):
                 own = [t for t, x in zip(texts, langs, strict=True) if x == lang]
@@ -115,9 +119,10 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_column: s
     spread = np.sqrt(np.maximum((own * matrix[:, :-1].astype(float) ** 2).sum(axis=1) - mean**2, 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         weights = np.ascontiguousarray(shared.value[:, :-1])
         prior = shared.value[:, -1].astype(float)
-        for rows, texts in row_chunks(batches, text_column, 2 << 20):
+        for rows, texts in row_chunks(batches, text_column, CHUNK_BYTES):
             known = np.array([bool(langs) and t is not None and any(map(str.isalpha, t.decode("utf-8", "replace"))) for t in texts])
             pred, score, fit = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts)), np.full(len(texts), np.nan)
             judged = [t for t, k in zip(texts, known, strict=True) if k]

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finloom.llm.components import components
-from finloom.llm.words import mix, row_chunks, row_key, small_batches, words_of
+from finloom.llm.words import drop_kept, mix, row_chunks, row_key, small_batches, words_of
 from finloom.operators.lookup import lookup_join
 from finloom.session import free_shuffles, materialize
 
@@ -42,6 +42,8 @@ BAND_WIDTHS = (3.0, 2.5, 2.0, 1.5, 1.25, 1.0)
 SKIPS = (0, 1, 2, 3, 4, 5, 7, 9, 12, 15, 20, 26, 34, 44, 57, 74, 96, 125, 160, 210, 270, 350)
 #: Nodes in a block of a tile.
 TILE_NODES = 1500
+#: Bytes of text whose sets are made at once: the arrays made of them take 50 times as much.
+CHUNK_BYTES = 1 << 18
 #: Row keys that are sent to every task to pick texts; more are joined by shuffle.
 MOST_SENT = 2_000_000
 
@@ -207,7 +209,8 @@ def _facts(n: int):
     """row, node, size and sketch of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in row_chunks(batches, "text"):
+        drop_kept()
+        for rows, texts in row_chunks(batches, "text", CHUNK_BYTES):
             sets = _sets(texts, n)
             sketches = [_sketch(s) if len(s) else np.zeros(0, np.int64) for s in sets]
             cut = np.cumsum([0, *map(len, sketches)])
@@ -223,7 +226,8 @@ def _keys(n: int, bands: Bands):
     """(key, node) for each key of each row's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in row_chunks(batches, "text"):
+        drop_kept()
+        for _, texts in row_chunks(batches, "text", CHUNK_BYTES):
             sets = [s for s in _sets(texts, n) if len(s)]
             keys = [bands.keys(s) for s in sets]
             if keys:
@@ -236,6 +240,7 @@ def _keys(n: int, bands: Bands):
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows (key, node) sorted by key and node: each other node of a key with the key's
     first one. Holds one row between batches."""
+    drop_kept()
     held = None
     for batch in batches:
         key, node = (c.to_numpy() for c in batch.columns)
@@ -263,6 +268,7 @@ def _near(num: int, den: int, best_only: bool):
     best_only for each node only the closest other."""
 
     def run(tile: pa.Table) -> pa.Table:
+        drop_kept()
         node, root, size = (tile[c].to_numpy() for c in ("node", "root", "size"))
         side = tile["side"].to_numpy()
         sketch = tile["sketch"].combine_chunks()
@@ -302,8 +308,9 @@ def _exact(n: int, num: int, den: int):
     """Of rows (a, b, x, y) with texts x and y: the pairs that are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         last: tuple = (None, None)
-        for rows, right in row_chunks(batches, "y"):
+        for rows, right in row_chunks(batches, "y", CHUNK_BYTES):
             left = rows.column(2).cast(pa.binary()).to_pylist()
             many = _sets(right, n)
             keep = []

@@ -6,6 +6,8 @@ import re
 
 import numpy as np
 
+from finloom.llm.words import kept
+
 #: Entries of the table of known words in one Python worker; it starts anew when full.
 CACHE_WORDS = 1_200_000
 
@@ -21,8 +23,6 @@ class WordTokenizer:
     order. Each distinct word is encoded once, many in one call.
     """
 
-    _loaded: dict[str, WordTokenizer] = {}
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -32,9 +32,8 @@ class WordTokenizer:
 
     @classmethod
     def load(cls, path: str) -> WordTokenizer:
-        if path not in cls._loaded:
-            cls._loaded[path] = cls(path)
-        return cls._loaded[path]
+        """The tokenizer and the words known so far, which the Python worker keeps."""
+        return kept((cls, path), lambda: cls(path))
 
     def encode_all(self, texts: list[bytes | None]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit numbers; none for a null."""

@@ -6,8 +6,10 @@ modulo 2^64 of each word's bytes, finished with a bit mixer; they steer buckets
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+from collections.abc import Callable, Hashable, Iterator
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,8 @@ LOWER[65:91] += 32
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers: dict[int, np.ndarray] = {}
+#: What this Python worker keeps for its next task.
+_kept: dict[Hashable, Any] = {}
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -43,7 +47,7 @@ def _power(base: int, n: int) -> np.ndarray:
     """base^0 .. base^(n-1) modulo 2^64; grown as needed and kept up to a few chunks' length."""
     got = _powers.get(base)
     if got is None or len(got) < n:
-        size = max(n, CHUNK_BYTES * 3 // 2)
+        size = max(n, min(n * 5 // 4, 4 * CHUNK_BYTES))
         got = np.full(size, base & (2**64 - 1), _U)
         got[0] = 1
         got = np.cumprod(got, dtype=_U)
@@ -123,6 +127,21 @@ def row_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUN
             yield batch.slice(lo), texts[lo:]
 
 
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """make(), kept by this Python worker for its next task, until it asks for another key."""
+    if key not in _kept:
+        drop_kept()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def drop_kept() -> None:
+    """Give back what an earlier step's tasks have kept in this Python worker: Spark runs later steps in it too."""
+    if _kept:
+        _kept.clear()
+        gc.collect()
+
+
 def small_batches(spark: SparkSession) -> None:
     """Keep Arrow batches of long texts small."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")

@@ -2,6 +2,8 @@
 
 import random
 import re
+import tracemalloc
+import weakref
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -10,6 +12,8 @@ import pytest
 
 from finloom.llm import setjoin, substrings
 from finloom.llm.components import components
+from finloom.llm.queries import tokenizer_path
+from finloom.llm.tokens import WordTokenizer
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -115,6 +119,39 @@ def test_sketches_may_differ_in_their_highest_bit():
     assert {(r["a"], r["b"]) for r in setjoin._near(85, 100, False)(tile).to_pylist()} == {(5, 6)}
 
 
+def test_steps_give_back_what_packing_has_kept_in_their_worker():
+    texts = pa.record_batch({"row": [1, 2], "text": ["a b c", "a b d"]})
+    pairs = pa.record_batch({"a": [1], "b": [2], "x": ["a b c"], "y": ["a b d"]})
+    keys = pa.record_batch({"key": [1, 1], "node": [5, 6]})
+    tile = pa.table({"node": [5], "root": [5], "size": [2], "side": [-1], "sketch": pa.array([[3]], pa.list_(pa.int64()))})
+    steps = [
+        lambda: list(setjoin._facts(2)(iter([texts]))),
+        lambda: list(setjoin._keys(2, setjoin.Bands(80, 100))(iter([texts]))),
+        lambda: list(setjoin._exact(2, 80, 100)(iter([pairs]))),
+        lambda: list(setjoin._stars(iter([keys]))),
+        lambda: setjoin._near(80, 100, False)(tile),
+    ]
+    for step in steps:
+        words = weakref.ref(WordTokenizer.load(tokenizer_path()))
+        assert words() is WordTokenizer.load(tokenizer_path())  # kept for the next task of its step
+        step()
+        assert words() is None
+
+
+def test_sets_are_made_of_few_texts_at_once():
+    rng = random.Random(1)
+    texts = [" ".join(str(rng.randrange(10**6)) for _ in range(250)) for _ in range(1000)]
+    batch = pa.record_batch({"row": list(range(1000)), "text": texts})
+    most = {}
+    for name, step in (("sets", setjoin._facts(5)), ("keys", setjoin._keys(5, setjoin.Bands(80, 100)))):
+        tracemalloc.start()
+        for _ in step(iter([batch])):
+            pass
+        most[name] = tracemalloc.get_traced_memory()[1] / 1e6
+        tracemalloc.stop()
+    assert max(most.values()) < 25, most
+
+
 def test_one_row_of_each_group_stays(spark):
     rows = copies()
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, component string")
