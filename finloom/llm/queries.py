@@ -102,7 +102,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(id_remainder("doc_id", 4) != 2)
     model = toxicity.train(docs, labels)
-    found = toxicity.score(docs, model)
+    found = toxicity.score(docs, model, keep=["doc_id"])
     return found.select(
         "doc_id", (id_remainder("doc_id", 4) == 2).alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= 0.3).cast("int").alias("predicted")
     )

@@ -16,13 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
-from finloom.llm.words import LOWER, mix, row_chunks, small_batches, without, words_of
+from finloom.llm.words import LOWER, drop_kept, kept, mix, row_chunks, small_batches, without, words_of
 from finloom.session import materialize
 
 _U = np.uint64
 
 #: Rows of labels that the model is fitted on, at most about so many, chosen by hash of the id.
 TRAIN_ROWS = 200_000
+#: Bytes of an Arrow batch: the JVM holds a batch twice while it grows, and a worker makes its texts bytes of their own.
+BATCH_BYTES = 4 << 20
 #: Rows of a label, copies counted once, that a word must be in to weigh anything.
 LEAST_ROWS = 5
 
@@ -55,11 +57,12 @@ def train_characters(docs: DataFrame, text_column: str = "text") -> np.ndarray:
 
     Counts of four symbols are added up in each task in a table of fixed size; shorter histories
     back off by interpolation with the number of different successors."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, BATCH_BYTES)
     size = SYMBOLS**4
     slices = -(-size // (1 << 12))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         total = np.zeros(slices << 12, np.int64)
         for _, texts in row_chunks(batches, "text"):
             s = symbols(b"   " + b"   ".join(t or b"" for t in texts)).astype(np.int32)
@@ -168,6 +171,7 @@ class Decoder:
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (id, label) with the smallest of four hashes over runs of three words of the text."""
+    drop_kept()
     for rows, texts in row_chunks(batches, "text"):
         w = words_of(texts, lower=True)
         g, whole = w.grams(3)
@@ -243,15 +247,9 @@ class Reader:
         return found
 
 
-_readers: dict[object, Reader] = {}
-
-
-def reader(key: object, model: np.ndarray, weights: dict[int, float] | None = None) -> Reader:
+def reader(key: str, model: np.ndarray, weights: dict[int, float] | None = None) -> Reader:
     """The worker's reader for a model; tasks that follow in the same worker find its words."""
-    if key not in _readers:
-        _readers.clear()
-        _readers[key] = Reader(model, weights)
-    return _readers[key]
+    return kept((Reader, key), lambda: Reader(model, weights))
 
 
 @dataclass
@@ -275,7 +273,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     copied texts do not count; other words weigh nothing. Without labels of both kinds all
     weights are 0 and the score is the share of label 1."""
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, BATCH_BYTES)
     characters = train_characters(docs, text_column)
     known = labels.where(f"`{id_column}` IS NOT NULL AND `{label_column}` IS NOT NULL").groupBy(F.col(id_column).alias("id")).agg(F.max(F.col(label_column).cast("int")).alias("label"))
     share = min(1.0, rows / max(1, known.count()))
@@ -335,15 +333,20 @@ def _line(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
     return float(slope), float(base)
 
 
-def score(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, text_column: str = "text", keep: list[str] | None = None) -> DataFrame:
     """docs with toxic_sum and toxic_score (0 to 1), from the whole text alone.
 
+    keep names the columns of docs that come with them, all if it is not given: a text that is not
+    wanted after it need not go back from the tasks' Python.
+
     Words are read through the decoder where they hold digits, signs, doubled letters or long runs,
     and rows of three or more single letters are read as one text. A null or empty text has the sum 0. Rows are
     scored alone; input columns of these two names are replaced."""
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, BATCH_BYTES)
     docs = without(docs, "toxic_sum", "toxic_score")
+    at = [k for k, c in enumerate(docs.columns) if keep is None or c in keep]
+    names = [docs.columns[k] for k in at]
     shared, key = spark.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,6 +359,6 @@ def score(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame
                 if t:
                     sums[k] = sum(weight[h] for h in sorted(words.features(t.decode("utf-8", "replace"))))
             odds = np.clip(own.slope * sums + own.base, -500, 500)
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sums), pa.array(1 / (1 + np.exp(-odds)))], names=[*part.schema.names, "toxic_sum", "toxic_score"])
+            yield pa.RecordBatch.from_arrays([*[part.column(k) for k in at], pa.array(sums), pa.array(1 / (1 + np.exp(-odds)))], names=[*names, "toxic_sum", "toxic_score"])
 
-    return docs.mapInArrow(run, StructType([*docs.schema, StructField("toxic_sum", DoubleType()), StructField("toxic_score", DoubleType())]))
+    return docs.mapInArrow(run, StructType([*[docs.schema[k] for k in at], StructField("toxic_sum", DoubleType()), StructField("toxic_score", DoubleType())]))

@@ -142,10 +142,10 @@ def drop_kept() -> None:
         gc.collect()
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of long texts small."""
+def small_batches(spark: SparkSession, size: int = 16 << 20) -> None:
+    """Keep Arrow batches of long texts small, of about size bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def row_key(id_column: str, text_column: str) -> Column:

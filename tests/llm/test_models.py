@@ -4,11 +4,12 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from finloom.llm import context_tree, toxicity
-from finloom.llm.words import id_remainder
+from finloom.llm.words import drop_kept, id_remainder, kept
 
 DATA = "/root/testdata/sf0.01"
 
@@ -254,3 +255,29 @@ def test_weights_and_scores_are_those_of_counted_words(spark):
     for r in toxicity.score(docs, fitted).collect():
         total = sum(want.get(w, 0) for w in read.features(r.text))
         assert abs(r.toxic_sum - total) < 1e-9 and abs(r.toxic_score - 1 / (1 + math.exp(-(fitted.slope * total + fitted.base)))) < 1e-9
+
+
+def test_a_worker_keeps_one_reader_and_gives_it_back(model):
+    other = kept("another step's", lambda: [0])
+    first = toxicity.reader("a", model.characters)
+    assert toxicity.reader("a", model.characters) is first
+    assert kept("another step's", lambda: [1]) is not other and toxicity.reader("a", model.characters) is not first
+    last = toxicity.reader("b", model.characters)
+    next(toxicity._signed(iter([])), None)
+    assert toxicity.reader("b", model.characters) is not last
+    drop_kept()
+
+
+def test_texts_stay_with_the_tasks_unless_wanted(spark, model):
+    docs = spark.createDataFrame([(k, "x", f"you 1d10t {k} " + "word " * 2_000) for k in range(1500)], "doc_id long, other string, text string").coalesce(1)
+    scored = toxicity.score(docs, model, keep=["doc_id"])
+    assert scored.columns == ["doc_id", "toxic_sum", "toxic_score"]
+    whole = toxicity.score(docs, model)
+    assert whole.columns == ["doc_id", "other", "text", "toxic_sum", "toxic_score"]
+    assert sorted(scored.collect()) == sorted(whole.drop("other", "text").collect())
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([sum(map(len, b.column("text").to_pylist()))], pa.int64())], names=["n"])
+
+    assert max(r.n for r in docs.mapInArrow(sizes, "n long").collect()) <= 5 << 20
