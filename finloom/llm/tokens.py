@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+from itertools import chain
 
 import numpy as np
 
@@ -11,8 +11,8 @@ from finloom.llm.words import kept
 #: Entries of the table of known words in one Python worker; it starts anew when full.
 CACHE_WORDS = 1_200_000
 
-#: A word of letters and what punctuation follows it; the tokenizer splits there too.
-_PLAIN = re.compile(rb"([a-z\x80-\xff]+)([!-/:-@\[-`{-~]*)")
+#: What may follow a word of letters; the tokenizer splits there too.
+_PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 
 
 class WordTokenizer:
@@ -38,33 +38,31 @@ class WordTokenizer:
     def encode_all(self, texts: list[bytes | None]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit numbers; none for a null."""
         split = [t.split() if t else [] for t in texts]
-        missing = {w for ws in split for w in ws if w not in self.known}
-        if len(self.known) + len(missing) > CACHE_WORDS:
-            self.known, self.cores = {}, {}
-            missing = {w for ws in split for w in ws}
-        self._learn(missing)
-        known = self.known
-        return [b"".join([known[w] for w in ws]) for ws in split]
-
-    def _learn(self, words: set[bytes]) -> None:
-        parts, odd, wanted = {}, set(), set()
-        for w in words:
-            m = _PLAIN.fullmatch(w.lower()) if b"<|" not in w else None
-            core = m[1] if m else b""
-            if m and (core in self.cores or core in wanted or core.decode().isalpha()):
-                parts[w] = m.groups()
-                if core not in self.cores:
-                    wanted.add(core)
-                if m[2] and m[2] not in self.cores:
-                    odd.add(m[2])
-            else:
-                odd.add(w)
-        self._single(odd)
-        self._letters(sorted(wanted))
-        for w, (core, tail) in parts.items():
-            self.known[w] = self.cores[core] + (self.cores[tail] if tail else b"")
-        for w in odd:
-            self.known[w] = self.cores[w]
+        here: dict[bytes, bytes] = dict.fromkeys(chain.from_iterable(split), b"")  # of these texts only, so looked up fast
+        words = list(here)
+        found = list(map(self.known.get, words))
+        here.update(zip(words, found, strict=True))
+        if None in found:
+            missing = [w for w, ids in zip(words, found, strict=True) if ids is None]
+            if len(self.known) + len(missing) > CACHE_WORDS:
+                self.known, self.cores = {}, {}
+            learned = self._learn(missing)
+            here.update(learned)
+            self.known.update(learned)
+        return [b"".join(map(here.__getitem__, ws)) for ws in split]
+
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of words that are not known. Letters, in lower case, and what follows them are encoded apart and kept."""
+        lowered = b" ".join(words).lower().split(b" ")
+        letters = [low.rstrip(_PUNCTUATION) for low in lowered]
+        tails = [low[len(core) :] for low, core in zip(lowered, letters, strict=True)]
+        for k, core in enumerate(letters):
+            if not (core.isalpha() or core.decode().isalpha()) or b"<|" in tails[k]:
+                letters[k], tails[k] = b"", words[k]
+        self._single(set(tails).difference(self.cores))
+        self._letters(sorted(set(letters).difference(self.cores, [b""])))
+        cores = self.cores
+        return {w: cores[core] + cores[tail] if core and tail else cores[core or tail] for w, core, tail in zip(words, letters, tails, strict=True)}
 
     def _single(self, words: set[bytes]) -> None:
         listed = sorted(words)
@@ -76,10 +74,9 @@ class WordTokenizer:
         for at in range(0, len(words), 500):
             some = words[at : at + 500]
             e = self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False)
-            ids, owner = np.array(e.ids, "<u4"), np.array(e.word_ids)
-            cut = np.searchsorted(owner, np.arange(len(some) + 1))
+            ids, owner = np.array(e.ids, "<u4").tobytes(), np.array(e.word_ids)
             if owner.size and owner[-1] + 1 != len(some):  # a letter that the normaliser takes apart
                 self._single(set(some))
                 continue
-            for k, w in enumerate(some):
-                self.cores[w] = ids[cut[k] : cut[k + 1]].tobytes()
+            cut = (4 * np.searchsorted(owner, np.arange(len(some) + 1))).tolist()
+            self.cores.update(zip(some, map(ids.__getitem__, map(slice, cut, cut[1:])), strict=True))

@@ -33,6 +33,40 @@ def test_ids_are_those_of_whole_texts():
         assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == want, t
 
 
+def test_a_repeated_word_is_looked_up_once():
+    from finloom.llm.tokens import WordTokenizer
+
+    class Counted(dict):
+        seen = 0
+
+        def _count(self, *args):
+            Counted.seen += 1
+            return dict.get(self, *args)
+
+        get = __getitem__ = __contains__ = _count
+
+    own = WordTokenizer(tokenizer_path())
+    own.known = Counted()
+    texts = [b"The cat, the cat and 4 The dogs. " * 300, None, b"the cat"]
+    first = own.encode_all(texts)
+    assert own.encode_all(texts) == first == WordTokenizer(tokenizer_path()).encode_all(texts)
+    assert Counted.seen <= 2 * 7 and len(own.known) == 7
+
+
+def test_signs_beyond_ascii_are_encoded_with_what_follows():
+    from tokenizers import Tokenizer
+
+    from finloom.llm.tokens import WordTokenizer
+
+    whole = Tokenizer.from_file(tokenizer_path())
+    own = WordTokenizer(tokenizer_path())
+    signs = [chr(c) for c in (0xA9, 0xB4, 0xB2, 0xBD, 0x300, 0x2014, 0x201C, 0x20AC, 0x2460, 0x1F600, 0x661, 0x93F)]
+    words = signs + [s + t for s in signs for t in (",", "...", "'", "#")] + ["a" + s + "," for s in signs]
+    for w in words:
+        (ids,) = own.encode_all([w.encode()])
+        assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == whole.encode(w, add_special_tokens=False).ids, w
+
+
 def test_pieces_rebuild_every_document_with_little_padding(spark):
     from tokenizers import Tokenizer
 
