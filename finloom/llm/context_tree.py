@@ -29,30 +29,55 @@ DEPTH = 5
 FREQUENT_GRAMS = 1 << 21
 #: Words whose counts are sent to every task, the most frequent ones; the others are joined.
 FREQUENT_WORDS = 200_000
-#: Different grams or words held by a task before it hands on what it has.
-HELD = 3_000_000
+#: Different grams, or four times the words, held by a task before it hands on what it has.
+HELD = 1_000_000
+#: Rows of an Arrow batch of grams or words.
+HANDED = 100_000
+#: Bytes of text handled by one numpy step, unless a single text is longer.
+CHUNK = 2 << 20
 
 END = b"\n"
 
+#: A gram of depth + 1 bytes leaves so many bits of a number for a mark of its text.
+MARK_BITS = 64 - 8 * (DEPTH + 1)
+
 _U = np.uint64
 
 
-def stream(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+def split(texts: list[bytes | None]) -> list[list[bytes]]:
+    """The words of each text, A-Z lower-cased; a null text has none."""
+    return [t.lower().split() if t else [] for t in texts]
+
+
+def stream(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """For each byte to code, the byte with its `depth` predecessors as one number; and for each
-    text where its bytes begin. A text is its words, A-Z lower-cased, joined by one space, and an
-    end; what comes before it counts as ends."""
+    text how many bytes it has to code. A text is its words joined by one space, and an end; what
+    comes before it counts as ends."""
     lead = END * DEPTH
-    parts = [lead + b" ".join(t.lower().split()) + END if t else lead + END for t in texts]
+    parts = [lead + b" ".join(w) + END for w in words]
     a = np.frombuffer(b"".join(parts), np.uint8)
     n = np.array([len(p) for p in parts], np.int64)
     key = np.zeros(max(0, len(a) - DEPTH), _U)
     for k in range(DEPTH + 1):
-        key = (key << _U(8)) | a[k : k + len(key)]
-    stop = np.cumsum(n)
+        key <<= _U(8)
+        key |= a[k : k + len(key)]
     coded = np.ones(len(a), bool)
-    coded[((stop - n)[:, None] + np.arange(DEPTH)[None, :]).ravel()] = False
-    begin = np.concatenate([[0], np.cumsum(n - DEPTH)])
-    return key[coded[DEPTH:]], begin
+    coded[((np.cumsum(n) - n)[:, None] + np.arange(DEPTH)[None, :]).ravel()] = False
+    return key[coded[DEPTH:]], n - DEPTH
+
+
+def ordered(words: list[list[bytes]], mark: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The different grams of texts in order, where each begins among all of them, the mark of the
+    text that each of these is from, and the number of bytes to code of each text. One plain sort of numbers
+    that hold gram and mark: no second array of places is kept or sorted."""
+    key, n = stream(words)
+    key <<= _U(MARK_BITS)
+    key |= np.repeat(mark.astype(_U), n)
+    key.sort()
+    of = key.astype(np.uint16)  # the lowest bits
+    key >>= _U(MARK_BITS)
+    first = np.concatenate([[True], key[1:] != key[:-1]]).nonzero()[0]
+    return key[first], first, of, n
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -119,23 +144,37 @@ def subtree(key: np.ndarray, n: np.ndarray, least_depth: int) -> tuple[np.ndarra
     return mixed, (node, a, b, pw)
 
 
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
+    """Slices of batches with the words of their texts, of no more rows than there are marks."""
+    for rows, texts in row_chunks((b.slice(k, 1 << MARK_BITS) for b in batches for k in range(0, b.num_rows, 1 << MARK_BITS)), "text", CHUNK):
+        yield rows, split(texts)
+
+
+def _handed(names: list[str], *columns: pa.Array) -> Iterator[pa.RecordBatch]:
+    for k in range(0, len(columns[0]), HANDED):
+        yield pa.record_batch([c.slice(k, HANDED) for c in columns], names=names)
+
+
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Grams with how often they are in all rows, and in the rows to learn from."""
 
-    def given(key: np.ndarray, n: np.ndarray, learned: np.ndarray) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(key.view(np.int64)), pa.array(n), pa.array(learned)], names=["gram", "n", "learned"])
+    def given() -> Iterator[pa.RecordBatch]:
+        return _handed(["gram", "n", "learned"], pa.array(key.view(np.int64)), pa.array(n), pa.array(learned))
 
     key, n, learned = np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for rows, texts in row_chunks(batches, "text", 8 << 20):
-        grams, begin = stream(texts)
-        own = np.repeat(rows.column("learn").to_numpy(zero_copy_only=False), np.diff(begin))
-        got, where = np.unique(grams, return_inverse=True)
-        many, of_learn = np.bincount(where, minlength=len(got)), np.bincount(where[own], minlength=len(got))
-        key, n, learned = _summed(np.concatenate([key, got]), np.concatenate([n, many]), np.concatenate([learned, of_learn]))
+    for rows, words in _chunks(batches):
+        got, first, own, _ = ordered(words, rows.column("learn").to_numpy(zero_copy_only=False))
+        many, of_learn = np.diff(first, append=len(own)), np.add.reduceat(own, first, dtype=np.int64)
+        at = np.searchsorted(key, got)
+        new = at == len(key)
+        new[~new] = key[at[~new]] != got[~new]
+        n[at[~new]] += many[~new]
+        learned[at[~new]] += of_learn[~new]
+        key, n, learned = (np.insert(held, at[new], more[new]) for held, more in ((key, got), (n, many), (learned, of_learn)))
         if len(key) > HELD:
-            yield given(key, n, learned)
+            yield from given()
             key, n, learned = key[:0], n[:0], learned[:0]
-    yield given(key, n, learned)
+    yield from given()
 
 
 def _nodes(table: pa.Table) -> pa.Table:
@@ -188,42 +227,44 @@ def gram_scores(texts: DataFrame) -> DataFrame:
     return materialize(scores, "gram-scores")
 
 
-def _head(scores: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Grams and their scores, in order: those more frequent than a bound that FREQUENT_GRAMS
-    or fewer exceed. Grams as frequent are all in it or all out, so no order of rows matters."""
-    rank = F.floor(F.log2("n") * 16)
+def _frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
+    """The rows whose n is over a bound that `most` rows or fewer exceed. Rows as frequent are all
+    in it or all out, so no order of rows matters."""
+    rank = F.floor(F.log2(n) * 16)
     least, total = None, 0
-    for r in scores.groupBy(rank.alias("rank")).count().orderBy(F.desc("rank")).collect():
+    for r in counts.groupBy(rank.alias("rank")).count().orderBy(F.desc("rank")).collect():
         total += r["count"]
-        if total > FREQUENT_GRAMS:
+        if total > most:
             break
         least = r["rank"]
-    if least is None:
-        return np.zeros(0, _U), np.zeros(0)
+    return counts.where(F.lit(False) if least is None else rank >= least)
+
+
+def _head(scores: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent grams and their scores, in order."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.record_batch([pa.array([batch.column(k).to_numpy().tobytes()], pa.binary()) for k in (0, 1)], names=["grams", "logs"])
 
-    rows = list(scores.where(rank >= least).select("gram", "log10p").mapInArrow(packed, "grams binary, logs binary").toLocalIterator())
-    grams = np.concatenate([np.frombuffer(r["grams"], _U) for r in rows])
+    rows = list(_frequent(scores, "n", FREQUENT_GRAMS).select("gram", "log10p").mapInArrow(packed, "grams binary, logs binary").toLocalIterator())
+    grams = np.concatenate([np.zeros(0, _U), *[np.frombuffer(r["grams"], _U) for r in rows]])
     order = np.argsort(grams)
-    return grams[order], np.concatenate([np.frombuffer(r["logs"], float) for r in rows])[order]
+    return grams[order], np.concatenate([np.zeros(0), *[np.frombuffer(r["logs"], float) for r in rows]])[order]
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: Counter[bytes] = Counter()
 
     def given() -> Iterator[pa.RecordBatch]:
-        words, n = list(held), list(held.values())
-        for k in range(0, len(words), 100_000):
-            yield pa.record_batch([pa.array(words[k : k + 100_000], pa.binary()).cast(pa.string()), pa.array(n[k : k + 100_000], pa.int64())], names=["word", "n"])
+        words, n = pa.array(held.keys(), pa.binary()), pa.array(held.values(), pa.int64())
         held.clear()
+        return _handed(["word", "n"], words.cast(pa.string()), n)
 
-    for _, texts in row_chunks(batches, "text"):
-        for t in texts:
-            held.update((t or b"").lower().split())
-        held[b""] += len(texts)  # the end of each text
+    for _, words in _chunks(batches):
+        for w in words:
+            held.update(w)
+        held[b""] += len(words)  # the end of each text
         if len(held) > HELD // 4:
             yield from given()
     yield from given()
@@ -240,12 +281,12 @@ def score(docs: DataFrame, learn: Column, id_column: str = "doc_id", text_column
     any other; other columns are ignored; without training rows every bit costs one bit. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, 4 << 20)
     texts = docs.where(learn).select(F.col(text_column).alias("text"))
     words = materialize(texts.mapInArrow(_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
     total = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = words.orderBy(F.desc("c"), "word").limit(FREQUENT_WORDS).collect()
-    known = spark.sparkContext.broadcast({r["word"].encode(): math.log10(r["c"] + 1) for r in top})
+    top = _frequent(words, "c", FREQUENT_WORDS).select(F.col("word").cast("binary"), "c").toArrow()
+    known = spark.sparkContext.broadcast({w: math.log10(c + 1) for w, c in zip(top["word"].to_pylist(), top["c"].to_pylist(), strict=True)})
     # a word that is not among the frequent ones and cannot be below them was never seen
     complete = total["v"] <= FREQUENT_WORDS
     scores = gram_scores(docs.select(F.col(text_column).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn")))
@@ -253,27 +294,27 @@ def score(docs: DataFrame, learn: Column, id_column: str = "doc_id", text_column
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logs, (grams, gram_logs) = known.value, head.value
-        for rows, found in row_chunks(batches, "text", 8 << 20):
-            key, begin = stream(found)
-            unique, where = np.unique(key, return_inverse=True)
+        for rows, words in _chunks(batches):
+            unique, first, of, n_bytes = ordered(words, np.arange(len(words)))
             at = np.minimum(np.searchsorted(grams, unique), max(0, len(grams) - 1))
             hit = grams[at] == unique if len(grams) else np.zeros(len(unique), bool)
             one = np.zeros(len(unique))
             one[hit] = gram_logs[at[hit]]
-            sums = np.add.reduceat(one[where], begin[:-1])
-            missed = ~hit[where]
-            offsets = np.concatenate([[0], np.cumsum(missed)])[begin]
-            others = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(key[missed].view(np.int64)))
+            often = np.diff(first, append=len(of))
+            sums = np.bincount(of, np.repeat(one, often), len(words))
+            missed = of[np.repeat(~hit, often)]
+            order = np.argsort(missed, kind="stable")
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(missed, minlength=len(words)))])
+            others = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.repeat(unique[~hit], often[~hit])[order].view(np.int64)))
             out = []
-            for t in found:
-                split = (t or b"").lower().split()
-                split.append(b"")
-                got = [logs[w] for w in split if w in logs]
-                rest = Counter(w for w in split if w not in logs) if len(got) < len(split) and not complete else {}
-                out.append((len(split), len(got), math.fsum(got), [w.decode() for w in rest], list(rest.values())))
+            for of_text in words:
+                of_text.append(b"")
+                got = [logs[w] for w in of_text if w in logs]
+                rest = Counter(w for w in of_text if w not in logs) if len(got) < len(of_text) and not complete else {}
+                out.append((len(of_text), len(got), math.fsum(got), [w.decode() for w in rest], list(rest.values())))
             n, seen, base, rare, times = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(n, pa.int64()), pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(rare, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int32())), others, pa.array(sums), pa.array(np.diff(begin))],
+                [rows.column(0), pa.array(n, pa.int64()), pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(rare, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int32())), others, pa.array(sums), pa.array(n_bytes)],
                 names=[rows.schema.names[0], "n_tokens", "seen", "base", "rare", "times", "grams", "score", "n_bytes"],
             )
 

@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import pyarrow as pa
@@ -209,6 +210,49 @@ def test_no_node_of_varied_text_is_lost(spark, monkeypatch, most):
         assert got[k] == pytest.approx(s, rel=1e-7)
 
 
+def test_counting_grams_takes_little_memory():
+    rng = random.Random(5)
+    words = ["".join(chr(rng.randrange(97, 123)) for _ in range(7)) for _ in range(5000)]
+    texts = [" ".join(rng.choices(words, k=1000)) for _ in range(1000)]  # 8 MB in one batch
+    batch = pa.record_batch([pa.array(texts), pa.array([k % 7 != 2 for k in range(1000)])], names=["text", "learn"])
+    tracemalloc.start()
+    try:
+        given = [b.num_rows for b in context_tree._grams(iter([batch]))]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 200 << 20
+    assert max(given) <= 100_000
+
+
+@pytest.mark.parametrize("held", [1_000_000, 60])
+def test_grams_are_counted_over_chunks(monkeypatch, held):
+    for name, value in (("HELD", held), ("HANDED", 7), ("CHUNK", 50)):
+        monkeypatch.setattr(context_tree, name, value)
+    texts = [None, "", "The cat  sat", "the cat sat on the mat " * 9, "\xe9 \xfc", "THE CAT"] * 2
+    learn = [k % 3 != 0 for k in range(len(texts))]
+    want, learned = Counter(), Counter()
+    for t, own in zip(texts, learn, strict=True):
+        s = b"\n" * 5 + b" ".join((t or "").encode().lower().split()) + b"\n"
+        grams = [int.from_bytes(s[k : k + 6]) for k in range(len(s) - 5)]
+        want.update(grams)
+        learned.update(grams if own else [])
+    got, got_learned = Counter(), Counter()
+    rows = pa.record_batch([pa.array(texts), pa.array(learn)], names=["text", "learn"])
+    for batch in context_tree._grams(iter([rows.slice(0, 5), rows.slice(5, 0), rows.slice(5)])):
+        for gram, n, of_learn in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            got[gram] += n
+            got_learned[gram] += of_learn
+    assert got == want and +got_learned == learned
+
+
+def test_frequent_words_come_without_a_sort_on_the_driver(spark):
+    counts = spark.createDataFrame([(f"w{k}", 1 + k // 10) for k in range(50)], "word string, c long")
+    found = context_tree._frequent(counts, "c", 25)
+    assert sorted(r.word for r in found.collect()) == [f"w{k}" for k in range(30, 50)]
+    assert context_tree._frequent(counts, "c", 9).count() == 0 and context_tree._frequent(counts, "c", 50).count() == 50
+
+
 def test_long_tokens_are_read_as_a_whole(model):
     read = toxicity.Reader(model.characters)
     for lead in range(170, 215, 3):
