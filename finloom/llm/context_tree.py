@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,8 @@ FREQUENT_GRAMS = 1 << 21
 FREQUENT_WORDS = 200_000
 #: Different grams, or four times the words, held by a task before it hands on what it has.
 HELD = 1_000_000
+#: Grams of a group whose eight decisions are worked out together.
+AT_ONCE = 4096
 #: Rows of an Arrow batch of grams or words.
 HANDED = 100_000
 #: Bytes of text handled by one numpy step, unless a single text is longer.
@@ -105,11 +109,11 @@ def _summed(node: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
     return unique, *[np.add.reduceat(c[order], begin) if len(begin) else c[:0] for c in columns]
 
 
-def _bits(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each of the eight decisions of each gram its node of full depth, and the bit taken."""
+def _bits(key: np.ndarray, which: Sequence[int] = range(8)) -> tuple[np.ndarray, np.ndarray]:
+    """For each of these of the eight decisions of each gram its node of full depth, and the bit taken."""
     symbol, context = key & _U(255), key >> _U(8)
-    node = np.array([(context << _U(8)) | (_U(1 << j) | (symbol >> _U(8 - j))) for j in range(8)])
-    return node, np.array([(symbol >> _U(7 - j)) & _U(1) for j in range(8)]).astype(bool)
+    node = np.array([(context << _U(8)) | (_U(1 << j) | (symbol >> _U(8 - j))) for j in which])
+    return node, np.array([(symbol >> _U(7 - j)) & _U(1) for j in which]).astype(bool)
 
 
 def _mixed(depth: int, asked: np.ndarray, bit: np.ndarray, mixed: np.ndarray, known: tuple[np.ndarray, ...]) -> np.ndarray:
@@ -128,11 +132,17 @@ def _mixed(depth: int, asked: np.ndarray, bit: np.ndarray, mixed: np.ndarray, kn
 def subtree(key: np.ndarray, n: np.ndarray, least_depth: int) -> tuple[np.ndarray, tuple]:
     """Probabilities of the eight bits of each gram under the contexts from full depth to
     least_depth, and nodes, counts and log Pw of the nodes of least_depth. Grams with n = 0 are
-    scored but not learned."""
-    asked, bit = _bits(key)
+    scored but not learned. No two decisions share a node, so those of many grams are taken one by one."""
+    each = [range(8)] if len(key) <= AT_ONCE else [[j] for j in range(8)]
+    mixed, top = zip(*(_subtree(key, n, which, least_depth) for which in each), strict=True)
+    return np.concatenate(mixed), tuple(np.concatenate(c) for c in zip(*top, strict=True))
+
+
+def _subtree(key: np.ndarray, n: np.ndarray, which: Sequence[int], least_depth: int) -> tuple[np.ndarray, tuple]:
+    asked, bit = _bits(key, which)
     learned = n > 0
     node, one = asked[:, learned].ravel(), bit[:, learned].ravel().astype(float)
-    many = np.tile(n[learned].astype(float), 8)
+    many = np.tile(n[learned].astype(float), len(which))
     node, a, b = _summed(node, many * (1 - one), many * one)
     pw = kt = log_kt(a, b)
     mixed = _mixed(DEPTH, asked, bit, np.full(asked.shape, np.nan), (node, a, b, _weight(DEPTH, kt, pw)))
@@ -300,18 +310,20 @@ def score(docs: DataFrame, learn: Column, id_column: str = "doc_id", text_column
             hit = grams[at] == unique if len(grams) else np.zeros(len(unique), bool)
             one = np.zeros(len(unique))
             one[hit] = gram_logs[at[hit]]
-            often = np.diff(first, append=len(of))
-            sums = np.bincount(of, np.repeat(one, often), len(words))
-            missed = of[np.repeat(~hit, often)]
+            many = np.diff(first, append=len(of))
+            sums = np.bincount(of, np.repeat(one, many), len(words))
+            missing, often = unique[~hit], many[~hit]
+            missed = of[np.repeat(first[~hit] - np.cumsum(often) + often, often) + np.arange(often.sum())]
             order = np.argsort(missed, kind="stable")
             offsets = np.concatenate([[0], np.cumsum(np.bincount(missed, minlength=len(words)))])
-            others = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.repeat(unique[~hit], often[~hit])[order].view(np.int64)))
+            others = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.repeat(missing, often)[order].view(np.int64)))
             out = []
             for of_text in words:
                 of_text.append(b"")
-                got = [logs[w] for w in of_text if w in logs]
-                rest = Counter(w for w in of_text if w not in logs) if len(got) < len(of_text) and not complete else {}
-                out.append((len(of_text), len(got), math.fsum(got), [w.decode() for w in rest], list(rest.values())))
+                got = list(map(logs.get, of_text))
+                unknown = got.count(None)
+                rest = Counter(compress(of_text, map(not_, got))) if unknown and not complete else {}
+                out.append((len(of_text), len(got) - unknown, math.fsum(filter(None, got)), [w.decode() for w in rest], list(rest.values())))
             n, seen, base, rare, times = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), pa.array(n, pa.int64()), pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(rare, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int32())), others, pa.array(sums), pa.array(n_bytes)],

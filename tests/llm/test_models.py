@@ -5,6 +5,7 @@ import random
 import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -246,6 +247,23 @@ def test_grams_are_counted_over_chunks(monkeypatch, held):
     assert got == want and +got_learned == learned
 
 
+def test_large_groups_are_worked_out_bit_by_bit(monkeypatch):
+    rng = np.random.default_rng(3)
+    key = np.unique((rng.integers(97, 123, (30_000, 4)) @ np.array([1 << 40, 1 << 32, 1 << 24, 1])) | (0x6162 << 8))
+    key = key[rng.permutation(len(key))]
+    n = rng.integers(0, 9, len(key))
+    rows = pa.table([pa.array(key), pa.array(n + 1), pa.array(n)], names=["gram", "n", "learned"])
+    tracemalloc.start()
+    try:
+        got = context_tree._nodes(rows)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 400 * len(key)
+    monkeypatch.setattr(context_tree, "AT_ONCE", len(key))
+    assert got.equals(context_tree._nodes(rows))
+
+
 def test_frequent_words_come_without_a_sort_on_the_driver(spark):
     counts = spark.createDataFrame([(f"w{k}", 1 + k // 10) for k in range(50)], "word string, c long")
     found = context_tree._frequent(counts, "c", 25)
