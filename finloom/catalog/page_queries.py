@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finloom.catalog.registry import Tables, query
@@ -119,8 +121,11 @@ def _escaped(x: Column) -> Column:
     return x
 
 
-def event_pages(t: Tables):
-    """One calendar page per event: a released row, a speech, and a row without a time."""
+def event_pages(t: Tables, events: DataFrame | None = None, keep: Sequence[str] = ()):
+    """One calendar page per event: a released row, a speech, and a row without a time.
+
+    Of all events, or of rows of that table that are dealt already, whose columns of `keep` are carried along.
+    """
     value = F.col("value").cast("decimal(10,2)").cast("string")
     unit = F.when(F.col("event_type") == "click", "%").when(F.col("event_type") == "error", "K").otherwise("")
 
@@ -155,7 +160,9 @@ def event_pages(t: Tables):
         row("All Day", F.lit(0), "Holiday", none, none, none),
         "</tbody></table></body></html>",
     )
-    return t.spread("events", "event_id").select(
+    events = t.spread("events", "event_id") if events is None else events
+    return events.select(
+        *keep,
         F.concat(F.lit("calendar/"), F.col("event_id").cast("string")).alias("url"),
         F.to_date("ts").alias("day"),
         content.alias("content"),

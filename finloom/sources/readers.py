@@ -71,7 +71,8 @@ def day_folders(
     if suffix:
         reader = reader.option("pathGlobFilter", f"*.{suffix}")
     if whole_file_objects:
-        reader = reader.option("multiLine", True)
+        # Left alone, a text of over 20,000,000 characters would make its page one that cannot be read.
+        reader = reader.options(multiLine=True, maxStringLen=(1 << 31) - 1)
     return reader.format(kind).load(paths)
 
 

@@ -32,14 +32,15 @@ def write_partitions(
     by: Sequence[str] = DAY_COLUMNS,
     kind: str = "parquet",
     mode: str = "overwrite",
+    **options: str | int,
 ) -> None:
-    """Replace only the partitions present in df.
+    """Replace only the partitions present in df; `options` are those of Spark's writer.
 
     The rebalance hint gathers each partition into few files and lets adaptive execution
     split one that is too large for a task, so a single huge day is not one writer's job.
     """
     writer = df.hint("rebalance", *by).write.mode(mode).partitionBy(*by)
-    writer.option("partitionOverwriteMode", "dynamic").format(kind).save(path)
+    writer.options(partitionOverwriteMode="dynamic", **options).format(kind).save(path)
 
 
 def write_day_rejects(df: DataFrame, path: str, days: Sequence[dt.date]) -> None:

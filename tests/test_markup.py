@@ -183,3 +183,14 @@ def test_the_text_of_a_tag_is_read_once(monkeypatch):
     for _ in range(2):
         assert read_page(page, rules) == [{"once": "a & b", "count": 2}] * 50
     assert sorted(met) == sorted(["ol", "li", 'u class="k"', "/u", "u", "hr", "/li", "/ol"])
+
+
+def test_rows_of_many_pages_are_handed_on_in_steps(spark, monkeypatch):
+    from finloom.operators import markup
+
+    monkeypatch.setattr(markup, "_MOST_ROWS", 7)
+    rules = PageRules({"t": Take((Step("td"),))}, rows=(Step("tr"),))
+    html = F.expr("concat_ws('', transform(sequence(1, id), i -> concat('<tr><td>', id, '-', i, '</td></tr>')))")
+    pages = spark.range(1, 41, 1, 1).select("id", F.when(F.col("id") % 9 != 0, html).alias("html"))
+    got = pages.select("id", page_rows(F.col("html"), rules).alias("r")).collect()
+    assert [(r.id, [x.t for x in r.r]) for r in got] == [(n, [f"{n}-{i}" for i in range(1, n + 1)] if n % 9 else []) for n in range(1, 41)]

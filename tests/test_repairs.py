@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from test_jobs import AS_OF, earnings_page, land
 from test_pages import event
 
+from finloom.catalog import QUERIES, job_queries
+from finloom.catalog.page_queries import event_pages
+from finloom.catalog.registry import Tables
 from finloom.functions.cells import number_text
 from finloom.operators.merge import merge_changes
 from finloom.plans import articles, calendar, jobs
@@ -136,3 +139,43 @@ def test_folders_are_named_once_and_not_for_each_row(spark, tmp_path):
     writers.publish_partitions(rows, name, ["part"], str(tmp_path / "version"))
     assert time.monotonic() - start < 12  # some 250 microseconds a row when each row's path was searched
     assert {(r.part, r.n) for r in spark.table(name).groupBy("part").agg(F.count("*").alias("n")).collect()} == {(v, 50_000) for v in odd}
+
+
+def events_table(spark, folder, rows):
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame([(*r, "{}") for r in rows], schema).write.parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+def at(day, minute):
+    return dt.datetime(2024, 1, day) + dt.timedelta(minutes=minute)
+
+
+def test_calendar_scan_reads_every_event_of_a_large_day(spark, tmp_path):
+    # the day's 26 million characters were one page, which the reader took for one without content
+    many = [(i, at(1, i % 1440), i % 97, "view" * 750, i / 4) for i in range(2000)]
+    few = [(7, at(2, 1), 5, "click", 1.5), (7, at(2, 1), 5, "click", 1.5), (None, at(2, 2), 6, "error", 2.0)]
+    nulls = [(8, None, 5, "view", 1.0), (9, at(3, 0), 5, "view", None), (10, at(2, 3), None, "view", 1.0), (11, at(2, 3), 4, None, 1.0)]
+    sf = events_table(spark, tmp_path, [*many, *few, *nulls])
+    scanned, each = [QUERIES[name](spark, sf) for name in ("calendar_scan", "event_rows")]
+    got, want = [sorted(map(str, df.withColumns({c: F.md5(c) for c in ("country", "title")}).collect())) for df in (scanned, each)]
+    assert got == want and len(got) == 2 * (len(many) + len(few))
+
+
+def test_calendar_pages_have_a_bounded_number_of_events(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(job_queries, "PAGE_EVENTS", 4)
+    days = {1: 1, 2: 4, 3: 5, 4: 13}
+    rows = [(100 * day + i, at(day, i), 100 * day + i, "view", 1.0) for day, n in days.items() for i in range(n)]
+    t = Tables(spark, events_table(spark, tmp_path, rows))
+    pages = job_queries.day_pages(t).collect()
+    sizes = {day: sorted(p.content.count("theDay") for p in pages if p.day.day == day) for day in days}
+    assert sizes == {1: [1], 2: [4], 3: [1, 4], 4: [1, 4, 4, 4]}
+    own = event_pages(t).orderBy("url").collect()
+    for day in days:  # one after another they are the day's events in the order of urls
+        whole = "".join(r.content for r in own if r.day.day == day)
+        parts = sorted((p.content for p in pages if p.day.day == day), key=whole.index)
+        assert "".join(parts) == whole
+
+
+def test_calendar_scan_of_no_events(spark, tmp_path):
+    assert QUERIES["calendar_scan"](spark, events_table(spark, tmp_path, [])).count() == 0

@@ -40,6 +40,13 @@ def test_themed_pages(spark, tmp_path):
     assert readers.themes_for_hour(7) == readers.themes_for_hour(21) == THEMES
 
 
+def test_a_page_of_any_length_is_read(spark, tmp_path):
+    long = 20_000_001  # Spark reads JSON texts of up to 20,000,000 characters unless told otherwise
+    land(tmp_path, "EVENTS", "05", "day.json", {"url": "u", "timestamp": "2025-03-05T00:00:00", "content": "x" * long})
+    pages = readers.calendar_pages(spark, str(tmp_path / "EVENTS"), [dt.date(2025, 3, 5)])
+    assert [r.n for r in pages.select(F.length("content").alias("n")).collect()] == [long]
+
+
 def test_day_window_prunes_folders(spark, tmp_path):
     df = spark.range(40).select(F.date_add(F.lit(dt.date(2025, 2, 10)), F.col("id").cast("int")).alias("d"), "id")
     writers.write_partitions(writers.with_day_columns(df, F.col("d")), str(tmp_path / "t"))
