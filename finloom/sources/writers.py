@@ -92,8 +92,8 @@ def write_digest(
 def read_digest(spark: SparkSession, folder: str) -> DataFrame:
     """(part, text) of a written digest: one row per file, whose parts grow in file order."""
     files = spark.read.text(folder, wholetext=True).where("value <> ''")
-    # Files are named part-<task>-<job id>-c<file of the task>.
-    task, file = [F.regexp_extract(F.col("_metadata.file_name"), p, 1).cast("bigint") for p in (r"^part-(\d+)", r"-c(\d+)")]
+    # Files are named part-<task>-<job id>-c<file of the task>.txt; the job id can have a -c and digits in it, too.
+    task, file = [F.regexp_extract(F.col("_metadata.file_name"), p, 1).cast("bigint") for p in (r"^part-(\d+)", r"-c(\d+)\.[^-]*$")]
     return files.select((F.shiftleft(task, 32) + file).alias("part"), F.col("value").alias("text"))
 
 

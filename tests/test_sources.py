@@ -114,6 +114,15 @@ def test_digest_files_are_the_text(spark):
     assert "".join(r.text for r in again) == whole
 
 
+def test_digest_files_are_ordered_by_task_and_file(spark, tmp_path):
+    job = "6d1f4a52-c128-4d5e-9abc-0c2345678901"
+    names = [f"part-0000{task}-{job}-c00{file}.txt" for task in (0, 1) for file in (0, 1, 2)]
+    for i, name in enumerate(names):
+        (tmp_path / name).write_text(f"{i}\n")
+    parts = writers.read_digest(spark, str(tmp_path)).orderBy("part").collect()
+    assert [(r.part >> 32, r.part & 0xFFFFFFFF, r.text) for r in parts] == [(i // 3, i % 3, f"{i}\n") for i in range(6)]
+
+
 def test_publish_switches_versions(spark):
     base = scratch_dir(spark, "v")
     df = spark.createDataFrame([(1, "a")], "id int, v string")
